@@ -6,14 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, line_dedup
+from . import exact_dedup, language_id, license_scan, line_dedup, packing, quality, secret_scan, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_toxicity": toxicity.op1_toxicity,
+    "op2_license_scan": license_scan.op2_license_scan,
+    "op3_secret_scan": secret_scan.op3_secret_scan,
     "op6_line_windows": line_dedup.op6_line_windows,
+    "op7_divergence_rules": quality.op7_divergence_rules,
+    "op8_cost_packing": packing.op8_cost_packing,
     "op9_exact_dedup": exact_dedup.op9_exact_dedup,
+    "op10_language_id": language_id.op10_language_id,
 }
 
 ORACLES: dict[str, str] = {
+    "op2_license_scan": license_scan.OP2_SQL,
     "op6_line_windows": line_dedup.OP6_SQL,
     "op9_exact_dedup": exact_dedup.OP9_SQL,
 }
