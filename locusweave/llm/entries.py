@@ -6,12 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, language_id, license_scan, line_dedup, packing, quality, secret_scan, toxicity
+from . import exact_dedup, language_id, license_scan, line_dedup, mixing, near_dedup, packing, quality, secret_scan, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": toxicity.op1_toxicity,
     "op2_license_scan": license_scan.op2_license_scan,
     "op3_secret_scan": secret_scan.op3_secret_scan,
+    "op4_soft_mixing": mixing.op4_soft_mixing,
+    "op5_near_dedup": near_dedup.op5_near_dedup,
     "op6_line_windows": line_dedup.op6_line_windows,
     "op7_divergence_rules": quality.op7_divergence_rules,
     "op8_cost_packing": packing.op8_cost_packing,
