@@ -27,7 +27,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import common
+from . import common, wordhash
+from .wordhash import SLICE_BYTES, U
 from .components import components
 
 SHINGLE = 5
@@ -35,56 +36,14 @@ BANDS, BAND_ROWS = 13, 4
 DF_BITS = 18
 DF_BLOCK = 4096
 BLOCK, BLOCK_BYTES = 512, 16 << 20
-#: Texts are shingled in slices of this many bytes, which keeps numpy's temporaries in the cache.
-SLICE_BYTES = 1 << 20
-
-U = np.uint64
-_BASE = 0x9E3779B97F4A7C15 | 1
-_TABLES: dict[str, np.ndarray] = {}
-
-
-def _mix(x: np.ndarray) -> np.ndarray:
-    x = x ^ (x >> U(30))
-    x *= U(0xBF58476D1CE4E5B9)
-    x ^= x >> U(27)
-    x *= U(0x94D049BB133111EB)
-    x ^= x >> U(31)
-    return x
-
-
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the hash's base and their inverses modulo 2 ** 64."""
-    if len(_TABLES.get("pow", ())) < n:
-        size = max(n, 2 * SLICE_BYTES)
-        for name, base in (("pow", _BASE), ("inv", pow(_BASE, -1, 1 << 64))):
-            steps = np.full(size, U(base))
-            steps[0] = 1
-            _TABLES[name] = np.multiply.accumulate(steps)
-    return _TABLES["pow"][:n], _TABLES["inv"]
-
-
-def _word_bytes() -> np.ndarray:
-    out = np.zeros(256, bool)
-    out[ord("0") : ord("9") + 1] = out[ord("a") : ord("z") + 1] = out[0x80:] = True
-    return out
-
-
-WORD_BYTES = _word_bytes()
 #: Odd multipliers of the places in a shingle.
 PLACES = [U(int(x) | 1) for x in np.random.default_rng(11).integers(1, 1 << 63, SHINGLE)]
 
 
 def shingles(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """For lower-cased UTF-8 texts: text number, hash and count of every different shingle, by text and hash."""
-    raw = np.frombuffer(b"\n".join([*texts, b""]), np.uint8)
-    first = np.concatenate(([0], np.cumsum([len(t) + 1 for t in texts])))[:-1]
-    inside = WORD_BYTES[raw]
-    before = np.concatenate(([False], inside[:-1]))
-    starts, ends = np.flatnonzero(inside & ~before), np.flatnonzero(before & ~inside)
-    power, inverse = _powers(len(raw))
-    upto = np.concatenate((np.zeros(1, U), np.cumsum((raw.astype(U) + U(1)) * power)))
-    words = _mix((upto[ends] - upto[starts]) * inverse[starts])
-    text_of = np.searchsorted(first, starts, "right") - 1
+    found = wordhash.words(texts)
+    words, text_of = found.hashes(), found.text_of
     n_words = np.bincount(text_of, minlength=len(texts))
     m = max(0, len(words) - SHINGLE + 1)
     h = np.zeros(m, U)
@@ -99,7 +58,7 @@ def shingles(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         h, owner = np.concatenate((h, extra)), np.concatenate((owner, short))
         order = np.argsort(owner, kind="stable")
         h, owner = h[order], owner[order]
-    h = _mix(h)
+    h = wordhash.mix(h)
     bounds = np.searchsorted(owner, np.arange(len(texts) + 1))
     for lo, hi in zip(bounds[:-1], bounds[1:]):
         if hi - lo > 1:
@@ -169,6 +128,10 @@ def idf_table(docs: DataFrame, blend: float = 0.25) -> np.ndarray:
     return (1 + blend * np.log((1 + n) / (1 + df)) / max(np.log(1 + n), 1e-9)).astype(np.float32)
 
 
+#: Filled once in each Python worker.
+_TABLES: dict[str, np.ndarray] = {}
+
+
 def _sampling_tables() -> tuple[np.ndarray, ...]:
     """r, 1 / r and beta, ln c of the sampling scheme, for 16 bits of hash each, and a multiplier per sample."""
     if "r" not in _TABLES:
@@ -221,7 +184,7 @@ def _signatures(batches: Iterator[pa.RecordBatch], idf: np.ndarray) -> Iterator[
                 tags = consistent_samples(h, weight, starts).astype(U)
                 bands = np.zeros((len(starts), BANDS), U)
                 for k in range(BAND_ROWS):
-                    bands = _mix(bands + tags[:, k::BAND_ROWS] * PLACES[k] + np.arange(1, BANDS + 1, dtype=U))
+                    bands = wordhash.mix(bands + tags[:, k::BAND_ROWS] * PLACES[k] + np.arange(1, BANDS + 1, dtype=U))
                 nodes = rows.column("node").take(pa.array(owner[starts]))
                 flat = pa.array(bands.view(np.int64).ravel())
                 offsets = pa.array(np.arange(0, flat.__len__() + 1, BANDS, dtype=np.int32))
@@ -233,7 +196,7 @@ def _tokens(texts: list[bytes], idf: np.ndarray) -> tuple[np.ndarray, np.ndarray
     owner, h, tf = shingles(texts)
     repeat = np.arange(tf.sum()) - np.repeat(np.cumsum(tf) - tf, tf)
     w = idf[(h >> U(64 - DF_BITS)).astype(np.int64)].astype(np.float64)
-    return np.repeat(owner, tf), np.repeat(h, tf) + repeat.astype(U) * U(_BASE), np.repeat(w, tf)
+    return np.repeat(owner, tf), np.repeat(h, tf) + repeat.astype(U) * U(wordhash.BASE), np.repeat(w, tf)
 
 
 def similarities(texts: list[bytes], idf: np.ndarray) -> np.ndarray:
