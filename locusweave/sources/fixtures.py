@@ -89,23 +89,24 @@ FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionke
 }
 
 
-def needed(sql: str) -> list[str]:
-    """Stand-ins that a query uses, each after those it needs."""
+def needed(sql: str, ctes: dict[str, str]) -> list[str]:
+    """Common table expressions that a query uses, each after those it needs."""
     found: list[str] = []
 
     def add(text: str) -> None:
-        for name in dict.fromkeys(re.findall(r"\bfx_\w+", text)):
-            if name in CTES and name not in found:
-                add(CTES[name])
+        for name in dict.fromkeys(re.findall(r"\b[cf]x_\w+", text)):
+            if name in ctes and name not in found:
+                add(ctes[name])
                 found.append(name)
 
     add(sql)
     return found
 
 
-def with_ctes(sql: str) -> str:
-    """The query with its stand-ins in front; a query may begin with more CTEs of its own (``WITH``)."""
-    ctes = ", ".join(f"{name} AS ({CTES[name].strip()})" for name in needed(sql))
+def with_ctes(sql: str, more: dict[str, str] | None = None) -> str:
+    """The query with its stand-ins (and what it uses of ``more``) in front; it may begin with CTEs of its own (``WITH``)."""
+    known = CTES | (more or {})
+    ctes = ", ".join(f"{name} AS ({known[name].strip()})" for name in needed(sql, known))
     if not ctes:
         return sql
     own = re.match(r"\s*WITH\s", sql)
