@@ -2,15 +2,24 @@
 
 from __future__ import annotations
 
+from functools import cache
+
 import numpy as np
 
 #: Odd multipliers of the polynomial hash and of its last mix.
 STEP, MIX = np.uint32(0x01000193), np.uint32(0x9E3779B1)
 
 
+#: Beyond this code point there are no letters.
+LETTERS_END = 0x34000
+
+
+@cache
 def letter_table() -> np.ndarray:
-    """True for each code point that is a letter."""
-    return np.fromiter((chr(i).isalpha() for i in range(0x110000)), bool, 0x110000)
+    """True for each code point that is a letter; made once in each Python worker."""
+    out = np.zeros(0x110000, bool)
+    out[:LETTERS_END] = np.fromiter((chr(i).isalpha() for i in range(LETTERS_END)), bool, LETTERS_END)
+    return out
 
 
 def code_points(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:

@@ -6,7 +6,7 @@
    more - spans a lattice: a symbol may be the letter it looks like, a mark to be left out, or a boundary; a run may be one or two letters; a space
    may be left out. Viterbi decoding finds the path with the best channel and language model probability. A token with one path is
    itself, so only tokens with a choice are decoded. Whole texts are restored.
-3. Score. A word's evidence is the lower bound of the log-odds (by document) of the word and of its first four and five letters among labelled
+3. Score. A word's evidence is the lower bound of the log-odds (by document) of the word and of its first four and five bytes among labelled
    documents. A text's score is a logistic of its strongest evidence. Lexicon and logistic are fitted on at most about ``max_labelled`` labelled
    documents that aren't held out, drawn by a hash of the id; the lexicon keeps the ``max_words`` strongest entries.
 
@@ -18,9 +18,9 @@ columns of the input are not read. Label rows with null id or label are ignored;
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import cache
 
 import numpy as np
 import pandas as pd
@@ -28,12 +28,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import common, ngrams
+from . import common, ngrams, wordhash
 
 #: What a character may stand for.
 LEET = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "*": "aeiou", "#": "h"}
-#: Costs in nats of the channel: a look-alike, a mark left out, a boundary put, a letter of a run left out, a space left out.
-LOOK, DROP, BREAK, RUN, JOIN = 1.0, 1.5, 4.0, 0.5, 0.7
+#: Costs in nats of the channel: a look-alike, a mark left out (cheap if it looks like no letter), a boundary put for a mark, letters of a run left
+#: out, the space between spaced letters kept. Leaving out must cost more than a letter does under the model, or short outputs win.
+LOOK, DROP, DROP_LOOK, BREAK, RUN, KEEP = 1.0, 0.5, 9.0, 7.0, 0.5, 4.0
 SYMBOLS = 64
 
 WORD = re.compile(r"[^\W\d_]+")
@@ -41,12 +42,12 @@ WORD = re.compile(r"[^\W\d_]+")
 MARKED = re.compile(r"(?<![^\W\d_])[^\W\d_]+(?:[^\w\s]|[\d_])+[^\W\d_]\S*|(?<!\S)[@$0-9!|+(*]+[^\W\d_]\S*")
 #: Single letters, each set apart by one mark or space.
 SPACED = re.compile(r"(?<!\S)(?:[^\W\d_][ .\-_*]){2,}[^\W\d_](?!\S)")
-REPEATED = re.compile(r"([^\W\d_])\1\1")
 RUNNING = re.compile(r"(.)\1{2,}")
-#: Distinct tokens and words that a worker remembers before it starts anew.
+#: Distinct tokens that a worker remembers before it starts anew.
 MEMORY = 200_000
 
 
+@cache
 def symbol_table() -> np.ndarray:
     """Symbol of each code point: 0 for what isn't a letter, 1 to 26 for a to z, 27 to 63 shared by all other letters."""
     codes = np.arange(0x110000, dtype=np.int64)
@@ -93,7 +94,7 @@ class Decoder:
     memory: dict[str, str] = field(default_factory=dict)
 
     def __post_init__(self) -> None:
-        self.logp = self.model.tolist()
+        self.logp, self.letters = self.model.tolist(), ngrams.letter_table()
 
     @staticmethod
     def _symbol(c: str) -> int:
@@ -112,13 +113,13 @@ class Decoder:
             if c.isalpha():
                 out.append([(c * run, 0.0)] if run < 3 else [(c, RUN), (c + c, 2 * RUN)])
             elif spaced:
-                out.append([("", JOIN), (" ", 0.0)])
+                out.append([("", 0.0), (" ", KEEP)])
             else:
                 looks = [(x * min(run, 2), LOOK) for x in LEET.get(c, "")]
-                edge = i == 0 or j == len(token)
-                if edge and run > 1:
+                last = j == len(token)
+                if last and (run > 1 or not c.isdigit()):  # marks after a word are punctuation
                     looks = []
-                out.append([*looks, ("", DROP if not c.isdigit() else BREAK), (" ", BREAK if not edge else DROP)])
+                out.append([*looks, ("", DROP_LOOK if looks else DROP), (" ", BREAK)])
             i = j
         return out
 
@@ -152,77 +153,131 @@ class Decoder:
         self.memory[token] = restored
         return restored
 
-    def restore(self, text: str) -> str:
+    def restore(self, text: str, spaced: bool = True, marked: bool = True, repeated: bool = True) -> str:
+        """The lower-cased text with every disguised token decoded. The kinds of disguise that a text is known not to have may be left out."""
         text = text.lower()
-        text = SPACED.sub(lambda m: self.decode(m[0], True), text)
-        text = MARKED.sub(lambda m: self.decode(m[0]), text)
-        if REPEATED.search(text):
+        if spaced:
+            text = SPACED.sub(lambda m: self.decode(m[0], True), text)
+        if marked:
+            text = MARKED.sub(lambda m: self.decode(m[0]), text)
+        if repeated:
             text = WORD.sub(lambda m: self.decode(m[0]) if RUNNING.search(m[0]) else m[0], text)
         return text
 
-    def words(self, text: str) -> set[str]:
-        return set(WORD.findall(self.restore(text)))
+    def restored(self, texts: list[str]) -> list[bytes]:
+        """As UTF-8. Which kinds of disguise a text may have is told in numpy for all texts at once; most have none."""
+        if not texts:
+            return []
+        codes, starts = ngrams.code_points(texts)
+        letter = self.letters[codes]
+        space = (codes == 32) | (codes < 14)
+        marked, repeated, spaced = (np.zeros(len(codes), bool) for _ in range(3))
+        marked[:-1] = ~letter[:-1] & ~space[:-1] & letter[1:]  # a mark before a letter
+        same = letter[:-1] & (codes[:-1] == codes[1:])
+        repeated[:-2] = same[:-1] & same[1:]  # three of a letter
+        apart = letter[:-1] & ~letter[1:]
+        spaced[1:-4] = space[:-5] & apart[1:-3] & apart[3:-1] & letter[5:]  # three letters set apart
+        kinds = [np.add.reduceat(x, starts, dtype=np.int64) > 0 for x in (spaced, marked, repeated)]
+        kinds[0] |= np.isin(starts, np.flatnonzero(apart[:-4] & apart[2:-2] & letter[4:-1])) if len(codes) > 5 else True  # at the very start
+        return [(self.restore(t, *k) if any(k) else t.lower()).encode("utf-8", "surrogatepass") for t, *k in zip(texts, *(x.tolist() for x in kinds))]
 
 
-def word_features(word: str) -> tuple[str, ...]:
-    """The word, and its beginnings (marked by ^)."""
-    return (word, "^" + word[:4], "^" + word[:5]) if len(word) > 5 else (word, "^" + word[:4]) if len(word) > 4 else (word,)
+#: Beginnings of words that are features beside the whole words, in bytes.
+BEGINNINGS = (4, 5)
+
+
+def word_features(texts: list[bytes]) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Text number of each word; hashes of each word and of its beginnings."""
+    found = wordhash.words(texts)
+    return found.text_of, [found.hashes(), *(found.hashes(n) + wordhash.U(n) for n in BEGINNINGS)]
 
 
 @dataclass
 class Model:
-    lexicon: dict[str, float]
-    weights: np.ndarray  # bias, strongest, second strongest, number of strong words (log)
-    memory: dict[str, float] = field(default_factory=dict)
-
-    def evidence(self, words: set[str]) -> tuple[float, float, float]:
-        first = second = 0.0
-        strong = 0
-        memory, lexicon = self.memory, self.lexicon
-        for w in words:
-            e = memory.get(w)
-            if e is None:
-                if len(memory) >= MEMORY:
-                    memory.clear()
-                e = memory[w] = max((lexicon.get(f, 0.0) for f in word_features(w)), default=0.0)
-            if e > 0:
-                strong += 1
-                if e > first:
-                    first, second = e, first
-                elif e > second:
-                    second = e
-        return first, second, float(np.log1p(strong))
-
-    def score(self, words: set[str]) -> float:
-        z = self.weights[0] + float(np.dot(self.weights[1:], self.evidence(words)))
-        return float(1 / (1 + np.exp(-np.clip(z, -30, 30))))
-
-
-def _counted(batches: Iterator[pa.RecordBatch], model: np.ndarray) -> Iterator[pa.RecordBatch]:
+    features: np.ndarray  # hashes, sorted
+    bounds: np.ndarray  # their evidence
+    weights: np.ndarray  # bias, strongest, second strongest, number of different strong words (log)
+    seen: np.ndarray | None = None
+
+    def evidence(self, texts: list[bytes]) -> np.ndarray:
+        """For each text its strongest and second strongest word and log(1 + different words with evidence)."""
+        out = np.zeros((len(texts), 3))
+        text_of, hashes = word_features(texts)
+        if not len(text_of) or not len(self.features):
+            return out
+        if self.seen is None:  # a filter before the exact search
+            self.seen = np.zeros(1 << 20, bool)
+            self.seen[(self.features >> wordhash.U(44)).astype(np.int64)] = True
+        best = np.zeros(len(text_of))
+        for h in hashes:
+            at = np.flatnonzero(self.seen[(h >> wordhash.U(44)).view(np.int64)])
+            i = np.searchsorted(self.features, h[at]).clip(max=len(self.features) - 1)
+            best[at] = np.maximum(best[at], np.where(self.features[i] == h[at], self.bounds[i], 0))
+        at = np.flatnonzero(best)
+        rows = sorted(set(zip(text_of[at].tolist(), hashes[0][at].tolist(), best[at].tolist())), key=lambda r: -r[2])
+        for text, _, e in rows:
+            row = out[text]
+            row[2] += 1
+            if row[0] == 0:
+                row[0] = e
+            elif row[1] == 0:
+                row[1] = e
+        out[:, 2] = np.log1p(out[:, 2])
+        return out
+
+    def scores(self, texts: list[bytes]) -> np.ndarray:
+        z = self.weights[0] + self.evidence(texts) @ self.weights[1:]
+        return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+
+
+def _sliced(texts: list[str]) -> Iterator[slice]:
+    lo = total = 0
+    for i, t in enumerate(texts):
+        if i > lo and total + len(t) > wordhash.SLICE_BYTES // 2:
+            yield slice(lo, i)
+            lo, total = i, 0
+        total += len(t)
+    if lo < len(texts):
+        yield slice(lo, len(texts))
+
+
+def _counted(batches: Iterator[pa.RecordBatch], lm: np.ndarray) -> Iterator[pa.RecordBatch]:
     """Documents of each label that have a feature, as partial counts."""
-    decoder, n = Decoder(model), {0: Counter(), 1: Counter()}
+    decoder, parts, held = Decoder(lm), [], 0
 
     def flush() -> pa.RecordBatch:
-        keys = list(n[0].keys() | n[1].keys())
-        out = pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), pa.array([n[0][k] for k in keys], pa.int64()), pa.array([n[1][k] for k in keys], pa.int64())], names=["feature", "clean", "toxic"])
-        n[0].clear(), n[1].clear()
-        return out
+        h, toxic = (np.concatenate([p[i] for p in parts]) for i in (0, 1))
+        found, at = np.unique(h, return_inverse=True)
+        n = np.bincount(at * 2 + toxic, minlength=2 * len(found)).reshape(-1, 2)
+        parts.clear()
+        return pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(n[:, 0]), pa.array(n[:, 1])], names=["feature", "clean", "toxic"])
 
     for batch in batches:
         for part in common.slices(batch):
-            for text, toxic in zip(part.column("text").to_pylist(), part.column("toxic").to_pylist()):
-                n[toxic].update({f for w in decoder.words(text) for f in word_features(w)})
-            if len(n[0]) + len(n[1]) > 400_000:
+            texts, labels = part.column("text").to_pylist(), part.column("toxic").to_numpy()
+            for s in _sliced(texts):
+                text_of, hashes = word_features(decoder.restored(texts[s]))
+                for h in hashes:
+                    order = np.lexsort((h, text_of))
+                    h, owner = h[order], text_of[order]
+                    new = np.ones(len(h), bool)
+                    new[1:] = (h[1:] != h[:-1]) | (owner[1:] != owner[:-1])
+                    parts.append((h[new], labels[s][owner[new]].astype(np.int64)))
+                    held += int(new.sum())
+            if held > 4_000_000:
                 yield flush()
-    yield flush()
+                held = 0
+    if parts:
+        yield flush()
 
 
 def _evidenced(batches: Iterator[pa.RecordBatch], lm: np.ndarray, model: Model) -> Iterator[pa.RecordBatch]:
     decoder = Decoder(lm)
     for batch in batches:
         for part in common.slices(batch):
-            rows = [model.evidence(decoder.words(t)) for t in part.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([part.column("toxic"), *(pa.array([r[i] for r in rows], pa.float64()) for i in range(3))], names=["toxic", "a", "b", "c"])
+            texts = part.column("text").to_pylist()
+            rows = np.concatenate([model.evidence(decoder.restored(texts[s])) for s in _sliced(texts)])
+            yield pa.RecordBatch.from_arrays([part.column("toxic"), *(pa.array(rows[:, i]) for i in range(3))], names=["toxic", "a", "b", "c"])
 
 
 def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> np.ndarray:
@@ -250,15 +305,17 @@ def fit(docs: DataFrame, labels: DataFrame, lm: np.ndarray, max_labelled: int =
     size = {r.toxic: r.n for r in sample.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     if len(size) < 2:
         return None
-    counts = sample.mapInArrow(lambda b: _counted(b, lm), "feature string, clean long, toxic long").groupBy("feature").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
+    counts = sample.mapInArrow(lambda b: _counted(b, lm), "feature long, clean long, toxic long").groupBy("feature").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
     t, c = F.col("toxic") + 0.5, F.col("clean") + 0.5
     odds = F.log(t / (size[1] + 1.0 - t)) - F.log(c / (size[0] + 1.0 - c))
     bound = odds - 2 * F.sqrt(1 / t + 1 / c)
     strongest = counts.where("toxic >= 3").select("feature", bound.alias("bound")).where("bound > 0.5").orderBy(F.desc("bound"), "feature").limit(max_words)
-    model = Model({r.feature: r.bound for r in strongest.collect()}, np.zeros(4))
+    lexicon = strongest.toPandas()
+    features = lexicon["feature"].to_numpy(np.int64).view(np.uint64)
+    order = np.argsort(features)
+    model = Model(features[order], lexicon["bound"].to_numpy(np.float64)[order], np.zeros(4))
     found = sample.mapInArrow(lambda b: _evidenced(b, lm, model), "toxic int, a double, b double, c double").toPandas()
     model.weights = logistic(found[["a", "b", "c"]].to_numpy(), found["toxic"].to_numpy(np.float64))
-    model.memory.clear()
     return model
 
 
@@ -271,7 +328,8 @@ def scorer(lm: np.ndarray, model: Model | None) -> Column:
             return pd.Series(np.zeros(len(texts)))
         if not held:
             held.append(Decoder(lm))
-        return pd.Series([model.score(held[0].words(t or "")) for t in texts], dtype="float64")
+        whole = texts.tolist()
+        return pd.Series(np.concatenate([model.scores(held[0].restored(whole[s])) for s in _sliced(whole)] or [np.zeros(0)]))
 
     return F.pandas_udf(score, "double")
 
