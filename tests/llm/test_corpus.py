@@ -1,0 +1,486 @@
+"""Corpus operators: edge cases, brute force, round trips, planted cases and held-out accuracy."""
+
+import hashlib
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import duckdb
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from locusweave.llm import common, components, entries, exact_dedup, language_id, license_scan, line_dedup, mixing, near_dedup, packing, quality, secret_scan, toxicity
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+LABELS = "doc_id long, quality int, toxic int"
+ODD = [None, "", " ", "\n\n\n", "a", "ß ü", "😀" * 50, "x" * 70_000, "the cat sat on the mat and the dog " * 3000, "\x00\t", "A1 b2 " * 20]
+
+
+def frame(spark, texts, langs=None, first=0):
+    data = [(first + i, t, (langs or ["en"] * len(texts))[i], "s", None) for i, t in enumerate(texts)]
+    return spark.createDataFrame(data, SCHEMA)
+
+
+@pytest.fixture(scope="module")
+def odd(spark):
+    """Odd texts, a null id, repeated rows, and columns whose names operators use themselves."""
+    df = frame(spark, [*ODD, "same text here", "same text here"])
+    df = df.unionByName(spark.createDataFrame([(None, "no id", None, None, None), (3, "\n\n\n", "en", "s", None)], SCHEMA))
+    return df.withColumns({c: F.lit("clash") for c in ("h", "node", "key", "score", "kept", "p", "u", "bucket", "words", "starts", "held_out", "size", "feature")}).cache()
+
+
+@pytest.fixture(scope="module")
+def labels(spark):
+    return spark.createDataFrame([(i, i % 2, i % 3 == 0 and 1 or 0) for i in range(12)] + [(None, 1, 1), (1, None, None)], LABELS)
+
+
+@pytest.fixture(scope="module")
+def corpus(spark, sf_dir):
+    return spark.read.parquet(f"{sf_dir}/documents.parquet").cache()
+
+
+@pytest.fixture(scope="module")
+def marks(spark, sf_dir):
+    return spark.read.parquet(f"{sf_dir}/labels.parquet").cache()
+
+
+def operators(labels):
+    domains = labels.select("doc_id", F.concat(F.lit("q"), F.col("quality").cast("string")).alias("domain"))
+    return {
+        "1": lambda d: toxicity.score(d, labels),
+        "2": license_scan.scan,
+        "3": secret_scan.scan,
+        "4": lambda d: mixing.mix(d, domains),
+        "5": near_dedup.near_duplicates,
+        "6": line_dedup.dedup_lines,
+        "7": quality.rules,
+        "8": packing.pack,
+        "9": exact_dedup.dedup,
+        "10": language_id.identify,
+    }
+
+
+@pytest.mark.parametrize("op", list("123456789") + ["10"])
+def test_odd_rows_each_get_a_result(spark, odd, labels, op):
+    got = operators(labels)[op](odd).collect()
+    ids = Counter(r.doc_id for r in got) if op != "8" else Counter(r.doc_id for r in got if r.start == 0)
+    assert ids == Counter(r.doc_id for r in odd.select("doc_id").collect())
+
+
+@pytest.mark.parametrize("op", list("123456789") + ["10"])
+def test_empty_tables(spark, labels, op):
+    none = spark.createDataFrame([], SCHEMA)
+    assert operators(labels.where("false"))[op](none).count() == 0
+
+
+@pytest.mark.parametrize("name", list(entries.ORACLES))
+def test_against_duckdb(spark, sf_dir, name):
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW documents AS SELECT * FROM '{sf_dir}/documents.parquet'")
+    df, want = entries.QUERIES[name](spark, sf_dir), con.sql(entries.ORACLES[name])
+    columns = sorted(df.columns)
+    assert columns == sorted(want.columns)
+    at = [want.columns.index(c) for c in columns]
+    assert sorted((tuple(r[c] for c in columns) for r in df.collect()), key=repr) == sorted((tuple(r[i] for i in at) for r in want.fetchall()), key=repr)
+
+
+# 1
+
+
+@pytest.fixture(scope="module")
+def fitted(corpus, marks):
+    lm = toxicity.language_model(corpus)
+    return lm, toxicity.fit(corpus, marks, lm)
+
+
+@pytest.mark.parametrize("text,want", [("you 1d10t go", "you idiot go"), ("m0r0n", "moron"), ("tr@sh", "trash"), ("i d i o t", "idiot"), ("idiooot", "idiot"), ("s.c.u.m", "scum"), ("plain words, here.", "plain words, here."), ("", "")])
+def test_decoding(fitted, text, want):
+    assert toxicity.Decoder(fitted[0]).restore(text) == want
+
+
+def test_batches_restore_like_single_texts(fitted, corpus):
+    texts = [r.text for r in corpus.select("text").limit(80).collect()] + ["i d i o t", "x 1d10t", "aaaa", "", "a.b.c"]
+    d = toxicity.Decoder(fitted[0])
+    assert d.restored(texts) == [d.restore(t).encode() for t in texts]
+
+
+def test_viterbi_against_all_paths(fitted):
+    d = toxicity.Decoder(fitted[0])
+
+    def best(token):
+        paths = [("", 0.0)]
+        for choices in d.lattice(token, False):
+            paths = [(a + b, c + e) for a, c in paths for b, e in choices]
+
+        def score(text, cost):
+            x = y = 0
+            total = -cost
+            for c in text + " ":
+                s = d._symbol(c)
+                if s or y:
+                    total += d.logp[x][y][s]
+                    x, y = y, s
+            return total
+
+        return max(paths, key=lambda p: score(*p))[0].strip()
+
+    for token in ("1d10t", "m0r0n", "tr@sh", "5tup1d", "a.b", "l0s3r"):
+        assert d.decode(token) == best(token)
+
+
+def test_toxic_and_disguised_documents_are_told_apart(spark):
+    clean = [f"the quiet river runs by the old mill and the field number {i} is green with corn and barley" for i in range(120)]
+    bad = [f"the quiet river runs by the old mill but you are an idiot and a moron so go away from field {i}" for i in range(60)]
+    docs = frame(spark, clean + bad + ["you are an 1d10t and a m0r0n", "you are an i d i o t and a moooron", "the field is green with corn"])
+    labels = spark.createDataFrame([(i, 1, int(i >= 120)) for i in range(180)], LABELS)
+    got = {r.doc_id: r.predicted for r in toxicity.score(docs, labels).collect()}
+    assert [got[i] for i in range(183)] == [0] * 120 + [1] * 60 + [1, 1, 0]
+
+
+def test_labels_of_held_out_rows_change_nothing(spark, corpus, marks):
+    turned = marks.withColumn("toxic", F.when(common.held_out(), 1 - F.col("toxic")).otherwise(F.col("toxic")))
+    a, b = (sorted(map(tuple, toxicity.score(corpus, x).collect())) for x in (marks, turned))
+    assert a == b
+
+
+# 2
+
+
+def test_license_spans(spark):
+    texts = ["Foo. Released under the MIT License. bar", "licensed under the apache open license version 2.0", "cc, by cc-by General\nPUBLIC license; all rights reserved", "released under the mit", None]
+    got = {r.doc_id: r for r in license_scan.scan(frame(spark, texts)).collect()}
+    assert (got[0].labels, got[0].score, got[0].base_labels) == ("mit", 1.0, "")
+    assert (got[2].base_labels, got[2].n_base, got[2].first_word, got[2].last_word, got[2].n_words) == ("cc-by,gpl,reserved", 4, 0, 7, 10)
+    assert (got[3].labels, got[4].n_words, got[4].labels, got[4].first_word) == ("mit", 0, "", None)
+
+
+def test_a_dropped_word_stays_one_span(spark):
+    words = license_scan.TEMPLATES[6][1].split()
+    broken = " ".join(words[:6] + ["really"] + words[6:])
+    rows = license_scan.spans(frame(spark, [broken]).select("doc_id", "text")).where("label = 'gpl-3.0'").collect()
+    assert [(r.start_word, r.end_word) for r in rows] == [(0, 13)]
+
+
+# 3
+
+
+def slow_spans(text):
+    found = []
+    for m in re.finditer(r"""(?:[Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", text):
+        if len(m[1]) >= 8:
+            found.append((m.start(), 0, m.end()))
+    found += [(m.start(), 1, m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 16]
+    found += [(m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 32]
+    return sorted(found)
+
+
+def test_base_spans_by_brute_force(spark, corpus):
+    extra = ["PassWord = 'abcdefgh1' token:short api_key=\"ABCDEFGHIJ\"", "ſecret=abcdefghij AKIA1234567890AB AKIAXX", "é " * 5 + "passwd:abcdefgh " + "0" * 40]
+    texts = {r.doc_id: r.text for r in corpus.collect()} | {10_000 + i: t for i, t in enumerate(extra)}
+    docs = corpus.unionByName(frame(spark, extra, first=10_000))
+    kinds = ["assign", "access", "hex"]
+    for r in secret_scan.scan(docs).collect():
+        want = slow_spans(texts[r.doc_id])
+        joined = ",".join(f"{kinds[k]}:{s}:{e}" for s, k, e in want)
+        assert r.base_sha256 == hashlib.sha256(joined.encode()).hexdigest()
+        assert [getattr(r, c) for c in ("n_assign", "n_access", "n_hex")] == [sum(k == i for _, k, _ in want) for i in range(3)]
+        assert set(joined.split(",")) - {""} <= set(r.spans.split(","))
+
+
+def test_weak_parts_are_linked_only_in_reach_and_scope():
+    weak = "Zx9Qw7Er5Ty3Ui1Op2As4D"
+    find = lambda t: secret_scan.linked_spans(t, secret_scan.base_spans(t), 100)
+    assert find(f"user=bob {weak}") == [(9, 3, 31)]
+    assert find(f"https://db.example.com/x {weak}")
+    assert not find(weak) and not find(f"user=bob\n\n{weak}") and not find("user=bob " + "-" * 150 + f" {weak}")
+
+
+def test_interval_join_by_brute_force():
+    rng = np.random.default_rng(1)
+    for _ in range(60):
+        parts = [rng.choice(["user=bob", "x " * int(rng.integers(1, 40)), "\n\n", "Zx9Qw7Er5Ty3Ui1Op2As" + str(rng.integers(10)), "ftp://h.example/p"]) for _ in range(12)]
+        text = " ".join(parts)
+        walls = [m.start() for m in secret_scan.BLANK_LINE.finditer(text)]
+        scope = lambda x: sum(w < x for w in walls)
+        ends = [m.span() for p in (secret_scan.IDENTIFIER, secret_scan.ENDPOINT) for m in p.finditer(text)]
+        want = []
+        for m in secret_scan.WEAK.finditer(text):
+            if secret_scan._mixed(m[0]) and not any(a < m.end() and b > m.start() for a, b in ends) and any(scope(a) == scope(m.start()) and a < m.end() + 100 and b > m.start() - 100 for a, b in ends):
+                want.append((m.start(), 3, m.end()))
+        assert secret_scan.linked_spans(text, secret_scan.base_spans(text), 100) == want
+
+
+# 4
+
+
+def test_rates_meet_targets(corpus, marks):
+    domains = mixing.labelled_domains(corpus, marks)
+    model = mixing.train(corpus, domains)
+    table = mixing.posterior_table(corpus, model)
+    rates = mixing.fit_rates(table, model.domains, {d: 1.0 for d in model.domains})
+    rows = table.toPandas()
+    p, n = np.array(rows["p"].tolist()), rows["n_tokens"].to_numpy()
+    rate = rates.points(p)[0]
+    assert (rate >= 0).all()
+    got = (rate * n) @ p
+    assert np.abs(got / rates.target - 1).max() < 0.01 and np.ptp(rates.target) < 1e-6 * rates.target.max()
+
+
+def test_gradients_against_one_machine(corpus, marks):
+    model = mixing.train(corpus, mixing.labelled_domains(corpus, marks))
+    table = mixing.posterior_table(corpus, model)
+    rates = mixing.fit_rates(table, model.domains, max_iterations=7, tolerance=0, min_rate=0.5)
+    rows = table.toPandas()
+    p, n = np.array(rows["p"].tolist(), float), rows["n_tokens"].to_numpy(float)
+    x = y = np.maximum(np.ones(len(n)), 0.5)
+    t = 1.0
+    for _ in rates.errors:
+        new = np.maximum(0.5, y - rates.step * (p / rates.target) @ ((y * n) @ p / rates.target - 1))
+        after = (1 + np.sqrt(1 + 4 * t * t)) / 2
+        y, x, t = new + (t - 1) / after * (new - x), new, after
+    assert np.allclose(rates.points(p)[0], x)
+
+
+def test_copies_follow_rates(corpus, marks):
+    domains = mixing.labelled_domains(corpus, marks)
+    want = {r.doc_id: r.copies for r in mixing.mix(corpus, domains, min_rate=1.0).collect()}
+    got = mixing.resampled(corpus, domains, min_rate=1.0)
+    assert Counter(r.doc_id for r in got.select("doc_id").collect()) == Counter(want) and min(want.values()) >= 1 and got.columns == corpus.columns
+
+
+# 5
+
+
+def shingle_sets(texts):
+    out = []
+    for t in texts:
+        w = re.findall(rb"[0-9a-z\x80-\xff]+", (t or "").lower().encode())
+        out.append(Counter(zip(*(w[i:] for i in range(5)))) if len(w) >= 5 else Counter([tuple(w)] if w else []))
+    return out
+
+
+def test_weighted_similarities(corpus):
+    texts = [r.text for r in corpus.orderBy("doc_id").limit(120).collect()]
+    flat = np.ones(1 << near_dedup.DF_BITS, np.float32)
+    sets = shingle_sets(texts)
+    got = near_dedup.similarities([t.lower().encode() for t in texts], flat)
+    for i in range(0, 120, 3):
+        for j in range(i):
+            both, some = sum((sets[i] & sets[j]).values()), sum((sets[i] | sets[j]).values())
+            assert got[i, j] == pytest.approx(both / some if some else 0)
+
+
+def test_sampling_collides_as_often_as_sets_are_similar():
+    rng = np.random.default_rng(2)
+    shared, own = rng.integers(1, 1 << 63, 800).astype(np.uint64), rng.integers(1, 1 << 63, 400).astype(np.uint64)
+    a, b = np.concatenate((shared, own[:200])), np.concatenate((shared, own[200:]))
+    idf = lambda h: np.log(1 + (h >> np.uint64(60)).astype(float) / 8).astype(np.float32)
+    w = [np.exp(idf(x)) for x in (a, b)]
+    want = np.exp(idf(shared)).sum() / (w[0].sum() + w[1].sum() - np.exp(idf(shared)).sum())
+    same = []
+    for salt in range(40):
+        mult = np.uint64(int(rng.integers(1, 1 << 63)) | 1)
+        tags = near_dedup.consistent_samples(np.concatenate((a * mult, b * mult)), np.concatenate((idf(a), idf(b))), np.array([0, len(a)]))
+        same.append((tags[0] == tags[1]).mean())
+    assert np.mean(same) == pytest.approx(want, abs=0.04)
+
+
+def classes_by_brute_force(docs):
+    rows = docs.select("doc_id", "text").collect()
+    s = near_dedup.similarities([(r.text or "").lower().encode() for r in rows], near_dedup.idf_table(docs))
+    parent = list(range(len(rows)))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i, j in np.argwhere(np.triu(s >= 0.8 - 1e-9, 1)):
+        parent[find(i)] = find(j)
+    first = {}
+    for i, r in enumerate(rows):
+        parent[find(i)] = find(first.setdefault(r.text or "", i))
+    out = defaultdict(set)
+    for i, r in enumerate(rows):
+        out[find(i)].add(r.doc_id)
+    return {frozenset(x) for x in out.values()}
+
+
+def test_near_classes_by_brute_force(corpus):
+    got = defaultdict(set)
+    for r in near_dedup.near_duplicates(corpus).collect():
+        got[r.class_id].add(r.doc_id)
+    assert all(k == min(v) for k, v in got.items())
+    assert {frozenset(x) for x in got.values()} == classes_by_brute_force(corpus)
+
+
+def test_large_group_over_several_blocks(spark, monkeypatch):
+    monkeypatch.setattr(near_dedup, "BLOCK", 8)
+    rng = np.random.default_rng(3)
+    base = [f"w{rng.integers(10**6)}" for _ in range(120)]
+    texts = []
+    for i in range(70):
+        t = list(base)
+        for _ in range(i % 6):
+            t[int(rng.integers(120))] = f"x{rng.integers(10**6)}"
+        texts.append(" ".join(t))
+    texts += [" ".join(f"y{rng.integers(10**6)}" for _ in range(100)) for _ in range(10)]
+    docs = frame(spark, texts)
+    got = defaultdict(set)
+    for r in near_dedup.near_duplicates(docs).collect():
+        got[r.class_id].add(r.doc_id)
+    assert {frozenset(x) for x in got.values()} == classes_by_brute_force(docs)
+
+
+def test_near_stage_keeps_one_of_each_class(corpus):
+    plain = exact_dedup.keep_one(corpus)
+    kept = {r.doc_id for r in near_dedup.keep_one(plain).collect()}
+    assert kept == {r.class_id for r in near_dedup.near_duplicates(plain).collect()}
+
+
+def test_components(spark):
+    edges = [(f"n{i:03}", f"n{i + 1:03}") for i in range(60)] + [("z1", f"y{i}") for i in range(30)] + [("q", "q")]
+    got = {r.node: r.root for r in components.components(spark.createDataFrame(edges, "a string, b string")).collect()}
+    assert got == {f"n{i:03}": "n000" for i in range(61)} | {"z1": "y0"} | {f"y{i}": "y0" for i in range(30)}
+
+
+# 6
+
+
+def test_line_windows(spark):
+    texts = ["a\nb\nc\nd\ne", "x\n a\nb \nc\nd\ny", "a\nb\nq", "\n\n\n\n", "1\n2\n3\n1\n2\n3", "r\nr\nr\nr\nr"]
+    got = {r.doc_id: r for r in line_dedup.dedup_lines(frame(spark, texts)).collect()}
+    assert [(got[i].n_removed, got[i].removed, got[i].text) for i in range(6)] == [(0, "", texts[0]), (4, "1-4", "x\ny"), (0, "", texts[2]), (0, "", texts[3]), (3, "3-5", "1\n2\n3"), (4, "1-4", "r")]
+
+
+def test_line_dedup_stays_in_the_jvm(corpus):
+    for df in (line_dedup.dedup_lines(corpus), license_scan.scan(corpus)):
+        assert not re.search("Python|Pandas|Arrow", df._jdf.queryExecution().executedPlan().toString())
+
+
+# 7
+
+
+def test_quality_counts_by_brute_force(spark, corpus):
+    texts = {r.doc_id: r.text for r in corpus.collect()}
+    for r in quality.rules(corpus).collect():
+        t = texts[r.doc_id]
+        w = re.findall(r"[^\x20\x09-\x0D]+", t)
+        windows = Counter(tuple(w[i : i + 5]) for i in range(len(w) - 4))
+        again = {i + k for i in range(len(w) - 4) if windows[tuple(w[i : i + 5])] > 1 for k in range(5)}
+        lines, dup, seen = t.split("\n"), 0, set()
+        for x in lines:
+            if re.search(r"[^\x20\x09-\x0D]", x):
+                dup += x in seen
+                seen.add(x)
+        assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == (len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", t)), dup, len(again))
+        assert r.base_failed == (len(w) < 10 or 100 * len(again) > 20 * len(w)) and (not r.base_failed or not r.kept)
+
+
+def test_distance():
+    p, q = np.array([1.0, 0, 3]), np.array([1.0, 1, 0])
+    a, b = p / p.sum(), q / q.sum()
+    m = (a + b) / 2
+    kl = lambda x: sum(u * np.log2(u / v) for u, v in zip(x, m) if u)
+    assert quality.distance(p, q) == pytest.approx(np.sqrt((kl(a) + kl(b)) / 2))
+    assert quality.distance(p, 2 * p) == 0 and quality.distance(np.array([1.0, 0]), np.array([0, 1.0])) == 1
+
+
+def test_good_documents_are_kept_and_symbol_soup_is_not(spark, corpus, marks):
+    got = quality.rules(corpus).join(marks, "doc_id").groupBy("quality").agg(F.avg(F.col("kept").cast("int")).alias("k")).collect()
+    share = {r.quality: r.k for r in got}
+    assert share[1] > 0.95 and share[0] < 0.5
+
+
+# 8
+
+
+def test_packing_round_trip(spark, corpus, odd):
+    from tokenizers import Tokenizer
+
+    import public_tokenizers
+
+    slow = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    docs = corpus.unionByName(frame(spark, ODD, first=50_000))
+    ids = {r.doc_id: [*slow.encode(r.text or "", add_special_tokens=False).ids, 0] for r in docs.select("doc_id", "text").collect()}
+    pieces, sequences = defaultdict(list), defaultdict(list)
+    for r in packing.pack(docs).collect():
+        part = np.array(ids[r.doc_id][r.start : r.start + r.length], "<u4")
+        assert len(part) == r.length and zlib.crc32(part.tobytes()) == r.ids_crc32 and r.doc_tokens == len(ids[r.doc_id])
+        pieces[r.doc_id].append((r.start, r.length))
+        sequences[r.sequence_id].append((r.offset, r.length))
+    assert {k: sum(n for _, n in v) for k, v in pieces.items()} == {k: len(v) for k, v in ids.items()}
+    for parts in (*pieces.values(), *sequences.values()):
+        at = 0
+        for start, n in sorted(parts):
+            assert start == at
+            at += n
+    totals = [sum(n for _, n in v) for v in sequences.values()]
+    assert all(n <= 1024 and n & (n - 1) == 0 for n in totals)
+
+
+def test_longest_go_to_the_cheapest_sequence_with_room():
+    got = packing.assign([600, 500, 400, 300, 248], 1024, 1.0, 0.001)
+    assert got == [(0, 0, 600, 0), (1, 0, 500, 1), (2, 0, 400, 1), (3, 0, 300, 0), (4, 0, 124, 0), (4, 124, 124, 1)]
+    assert list(packing.capacities(1024 + 700, 1024)) == [1024, 512, 128, 32, 16, 8, 4]
+
+
+# 9
+
+
+def test_exact_index(spark):
+    docs = spark.createDataFrame([(1, "a"), (5, "a"), (3, "b"), (None, "b"), (7, None), (2, ""), (None, "n"), (None, "n"), (9, "r"), (9, "r")], "doc_id long, text string")
+    got = exact_dedup.dedup(docs).collect()
+    assert len(got) == 10
+    by = defaultdict(list)
+    for r in got:
+        by[r.text_sha256].append(r)
+    for text, keep, size in (("a", 5, 2), ("b", 3, 2), ("", 7, 2), ("n", None, 2), ("r", 9, 2)):
+        rows = by[hashlib.sha256(text.encode()).hexdigest()]
+        assert {(r.keep_id, r.group_size) for r in rows} == {(keep, size)} and sum(r.kept for r in rows) == 1
+    assert exact_dedup.keep_one(docs).count() == 5
+
+
+def test_chains_of_colliding_hashes():
+    import pyarrow as pa
+
+    batch = pa.RecordBatch.from_pydict({"bucket": pa.array([0] * 4, pa.int32()), "h": [7, 7, 7, 8], "text": ["x", "y", "x", "x"], "keep_id": [1, 2, 3, 4], "n": [1] * 4, "n_keep": [1] * 4})
+    rows = [r for b in exact_dedup._own(iter([batch])) for r in b.to_pylist()]
+    assert [(r["h"], r["slot"], r["keep_id"], r["group_size"]) for r in rows] == [(7, 0, 3, 2), (7, 1, 2, 1), (8, 0, 4, 1)]
+
+
+def test_directory_doubling():
+    sizes = {0: 5, 1: 5, 2: 5, 3: 5, 8: 100}
+    directory = exact_dedup.grow_directory(sizes, 8, 4)
+    assert len(directory) == 16 and len({directory[i] for i in range(4)}) == 4 and len(set(directory[10:])) <= 3
+    held = defaultdict(int)
+    for p, b in enumerate(directory):
+        held[b] += sizes.get(p, 0)
+    assert sorted(held.values())[-2] <= 8 and directory.count(directory[8]) == 1
+    assert set(exact_dedup.grow_directory(sizes, 1000, 4)) == {0}
+
+
+def test_small_buckets_give_the_same_groups(corpus):
+    a, b = (sorted(map(tuple, exact_dedup.dedup(corpus, bucket_bytes=n).collect())) for n in (10_000, 1 << 30))
+    assert a == b
+
+
+# 10
+
+
+def test_language_of_held_out_documents(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    got = language_id.identify(docs).join(docs.select("doc_id", "lang"), "doc_id").where("held_out").collect()
+    assert np.mean([r.lang == r.lang_pred for r in got]) > 0.97
+
+
+def test_undetermined(spark, corpus):
+    docs = corpus.unionByName(frame(spark, [None, "", "123 !?", "the and of is to"], first=90_000))
+    got = {r.doc_id: r for r in language_id.identify(docs).where("doc_id >= 90000").collect()}
+    assert [got[90_000 + i].lang_pred for i in range(4)] == ["und", "und", "und", "en"] and got[90_000].score == 0
+
+
+def test_held_out_rule(spark):
+    df = spark.createDataFrame([(i,) for i in range(200)], "doc_id long")
+    assert [r.h for r in df.select(common.held_out().alias("h")).collect()] == [zlib.crc32(str(i).encode()) % 3 == 1 for i in range(200)]
