@@ -35,7 +35,7 @@ SHINGLE = 5
 BANDS, BAND_ROWS = 13, 4
 DF_BITS = 18
 DF_BLOCK = 4096
-BLOCK, BLOCK_BYTES = 512, 16 << 20
+BLOCK, BLOCK_BYTES = 512, 4 << 20
 #: Odd multipliers of the places in a shingle.
 PLACES = [U(int(x) | 1) for x in np.random.default_rng(11).integers(1, 1 << 63, SHINGLE)]
 
@@ -69,16 +69,22 @@ def shingles(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return owner[at], h[at], np.diff(np.concatenate((at, [len(h)])))
 
 
-def _sliced(part: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
-    texts = [t.lower().encode("utf-8", "surrogatepass") for t in part.column("text").to_pylist()]
+def _cuts(texts: list[bytes]) -> Iterator[tuple[int, int]]:
+    """Ranges of texts of at most SLICE_BYTES, or of one text."""
     lo = total = 0
     for i, t in enumerate(texts):
         if i > lo and total + len(t) > SLICE_BYTES:
-            yield part.slice(lo, i - lo), texts[lo:i]
+            yield lo, i
             lo, total = i, 0
         total += len(t)
     if lo < len(texts):
-        yield part.slice(lo), texts[lo:]
+        yield lo, len(texts)
+
+
+def _sliced(part: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
+    texts = [t.lower().encode("utf-8", "surrogatepass") for t in part.column("text").to_pylist()]
+    for lo, hi in _cuts(texts):
+        yield part.slice(lo, hi - lo), texts[lo:hi]
 
 
 def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -193,7 +199,8 @@ def _signatures(batches: Iterator[pa.RecordBatch], idf: np.ndarray) -> Iterator[
 
 def _tokens(texts: list[bytes], idf: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Text number, token and weight; a shingle that stands n times is n tokens, so that weighted sets become plain ones."""
-    owner, h, tf = shingles(texts)
+    parts = [(lo, *shingles(texts[lo:hi])) for lo, hi in _cuts(texts)]
+    owner, h, tf = (np.concatenate(x) for x in zip(*((lo + o, h, n) for lo, o, h, n in parts)))
     repeat = np.arange(tf.sum()) - np.repeat(np.cumsum(tf) - tf, tf)
     w = idf[(h >> U(64 - DF_BITS)).astype(np.int64)].astype(np.float64)
     return np.repeat(owner, tf), np.repeat(h, tf) + repeat.astype(U) * U(wordhash.BASE), np.repeat(w, tf)
