@@ -310,9 +310,10 @@ def near_classes(docs: DataFrame, threshold: float = 0.8, blend: float = 0.25) -
     members = banded.join(buckets, "key").select("key", "blocks", "node", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("block"), (order == F.col("lead")).alias("leads"))
     members = common.written(members, "members")
 
-    # the texts of all members, one row each; equal texts are combined before they are shuffled
+    # the texts of all members, one row each; equal texts are combined before they are shuffled (a semi join would be
+    # pushed below the aggregate, where rows of equal texts meet in one task)
     texts = base.groupBy("node").agg(F.first("text").alias("text"))
-    texts = common.written(texts.join(members.select("node").distinct(), "node", "left_semi"), "texts")
+    texts = common.written(texts.join(members.select("node").distinct(), "node"), "texts")
     own = F.when(F.col("leads"), F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array("block"))
     first = members.select("key", F.explode(own).alias("i"), "node").select("key", "i", F.col("i").alias("j"), "node", F.col("node").alias("root"))
     links = common.written(_links(first, texts, idf, threshold), "links")
@@ -337,8 +338,11 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, blend: float = 0.25
     near = near_classes(docs, threshold, blend)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), node_of(common.whole_text()).alias("node"))
     rows = rows.join(near, "node", "left").select("doc_id", F.coalesce("root", "node").alias("root"))
-    classes = rows.groupBy("root").agg(F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("class_size"))
-    return rows.join(classes, "root").select("doc_id", "class_id", "class_size", F.col("doc_id").eqNullSafe(F.col("class_id")).alias("kept"))
+    classes = rows.groupBy("root").agg(F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("class_size")).where("class_size > 1")
+    # written, so that Spark can split the rows of a large class in this join
+    rows = rows.join(common.written(classes, "classes"), "root", "left")
+    class_id = F.when(F.isnull("class_size"), F.col("doc_id")).otherwise(F.col("class_id"))
+    return rows.select("doc_id", class_id.alias("class_id"), F.coalesce("class_size", F.lit(1)).alias("class_size"), F.col("doc_id").eqNullSafe(class_id).alias("kept"))
 
 
 def keep_one(docs: DataFrame, threshold: float = 0.8, blend: float = 0.25) -> DataFrame:
