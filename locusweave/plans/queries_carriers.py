@@ -554,7 +554,7 @@ def list_minus_list(fx):
     return coverage.list_minus_list(fx.snp_list.where("position % 2 = 0").select(*rows.columns), fx.snp_list.where("position % 3 = 0").select(*rows.columns))
 
 
-_LABELS = "SELECT 'GBA (N' || CAST(k % 400 AS VARCHAR) || ')' AS label, 'chr1:' || CAST(k % 300 AS VARCHAR) AS hg38, k AS rank FROM (SELECT p_partkey AS k FROM part WHERE p_partkey <= 1000) t"
+_LABELS = "SELECT 'GBA (N' || CAST(k % 600 AS VARCHAR) || ')' AS label, 'chr1:' || CAST(CASE WHEN k % 7 = 0 THEN k % 299 ELSE k % 300 END AS VARCHAR) AS hg38, k AS rank FROM (SELECT p_partkey AS k FROM part WHERE p_partkey <= 1000) t"
 
 
 @query("variant_list_curation", f"""WITH l AS ({_LABELS}), p AS (SELECT regexp_extract(label, '^(\\S+) \\((.*)\\)$', 2) AS name, hg38, rank FROM l),
@@ -562,7 +562,7 @@ bad AS (SELECT name FROM p GROUP BY name HAVING count(DISTINCT hg38) > 1), k AS
 SELECT hg38, 'GBA1' AS locus, list(name ORDER BY rank)[1] AS name, list(name ORDER BY rank)[2] AS alternative_name FROM k GROUP BY hg38""")
 def variant_list_curation(fx):
     k = F.col("p_partkey")
-    labels = fx.table("part").where("p_partkey <= 1000").select(F.concat(F.lit("GBA (N"), (k % 400).cast("string"), F.lit(")")).alias("label"), F.concat(F.lit("chr1:"), (k % 300).cast("string")).alias("hg38"), k.alias("rank"))
+    labels = fx.table("part").where("p_partkey <= 1000").select(F.concat(F.lit("GBA (N"), (k % 600).cast("string"), F.lit(")")).alias("label"), F.concat(F.lit("chr1:"), F.when(k % 7 == 0, k % 299).otherwise(k % 300).cast("string")).alias("hg38"), k.alias("rank"))
     return coverage.curate(labels)
 
 
