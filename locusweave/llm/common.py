@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Python turns an Arrow batch into strings in slices of this many code units of text, so that a batch of long texts stays small.
-SLICE_CHARS = 4 << 20
+SLICE_CHARS = 1 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -45,6 +45,19 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+#: Bytes of an Arrow batch that goes to a Python worker.
+BATCH_BYTES = 8 << 20
+
+
+def small_batches(df: DataFrame) -> DataFrame:
+    """``df``, after bounding its session's Arrow batches by bytes, so that long texts don't make large batches. A smaller bound stays."""
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = conf.get(key, None) or ""
+    if not (now.isdigit() and 0 < int(now) <= BATCH_BYTES):
+        conf.set(key, str(BATCH_BYTES))
+    return df
+
+
 def whole_text(column: str | Column = "text") -> Column:
     """The text, null taken as empty."""
     return F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit(""))

@@ -30,7 +30,7 @@ from . import common
 ENTRY = "h long, text string, keep_id long, n long, n_keep long"
 INDEX = "bucket int, h long, slot int, text_sha256 string, keep_id long, group_size long, n_keep long"
 #: Text bytes that a map task gathers before it passes its entries on.
-FLUSH_BYTES = 48 << 20
+FLUSH_BYTES = 16 << 20
 
 
 def _later(a: int | None, b: int | None) -> int | None:
@@ -139,7 +139,7 @@ def build_index(docs: DataFrame, bucket_bytes: int = 16 << 20, max_depth: int =
     both the text and ``keep_id``.
     """
     spark = docs.sparkSession
-    base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), common.whole_text().alias("text")).withColumn("h", F.xxhash64("text"))
+    base = common.small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), common.whole_text().alias("text")).withColumn("h", F.xxhash64("text"))
     prefix = F.shiftrightunsigned("h", 64 - max_depth).cast("int")
     keys = base.groupBy("h").agg(F.max(F.octet_length("text")).alias("size"))
     histogram = keys.groupBy(prefix.alias("prefix")).agg(F.sum("size").alias("bytes")).collect()  # at most 2 ** max_depth rows

@@ -161,7 +161,7 @@ def _predict(batches: Iterator[pa.RecordBatch], model: Model | None) -> Iterator
 
 def identify(docs: DataFrame, per_lang_rows: int = 1000, max_langs: int = 64) -> DataFrame:
     """One row per input row: doc_id, held_out, lang_pred, score (calibrated probability), rejected."""
-    model = train(sample(docs, per_lang_rows, max_langs))
+    model = train(sample(common.small_batches(docs), per_lang_rows, max_langs))
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), common.held_out().alias("held_out"), common.whole_text().alias("text"))
     return base.mapInArrow(lambda b: _predict(b, model), OUT)
 

@@ -65,6 +65,7 @@ def _featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def train(docs: DataFrame, labelled: DataFrame, per_domain_rows: int = 600, max_domains: int = 16, epochs: int = 200) -> Classifier:
     """``labelled``: doc_id, domain. Softmax regression by full gradient steps with momentum, on about per_domain_rows * max_domains rows at most."""
+    common.small_batches(docs)
     known = labelled.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("domain").cast("string").alias("domain")).where("doc_id IS NOT NULL AND domain IS NOT NULL")
     known = known.groupBy("doc_id").agg(F.min("domain").alias("domain"))
     counts = known.groupBy("domain").count().orderBy(F.desc("count"), "domain").limit(max_domains).collect()
@@ -221,7 +222,8 @@ def resampled(docs: DataFrame, labelled: DataFrame, **options: object) -> DataFr
         return pd.Series(out)
 
     n = F.pandas_udf(copies, "long")(common.whole_text(), _uniform())
-    repeated = docs.withColumn("__n", n).where("__n > 0").withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__n"))))
+    # no filter on the number: Spark would run the UDF once more for it
+    repeated = docs.withColumn("__n", n).withColumn("__copy", F.explode(F.array_repeat(F.lit(1), F.col("__n").cast("int"))))
     return repeated.select(*(F.col(f"`{c}`") for c in docs.columns))
 
 

@@ -294,7 +294,7 @@ def _links(rows: DataFrame, texts: DataFrame, idf: np.ndarray, threshold: float)
 
 def near_classes(docs: DataFrame, threshold: float = 0.8, blend: float = 0.25) -> DataFrame:
     """node, root of every text that is near to a different text; texts of one root are one class."""
-    base = docs.select(common.whole_text().alias("text")).select(node_of(F.col("text")).alias("node"), "text")
+    base = common.small_batches(docs).select(common.whole_text().alias("text")).select(node_of(F.col("text")).alias("node"), "text")
     idf = idf_table(docs, blend)
     signatures = base.mapInArrow(lambda b: _signatures(b, idf), "node binary, size long, bands array<long>")
     signatures = common.written(signatures.dropDuplicates(["node"]), "signatures")

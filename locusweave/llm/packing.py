@@ -38,10 +38,9 @@ def encoder(tokenizer_file: str | None = None, ranks_file: str | None = None) ->
     import tiktoken
     from tokenizers import Tokenizer
 
-    slow = Tokenizer.from_file(tokenizer_file or public_tokenizers.path("byte_bpe_50k.json"))
-    slow.encode_special_tokens = True
     with open(ranks_file or public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb") as lines:
         ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
+    slow: list[Tokenizer] = []
     fast = tiktoken.Encoding("byte_bpe", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
     def encode(text: str) -> list[int]:
@@ -50,7 +49,10 @@ def encoder(tokenizer_file: str | None = None, ranks_file: str | None = None) ->
         except BaseException as error:  # a panic of its regular expressions isn't an Exception
             if not isinstance(error, Exception) and type(error).__name__ != "PanicException":
                 raise
-            return slow.encode(text, add_special_tokens=False).ids
+            if not slow:
+                slow.append(Tokenizer.from_file(tokenizer_file or public_tokenizers.path("byte_bpe_50k.json")))
+                slow[0].encode_special_tokens = True
+            return slow[0].encode(text, add_special_tokens=False).ids
 
     return encode
 
@@ -125,7 +127,7 @@ def _pack(batches: Iterator[pa.RecordBatch], size: int, group_tokens: int, linea
 
 def pack(docs: DataFrame, size: int = 1024, group_tokens: int = 1 << 20, linear: float = 1.0, quadratic: float = 1 / 2048, tokenizer_file: str | None = None, ranks_file: str | None = None) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset."""
-    base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), common.whole_text().alias("text"))
+    base = common.small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), common.whole_text().alias("text"))
     return base.mapInArrow(lambda b: _pack(b, size, group_tokens, linear, quadratic, (tokenizer_file, ranks_file)), OUT)
 
 

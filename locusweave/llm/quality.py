@@ -117,7 +117,7 @@ def _references(batches: Iterator[pa.RecordBatch], min_chars: int, min_words: in
 
 def references(docs: DataFrame, min_chars: int = 200, min_words: int = 30) -> tuple[np.ndarray, np.ndarray]:
     """Class and word histograms, one row per language group that has documents long enough."""
-    base = docs.select("lang", common.whole_text().alias("text"))
+    base = common.small_batches(docs).select("lang", common.whole_text().alias("text"))
     sums = base.mapInArrow(lambda b: _references(b, min_chars, min_words), "lang int, bin int, share double").groupBy("lang", "bin").agg(F.sum("share").alias("share"))
     table = np.zeros((len(LANGS), CLASSES + len(WORDS) + 1))
     for r in sums.collect():  # at most one row per group and bin

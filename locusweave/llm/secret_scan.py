@@ -118,7 +118,7 @@ def _scan(batches: Iterator[pa.RecordBatch], reach: int) -> Iterator[pa.RecordBa
 
 def scan(docs: DataFrame, reach: int = 200) -> DataFrame:
     """One row per input row; ``spans`` holds base and linked spans as ``kind:start:end``, by start."""
-    base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), common.whole_text().alias("text"))
+    base = common.small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), common.whole_text().alias("text"))
     return base.mapInArrow(lambda batches: _scan(batches, reach), OUT)
 
 

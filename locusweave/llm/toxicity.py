@@ -74,7 +74,7 @@ def _trigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def language_model(docs: DataFrame) -> np.ndarray:
     """Log probability of a symbol after two others, interpolated; counts are over all documents."""
-    rows = docs.select(common.whole_text().alias("text")).mapInArrow(_trigrams, "gram int, n long").groupBy("gram").agg(F.sum("n").alias("n")).toPandas()
+    rows = common.small_batches(docs).select(common.whole_text().alias("text")).mapInArrow(_trigrams, "gram int, n long").groupBy("gram").agg(F.sum("n").alias("n")).toPandas()
     n = np.zeros(SYMBOLS**3)
     n[rows["gram"].to_numpy(np.int64)] = rows["n"].to_numpy(np.float64)
     n = n.reshape(SYMBOLS, SYMBOLS, SYMBOLS)
@@ -233,7 +233,7 @@ class Model:
 def _sliced(texts: list[str]) -> Iterator[slice]:
     lo = total = 0
     for i, t in enumerate(texts):
-        if i > lo and total + len(t) > wordhash.SLICE_BYTES // 2:
+        if i > lo and total + len(t) > wordhash.SLICE_BYTES:
             yield slice(lo, i)
             lo, total = i, 0
         total += len(t)

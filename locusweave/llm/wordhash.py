@@ -7,7 +7,7 @@ from dataclasses import dataclass
 import numpy as np
 
 #: Texts are hashed in slices of about this many bytes, which keeps numpy's temporaries in the cache.
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
 U = np.uint64
 BASE = 0x9E3779B97F4A7C15
 _TABLES: dict[str, np.ndarray] = {}
