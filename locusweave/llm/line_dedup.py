@@ -24,24 +24,24 @@ def _lines(text: Column) -> Column:
     return F.split(text, "\n")
 
 
-def _windows(lines: Column, size: int) -> Column:
-    """Key of the window that starts at each line; null where all its lines are blank."""
-    keys = F.transform(lines, lambda x: F.trim(x, F.lit(BLANK)))
-    starts = F.sequence(F.lit(1), F.size(lines) - (size - 1))
+def _windows(keys: Column, size: int) -> Column:
+    """Key of the window that starts at each line; null where all its lines are blank. ``keys`` is a column, or each window would trim all lines anew."""
+    starts = F.sequence(F.lit(1), F.size(keys) - (size - 1))
 
     def key(i: Column) -> Column:
         parts = [F.element_at(keys, i + k) for k in range(size)]
         some = F.concat(*parts) != ""
         return F.when(some, F.struct(F.xxhash64(*parts).alias("a"), F.xxhash64(F.lit("second"), *parts).alias("b")))
 
-    return F.when(F.size(lines) >= size, F.transform(starts, key))
+    return F.when(F.size(keys) >= size, F.transform(starts, key))
 
 
 def repeated_windows(docs: DataFrame, window_lines: int = 3) -> DataFrame:
     """Places of repeated windows other than the first: doc_id, th (hash of the text), pos (0-based line)."""
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), common.whole_text().alias("text"))
     lines = base.select("doc_id", F.xxhash64("text").alias("th"), _lines(F.col("text")).alias("lines")).where(F.size("lines") >= window_lines)
-    places = lines.select("doc_id", "th", F.posexplode(_windows(F.col("lines"), window_lines)).alias("pos", "w")).where("w IS NOT NULL")
+    trimmed = lines.select("doc_id", "th", F.transform("lines", lambda x: F.trim(x, F.lit(BLANK))).alias("keys"))
+    places = trimmed.select("doc_id", "th", F.posexplode(_windows(F.col("keys"), window_lines)).alias("pos", "w")).where("w IS NOT NULL")
     places = places.select("doc_id", "th", "pos", F.col("w.a").alias("a"), F.col("w.b").alias("b"))
     place = F.struct("doc_id", "th", "pos")
     again = places.groupBy("a", "b").agg(F.min(place).alias("first"), F.max(place).alias("last")).where(~F.col("first").eqNullSafe(F.col("last")))
