@@ -2,8 +2,8 @@
 
 Strong patterns (assignments, access keys, long hex) are reported by themselves. Weak candidates - long tokens of mixed
 characters - are reported only where a complementary part co-occurs: an interval join links them to access identifiers
-and endpoints whose intervals lie within ``reach`` code points inside the same scope. A scope is a block of lines without a blank line
-between. The intervals of a text are joined by a sweep over their sorted ends, so a text with many parts costs n log n.
+and endpoints that lie anywhere in the same scope and don't overlap them; a given ``reach`` also bounds the distance in code points. A scope is
+a block of lines without a blank line between. Parts are found by bisection of their sorted starts and ends, so a text with many parts costs n log n.
 Texts are scanned one by one inside Arrow batches; no part leaves its row, so nothing is shuffled.
 
 Null text counts as empty: no spans. doc_id, null or repeated, is only passed on. An empty table gives an empty
@@ -15,7 +15,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
 from collections import Counter
 from collections.abc import Iterator
 
@@ -34,7 +34,8 @@ KINDS = ("assign", "access", "hex", "linked")
 
 IDENTIFIER = re.compile(r"""\b(?:user(?:name)?|login|account|client_?id|access_?key(?:_?id)?)["']?\x20*[:=]\x20*["']?([A-Za-z0-9@._-]{3,})""", re.ASCII | re.IGNORECASE)
 ENDPOINT = re.compile(r"\b[a-z][a-z0-9+.-]{1,15}://[^\s\"'<>]{4,}", re.ASCII)
-WEAK = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{20,}={0,2}(?![A-Za-z0-9+/_=-])")
+#: A value may stand straight after "=".
+WEAK = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}={0,2}(?![A-Za-z0-9+/_=-])")
 BLANK_LINE = re.compile(r"\n[ \t\r]*\n")
 
 OUT = "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string, n_linked long, score double"
@@ -60,19 +61,14 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(found)
 
 
-def linked_spans(text: str, base: list[tuple[int, int, int]], reach: int) -> list[tuple[int, int, int]]:
-    """Weak candidates outside the base spans that a complementary part lies near, in the same scope."""
+def linked_spans(text: str, base: list[tuple[int, int, int]], reach: int | None = None) -> list[tuple[int, int, int]]:
+    """Weak candidates outside the base spans that have a complementary part in the same scope, within ``reach`` if that is given."""
     parts = [(start, end) for start, kind, end in base if kind == 1]
     parts += [m.span() for m in ENDPOINT.finditer(text)] if "://" in text else []
     parts += [m.span() for m in IDENTIFIER.finditer(text)] if "=" in text or ":" in text else []
     if not parts:
         return []
-    parts.sort()
-    starts = [p[0] for p in parts]
-    ends, furthest = [], -1  # the furthest end among the parts up to each one
-    for p in parts:
-        furthest = max(furthest, p[1])
-        ends.append(furthest)
+    starts, ends = sorted(p[0] for p in parts), sorted(p[1] for p in parts)
     walls = [m.start() for m in BLANK_LINE.finditer(text)]
     taken = sorted([(s, e) for s, _, e in base] + [m.span() for m in ENDPOINT.finditer(text)])
     taken_starts = [t[0] for t in taken]
@@ -87,11 +83,13 @@ def linked_spans(text: str, base: list[tuple[int, int, int]], reach: int) -> lis
         if i and taken_ends[i - 1] > start or not _mixed(m[0]):
             continue
         k = bisect_left(walls, start)
-        lo = max(start - reach, walls[k - 1] if k else 0)
-        hi = min(end + reach, walls[k] if k < len(walls) else len(text))
-        # joined if a part overlaps [lo, hi): among the parts that start before hi, one ends after lo
-        i = bisect_left(starts, hi)
-        if i and ends[i - 1] > lo:
+        lo = walls[k - 1] if k else 0
+        hi = walls[k] if k < len(walls) else len(text)
+        if reach is not None:
+            lo, hi = max(start - reach, lo), min(end + reach, hi)
+        # joined if a part ends after lo and not after the candidate's start, or starts before hi and not before its end
+        i, j = bisect_right(ends, start), bisect_left(starts, end)
+        if i and ends[i - 1] > lo or j < len(starts) and starts[j] < hi:
             found.append((start, 3, end))
     return found
 
@@ -100,7 +98,7 @@ def _joined(spans: list[tuple[int, int, int]]) -> str:
     return ",".join(f"{KINDS[k]}:{s}:{e}" for s, k, e in spans)
 
 
-def _scan(batches: Iterator[pa.RecordBatch], reach: int) -> Iterator[pa.RecordBatch]:
+def _scan(batches: Iterator[pa.RecordBatch], reach: int | None) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part in common.slices(batch):
             rows = []
@@ -116,7 +114,7 @@ def _scan(batches: Iterator[pa.RecordBatch], reach: int) -> Iterator[pa.RecordBa
             )
 
 
-def scan(docs: DataFrame, reach: int = 200) -> DataFrame:
+def scan(docs: DataFrame, reach: int | None = None) -> DataFrame:
     """One row per input row; ``spans`` holds base and linked spans as ``kind:start:end``, by start."""
     base = common.small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), common.whole_text().alias("text"))
     return base.mapInArrow(lambda batches: _scan(batches, reach), OUT)
