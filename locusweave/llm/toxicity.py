@@ -4,7 +4,7 @@
    (numpy per batch, one sum in Spark). A model has 64 symbols, so at most 64 ** 3 counts at any input size.
 2. Restoring. A token that may be disguised - leetspeak or marks inside a word, letters spaced out, letters repeated three times or
    more - spans a lattice: a symbol may be the letter it looks like, a mark to be left out, or a boundary; a run may be one or two letters; a space
-   may be left out. Viterbi decoding finds the path with the best channel and language model probability. A token with one path is
+   may be left out. A token may touch quotes and punctuation, end in a look-alike, and mix disguises; a doubled letter alone is no disguise. Viterbi decoding finds the path with the best channel and language model probability. A token with one path is
    itself, so only tokens with a choice are decoded. Whole texts are restored.
 3. Score. A word's evidence is the lower bound of the log-odds (by document) of the word and of its first four and five bytes among labelled
    documents. A text's score is a logistic of its strongest evidence. Lexicon and logistic are fitted on at most about ``max_labelled`` labelled
@@ -33,16 +33,20 @@ from . import common, ngrams, wordhash
 #: What a character may stand for.
 LEET = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "*": "aeiou", "#": "h"}
 #: Costs in nats of the channel: a look-alike, a mark left out (cheap if it looks like no letter), a boundary put for a mark, letters of a run left
-#: out, the space between spaced letters kept. Leaving out must cost more than a letter does under the model, or short outputs win.
-LOOK, DROP, DROP_LOOK, BREAK, RUN, KEEP = 1.0, 0.5, 9.0, 7.0, 0.5, 4.0
+#: out, the space between spaced letters kept, one letter of two left out, punctuation that looks like a letter left out before and after a word. Leaving out must cost more than a letter does under the model, or short outputs win.
+LOOK, DROP, DROP_LOOK, BREAK, RUN, KEEP, DOUBLE, HEAD, TAIL = 1.0, 0.5, 9.0, 7.0, 0.5, 4.0, 3.0, 4.0, 2.0
+#: Look-alikes that are punctuation at a word's edge.
+WEAK = "!|+(*"
 SYMBOLS = 64
 
 WORD = re.compile(r"[^\W\d_]+")
-#: A word with marks or digits inside or before it.
-MARKED = re.compile(r"(?<![^\W\d_])[^\W\d_]+(?:[^\w\s]|[\d_])+[^\W\d_]\S*|(?<!\S)[@$0-9!|+(*]+[^\W\d_]\S*")
-#: Single letters, each set apart by one mark or space.
-SPACED = re.compile(r"(?<!\S)(?:[^\W\d_][ .\-_*]){2,}[^\W\d_](?!\S)")
+#: A word with marks or digits inside, before or after it; after it only look-alikes.
+MARKED = re.compile(r"(?<![^\W\d_])[^\W\d_]+(?:(?:[^\w\s]|[\d_])+[^\W\d_]\S*|[@$0-9!|+(*#]+)|(?<![^\W_])(?<![@$!|+(*#])[@$0-9!|+(*#]+[^\W\d_]\S*")
+#: Single letters or look-alikes, set apart by marks or spaces.
+SPACED = re.compile(r"(?<![^\W_])(?:[^\W\d_]|[0-9@$!|+(#])(?:[\s.\-_*]+(?:[^\W\d_]|[0-9@$!|+(#])){2,}(?![^\W_])")
 RUNNING = re.compile(r"(.)\1{2,}")
+LOOKS = np.array(sorted(map(ord, LEET)))
+SEPARATORS = np.array([c for c in range(0x3001) if chr(c).isspace() or chr(c) in ".-_*"])
 #: Distinct tokens that a worker remembers before it starts anew.
 MEMORY = 200_000
 
@@ -104,27 +108,29 @@ class Decoder:
     def lattice(self, token: str, spaced: bool) -> list[list[tuple[str, float]]]:
         """For each position the texts that may stand there, with their costs."""
         out: list[list[tuple[str, float]]] = []
+        strong = [k for k, c in enumerate(token) if c.isalnum() or c in LEET and c not in WEAK] or [0]
         i = 0
         while i < len(token):
             c, j = token[i], i + 1
             while j < len(token) and token[j] == c:
                 j += 1
             run = j - i
+            alone = not spaced or c != "*" or 0 < i and j < len(token) and not token[i - 1].isalnum() and not token[j].isalnum()
             if c.isalpha():
-                out.append([(c * run, 0.0)] if run < 3 else [(c, RUN), (c + c, 2 * RUN)])
-            elif spaced:
+                out.append([(c, 0.0)] if run == 1 else [(c + c, 0.0), (c, DOUBLE)] if run == 2 else [(c, RUN), (c + c, 2 * RUN)])
+            elif spaced and (c not in LEET or not alone):
                 out.append([("", 0.0), (" ", KEEP)])
             else:
-                looks = [(x * min(run, 2), LOOK) for x in LEET.get(c, "")]
-                last = j == len(token)
-                if last and (run > 1 or not c.isdigit()):  # marks after a word are punctuation
-                    looks = []
-                out.append([*looks, ("", DROP_LOOK if looks else DROP), (" ", BREAK)])
+                one = LEET.get(c, "")
+                looks = [(x, LOOK) for x in one] if run == 1 else [(x + y, LOOK) for x in one for y in one] + [(x, LOOK + (DOUBLE if run == 2 else RUN)) for x in one]
+                edge = TAIL if i > strong[-1] else HEAD if i < strong[0] else DROP_LOOK
+                out.append([*looks, ("", (edge if c in WEAK else DROP_LOOK) if looks else DROP), (" ", BREAK)])
             i = j
         return out
 
     def decode(self, token: str, spaced: bool = False) -> str:
-        known = self.memory.get(token)
+        key = "\n" + token if spaced else token  # one token may be decoded both ways
+        known = self.memory.get(key)
         if known is not None:
             return known
         paths = {(0, 0): (0.0, None)}  # last two symbols: best log probability, path backwards as linked pairs
@@ -150,14 +156,14 @@ class Decoder:
         restored = "".join(reversed(parts)).strip()
         if len(self.memory) >= MEMORY:
             self.memory.clear()
-        self.memory[token] = restored
+        self.memory[key] = restored
         return restored
 
     def restore(self, text: str, spaced: bool = True, marked: bool = True, repeated: bool = True) -> str:
         """The lower-cased text with every disguised token decoded. The kinds of disguise that a text is known not to have may be left out."""
         text = text.lower()
         if spaced:
-            text = SPACED.sub(lambda m: self.decode(m[0], True), text)
+            text = SPACED.sub(lambda m: self.decode(m[0], True) if WORD.search(m[0]) else m[0], text)
         if marked:
             text = MARKED.sub(lambda m: self.decode(m[0]), text)
         if repeated:
@@ -170,15 +176,18 @@ class Decoder:
             return []
         codes, starts = ngrams.code_points(texts)
         letter = self.letters[codes]
-        space = (codes == 32) | (codes < 14)
+        look = np.isin(codes, LOOKS)
         marked, repeated, spaced = (np.zeros(len(codes), bool) for _ in range(3))
-        marked[:-1] = ~letter[:-1] & ~space[:-1] & letter[1:]  # a mark before a letter
+        marked[:-1] = letter[:-1] & look[1:]  # a look-alike after a letter
+        marked[:-1] |= ~letter[:-1] & letter[1:] & (codes[:-1] != 32) & (codes[:-1] > 13)  # a mark before a letter
         same = letter[:-1] & (codes[:-1] == codes[1:])
         repeated[:-2] = same[:-1] & same[1:]  # three of a letter
-        apart = letter[:-1] & ~letter[1:]
-        spaced[1:-4] = space[:-5] & apart[1:-3] & apart[3:-1] & letter[5:]  # three letters set apart
+        at = np.flatnonzero(~np.isin(codes, SEPARATORS))
+        unit = (letter | look)[at]
+        unit[:-2] &= unit[1:-1] & unit[2:]
+        apart = at[1:] - at[:-1] > 1
+        spaced[at[:-2][unit[:-2] & apart[:-1] & apart[1:]]] = True  # three units set apart
         kinds = [np.add.reduceat(x, starts, dtype=np.int64) > 0 for x in (spaced, marked, repeated)]
-        kinds[0] |= np.isin(starts, np.flatnonzero(apart[:-4] & apart[2:-2] & letter[4:-1])) if len(codes) > 5 else True  # at the very start
         return [(self.restore(t, *k) if any(k) else t.lower()).encode("utf-8", "surrogatepass") for t, *k in zip(texts, *(x.tolist() for x in kinds))]
 
 

@@ -99,6 +99,28 @@ def test_decoding(fitted, text, want):
     assert toxicity.Decoder(fitted[0]).restore(text) == want
 
 
+@pytest.mark.parametrize("text", ["you s c u m.", "s c u m, and", '"s c u m"', "(s c u m)", "s  c  u  m", "s. c. u. m", "s c u m!", "_s_c_u_m_", "s\tc\tu\tm", "5 c u m", '"5 c u m".', '"5cum"', "(5cum)", "5cum!", "5 c  u.m, you", '"$cum!"'])
+def test_disguises_next_to_punctuation(fitted, text):
+    d = toxicity.Decoder(fitted[0])
+    assert "scum" in re.findall("[a-z]+", d.restore(text))
+    assert d.restored([text, "plain", text]) == [d.restore(text).encode(), b"plain", d.restore(text).encode()]
+
+
+def test_look_alikes_at_the_end_and_runs_of_two():
+    d = toxicity.Decoder(np.zeros((64, 64, 64), np.float32))
+    texts = lambda t, spaced=False: [{x for x, _ in c} for c in d.lattice(t, spaced)]
+    assert texts("scu3")[-1] == {"e", "", " "} and texts("tr@$")[-1] == {"s", "", " "} and texts("naz!")[-1] == {"i", "", " "}
+    assert texts("mmx0")[0] == {"mm", "m"} and texts("b00k")[1] == {"oo", "o", "", " "}
+    assert texts("1 d", True)[0] == {"i", "l", "", " "} and texts("s * m", True)[2] == {*"aeiou", "", " "}
+    assert toxicity.MARKED.findall("a scu3 naz! \"$cum\"") == ["scu3", "naz!", "$cum\""]
+
+
+@pytest.mark.parametrize("text", ["plain words! here (again), 1 2 3 and 4.", "rows 1 2 3"])
+def test_punctuation_and_numbers_stay_apart(fitted, text):
+    words = re.findall("[a-z]+", text)
+    assert re.findall("[a-z]+", toxicity.Decoder(fitted[0]).restore(text)) == words
+
+
 def test_batches_restore_like_single_texts(fitted, corpus):
     texts = [r.text for r in corpus.select("text").limit(80).collect()] + ["i d i o t", "x 1d10t", "aaaa", "", "a.b.c"]
     d = toxicity.Decoder(fitted[0])
