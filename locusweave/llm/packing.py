@@ -41,17 +41,16 @@ def encoder(tokenizer_file: str | None = None, ranks_file: str | None = None) ->
     with open(ranks_file or public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb") as lines:
         ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
     slow: list[Tokenizer] = []
-    fast = tiktoken.Encoding("byte_bpe", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    fast = tiktoken.Encoding("byte_bpe", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={"<|endoftext|>": len(ranks)})
 
     def encode(text: str) -> list[int]:
         try:
-            return fast.encode_ordinary(text)
+            return fast.encode(text, allowed_special="all")
         except BaseException as error:  # a panic of its regular expressions isn't an Exception
             if not isinstance(error, Exception) and type(error).__name__ != "PanicException":
                 raise
             if not slow:
                 slow.append(Tokenizer.from_file(tokenizer_file or public_tokenizers.path("byte_bpe_50k.json")))
-                slow[0].encode_special_tokens = True
             return slow[0].encode(text, add_special_tokens=False).ids
 
     return encode

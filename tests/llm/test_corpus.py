@@ -457,6 +457,26 @@ def test_packing_round_trip(spark, corpus, odd):
     assert all(n <= 1024 and n & (n - 1) == 0 for n in totals)
 
 
+def test_ids_of_the_special_token(spark, monkeypatch):
+    import tiktoken
+    from tokenizers import Tokenizer
+
+    import public_tokenizers
+
+    slow = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = ["a<|endoftext|>b", "a <|endoftext|> b", "<|endoftext|><|endoftext|>", "x\n<|endoftext|>\n\ny", "it's  <|endoftext|>'s", "<|ENDOFTEXT|> <|endoftext|", "<|endoftext|>", "plain"]
+    want = [slow.encode(t, add_special_tokens=False).ids for t in texts]
+    assert want[0] == [64, 50256, 65] and [packing.encoder()(t) for t in texts] == want
+    got = {r.doc_id: (r.doc_tokens, r.ids_crc32) for r in packing.pack(frame(spark, texts).coalesce(1)).collect() if r.length == r.doc_tokens}
+    assert got and all(v == (len(want[k]) + 1, zlib.crc32(np.array([*want[k], 0], "<u4").tobytes())) for k, v in got.items())
+
+    def fails(*args, **options):
+        raise ValueError
+
+    monkeypatch.setattr(tiktoken.Encoding, "encode", fails)
+    assert [packing.encoder()(t) for t in texts] == want
+
+
 def test_longest_go_to_the_cheapest_sequence_with_room():
     got = packing.assign([600, 500, 400, 300, 248], 1024, 1.0, 0.001)
     assert got == [(0, 0, 600, 0), (1, 0, 500, 1), (2, 0, 400, 1), (3, 0, 300, 0), (4, 0, 124, 0), (4, 124, 124, 1)]
