@@ -157,6 +157,6 @@ def incremental_extract(fx):
     inbox, store, done = (shared.new_folder(fx.spark, n) for n in ("inbox", "store", "done"))
     schema = "variant_id string, sample_id string, dosage double"
     for kind in ("NBA", "WGS"):
-        fx.gt.where(F.col("data_type") == kind).select("variant_id", "sample_id", "dosage").coalesce(1).write.mode("append").parquet(inbox)
+        fx.gt.where(F.col("data_type") == kind).select("variant_id", "sample_id", "dosage").write.mode("append").parquet(inbox)
         incremental.follow(fx.spark, inbox, schema, store, done, ["variant_id", "sample_id"]).awaitTermination()
     return incremental.latest(fx.spark, store)

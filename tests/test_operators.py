@@ -226,3 +226,26 @@ def test_empty_tables_keep_their_columns(spark, snp_list):
     assert alleles.harmonize(none, snp_list).count() == 0
     wide = sinks.carriers_wide(spark.createDataFrame([], "sample_id string, variant_id string, dosage double"), ["P1", "P2"])
     assert wide.columns == ["sample_id", "P1", "P2"] and wide.count() == 0
+
+
+def test_deliveries_are_written_by_many_tasks(spark, sf_dir, monkeypatch):
+    from pathlib import Path
+
+    from locusweave.plans import queries_files, registry
+
+    assert queries_files.incremental is incremental
+    files, follow = [], incremental.follow
+
+    def counted(session, folder, *args, **options):
+        files.append(len(list(Path(folder.removeprefix("file:")).rglob("*.parquet"))))
+        return follow(session, folder, *args, **options)
+
+    monkeypatch.setattr(incremental, "follow", counted)
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(key, "false")
+    try:
+        got = registry.QUERIES["incremental_extract"](spark, sf_dir)
+    finally:
+        spark.conf.unset(key)
+    calls = registry.Fixtures(spark, sf_dir).gt.select("variant_id", "sample_id").distinct().count()
+    assert files[0] > 1 and files[1] > files[0] + 1 and got.count() == calls
