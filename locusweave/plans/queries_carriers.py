@@ -108,6 +108,12 @@ def extract_variants(fx):
     return fx.gt.where("data_type = 'NBA'").join(fx.pvar.where("position % 10 = 0").select("variant_id"), "variant_id", "left_semi").select("variant_id", "sample_id", "dosage")
 
 
+@query("extract_variants_whole", "SELECT variant_id, sample_id, dosage FROM fx_gt WHERE data_type = 'NBA' AND variant_id IN (SELECT p.variant_id FROM fx_pvar p JOIN fx_snp_list s ON p.chromosome = s.chromosome AND p.position = s.position)")
+def extract_variants_whole(fx):
+    listed = fx.pvar.join(fx.snp_list, ["chromosome", "position"], "left_semi").select("variant_id")
+    return fx.gt.where("data_type = 'NBA'").join(listed, "variant_id", "left_semi").select("variant_id", "sample_id", "dosage")
+
+
 # matching and dosages
 
 @query("site_join", "SELECT p.variant_id, s.snp_list_id, p.ref, p.alt, s.ref AS list_ref, s.alt AS list_alt FROM fx_pvar p JOIN fx_snp_list s ON p.chromosome = s.chromosome AND p.position = s.position")
@@ -144,6 +150,11 @@ def match_info_reference(fx):
     return matches(fx).join(fx.pvar.where("position % 2 = 0").select("variant_id", F.col("ref").alias("r_ref")), "variant_id").select("variant_id", "snp_list_id", "action", "r_ref")
 
 
+@query("match_info_reference_whole", "SELECT m.variant_id, m.snp_list_id, m.action, r.ref AS r_ref FROM cx_match m JOIN fx_pvar r ON m.variant_id = r.variant_id WHERE m.action IS NOT NULL")
+def match_info_reference_whole(fx):
+    return matches(fx).join(fx.pvar.select("variant_id", F.col("ref").alias("r_ref")), "variant_id").select("variant_id", "snp_list_id", "action", "r_ref")
+
+
 @query("dosage_transform", "SELECT data_type, variant_id, sample_id, CASE WHEN data_type = 'NBA' THEN 2 - dosage ELSE dosage END AS dosage FROM fx_gt")
 def dosage_transform(fx):
     return fx.gt.withColumn("dosage", alleles.dosage_transform("dosage", F.when(F.col("data_type") == "NBA", "2-x").otherwise("x")))

@@ -469,6 +469,17 @@ def chrom_outer_merge(fx):
     return parts[0].unionByName(parts[1]).unionByName(parts[2]).groupBy("sample_id", "chromosome").agg(F.count(F.lit(1)).alias("calls"))
 
 
+@query("traw_left_join_whole", "SELECT p.variant_id, g.sample_id, g.dosage FROM fx_pvar p LEFT JOIN (SELECT * FROM fx_gt WHERE data_type = 'NBA') g ON p.variant_id = g.variant_id")
+def traw_left_join_whole(fx):
+    return fx.pvar.select("variant_id").join(fx.gt.where("data_type = 'NBA'").drop("data_type"), "variant_id", "left")
+
+
+@query("chrom_outer_merge_whole", "SELECT g.sample_id, p.chromosome, count(*) AS calls FROM fx_gt g JOIN fx_pvar p ON g.variant_id = p.variant_id WHERE g.data_type = 'NBA' GROUP BY 1, 2")
+def chrom_outer_merge_whole(fx):
+    rows = fx.gt.where("data_type = 'NBA'").join(fx.pvar.select("variant_id", "chromosome"), "variant_id")
+    return rows.groupBy("sample_id", "chromosome").agg(F.count(F.lit(1)).alias("calls"))
+
+
 @query("pipeline_legacy_carriers", """WITH st AS (SELECT k.nba_label, g.variant_id, sum(dosage) / (2 * nullif(count(dosage), 0)) AS f, 2 * count(dosage) AS n FROM fx_gt g JOIN fx_sample k ON g.sample_id = k.sample_id WHERE data_type = 'NBA' GROUP BY 1, 2)
 SELECT p.variant_id, p.chromosome, coalesce(sum(n), 0)::BIGINT AS obs_ct, round(sum(coalesce(f, 0) * n) / nullif(sum(n), 0), 6) AS alt_freqs FROM fx_pvar p LEFT JOIN st ON p.variant_id = st.variant_id GROUP BY 1, 2""")
 def pipeline_legacy_carriers(fx):

@@ -105,6 +105,13 @@ def sink_metrics(fx):
     return fx.spark.read.schema("snpID string, GT int, IID string, chromosome string").parquet(path).groupBy("IID", "chromosome").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query("sink_metrics_whole", 'SELECT "IID", chromosome, count(*) AS n FROM fx_metrics GROUP BY 1, 2')
+def sink_metrics_whole(fx):
+    path = shared.new_folder(fx.spark, "metrics")
+    sinks.write_metrics(fx.metrics, path)
+    return fx.spark.read.schema("snpID string, GT int, IID string, chromosome string").parquet(path).groupBy("IID", "chromosome").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query("merge_chunks_by_chrom", "SELECT chromosome, count(*) AS n FROM fx_pvar GROUP BY 1")
 def merge_chunks_by_chrom(fx):
     path = shared.new_folder(fx.spark, "chromosomes")
