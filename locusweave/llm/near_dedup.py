@@ -26,6 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from . import common, wordhash
 from .wordhash import SLICE_BYTES, U
@@ -346,16 +347,23 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, blend: float = 0.25
 
 
 def keep_one(docs: DataFrame, threshold: float = 0.8, blend: float = 0.25) -> DataFrame:
-    """The rows that stay, with all their columns: one document of each class of near texts.
-
-    Only texts that are near to a different one are looked up; equal texts without a near one aren't this stage's matter.
-    """
+    """The rows that stay, with all their columns: of each class of near or equal texts the row with the least doc_id (nulls last, then by node; of equal ones any)."""
     near = near_classes(docs, threshold, blend).select(F.col("node").alias("__node"), F.col("root").alias("__root"))
     rows = docs.withColumns({"__doc": F.col("doc_id").cast("long"), "__node": node_of(common.whole_text())})
-    ids = rows.select("__doc", "__node").join(near, "__node")
-    least = ids.groupBy("__root").agg(F.min("__doc").alias("__class"))
-    stays = common.cut(near.join(least, "__root").select("__node", "__class"))
-    kept = rows.join(stays, "__node", "left").where(F.isnull("__class") | F.col("__doc").eqNullSafe(F.col("__class")))
+    ids = rows.select("__doc", "__node").join(near, "__node", "left").withColumn("__root", F.coalesce("__root", "__node"))
+    lead = F.struct(F.isnull("__doc"), "__doc", "__node")
+    # each (doc, node) with the number of its rows, so that a large class of equal rows is small before it is grouped
+    counted = ids.groupBy("__root", "__doc", "__node").agg(F.count(F.lit(1)).alias("__n"))
+    least = counted.groupBy("__root").agg(F.min(lead).alias("__lead"), F.min_by("__n", lead).alias("__times"), F.sum("__n").alias("__size")).where("__size > 1")
+    leads = F.col("__lead.__doc").alias("__class"), F.col("__lead.__node").alias("__first"), "__times"
+    least = common.cut(least.select("__root", *leads))
+    names = near.join(least, "__root").unionByName(least.select(F.col("__root").alias("__node"), "__root", "__class", "__first", "__times")).dropDuplicates(["__node"])
+    stays = common.cut(names.select("__node", "__class", "__first", "__times"))
+    kept = rows.join(stays, "__node", "left").where(F.isnull("__first") | F.col("__doc").eqNullSafe(F.col("__class")) & (F.col("__node") == F.col("__first")))
+    if stays.where("__times > 1").head(1):
+        tied = F.coalesce(F.col("__times") > 1, F.lit(False))
+        one = F.row_number().over(Window.partitionBy("__node", "__doc").orderBy(F.lit(1)))
+        kept = kept.where(~tied).unionByName(kept.where(tied).withColumn("__row", one).where("__row = 1").drop("__row"))
     return kept.select(*(F.col(f"`{c}`") for c in docs.columns))
 
 

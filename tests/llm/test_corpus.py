@@ -382,6 +382,16 @@ def test_components(spark):
     assert got == {f"n{i:03}": "n000" for i in range(61)} | {"z1": "y0"} | {f"y{i}": "y0" for i in range(30)}
 
 
+def test_keep_one_keeps_one_row_of_each_class(spark):
+    text = " ".join(f"word{i} thing{i * 7 % 90}" for i in range(300))
+    other = " ".join(f"other{i} matter{i * 11 % 70}" for i in range(300))
+    third = " ".join(f"some{i} page{i * 13 % 80}" for i in range(300))
+    data = [(5, text), (5, text + " end"), (9, text), (None, other), (None, other + " end"), (None, other), (3, third), (3, third), (4, third), (8, "alone"), (None, "single")]
+    docs = spark.createDataFrame([(i, t, "en", "s", None) for i, t in data], SCHEMA)
+    got = Counter(r.doc_id for r in near_dedup.keep_one(docs).collect())
+    assert got == {5: 1, 3: 1, 8: 1, None: 2}
+
+
 # 6
 
 
