@@ -1,16 +1,17 @@
 """Language ID by averaged hashed subword embeddings and a linear softmax.
 
 A text is the mean of the embeddings of its character 1- to 4-grams inside words (boundary included), hashed into ``BUCKETS``
-rows; a linear softmax gives the language. Embeddings and softmax are trained together by stochastic gradient descent in numpy on
-a bounded sample: about ``per_lang_rows`` labelled documents of each of at most ``max_langs`` languages, drawn by a hash of the id. Each
-sampled document is seen whole and as a short window, so that short texts are learned too. A temperature and the rejection bound are
-fitted on a fifth of the sample that training doesn't see.
+rows; a linear softmax gives the language. Embeddings and softmax are trained together by stochastic gradient descent in numpy, in the tasks: the
+sample - about ``per_lang_rows`` labelled documents of every language, drawn by a hash of id and text - is written once and dealt to at most ``SHARDS`` shards;
+in an epoch each shard takes its minibatches from the same model, and the models are averaged. So a task holds one model and one minibatch, and the driver
+models of one size, whatever the length of the texts and the number of languages. Each sampled document is seen whole and as a short window, so that
+short texts are learned too. A temperature and the rejection bound are fitted on a fifth of the sample that training doesn't see, from sums of a fixed size.
 
 As all of it is linear in the n-grams, prediction looks up one row of class scores per n-gram; whole texts are scored inside the tasks.
 
 A text that is null or has no letter is ``und`` with score 0. A text whose calibrated probability is under the bound gets
-``rejected`` true beside its best language. doc_id, null or repeated, is only passed on. Without any labelled document every text is
-``und``. An empty table gives an empty result. Other columns of the input are not read.
+``rejected`` true beside its best language. doc_id, null or repeated, is only passed on; equal rows are one row of the sample. Without any
+labelled document every text is ``und``. An empty table gives an empty result. Other columns of the input are not read.
 """
 
 from __future__ import annotations
@@ -30,13 +31,32 @@ SIZES = (1, 2, 3, 4)
 OUT = "doc_id long, held_out boolean, lang_pred string, score double, rejected boolean"
 
 
+#: An epoch's minibatches are dealt to at most so many models that are averaged, one for each SHARD_ROWS texts; small samples are taken several times.
+SHARDS, SHARD_ROWS, STEPS = 4, 2000, 600
+DIM, BATCH = 16, 32
+SAMPLE = "lang int, order long, kind int, buckets binary, shares binary"
+PARTS = "n long, table binary, weights binary, bias binary"
+TEMPERATURES = np.geomspace(0.05, 5, 40)
+#: Bins of the probabilities of the right ones.
+BINS = 1000
+
+
 @dataclass
 class Model:
     langs: list[str]
-    scores: np.ndarray  # class scores of each bucket's embedding
+    table: np.ndarray  # embedding of each bucket
+    weights: np.ndarray
     bias: np.ndarray
-    temperature: float
-    bound: float
+    temperature: float = 1.0
+    bound: float = 0.0
+    _scores: np.ndarray | None = None
+
+    @property
+    def scores(self) -> np.ndarray:
+        """Class scores of each bucket's embedding; made once in each worker."""
+        if self._scores is None:
+            self._scores = self.table @ self.weights
+        return self._scores
 
 
 def features(text: str, letters: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -49,6 +69,7 @@ def features(text: str, letters: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def _sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     letters = ngrams.letter_table()
+    kinds = (pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.binary())
     for batch in batches:
         for part in common.slices(batch):
             rows = []
@@ -59,63 +80,125 @@ def _sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     buckets, shares = features(view, letters)
                     if len(buckets):
                         rows.append((lang, order, kind, buckets.tobytes(), shares.tobytes()))
-            kinds = (pa.string(), pa.int64(), pa.int32(), pa.binary(), pa.binary())
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)], names=["lang", "order", "kind", "buckets", "shares"])
 
 
-def sample(docs: DataFrame, per_lang_rows: int, max_langs: int) -> list:
-    """Features of the sampled labelled documents, at most about 2 * per_lang_rows * max_langs rows."""
-    base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "lang", common.whole_text().alias("text")).where("lang IS NOT NULL").where(~common.held_out())
-    counts = base.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_langs).collect()
+def sample(docs: DataFrame, per_lang_rows: int) -> tuple[list[str], DataFrame | None]:
+    """The languages, and the written features of about ``per_lang_rows`` labelled documents of each; ``lang`` is the place in the list."""
+    base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"), common.whole_text().alias("text")).where("lang IS NOT NULL").where(~common.held_out())
+    counts = base.groupBy("lang").count().collect()  # one row per language
     if not counts:
-        return []
-    order = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30))
-    share = F.create_map(*(F.lit(x) for r in counts for x in (r.lang, int((1 << 30) * min(1.0, per_lang_rows / r["count"])))))
-    taken = base.withColumn("order", order).where(F.col("order") < F.coalesce(F.try_element_at(share, F.col("lang")), F.lit(0)))
-    return taken.select("lang", "order", "text").limit(2 * per_lang_rows * max_langs).mapInArrow(_sampled, "lang string, order long, kind int, buckets binary, shares binary").collect()
+        return [], None
+    langs = sorted(r.lang for r in counts)
+    order = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30))
+    most = {r.lang: int((1 << 30) * min(1.0, per_lang_rows / r["count"])) for r in counts}
+    share = F.create_map(*(F.lit(x) for k, lang in enumerate(langs) for x in (lang, (k << 31) + most[lang])))
+    known = base.withColumn("share", F.try_element_at(share, F.col("lang")))
+    taken = known.select(F.shiftright("share", 31).cast("int").alias("lang"), order.alias("order"), F.pmod("share", F.lit(1 << 31)).alias("most"), "text").where("order < most")
+    # equal rows are one; they are combined in the map tasks, before the shuffle
+    one = taken.groupBy("lang", "order").agg(F.min("text").alias("text"))
+    return langs, common.written(one.mapInArrow(_sampled, SAMPLE), "languages")
+
+
+def step(table: np.ndarray, weights: np.ndarray, bias: np.ndarray, some: list[tuple[int, np.ndarray, np.ndarray]], rate: float) -> None:
+    """One step of gradient descent, in place. ``some``: class, buckets and shares of each text of the minibatch."""
+    y, sizes = np.array([r[0] for r in some]), [len(r[1]) for r in some]
+    buckets, shares = np.concatenate([r[1] for r in some]), np.concatenate([r[2] for r in some])
+    starts = np.concatenate(([0], np.cumsum(sizes)[:-1]))
+    hidden = np.add.reduceat(table[buckets] * shares[:, None], starts)
+    p = _softmax(hidden @ weights + bias)
+    p[np.arange(len(some)), y] -= 1
+    back = p @ weights.T
+    rate = rate / len(some)
+    weights -= rate * hidden.T @ p
+    bias -= rate * p.sum(0)
+    order = np.argsort(buckets, kind="stable")
+    buckets, text_of = buckets[order], np.repeat(np.arange(len(some)), sizes)[order]
+    first = np.flatnonzero(np.concatenate(([True], buckets[1:] != buckets[:-1])))
+    table[buckets[first]] -= np.add.reduceat(rate * BUCKETS**0.5 * shares[order][:, None] * back[text_of], first)
+
+
+def _rows(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    for lang, buckets, shares in zip(*(batch.column(c) for c in ("lang", "buckets", "shares"))):
+        yield lang.as_py(), np.frombuffer(buckets.as_py(), np.int32), np.frombuffer(shares.as_py(), np.float32)
+
+
+def _epoch(batches: Iterator[pa.RecordBatch], model: Model, rate: float) -> Iterator[pa.RecordBatch]:
+    """A shard's model after its minibatches, with the number of its rows. Shards that share a task follow each other in it."""
+    names, kinds = [c.split()[0] for c in PARTS.split(", ")], (pa.int64(), *(pa.binary(),) * 3)
+    some: list[tuple] = []
+    shard, now, seen = None, (), 0
+
+    def finished() -> Iterator[pa.RecordBatch]:
+        if some:
+            step(*now, some, rate)
+            some.clear()
+        if seen:
+            yield pa.RecordBatch.from_arrays([pa.array([x], kind) for x, kind in zip((seen, *(a.tobytes() for a in now)), kinds)], names=names)
 
-
-def train(rows: list, dim: int = 16, epochs: int = 6, rate: float = 0.5, seed: int = 7) -> Model | None:
-    """Minibatch SGD with a falling rate; calibration on every fifth document."""
-    if not rows:
+    for batch in batches:
+        for k, row in zip(batch.column("shard").to_pylist(), _rows(batch)):
+            if k != shard:
+                yield from finished()
+                shard, now, seen = k, (model.table.copy(), model.weights.copy(), model.bias.copy()), 0
+            some.append(row)
+            seen += 1
+            if len(some) == BATCH:
+                step(*now, some, rate)
+                some.clear()
+    yield from finished()
+
+
+def _losses(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
+    """Losses at every temperature, or, with a temperature, the right ones by their probability."""
+    out = np.zeros(len(TEMPERATURES) if model.temperature < 0 else BINS + 1)
+    for batch in batches:
+        for y, buckets, shares in _rows(batch):
+            z = shares @ model.scores[buckets] + model.bias
+            if model.temperature < 0:
+                out -= np.log(_softmax(z / TEMPERATURES[:, None])[:, y] + 1e-12)
+            else:
+                p = _softmax(z[None] / model.temperature)[0]
+                if p.argmax() == y:
+                    out[int(p.max() * BINS)] += 1
+    yield pa.RecordBatch.from_arrays([pa.array(range(len(out)), pa.int32()), pa.array(out)], names=["at", "value"])
+
+
+def _summed(rows: DataFrame, model: Model) -> np.ndarray:
+    found = rows.mapInArrow(lambda b: _losses(b, model), "at int, value double").groupBy("at").agg(F.sum("value").alias("value")).orderBy("at").collect()
+    return np.array([r.value for r in found])
+
+
+def train(docs: DataFrame, per_lang_rows: int = 1000, epochs: int = 6, rate: float = 1.0, seed: int = 7) -> Model | None:
+    """Averaged minibatch SGD with a falling rate; calibration on every fifth document. None without labelled texts."""
+    langs, rows = sample(common.small_batches(docs), per_lang_rows)
+    n = rows.count() if rows is not None else 0
+    if not n:
         return None
-    rows = sorted(rows, key=lambda r: (r.order, r.kind, r.lang))
-    langs = sorted({r.lang for r in rows})
-    y = np.array([langs.index(r.lang) for r in rows])
-    x = [(np.frombuffer(r.buckets, np.int32), np.frombuffer(r.shares, np.float32)) for r in rows]
-    fold = np.array([r.order % 5 == 0 for r in rows])
-    fit = np.flatnonzero(~fold) if (~fold).any() else np.arange(len(rows))
+    shards = min(SHARDS, 1 + n // SHARD_ROWS)
+    times = max(1, STEPS * BATCH * shards // (epochs * n))
     rng = np.random.default_rng(seed)
-    table = rng.normal(0, 0.5, (BUCKETS, dim)).astype(np.float32)
-    weights, bias = rng.normal(0, 0.1, (dim, len(langs))).astype(np.float32), np.zeros(len(langs), np.float32)
-    steps, done = epochs * (len(fit) // 32 + 1), 0
-    for _ in range(epochs):
-        rng.shuffle(fit)
-        for lo in range(0, len(fit), 32):
-            some = fit[lo : lo + 32]
-            sizes = [len(x[i][0]) for i in some]
-            buckets, shares = np.concatenate([x[i][0] for i in some]), np.concatenate([x[i][1] for i in some])
-            starts = np.concatenate(([0], np.cumsum(sizes)[:-1]))
-            hidden = np.add.reduceat(table[buckets] * shares[:, None], starts)
-            p = _softmax(hidden @ weights + bias)
-            p[np.arange(len(some)), y[some]] -= 1
-            step = rate * (1 - done / steps) / len(some)
-            back = p @ weights.T
-            weights -= step * hidden.T @ p
-            bias -= step * p.sum(0)
-            np.subtract.at(table, buckets, step * BUCKETS**0.5 * shares[:, None] * np.repeat(back, sizes, axis=0))
-            done += 1
-    scores = table @ weights
-    held = np.flatnonzero(fold) if fold.any() else fit
-    logits = np.array([x[i][1] @ scores[x[i][0]] + bias for i in held])
-    grid = np.geomspace(0.05, 5, 40)
-    loss = [-np.log(_softmax(logits / t)[np.arange(len(held)), y[held]] + 1e-12).mean() for t in grid]
-    temperature = float(grid[int(np.argmin(loss))])
-    p = _softmax(logits / temperature)
-    right = p.argmax(1) == y[held]
+    model = Model(langs, rng.normal(0, 0.5, (BUCKETS, DIM)).astype(np.float32), rng.normal(0, 0.1, (DIM, len(langs))).astype(np.float32), np.zeros(len(langs), np.float32))
+    fit = rows.where("order % 5 <> 0")
+    fit = fit if fit.head(1) else rows
+    for e in range(epochs):
+        dealt = fit.withColumn("time", F.explode(F.sequence(F.lit(1), F.lit(min(times, STEPS))))) if times > 1 else fit.withColumn("time", F.lit(1))
+        dealt = dealt.select("*", F.pmod(F.xxhash64("order"), F.lit(shards)).cast("int").alias("shard"), F.xxhash64("order", "kind", F.lit(e)).alias("turn"))
+        dealt = dealt.repartition(4 * SHARDS, "shard").sortWithinPartitions("shard", "time", "turn", "lang", "kind").select("shard", "lang", "buckets", "shares")
+        now = rate * (1 - e / epochs)
+        parts = dealt.mapInArrow(lambda b, m=model, r=now: _epoch(b, m, r), PARTS).collect()  # SHARDS models
+        share = np.array([p.n for p in parts], np.float32) / sum(p.n for p in parts)
+        mean = lambda name, like: sum(w * np.frombuffer(p[name], np.float32) for w, p in zip(share, parts)).reshape(like.shape)
+        model = Model(langs, mean("table", model.table), mean("weights", model.weights), mean("bias", model.bias))
+    held = rows.where("order % 5 = 0")
+    held = held if held.head(1) else fit
+    model.temperature = -1.0
+    model.temperature = float(TEMPERATURES[int(np.argmin(_summed(held, model)))])
+    right = np.cumsum(_summed(held, model))
     # the bound that rejects as many of the wrong ones as it can while it keeps 99 % of the right ones
-    bound = float(np.quantile(p.max(1)[right], 0.01)) if right.any() else 0.0
-    return Model(langs, scores.astype(np.float32), bias.astype(np.float32), temperature, min(bound, 0.9))
+    if right[-1]:
+        model.bound = min(0.9, int(np.searchsorted(right, 0.01 * right[-1], "right")) / BINS)
+    return model
 
 
 def _softmax(z: np.ndarray) -> np.ndarray:
@@ -159,9 +242,9 @@ def _predict(batches: Iterator[pa.RecordBatch], model: Model | None) -> Iterator
                 )
 
 
-def identify(docs: DataFrame, per_lang_rows: int = 1000, max_langs: int = 64) -> DataFrame:
+def identify(docs: DataFrame, per_lang_rows: int = 1000) -> DataFrame:
     """One row per input row: doc_id, held_out, lang_pred, score (calibrated probability), rejected."""
-    model = train(sample(common.small_batches(docs), per_lang_rows, max_langs))
+    model = train(docs, per_lang_rows)
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), common.held_out().alias("held_out"), common.whole_text().alias("text"))
     return base.mapInArrow(lambda b: _predict(b, model), OUT)
 
