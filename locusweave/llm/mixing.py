@@ -1,20 +1,27 @@
 """Soft-membership mixing of documents to target weights of domains.
 
-1. A softmax over hashed character features is trained in numpy on a bounded sample of a labelled table (about ``per_domain_rows``
-   documents of each of at most ``max_domains`` domains, drawn by a hash of the id). It gives each document a posterior over domains.
+1. A softmax over hashed character features is trained in numpy on a bounded sample of a labelled table: about ``per_domain_rows``
+   documents of every domain, drawn by a hash of the id, fewer of each where that would be more than ``max_rows`` in all. It gives each document a
+   posterior over domains; no domain is left out.
 2. A document's tokens are its white-space words. Domain k holds ``sum(tokens * posterior_k)`` expected tokens. The default target
-   raises the shares of these totals to the power ``alpha`` and scales them so that no domain has to shrink.
+   raises the shares of these totals to the power ``alpha`` and scales them so that no domain has to shrink; ``pinned`` domains keep their share.
+   If a rate has a least value, the scale is the smallest for which rates that are linear in the posteriors meet the target, so that it can be met.
 3. Document rates >= ``min_rate`` (0 by default) minimise ``sum_k (sum_d rate_d tokens_d posterior_dk / target_k - 1) ** 2`` by accelerated projected
    gradients, preconditioned by tokens, from rate 1. A gradient depends on one number per domain, so an iteration is one sum over the
    documents in Spark; a document's rate follows from the list of these numbers, and no table of rates is rewritten.
 4. A document is taken ``floor(rate + u)`` times, u being a hash of its id and text in [0, 1).
 
+What the rates leave open is returned: ``residual`` is the relative gap of each domain's total to its target. A gap above ``flag_above`` is
+warned of, and ``mix`` has it in the column ``target_gap``; with ``strict`` it is an error.
+
 Null text counts as empty: no tokens, rate 1. Rows with a null label aren't used for training. Without labels all documents are one
-domain. doc_id, null or repeated, is only passed on, beside its part in u. An empty table gives an empty result.
+domain. doc_id, null or repeated, is only passed on, beside its part in u; of the rows of one id one is in the sample. An empty table gives an
+empty result. Rows keep all their columns in ``resampled``, whatever their names.
 """
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -27,6 +34,8 @@ from pyspark.sql import functions as F
 from . import common
 
 DIM = 2048
+#: A weight of zero counts as this share.
+LEAST_SHARE = 1e-4
 SLICE = 256
 
 
@@ -63,21 +72,24 @@ def _featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield pa.RecordBatch.from_arrays([part.column("domain"), part.column("order"), pa.array([r.tobytes() for r in x], pa.binary())], names=["domain", "order", "x"])
 
 
-def train(docs: DataFrame, labelled: DataFrame, per_domain_rows: int = 600, max_domains: int = 16, epochs: int = 200) -> Classifier:
-    """``labelled``: doc_id, domain. Softmax regression by full gradient steps with momentum, on about per_domain_rows * max_domains rows at most."""
+def train(docs: DataFrame, labelled: DataFrame, per_domain_rows: int = 600, max_rows: int = 20_000, epochs: int = 200) -> Classifier:
+    """``labelled``: doc_id, domain. Softmax regression by full gradient steps with momentum, on about per_domain_rows documents of each domain."""
     common.small_batches(docs)
     known = labelled.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("domain").cast("string").alias("domain")).where("doc_id IS NOT NULL AND domain IS NOT NULL")
     known = known.groupBy("doc_id").agg(F.min("domain").alias("domain"))
-    counts = known.groupBy("domain").count().orderBy(F.desc("count"), "domain").limit(max_domains).collect()
+    counts = known.groupBy("domain").count().collect()  # one row per domain
     one = Classifier(["all"], np.zeros((DIM, 1), np.float32), np.zeros(1, np.float32))
     if not counts:
         return one
+    each = min(per_domain_rows, max(1, max_rows // len(counts)))
     order = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30))
-    share = F.create_map(*(F.lit(x) for r in counts for x in (r.domain, int((1 << 30) * min(1.0, per_domain_rows / r["count"])))))
-    taken = known.withColumn("order", order).where(F.col("order") < F.coalesce(F.try_element_at(share, F.col("domain")), F.lit(0)))
+    share = F.create_map(*(F.lit(x) for r in counts for x in (r.domain, int((1 << 30) * min(1.0, each / r["count"])))))
+    taken = known.withColumn("order", order).where(F.col("order") < F.try_element_at(share, F.col("domain")))
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), common.whole_text().alias("text"))
-    sample = base.join(F.broadcast(taken), "doc_id").select("domain", "order", "text").mapInArrow(_featured, "domain string, order long, x binary")
-    rows = sorted(sample.limit(2 * per_domain_rows * max_domains).collect(), key=lambda r: (r.order, r.x))
+    # one text of each id, chosen in the map tasks
+    sample = base.join(F.broadcast(taken), "doc_id").groupBy("doc_id", "domain", "order").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+    sample = sample.select("domain", "order", "text").mapInArrow(_featured, "domain string, order long, x binary")
+    rows = sorted(sample.collect(), key=lambda r: (r.order, r.x))  # about max_rows vectors of one size at most
     if not rows:
         return one
     domains = sorted({r.domain for r in rows})
@@ -105,6 +117,11 @@ class Rates:
     step: float
     least: float
     errors: list[np.ndarray] = field(default_factory=list)
+    residual: dict[str, float] = field(default_factory=dict)
+
+    @property
+    def gap(self) -> float:
+        return max(self.residual.values(), default=0.0)
 
     def points(self, p: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Rates after the iterations so far, and the point at which the next gradient is taken."""
@@ -156,10 +173,32 @@ def _uniform() -> Column:
     return F.pmod(F.xxhash64(F.lit("mix"), F.col("doc_id").cast("long"), common.whole_text()), F.lit(1 << 40)) / float(1 << 40)
 
 
-def fit_rates(table: DataFrame, domains: list[str], weights: dict[str, float] | None = None, pinned: tuple[str, ...] = (), alpha: float = 0.7, min_rate: float = 0.0, tolerance: float = 1e-3, max_iterations: int = 40) -> Rates | None:
+def targets(have: np.ndarray, square: np.ndarray, domains: list[str], weights: dict[str, float] | None, pinned: tuple[str, ...], alpha: float, least: float) -> np.ndarray:
+    """Expected tokens that each domain is to have. ``square``: sums of tokens times products of posteriors."""
+    natural = have / have.sum()
+    if weights is not None and (unknown := sorted(set(weights) - set(domains))):
+        raise ValueError(f"weights of domains that have no labelled document: {unknown}")
+    share = natural**alpha if weights is None else np.maximum([weights.get(d, 0.0) for d in domains], 0.0)
+    held = np.array([d in pinned for d in domains])
+    if held.any() and not held.all():
+        share = np.where(held, natural, share * (1 - natural[held].sum()) / max(share[~held].sum(), 1e-12))
+    share = np.maximum(share / share.sum(), LEAST_SHARE)
+    target = share * (have / share)[share > LEAST_SHARE].max()
+    if least > 0:
+        for scale in 1.01 ** np.arange(141):  # up to four times
+            rise = np.linalg.lstsq(square, scale * target - least * have, rcond=None)[0]
+            if rise.min() >= -1e-9 * max(1.0, abs(rise).max()):
+                return scale * target
+    return target
+
+
+def fit_rates(
+    table: DataFrame, domains: list[str], weights: dict[str, float] | None = None, pinned: tuple[str, ...] = (), alpha: float = 0.7, min_rate: float = 0.0,
+    tolerance: float = 1e-3, max_iterations: int = 200, flag_above: float = 0.01, strict: bool = False,
+) -> Rates | None:
     """``table``: n_tokens, p. ``weights``: target shares of the domains; by default the natural shares to the power alpha.
 
-    ``pinned`` domains keep their totals whatever their share. None if there are no tokens.
+    It ends when every total is within ``tolerance`` of its target, or nothing moves any more. None if there are no tokens.
     """
     k = len(domains)
     first = _summed(table, k, None)
@@ -167,19 +206,23 @@ def fit_rates(table: DataFrame, domains: list[str], weights: dict[str, float] |
     if not have.sum() > 0:
         return None
     have = np.maximum(have, 1e-9 * have.sum())
-    share = (have / have.sum()) ** alpha if weights is None else np.array([weights.get(d, 0.0) for d in domains])
-    share = np.maximum(share / share.sum(), 1e-9)
-    free = np.array([d not in pinned for d in domains])
-    target = np.where(free, share * (have / share)[free].max(initial=0), have)
+    target = targets(have, square, domains, weights, pinned, alpha, min_rate)
     step = 1 / np.linalg.eigvalsh(square / np.outer(target, target)).max()
-    rates, last = Rates(target, step, min_rate), np.inf
-    for _ in range(max_iterations):
+    rates, best, idle = Rates(target, step, min_rate), np.inf, 0
+    for done in range(max_iterations + 1):
         sums = _summed(table, k, rates)
-        error = np.abs(sums[k:] / target - 1).max()
-        if error < tolerance or abs(last - error) < 1e-6:
+        gap = np.abs(sums[k:] / target - 1)
+        idle = 0 if gap.max() < 0.99 * best else idle + 1
+        best = min(best, gap.max())
+        if gap.max() < tolerance or idle == 10 or done == max_iterations:
             break
-        last = error
         rates.errors.append(sums[:k] / target - 1)
+    rates.residual = dict(zip(domains, gap.tolist()))
+    if rates.gap > flag_above:
+        said = "targets not met: " + ", ".join(f"{d} {g:.1%}" for d, g in rates.residual.items() if g > flag_above)
+        if strict:
+            raise ValueError(said)
+        warnings.warn(said, stacklevel=2)
     return rates
 
 
@@ -194,17 +237,20 @@ def _rated(batches: Iterator[pa.RecordBatch], domains: list[str], rates: Rates |
         n, u = batch.column("n_tokens").to_numpy(), batch.column("u").to_numpy()
         rate = np.where(n > 0, rates.points(p)[0], 1.0) if rates else np.ones(len(n))
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), batch.column("n_tokens"), pa.array([domains[i] for i in p.argmax(1)], pa.string()), pa.array(p.max(1)), pa.array(rate), pa.array(np.floor(rate + u).astype(np.int64))],
-            names=["doc_id", "n_tokens", "domain", "posterior", "rate", "copies"],
-        )
+            [
+                batch.column("doc_id"), batch.column("n_tokens"), pa.array([domains[i] for i in p.argmax(1)], pa.string()), pa.array(p.max(1)), pa.array(rate),
+                pa.array(np.floor(rate + u).astype(np.int64)), pa.array(np.full(len(n), rates.gap if rates else 0.0)),
+            ],
+            names=["doc_id", "n_tokens", "domain", "posterior", "rate", "copies", "target_gap"],
+        )
 
 
 def mix(docs: DataFrame, labelled: DataFrame, **options: object) -> DataFrame:
-    """One row per input row: doc_id, n_tokens, domain (the likeliest), posterior, rate, copies."""
+    """One row per input row: doc_id, n_tokens, domain (the likeliest), posterior, rate, copies, target_gap (the largest of any domain)."""
     model = train(docs, labelled)
     table = posterior_table(docs, model)
     rates = fit_rates(table, model.domains, **options)
-    return table.mapInArrow(lambda b: _rated(b, model.domains, rates), "doc_id long, n_tokens long, domain string, posterior double, rate double, copies long")
+    return table.mapInArrow(lambda b: _rated(b, model.domains, rates), "doc_id long, n_tokens long, domain string, posterior double, rate double, copies long, target_gap double")
 
 
 def resampled(docs: DataFrame, labelled: DataFrame, **options: object) -> DataFrame:
@@ -223,8 +269,8 @@ def resampled(docs: DataFrame, labelled: DataFrame, **options: object) -> DataFr
 
     n = F.pandas_udf(copies, "long")(common.whole_text(), _uniform())
     # no filter on the number: Spark would run the UDF once more for it
-    repeated = docs.withColumn("__n", n).withColumn("__copy", F.explode(F.array_repeat(F.lit(1), F.col("__n").cast("int"))))
-    return repeated.select(*(F.col(f"`{c}`") for c in docs.columns))
+    counted = docs.select(F.struct("*").alias("row"), n.alias("n"))
+    return counted.select("row", F.explode(F.array_repeat(F.lit(1), F.col("n").cast("int")))).select("row.*")
 
 
 def labelled_domains(docs: DataFrame, labels: DataFrame) -> DataFrame:
