@@ -518,14 +518,23 @@ def test_chains_of_colliding_hashes():
 
 
 def test_directory_doubling():
-    sizes = {0: 5, 1: 5, 2: 5, 3: 5, 8: 100}
-    directory = exact_dedup.grow_directory(sizes, 8, 4)
-    assert len(directory) == 16 and len({directory[i] for i in range(4)}) == 4 and len(set(directory[10:])) <= 3
-    held = defaultdict(int)
-    for p, b in enumerate(directory):
-        held[b] += sizes.get(p, 0)
-    assert sorted(held.values())[-2] <= 8 and directory.count(directory[8]) == 1
-    assert set(exact_dedup.grow_directory(sizes, 1000, 4)) == {0}
+    sizes = np.zeros(16, np.int64)
+    sizes[[0, 1, 2, 3, 8]] = 5, 5, 5, 5, 100
+    directory = exact_dedup.grow_directory(sizes, 8)
+    assert len(directory) == 16 and len({*directory[:4]}) == 4 and len({*directory[10:]}) <= 3 and (np.diff(directory) >= 0).all() and directory[0] == 0
+    held = np.bincount(directory, sizes)
+    assert sorted(held)[-2] <= 8 and (directory == directory[8]).sum() == 1 and set(np.diff(directory)) <= {0, 1}
+    assert set(exact_dedup.grow_directory(sizes, 1000)) == {0}
+
+
+def test_ties_of_equal_ids_are_decided_by_all_columns(spark):
+    rows = [(1, "t", x) for x in "cab"] * 2 + [(None, "u", "z"), (None, "u", "y"), (2, "v", "q")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, more string")
+    for parts in (1, 3):
+        got = sorted(map(tuple, exact_dedup.keep_one(docs.repartition(parts)).collect()), key=repr)
+        assert got == [(1, "t", "a"), (2, "v", "q"), (None, "u", "y")]
+        marks = exact_dedup.dedup(docs.repartition(parts)).groupBy("text_sha256").agg(F.sum(F.col("kept").cast("int")).alias("kept"), F.count(F.lit(1)).alias("n")).collect()
+        assert sorted((r.kept, r.n) for r in marks) == [(1, 1), (1, 2), (1, 6)]
 
 
 def test_small_buckets_give_the_same_groups(corpus):
