@@ -2,7 +2,9 @@
 
 Shingles are five consecutive words (lower-cased runs of ASCII letters, digits and all non-ASCII characters); a text of one to four words is one
 shingle. A shingle weighs ``tf * idf``. Document frequencies are counted over all documents in ``2 ** 18`` hashed
-features, so the table of idf has one size at any input size. The idf is smoothed, ``1 + blend * ln((1 + N) / (1 + df)) / ln(1 + N)``: with the full
+features, so the table of idf has one size at any input size. What shingles of few documents put into every feature - the median count - is
+subtracted, and what doesn't stand out from the noise of that counts as one document; so a rare shingle has the largest idf at any size, and a frequent one its own.
+The idf is smoothed, ``1 + blend * ln((1 + N) / (1 + df)) / ln(1 + N)``: with the full
 logarithm, copies of a text that a third of all rows share would weigh less in what they share than in what sets them apart.
 
 1. Signatures. Improved consistent weighted sampling draws 13 x 4 samples per text in numpy, with variates from fixed tables that
@@ -10,12 +12,14 @@ logarithm, copies of a text that a third of all rows share would weigh less in w
 2. Buckets are the texts that share a band. Buckets with the same members count once. A bucket is dealt out in blocks of at most
    ``BLOCK`` texts or ``BLOCK_BYTES`` of text, and the bucket's leader comes to each block. In a block all weighted Jaccard similarities are
    computed exactly (one matrix product over shared shingles); a spanning tree of the pairs at ``threshold`` or more leaves it.
-3. Components of these links. A bucket of several blocks whose members still lie in several components has all pairs of its blocks
-   compared in the same way, so no link between members of a bucket is lost at any bucket size.
+3. Components of these links. In a bucket of several blocks whose members still lie in several components, the members outside the largest
+   component are compared with all members of the bucket in the same way, so no link between members of a bucket is lost at any bucket size, and a
+   few strays in a large bucket cost no more than one pass over it.
 4. A class is a component; its id is its least doc_id.
 
 Null text counts as empty; texts without words are near only to equal texts. A null doc_id is never a class id unless all
-ids of the class are null. Rows with equal doc_id and text are kept or dropped together. An empty table gives an empty result.
+ids of the class are null. Of each class one row stays: the least doc_id, nulls last; of several rows with that id the first by the text's hash, and
+of equal rows one (the first by all columns, as JSON, in ``keep_one``). An empty table gives an empty result. ``keep_one`` keeps all columns, whatever their names.
 """
 
 from __future__ import annotations
@@ -26,7 +30,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from . import common, wordhash
 from .wordhash import SLICE_BYTES, U
@@ -37,6 +40,7 @@ BANDS, BAND_ROWS = 13, 4
 DF_BITS = 18
 DF_BLOCK = 4096
 BLOCK, BLOCK_BYTES = 512, 4 << 20
+BLEND = 0.15
 #: Odd multipliers of the places in a shingle.
 PLACES = [U(int(x) | 1) for x in np.random.default_rng(11).integers(1, 1 << 63, SHINGLE)]
 
@@ -125,14 +129,22 @@ def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def idf_table(docs: DataFrame, blend: float = 0.25) -> np.ndarray:
+def idf_table(docs: DataFrame, blend: float = BLEND) -> np.ndarray:
     """Smoothed idf of each hashed feature, from document frequencies over all documents."""
     kind = "block int, counts binary, docs long"
     rows = docs.select(common.whole_text().alias("text")).mapInArrow(_frequencies, kind).repartition("block").mapInArrow(_summed, kind).collect()  # 2 ** 18 counts at most
-    df, n = np.zeros(1 << DF_BITS), sum(r.docs for r in rows)
+    counts, n = np.zeros(1 << DF_BITS), sum(r.docs for r in rows)
     for r in rows:
-        df[r.block * DF_BLOCK : (r.block + 1) * DF_BLOCK] = _unpacked(r.counts)
-    return (1 + blend * np.log((1 + n) / (1 + df)) / max(np.log(1 + n), 1e-9)).astype(np.float32)
+        counts[r.block * DF_BLOCK : (r.block + 1) * DF_BLOCK] = _unpacked(r.counts)
+    return smoothed_idf(counts, n, blend)
+
+
+def smoothed_idf(counts: np.ndarray, n: int, blend: float) -> np.ndarray:
+    """From the documents of each feature and of all."""
+    noise = np.median(counts)
+    df = counts - noise
+    df[df < 4 * np.sqrt(noise)] = 1
+    return (1 + blend * np.log((1 + n) / (1 + np.maximum(df, 1))) / max(np.log(1 + n), 1e-9)).clip(1).astype(np.float32)
 
 
 #: Filled once in each Python worker.
@@ -293,7 +305,7 @@ def _links(rows: DataFrame, texts: DataFrame, idf: np.ndarray, threshold: float)
     return full.mapInArrow(lambda b: _linked(b, idf, threshold), "a binary, b binary")
 
 
-def near_classes(docs: DataFrame, threshold: float = 0.8, blend: float = 0.25) -> DataFrame:
+def near_classes(docs: DataFrame, threshold: float = 0.8, blend: float = BLEND) -> DataFrame:
     """node, root of every text that is near to a different text; texts of one root are one class."""
     base = common.small_batches(docs).select(common.whole_text().alias("text")).select(node_of(F.col("text")).alias("node"), "text")
     idf = idf_table(docs, blend)
@@ -308,7 +320,7 @@ def near_classes(docs: DataFrame, threshold: float = 0.8, blend: float = 0.25) -
     same = buckets.groupBy("n", "sum", "xor").agg(F.min(F.struct("key", "bytes", "lead")).alias("one"))
     blocks = F.greatest(F.ceil(F.col("n") / BLOCK), F.ceil(F.col("one.bytes") / BLOCK_BYTES)).cast("int")
     buckets = common.cut(same.select(F.col("one.key").alias("key"), F.col("one.lead").alias("lead"), blocks.alias("blocks")))
-    members = banded.join(buckets, "key").select("key", "blocks", "node", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("block"), (order == F.col("lead")).alias("leads"))
+    members = banded.join(buckets, "key").select("key", "blocks", "node", "size", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("block"), (order == F.col("lead")).alias("leads"))
     members = common.written(members, "members")
 
     # the texts of all members, one row each; equal texts are combined before they are shuffled (a semi join would be
@@ -324,47 +336,61 @@ def near_classes(docs: DataFrame, threshold: float = 0.8, blend: float = 0.25) -
     if not large.head(1):
         return found
     rooted = large.join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    open_keys = rooted.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("key")
-    others = F.filter(F.sequence(F.lit(0), F.col("blocks") - 1), lambda x: x != F.col("block"))
-    pairs = rooted.join(open_keys, "key", "left_semi").select("key", F.explode(others).alias("other"), "block", "node", "root")
-    pairs = pairs.select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "node", "root")
-    more = common.written(_links(pairs, texts, idf, threshold), "links")
+    parts = rooted.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("bytes"))
+    most = F.struct("n", "root")
+    wide = parts.groupBy("key").agg(F.max(most)["root"].alias("main"), F.sum("n").alias("all"), F.max("n").alias("n"), (F.sum("bytes") - F.max_by("bytes", most)).alias("bytes"))
+    wide = wide.where(F.col("all") > F.col("n"))  # buckets in several components
+    groups = F.greatest(F.ceil((F.col("all") - F.col("n")) * 2 / BLOCK), F.ceil(F.col("bytes") * 2 / BLOCK_BYTES)).cast("int")
+    wide = common.cut(wide.select("key", "main", groups.alias("groups")))
+    open_rows = rooted.join(wide, "key").select("key", "node", "root", "block", "blocks", "groups", (F.col("root") != F.col("main")).alias("stray"), F.pmod(F.xxhash64(F.lit("stray"), "node"), F.col("groups")).cast("int").alias("group"))
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    every = open_rows.select("key", F.col("block").alias("i"), each("groups").alias("j"), "node", "root")
+    strays = open_rows.where("stray").select("key", each("blocks").alias("i"), F.col("group").alias("j"), "node", "root")
+    more = common.written(_links(every.unionByName(strays), texts, idf, threshold), "links")
     if not more.head(1):
         return found
     return components(links.unionByName(more))
 
 
-def near_duplicates(docs: DataFrame, threshold: float = 0.8, blend: float = 0.25) -> DataFrame:
-    """One row per input row: doc_id, class_id (least doc_id of its class), class_size (rows), kept (doc_id is the class id)."""
-    near = near_classes(docs, threshold, blend)
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), node_of(common.whole_text()).alias("node"))
-    rows = rows.join(near, "node", "left").select("doc_id", F.coalesce("root", "node").alias("root"))
-    classes = rows.groupBy("root").agg(F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("class_size")).where("class_size > 1")
-    # written, so that Spark can split the rows of a large class in this join
-    rows = rows.join(common.written(classes, "classes"), "root", "left")
-    class_id = F.when(F.isnull("class_size"), F.col("doc_id")).otherwise(F.col("class_id"))
-    return rows.select("doc_id", class_id.alias("class_id"), F.coalesce("class_size", F.lit(1)).alias("class_size"), F.col("doc_id").eqNullSafe(class_id).alias("kept"))
-
-
-def keep_one(docs: DataFrame, threshold: float = 0.8, blend: float = 0.25) -> DataFrame:
-    """The rows that stay, with all their columns: of each class of near or equal texts the row with the least doc_id (nulls last, then by node; of equal ones any)."""
-    near = near_classes(docs, threshold, blend).select(F.col("node").alias("__node"), F.col("root").alias("__root"))
-    rows = docs.withColumns({"__doc": F.col("doc_id").cast("long"), "__node": node_of(common.whole_text())})
-    ids = rows.select("__doc", "__node").join(near, "__node", "left").withColumn("__root", F.coalesce("__root", "__node"))
-    lead = F.struct(F.isnull("__doc"), "__doc", "__node")
-    # each (doc, node) with the number of its rows, so that a large class of equal rows is small before it is grouped
-    counted = ids.groupBy("__root", "__doc", "__node").agg(F.count(F.lit(1)).alias("__n"))
-    least = counted.groupBy("__root").agg(F.min(lead).alias("__lead"), F.min_by("__n", lead).alias("__times"), F.sum("__n").alias("__size")).where("__size > 1")
-    leads = F.col("__lead.__doc").alias("__class"), F.col("__lead.__node").alias("__first"), "__times"
-    least = common.cut(least.select("__root", *leads))
-    names = near.join(least, "__root").unionByName(least.select(F.col("__root").alias("__node"), "__root", "__class", "__first", "__times")).dropDuplicates(["__node"])
-    stays = common.cut(names.select("__node", "__class", "__first", "__times"))
-    kept = rows.join(stays, "__node", "left").where(F.isnull("__first") | F.col("__doc").eqNullSafe(F.col("__class")) & (F.col("__node") == F.col("__first")))
-    if stays.where("__times > 1").head(1):
-        tied = F.coalesce(F.col("__times") > 1, F.lit(False))
-        one = F.row_number().over(Window.partitionBy("__node", "__doc").orderBy(F.lit(1)))
-        kept = kept.where(~tied).unionByName(kept.where(tied).withColumn("__row", one).where("__row = 1").drop("__row"))
-    return kept.select(*(F.col(f"`{c}`") for c in docs.columns))
+def _led(docs: DataFrame, near: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows as doc_id, node, row; and, for every node of a class of several rows, class_id, lead (the node that stays), times (rows with both) and class_size."""
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), node_of(common.whole_text()).alias("node"), F.struct("*").alias("row"))
+    ids = rows.select("doc_id", "node").join(near, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    order = F.struct(F.isnull("doc_id"), "doc_id", "node")
+    # each (doc_id, node) with the number of its rows, so that a large class of equal rows is small before it is grouped
+    counted = ids.groupBy("root", "doc_id", "node").agg(F.count(F.lit(1)).alias("n"))
+    classes = counted.groupBy("root").agg(F.min(order).alias("least"), F.min_by("n", order).alias("times"), F.sum("n").alias("class_size")).where("class_size > 1")
+    classes = common.cut(classes.select("root", F.col("least.doc_id").alias("class_id"), F.col("least.node").alias("lead"), "times", "class_size"))
+    # written, so that Spark can split the rows of a large class in the join
+    names = near.join(classes, "root").unionByName(classes.select(F.col("root").alias("node"), *classes.columns)).dropDuplicates(["node"]).drop("root")
+    return rows, common.written(names, "classes")
+
+
+def near_duplicates(docs: DataFrame, threshold: float = 0.8, blend: float = BLEND) -> DataFrame:
+    """One row per input row: doc_id, class_id (least doc_id of its class), class_size (rows), kept (one row of each class)."""
+    rows, names = _led(docs, near_classes(docs, threshold, blend))
+    rows = rows.select("doc_id", "node").join(names, "node", "left")
+    leads = F.isnull("lead") | F.col("doc_id").eqNullSafe(F.col("class_id")) & (F.col("node") == F.col("lead"))
+    out = [F.col("doc_id"), F.when(F.isnull("lead"), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"), F.coalesce("class_size", F.lit(1)).alias("class_size")]
+    if not names.where("times > 1").head(1):
+        return rows.select(*out, leads.alias("kept"))
+    # equal rows that lead their class: written with a number each, of which the least stays
+    tied = leads & F.coalesce(F.col("times") > 1, F.lit(False))
+    ties = common.written(rows.where(tied).withColumn("row", F.monotonically_increasing_id()), "near-ties")
+    first = ties.groupBy("node").agg(F.min("row").alias("row")).select("row", F.lit(True).alias("first"))
+    ties = ties.join(first, "row", "left").select(*out, F.coalesce("first", F.lit(False)).alias("kept"))
+    return rows.where(~tied).select(*out, leads.alias("kept")).unionByName(ties)
+
+
+def keep_one(docs: DataFrame, threshold: float = 0.8, blend: float = BLEND) -> DataFrame:
+    """The rows that stay, with all their columns: one of each class of near or equal texts."""
+    rows, names = _led(docs, near_classes(docs, threshold, blend))
+    kept = rows.join(names, "node", "left").where(F.isnull("lead") | F.col("doc_id").eqNullSafe(F.col("class_id")) & (F.col("node") == F.col("lead")))
+    if not names.where("times > 1").head(1):
+        return kept.select("row.*")
+    tied = F.coalesce(F.col("times") > 1, F.lit(False))
+    one = kept.where(tied).groupBy("node").agg(F.min_by("row", F.to_json("row")).alias("row"))
+    return kept.where(~tied).select("row").unionByName(one.select("row")).select("row.*")
 
 
 def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -370,6 +370,46 @@ def test_large_group_over_several_blocks(spark, monkeypatch):
     assert {frozenset(x) for x in got.values()} == classes_by_brute_force(docs)
 
 
+def test_one_stray_in_a_large_bucket_is_compared_with_all_of_it(spark, monkeypatch):
+    """All texts lie in one bucket of many blocks; one of them, in a component of its own after the first comparison, is near to another block's texts only."""
+
+    def one_bucket(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            n = len(batch)
+            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array([1] * n, pa.int64()), pa.array([[7]] * n, pa.list_(pa.int64()))], names=["node", "size", "bands"])
+
+    monkeypatch.setattr(near_dedup, "BLOCK", 6)
+    monkeypatch.setattr(near_dedup, "_signatures", lambda b, idf: one_bucket(b))
+    shipped, links = [], near_dedup._links
+    monkeypatch.setattr(near_dedup, "_links", lambda rows, *a: (shipped.append(rows.count()), links(rows, *a))[1])
+    base = [f"w{i}" for i in range(400)]
+    texts = [" ".join(base + [f"tail{k}"]) for k in range(60)] + [" ".join(base[40:] + [f"q{i}" for i in range(20)]), " ".join(f"z{i}" for i in range(300))]
+    classes = defaultdict(set)
+    for r in near_dedup.near_duplicates(frame(spark, texts)).collect():
+        classes[r.class_id].add(r.doc_id)
+    assert {frozenset(x) for x in classes.values()} == {frozenset(range(61)), frozenset([61])}
+    # the second comparison ships each member once, and the strays to each block
+    assert len(shipped) == 2 and shipped[1] <= len(texts) + 2 * 11
+
+
+def test_rare_shingles_have_the_largest_idf_at_any_size():
+    rng = np.random.default_rng(0)
+    small = near_dedup.smoothed_idf(np.where(rng.random(1 << 12) < 0.1, 1, 0), 1000, 0.15)
+    counts = rng.poisson(20_000, 1 << 12).astype(float)
+    counts[5] += 3_000_000
+    large = near_dedup.smoothed_idf(counts, 15_000_000, 0.15)
+    assert small.max() == pytest.approx(np.median(large), abs=0.02) and large[5] < 1.03
+
+
+def test_near_rows_of_one_id_keep_one(spark):
+    text = " ".join(f"word{i} thing{i * 7 % 90}" for i in range(300))
+    docs = spark.createDataFrame([(5, text), (5, text + " end"), (5, text + " fin"), (None, "u " * 40), (None, "u " * 40), (7, "other")], "doc_id long, text string")
+    got = near_dedup.near_duplicates(docs).collect()
+    assert sorted((r.class_size, r.kept) for r in got) == [(1, True), (2, False), (2, True), (3, False), (3, False), (3, True)]
+
+
 def test_near_stage_keeps_one_of_each_class(corpus):
     plain = exact_dedup.keep_one(corpus)
     kept = {r.doc_id for r in near_dedup.keep_one(plain).collect()}
