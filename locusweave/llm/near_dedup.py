@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import common, wordhash
-from .wordhash import SLICE_BYTES, U
+from .wordhash import U
 from .components import components
 
 SHINGLE = 5
@@ -74,21 +74,9 @@ def shingles(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return owner[at], h[at], np.diff(np.concatenate((at, [len(h)])))
 
 
-def _cuts(texts: list[bytes]) -> Iterator[tuple[int, int]]:
-    """Ranges of texts of at most SLICE_BYTES, or of one text."""
-    lo = total = 0
-    for i, t in enumerate(texts):
-        if i > lo and total + len(t) > SLICE_BYTES:
-            yield lo, i
-            lo, total = i, 0
-        total += len(t)
-    if lo < len(texts):
-        yield lo, len(texts)
-
-
 def _sliced(part: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
     texts = [t.lower().encode("utf-8", "surrogatepass") for t in part.column("text").to_pylist()]
-    for lo, hi in _cuts(texts):
+    for lo, hi in wordhash.cuts(texts):
         yield part.slice(lo, hi - lo), texts[lo:hi]
 
 
@@ -212,7 +200,7 @@ def _signatures(batches: Iterator[pa.RecordBatch], idf: np.ndarray) -> Iterator[
 
 def _tokens(texts: list[bytes], idf: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Text number, token and weight; a shingle that stands n times is n tokens, so that weighted sets become plain ones."""
-    parts = [(lo, *shingles(texts[lo:hi])) for lo, hi in _cuts(texts)]
+    parts = [(lo, *shingles(texts[lo:hi])) for lo, hi in wordhash.cuts(texts)]
     owner, h, tf = (np.concatenate(x) for x in zip(*((lo + o, h, n) for lo, o, h, n in parts)))
     repeat = np.arange(tf.sum()) - np.repeat(np.cumsum(tf) - tf, tf)
     w = idf[(h >> U(64 - DF_BITS)).astype(np.int64)].astype(np.float64)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -58,12 +59,25 @@ class Words:
         return mix((self.upto[ends] - self.upto[self.starts]) * self.inverse[self.starts])
 
 
-def words(texts: list[bytes]) -> Words:
+def words(texts: list[bytes], word_bytes: np.ndarray = WORD_BYTES) -> Words:
+    """Runs of ``word_bytes`` (a line feed is none)."""
     raw = np.frombuffer(b"\n".join([*texts, b""]), np.uint8)
     first = np.concatenate(([0], np.cumsum([len(t) + 1 for t in texts])))[:-1]
-    inside = WORD_BYTES[raw]
+    inside = word_bytes[raw]
     before = np.concatenate(([False], inside[:-1]))
     starts, ends = np.flatnonzero(inside & ~before), np.flatnonzero(before & ~inside)
     power, inverse = _powers(len(raw) + 1)
     upto = np.concatenate((np.zeros(1, U), np.cumsum((raw.astype(U) + U(1)) * power[: len(raw)])))
     return Words(np.searchsorted(first, starts, "right") - 1, starts, ends, upto, inverse)
+
+
+def cuts(texts: list) -> Iterator[tuple[int, int]]:
+    """Ranges of texts of at most SLICE_BYTES, or of one text."""
+    lo = total = 0
+    for i, t in enumerate(texts):
+        if i > lo and total + len(t) > SLICE_BYTES:
+            yield lo, i
+            lo, total = i, 0
+        total += len(t)
+    if lo < len(texts):
+        yield lo, len(texts)
