@@ -107,11 +107,11 @@ def test_disguises_next_to_punctuation(fitted, text):
 
 
 def test_look_alikes_at_the_end_and_runs_of_two():
-    d = toxicity.Decoder(np.zeros((64, 64, 64), np.float32))
+    d = toxicity.Decoder(toxicity.LanguageModel(np.zeros((64, 64, 64), np.float32)))
     texts = lambda t, spaced=False: [{x for x, _ in c} for c in d.lattice(t, spaced)]
     assert texts("scu3")[-1] == {"e", "", " "} and texts("tr@$")[-1] == {"s", "", " "} and texts("naz!")[-1] == {"i", "", " "}
     assert texts("mmx0")[0] == {"mm", "m"} and texts("b00k")[1] == {"oo", "o", "", " "}
-    assert texts("1 d", True)[0] == {"i", "l", "", " "} and texts("s * m", True)[2] == {*"aeiou", "", " "}
+    assert texts("1 d", True)[0] == {"i", "l", "", " "} and texts("s * m", True)[2] == {*"aeiou", "", " "} and texts("m*r", True)[1] == {*"aeiou", "", " "}
     assert toxicity.MARKED.findall("a scu3 naz! \"$cum\"") == ["scu3", "naz!", "$cum\""]
 
 
@@ -121,6 +121,32 @@ def test_punctuation_and_numbers_stay_apart(fitted, text):
     assert re.findall("[a-z]+", toxicity.Decoder(fitted[0]).restore(text)) == words
 
 
+@pytest.mark.parametrize("text,want", [("you 1 d 1 0 t", "you idiot"), ("an i d 1 o t", "an idiot"), ("i  d  i  o  t", "idiot"), ("you id iot man", "you idiot man"), ("s t u p 1 d", "stupid"), ("mo ron and id iot", "moron and idiot"), ("a m 0 r 0 n", "a moron")])
+def test_combined_disguises(spark, text, want):
+    lm = toxicity.language_model(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"))
+    assert toxicity.Decoder(lm).restore(text) == want
+
+
+def test_fragments_are_joined_by_the_best_path(fitted):
+    """The choice at each space against the probabilities of both readings."""
+    d = toxicity.Decoder(fitted[0])
+    lp, known = d.model.logp, d.model.known
+
+    def logp(text):
+        x = y = 0
+        total = 0.0
+        for c in text + " ":
+            s = d._symbol(c)
+            total += lp[x][y][s] if s or y else 0
+            x, y = y, s
+        return total
+
+    rare = lambda w: not known[int(toxicity.wordhash.words([w.encode()]).hashes()[0] >> np.uint64(64 - toxicity.KNOWN_BITS))]
+    for a, b in (("id", "iot"), ("mo", "ron"), ("sc", "um"), ("qx", "zv"), ("the", "iot"), ("idi", "ot"), ("wh", "zat")):
+        want = rare(a) and rare(b) and logp(a + b) - logp(f"{a} {b}") > toxicity.JOIN
+        assert d.joined([f"{a} {b}".encode(), b"", b"x"]) == [f"{a}{'' if want else ' '}{b}".encode(), b"", b"x"]
+
+
 def test_batches_restore_like_single_texts(fitted, corpus):
     texts = [r.text for r in corpus.select("text").limit(80).collect()] + ["i d i o t", "x 1d10t", "aaaa", "", "a.b.c"]
     d = toxicity.Decoder(fitted[0])
@@ -166,6 +192,27 @@ def test_labels_of_held_out_rows_change_nothing(spark, corpus, marks):
     assert a == b
 
 
+def test_scores_by_brute_force(corpus, marks, fitted):
+    """Evidence and score of each text from its words, one by one."""
+    lm, model = fitted
+    if model is None or not len(model.features):
+        pytest.skip("no lexicon in the smallest table")
+    d = toxicity.Decoder(lm)
+    bound = dict(zip(model.features.tolist(), model.bounds.tolist()))
+    texts = [r.text or "" for r in corpus.select("text").collect()]
+    got = model.scores(d.restored(texts))
+    for t, score in zip(texts, got):
+        best = {}
+        for w in re.findall(rb"[0-9a-z\x80-\xff]+", d.restore(t).encode()):
+            _, hashes = toxicity.word_features([w])
+            e = max(bound.get(int(h[0]), 0) for h in hashes)
+            if e:
+                best[w] = e
+        top = sorted(best.values(), reverse=True)[:2] + [0, 0]
+        z = model.weights @ [1, top[0], top[1], np.log1p(len(best))]
+        assert score == pytest.approx(1 / (1 + np.exp(-z)), abs=1e-9)
+
+
 # 2
 
 
