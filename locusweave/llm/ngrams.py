@@ -33,7 +33,8 @@ def code_points(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
 def subwords(codes: np.ndarray, letters: np.ndarray, sizes: tuple[int, ...], buckets: int) -> list[tuple[np.ndarray, np.ndarray]]:
     """For each size, the bucket of the n-gram at each position and whether it lies in one word.
 
-    Every character that isn't a letter is the same boundary; an n-gram may begin and end with a boundary, not hold one inside.
+    Every character that isn't a letter is the same boundary; an n-gram may begin and end with a boundary, not hold one inside. None begins with
+    the 0 that closes a text, as it would be one of the next text.
     """
     letter = letters[codes]
     symbol = np.where(letter, codes, 32).astype(np.uint32)
@@ -52,5 +53,6 @@ def subwords(codes: np.ndarray, letters: np.ndarray, sizes: tuple[int, ...], buc
         inside = letter[1 : 1 + m].copy() if n > 2 else letter[:m] | (letter[1 : 1 + m] if n == 2 else False)
         for k in range(2, n - 1):
             inside &= letter[k : k + m]
+        inside &= codes[:m] != 0
         out.append(((h & np.uint32(buckets - 1)).astype(np.int32), inside))
     return out
