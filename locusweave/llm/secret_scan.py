@@ -38,7 +38,9 @@ ENDPOINT = re.compile(r"\b[a-z][a-z0-9+.-]{1,15}://[^\s\"'<>]{4,}", re.ASCII)
 WEAK = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}={0,2}(?![A-Za-z0-9+/_=-])")
 BLANK_LINE = re.compile(r"\n[ \t\r]*\n")
 
-OUT = "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string, n_linked long, score double"
+OUT = "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string, n_linked long, score double, links string"
+#: Kinds of complementary parts.
+PARTS = ("access", "endpoint", "identifier")
 
 
 def _mixed(token: str) -> bool:
@@ -61,16 +63,20 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(found)
 
 
-def linked_spans(text: str, base: list[tuple[int, int, int]], reach: int | None = None) -> list[tuple[int, int, int]]:
-    """Weak candidates outside the base spans that have a complementary part in the same scope, within ``reach`` if that is given."""
-    parts = [(start, end) for start, kind, end in base if kind == 1]
-    parts += [m.span() for m in ENDPOINT.finditer(text)] if "://" in text else []
-    parts += [m.span() for m in IDENTIFIER.finditer(text)] if "=" in text or ":" in text else []
+def linked_parts(text: str, base: list[tuple[int, int, int]], reach: int | None = None) -> list[tuple[int, int, tuple[int, int, int]]]:
+    """Weak candidates outside the base spans that have a complementary part in the same scope, within ``reach`` if that is given.
+
+    (start, end, part): the part is the nearest one, the earlier of two as near, as (kind, start, end) with the place of its kind in ``PARTS``.
+    """
+    ends_at = [m.span() for m in ENDPOINT.finditer(text)] if "://" in text else []
+    parts = [(0, start, end) for start, kind, end in base if kind == 1] + [(1, *span) for span in ends_at]
+    parts += [(2, *m.span()) for m in IDENTIFIER.finditer(text)] if "=" in text or ":" in text else []
     if not parts:
         return []
-    starts, ends = sorted(p[0] for p in parts), sorted(p[1] for p in parts)
+    by_start, by_end = sorted(parts, key=lambda p: (p[1], p)), sorted(parts, key=lambda p: (p[2], p))
+    starts, ends = [p[1] for p in by_start], [p[2] for p in by_end]
     walls = [m.start() for m in BLANK_LINE.finditer(text)]
-    taken = sorted([(s, e) for s, _, e in base] + [m.span() for m in ENDPOINT.finditer(text)])
+    taken = sorted([(s, e) for s, _, e in base] + ends_at)
     taken_starts = [t[0] for t in taken]
     taken_ends, furthest = [], -1
     for t in taken:
@@ -89,11 +95,18 @@ def linked_spans(text: str, base: list[tuple[int, int, int]], reach: int | None
             lo, hi = max(start - reach, lo), min(end + reach, hi)
         # joined if a part ends after lo and not after the candidate's start, or starts before hi and not before its end
         i, j = bisect_right(ends, start), bisect_left(starts, end)
-        if i and ends[i - 1] > lo or j < len(starts) and starts[j] < hi:
-            found.append((start, 3, end))
+        near = [(start - ends[i - 1], by_end[i - 1])] if i and ends[i - 1] > lo else []
+        near += [(starts[j] - end, by_start[j])] if j < len(starts) and starts[j] < hi else []
+        if near:
+            found.append((start, end, min(near, key=lambda n: n[0])[1]))
     return found
 
 
+def linked_spans(text: str, base: list[tuple[int, int, int]], reach: int | None = None) -> list[tuple[int, int, int]]:
+    """(start, rank of kind, end) of the linked candidates."""
+    return [(start, 3, end) for start, end, _ in linked_parts(text, base, reach)]
+
+
 def _joined(spans: list[tuple[int, int, int]]) -> str:
     return ",".join(f"{KINDS[k]}:{s}:{e}" for s, k, e in spans)
 
@@ -104,18 +117,20 @@ def _scan(batches: Iterator[pa.RecordBatch], reach: int | None) -> Iterator[pa.R
             rows = []
             for text in part.column("text").to_pylist():
                 base = base_spans(text)
-                linked = linked_spans(text, base, reach)
+                pairs = linked_parts(text, base, reach)
+                linked = [(start, 3, end) for start, end, _ in pairs]
+                links = ",".join(f"linked:{s}:{e}>{PARTS[k]}:{a}:{b}" for s, e, (k, a, b) in pairs)
                 n = Counter(kind for _, kind, _ in base)
-                rows.append((n[0], n[1], n[2], hashlib.sha256(_joined(base).encode()).hexdigest(), _joined(sorted(base + linked)), len(linked), 1.0 if base else 0.6 if linked else 0.0))
-            kinds = (pa.int64(),) * 3 + (pa.string(),) * 2 + (pa.int64(), pa.float64())
+                rows.append((n[0], n[1], n[2], hashlib.sha256(_joined(base).encode()).hexdigest(), _joined(sorted(base + linked)), len(linked), 1.0 if base else 0.6 if linked else 0.0, links))
+            kinds = (pa.int64(),) * 3 + (pa.string(),) * 2 + (pa.int64(), pa.float64(), pa.string())
             yield pa.RecordBatch.from_arrays(
                 [part.column("doc_id"), *(pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds))],
-                names=["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_linked", "score"],
+                names=["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_linked", "score", "links"],
             )
 
 
 def scan(docs: DataFrame, reach: int | None = None) -> DataFrame:
-    """One row per input row; ``spans`` holds base and linked spans as ``kind:start:end``, by start."""
+    """One row per input row; ``spans`` holds base and linked spans as ``kind:start:end``, by start; ``links`` each linked span with the nearest part, as ``linked:start:end>kind:start:end``."""
     base = common.small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), common.whole_text().alias("text"))
     return base.mapInArrow(lambda batches: _scan(batches, reach), OUT)
 
