@@ -84,12 +84,22 @@ def harmonize_dosage(genotype: DataFrame, plan: DataFrame | None) -> DataFrame:
     )
 
 
-def maf_correction(genotype: DataFrame, source: str = "data_type") -> DataFrame:
+def with_source(genotype: DataFrame, samples: DataFrame) -> DataFrame:
+    """Genotypes with the ancestry whose file a sample's calls lie in, as ``source``, where the path doesn't tell it."""
+    label = s.ancestry("data_type", "nba_label", "wgs_label")
+    return genotype.join(samples.select("sample_id", "nba_label", "wgs_label"), "sample_id", "left").withColumn("source", F.coalesce(label, F.lit("Unknown"))).select(*genotype.columns, "source")
+
+
+def maf_correction(genotype: DataFrame, *sources: str) -> DataFrame:
     """Turn variants around whose allele frequency in their source is over one half.
 
+    A source is a file: one value of each column in ``sources``, by default of those of data_type and source (the ancestry) that are there. Sources are corrected each by itself, so one
+    ancestry of a variant may be turned and another not.
+
     The frequencies are an aggregate of one row per variant that is joined back, so no window has to hold all samples of a variant.
     """
-    keys = [source, "variant_id", "snp_list_id", "counted_allele", "alt_allele"]
+    sources = sources or tuple(c for c in ("data_type", "source") if c in genotype.columns)
+    keys = [*sources, "variant_id", "snp_list_id", "counted_allele", "alt_allele"]
     af = genotype.groupBy(*keys).agg((F.avg("dosage") / 2).alias("original_alt_af"))
     flip = F.coalesce(F.col("original_alt_af") > 0.5, F.lit(False))
     out = genotype.join(af, keys)
@@ -103,10 +113,11 @@ def maf_correction(genotype: DataFrame, source: str = "data_type") -> DataFrame:
     )
 
 
-def merge_sources(genotype: DataFrame, order: str, keys: list[str] | None = None) -> DataFrame:
-    """One row per key and sample: the first non-null dosage by ``order``."""
+def merge_sources(genotype: DataFrame, order: str, keys: list[str] | None = None, *metadata: str) -> DataFrame:
+    """One row per key and sample: the first non-null dosage, and the first non-null value of each ``metadata`` column, by ``order``."""
     keys = [*(keys or KEYS), "sample_id"]
-    return genotype.groupBy(*keys).agg(F.min_by("dosage", F.when(F.col("dosage").isNotNull(), F.col(order))).alias("dosage"))
+    first = lambda c: F.min_by(c, F.when(F.col(c).isNotNull(), F.col(order))).alias(c)
+    return genotype.groupBy(*keys).agg(first("dosage"), *map(first, metadata))
 
 
 def first_per_key(df: DataFrame, keys: list[str], *order: str | Column) -> DataFrame:

@@ -2,33 +2,31 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from locusweave.functions import sites as s
-from locusweave.operators import alleles
 
 
-def probe_grid(nba: DataFrame, wgs: DataFrame, least_probes: int = 1) -> DataFrame:
-    """Each probe with the first WGS variant of its list row, over all samples that both sources have; missing calls count as 0.
+def probe_grid(genotype: DataFrame, least_probes: int = 1) -> DataFrame:
+    """Each NBA probe with the first WGS variant of its list row, over all samples that both sources have; missing calls count as 0.
 
-    The full grid is needed, as a missing call counts; it is built per probe from the shared samples, and only for
-    list rows with ``least_probes`` probes or more.
+    ``genotype`` holds the rows of both sources (data_type NBA and WGS); it is read three times, so a stored table is best. Only calls of either
+    source are gathered, for list rows with ``least_probes`` probes or more; samples with none are counted by difference in the metrics.
     """
-    shared = nba.select("sample_id").distinct().join(wgs.select("sample_id").distinct(), "sample_id", "left_semi")
-    probes = nba.select("snp_list_id", "variant_id").distinct()
-    enough = probes.groupBy("snp_list_id").agg(F.count(F.lit(1)).alias("n_probes")).where(F.col("n_probes") >= least_probes)
-    truth = wgs.groupBy("snp_list_id").agg(F.min("variant_id").alias("wgs_variant_id"))
-    pairs = probes.join(enough, "snp_list_id").join(truth, "snp_list_id")
-    # samples of a probe with a call in either source; samples with none are counted by difference in the metrics
-    a = nba.select("snp_list_id", "variant_id", "sample_id", F.coalesce("dosage", F.lit(0.0)).cast("int").alias("nba"))
-    b = wgs.select(F.col("variant_id").alias("wgs_variant_id"), "snp_list_id", "sample_id", F.coalesce("dosage", F.lit(0.0)).cast("int").alias("wgs"))
-    a = pairs.join(a, ["snp_list_id", "variant_id"]).select("snp_list_id", "variant_id", "sample_id", "nba", F.lit(0).alias("wgs"))
-    b = pairs.join(b, ["snp_list_id", "wgs_variant_id"]).select("snp_list_id", "variant_id", "sample_id", F.lit(0).alias("nba"), "wgs")
-    both = a.unionByName(b).join(shared, "sample_id", "left_semi")
-    called = both.groupBy("snp_list_id", "variant_id", "sample_id").agg(F.max("nba").alias("nba"), F.max("wgs").alias("wgs"))
+    rows = genotype.where(F.col("data_type").isin("NBA", "WGS")).withColumn("array", F.col("data_type") == "NBA")
+    shared = rows.groupBy("sample_id").agg(F.bool_or("array").alias("a"), F.bool_or(~F.col("array")).alias("b")).where("a AND b").select("sample_id")
+    named = rows.select("snp_list_id", "array", "variant_id").distinct()
+    # a list row has a handful of probes
+    plan = named.groupBy("snp_list_id").agg(F.collect_set(F.when(F.col("array"), F.col("variant_id"))).alias("probes"), F.min(F.when(~F.col("array"), F.col("variant_id"))).alias("truth"))
+    plan = plan.withColumn("n_probes", F.size("probes").cast("long")).where((F.col("n_probes") >= least_probes) & (F.col("n_probes") > 0) & F.col("truth").isNotNull())
+    d = F.coalesce("dosage", F.lit(0.0)).cast("int")
+    calls = rows.join(plan, "snp_list_id").where(F.col("array") | (F.col("variant_id") == F.col("truth")))
+    calls = calls.select("snp_list_id", F.explode(F.when(F.col("array"), F.array("variant_id")).otherwise(F.col("probes"))).alias("variant_id"), "sample_id", F.when(F.col("array"), d).otherwise(0).alias("nba"), F.when(F.col("array"), 0).otherwise(d).alias("wgs"))
+    called = calls.join(shared, "sample_id", "left_semi").groupBy("snp_list_id", "variant_id", "sample_id").agg(F.max("nba").alias("nba"), F.max("wgs").alias("wgs"))
     n = shared.agg(F.count(F.lit(1))).scalar()
-    return pairs.select("snp_list_id", "variant_id", "n_probes").join(called, ["snp_list_id", "variant_id"], "left").withColumn("shared", n)
+    pairs = plan.select("snp_list_id", F.explode("probes").alias("variant_id"), "n_probes")
+    return pairs.join(called, ["snp_list_id", "variant_id"], "left").withColumn("shared", n)
 
 
 def probe_metrics(grid: DataFrame) -> DataFrame:
@@ -66,27 +64,43 @@ def _graded(*steps: tuple[Column, float], rest: float = 0.6) -> Column:
     return out.otherwise(rest)
 
 
+def ranked(metrics: DataFrame) -> DataFrame:
+    """By list row, in one aggregate, the best probe of each ranking with its metrics: by sensitivity, then specificity (``d``); by overall concordance, then
+    sensitivity (``c``); then by id."""
+    probe = F.struct("variant_id", "sensitivity", "specificity", "overall_concordance")
+    first = lambda *by: F.min_by(probe, F.struct(*((-F.col(c)).alias(c) for c in by), "variant_id"))
+    return metrics.groupBy("snp_list_id").agg(first("sensitivity", "specificity").alias("d"), first("overall_concordance", "sensitivity").alias("c"), F.max("n_probes").alias("n_probes"))
+
+
+def _diagnostic(sensitivity: float = 0.8, specificity: float = 0.95) -> list[Column]:
+    good = F.col("d.sensitivity") >= sensitivity
+    confidence = _graded((good & (F.col("d.specificity") >= specificity), 0.95), (good, 0.8))
+    text = F.format_string("sensitivity %.3f, specificity %.3f", "d.sensitivity", "d.specificity")
+    return [F.col("d.variant_id").alias("diagnostic_choice"), confidence.alias("diagnostic_confidence"), text.alias("diagnostic_rationale")]
+
+
+def _concordance(high: float = 0.9, fair: float = 0.85) -> list[Column]:
+    confidence = _graded((F.col("c.overall_concordance") >= high, 0.95), (F.col("c.overall_concordance") >= fair, 0.8))
+    text = F.format_string("concordance %.3f, carrier sensitivity %.3f", "c.overall_concordance", "c.sensitivity")
+    return [F.col("c.variant_id").alias("concordance_choice"), confidence.alias("concordance_confidence"), text.alias("concordance_rationale")]
+
+
 def rank_diagnostic(metrics: DataFrame, sensitivity: float = 0.8, specificity: float = 0.95) -> DataFrame:
     """Best probe by sensitivity, then specificity, then id, with a confidence."""
-    best = alleles.first_per_key(metrics, ["snp_list_id"], F.desc("sensitivity"), F.desc("specificity"), "variant_id")
-    good = F.col("sensitivity") >= sensitivity
-    confidence = _graded((good & (F.col("specificity") >= specificity), 0.95), (good, 0.8))
-    text = F.format_string("sensitivity %.3f, specificity %.3f", "sensitivity", "specificity")
-    return best.select("snp_list_id", F.col("variant_id").alias("diagnostic_choice"), confidence.alias("diagnostic_confidence"), text.alias("diagnostic_rationale"), "n_probes")
+    return ranked(metrics).select("snp_list_id", *_diagnostic(sensitivity, specificity), "n_probes")
 
 
 def rank_concordance(metrics: DataFrame, high: float = 0.9, fair: float = 0.85) -> DataFrame:
     """Best probe by overall concordance, then carrier sensitivity, then id, with a confidence."""
-    best = alleles.first_per_key(metrics, ["snp_list_id"], F.desc("overall_concordance"), F.desc("sensitivity"), "variant_id")
-    confidence = _graded((F.col("overall_concordance") >= high, 0.95), (F.col("overall_concordance") >= fair, 0.8))
-    text = F.format_string("concordance %.3f, carrier sensitivity %.3f", "overall_concordance", "sensitivity")
-    return best.select("snp_list_id", F.col("variant_id").alias("concordance_choice"), confidence.alias("concordance_confidence"), text.alias("concordance_rationale"))
+    return ranked(metrics).select("snp_list_id", *_concordance(high, fair))
 
 
 def consensus(metrics: DataFrame) -> DataFrame:
-    """Where both rankings agree, that probe with their mean confidence; else none. List rows with one probe aren't ranked."""
-    several = metrics.where("n_probes > 1")
-    both = rank_diagnostic(several).join(rank_concordance(several), "snp_list_id")
+    """Where both rankings agree, that probe with their mean confidence; else none. List rows with one probe aren't ranked.
+
+    ``d`` and ``c`` keep the metrics of both choices.
+    """
+    both = ranked(metrics.where("n_probes > 1")).select("snp_list_id", *_diagnostic(), "n_probes", *_concordance(), "d", "c")
     agree = F.col("diagnostic_choice") == F.col("concordance_choice")
     return both.withColumns(
         {
@@ -97,19 +111,16 @@ def consensus(metrics: DataFrame) -> DataFrame:
     )
 
 
-def disagreement_reason(choices: DataFrame, metrics: DataFrame) -> DataFrame:
+def disagreement_reason(choices: DataFrame) -> DataFrame:
     """Why the rankings differ."""
-    m = metrics.select("variant_id", "snp_list_id", "sensitivity", "specificity", "overall_concordance")
-    named = lambda p: m.select("snp_list_id", F.col("variant_id").alias(f"{p}_choice"), *(F.col(c).alias(f"{p[0]}_{c}") for c in ("sensitivity", "specificity", "overall_concordance")))
-    rows = choices.where("NOT agree").join(named("diagnostic"), ["snp_list_id", "diagnostic_choice"]).join(named("concordance"), ["snp_list_id", "concordance_choice"])
-    ds, cs, dp, cp, dc, cc = (F.col(c) for c in ("d_sensitivity", "c_sensitivity", "d_specificity", "c_specificity", "d_overall_concordance", "c_overall_concordance"))
+    ds, cs, dp, cp, dc, cc = (F.col(f"{p}.{m}") for m in ("sensitivity", "specificity", "overall_concordance") for p in "dc")
     reason = (
         F.when((ds > cs) & (dc < cc), "sensitivity against accuracy")
         .when((dp > cp) & (dc < cc), "specificity against accuracy")
         .when((F.abs(ds - cs) < 0.05) & (F.abs(dc - cc) < 0.05), "similar")
         .otherwise("mixed")
     )
-    return rows.select("snp_list_id", "diagnostic_choice", "concordance_choice", reason.alias("reason"))
+    return choices.where("NOT agree").select("snp_list_id", "diagnostic_choice", "concordance_choice", reason.alias("reason"))
 
 
 def selection_map(choices: DataFrame) -> DataFrame:

@@ -19,7 +19,7 @@ def carriers(genotype: DataFrame, snp_list: DataFrame, samples: DataFrame, visit
 
     Carriers are filtered first, as they are rare; the list and the sample key are joined to what is left.
     """
-    out = genotype.where(alleles.is_carrier()).join(snp_list.select("snp_list_id", "gene", "moi"), "snp_list_id", "left").join(samples, "sample_id", "left")
+    out = genotype.where(alleles.is_carrier()).join(snp_list.select("snp_list_id", "gene", "moi", *(c for c in METADATA if c in snp_list.columns)), "snp_list_id", "left").join(samples, "sample_id", "left")
     out = out.withColumn("ancestry", s.ancestry("data_type", "nba_label", "wgs_label"))
     return out if visits is None else out.join(baseline(visits).drop("phenotype"), "sample_id", "left")
 
@@ -46,20 +46,35 @@ def _measures(strict: bool = True) -> list[Column]:
 ROW_ORDER = ["data_type", "variant_id", "snp_list_id"]
 
 
+#: What the measures read of a row.
+MEASURED = ["extended_clinical_data", "hoehn_and_yahr_stage", "moca_total_score", "dat_sbr_caudate_mean", "age_at_sample_collection", "age_of_onset"]
+
+
+def _once(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Of each sample in a group the first row by ROW_ORDER, as ``row``; combined in the map tasks. ``rows`` may have such rows or plain ones."""
+    row = F.col("row") if "row" in rows.columns else F.struct(F.struct(*ROW_ORDER).alias("order"), *MEASURED)
+    order = F.col("row.order") if "row" in rows.columns else F.struct(*ROW_ORDER)
+    return rows.groupBy(*keys, "sample_id").agg(F.min_by(row, order).alias("row"))
+
+
 def locus_metrics(carrier_rows: DataFrame, total: bool = False) -> DataFrame:
     """Measures by gene and ancestry over different samples; with ``total`` by gene over all ancestries, null ones included.
 
     The total isn't the sum of the ancestries: a sample counts once in it.
     """
     keys = ["gene"] if total else ["gene", "ancestry"]
-    rows = carrier_rows.dropna(subset=keys)
-    once = alleles.first_per_key(rows, [*keys, "sample_id"], *ROW_ORDER)
-    out = once.groupBy(*keys).agg(*_measures())
+    return _measured(_once(carrier_rows.dropna(subset=keys), keys), total)
+
+
+def _measured(once: DataFrame, total: bool) -> DataFrame:
+    out = once.select(*(c for c in once.columns if c != "row"), "row.*").groupBy("gene" if total else ["gene", "ancestry"]).agg(*_measures())
     return out.withColumn("ancestry", F.lit("TOTAL")) if total else out
 
 
 def locus_report(carrier_rows: DataFrame) -> DataFrame:
-    return locus_metrics(carrier_rows).unionByName(locus_metrics(carrier_rows, total=True))
+    """By ancestry and in total. The rows are reduced to one for each gene, ancestry and sample once, and the total is made from these."""
+    once = _once(carrier_rows.dropna(subset=["gene"]), ["gene", "ancestry"])
+    return _measured(once.dropna(subset=["ancestry"]), False).unionByName(_measured(_once(once, ["gene"]), True))
 
 
 def locus_grouping_sets(carrier_rows: DataFrame) -> DataFrame:
@@ -111,22 +126,36 @@ def data_type_label(carrier_rows: DataFrame) -> DataFrame:
     return carrier_rows.join(kinds, keys)
 
 
+def by_list_row(carrier_rows: DataFrame, wgs_samples: DataFrame) -> DataFrame:
+    """One row per sample and list row, in one aggregate: the first of its rows (NBA before WGS), its sources, and whether the sample has WGS data (``in_wgs``)."""
+    keys = ["sample_id", "snp_list_id"]
+    row = F.struct(*(c for c in carrier_rows.columns if c not in keys))
+    kind = lambda name: F.bool_or(F.col("data_type") == name)
+    out = carrier_rows.groupBy(*keys).agg(F.min_by(row, F.struct("data_type", "variant_id")).alias("row"), F.array_join(F.array_sort(F.collect_set("data_type")), ", ").alias("data_types"), kind("WGS").alias("has_wgs"), kind("NBA").alias("has_nba"))
+    return out.select(*keys, "row.*", "data_types", "has_wgs", "has_nba").join(wgs_samples.select("sample_id").distinct().withColumn("in_wgs", F.lit(True)), "sample_id", "left")
+
+
 def variant_report(carrier_rows: DataFrame, wgs_samples: DataFrame) -> DataFrame:
-    """One row per sample and list row, NBA before WGS, with zygosity, biallelic flag, WGS validation and concordance.
+    """One row per sample and list row, NBA before WGS, with zygosity, biallelic flag, WGS validation and concordance, and what metadata the rows have.
 
     ``wgs_samples`` holds the sample_id of everyone with WGS data, carrier or not.
     """
-    keys = ["sample_id", "snp_list_id"]
-    kinds = carrier_rows.groupBy(*keys).agg(F.array_join(F.array_sort(F.collect_set("data_type")), ", ").alias("data_types"), F.max((F.col("data_type") == "WGS").cast("int")).alias("__w"), F.max((F.col("data_type") == "NBA").cast("int")).alias("__n"))
-    report = alleles.first_per_key(carrier_rows, keys, "data_type", "variant_id").join(kinds, keys)
-    cohort = wgs_samples.select("sample_id").distinct().withColumn("__cohort", F.lit(True))
-    report = report.join(cohort, "sample_id", "left").withColumn("zygosity", s.zygosity("dosage"))
-    applies = F.col("__cohort").isNotNull() & (F.col("data_types") != "WGS")
-    report = report.withColumn("validated_by_wgs", F.when(applies, (F.col("__w") == 1) & (F.col("__n") == 1)))
-    report = biallelic(report)
-    report = report.join(wgs_concordance(carrier_rows, wgs_samples), "snp_list_id", "left")
+    once = by_list_row(carrier_rows, wgs_samples)
+    applies = F.col("in_wgs").isNotNull() & (F.col("data_types") != "WGS")
+    report = once.withColumn("zygosity", s.zygosity("dosage")).withColumn("validated_by_wgs", F.when(applies, F.col("has_wgs") & F.col("has_nba")))
+    report = biallelic(report).join(_concordance(once), "snp_list_id", "left")
     probe = F.when(F.col("data_type") == "NBA", F.col("variant_id")).otherwise("")
-    return report.select("sample_id", "ancestry", "gene", "snp_list_id", probe.alias("nba_probe_name"), "zygosity", "moi", F.col("data_types").alias("data_type"), "potential_biallelic", "validated_by_wgs", "wgs_carrier_concordance")
+    more = [c for c in METADATA if c in carrier_rows.columns]
+    return report.select("sample_id", "ancestry", "gene", "snp_list_id", probe.alias("nba_probe_name"), "zygosity", "moi", F.col("data_types").alias("data_type"), "potential_biallelic", "validated_by_wgs", "wgs_carrier_concordance", *more)
+
+
+#: Columns of the variant list that a report carries on where the list has them.
+METADATA = ["hg38", "aa_change", "rsid", "pathogenicity", "pathogenicity_source", "variant_interpretation"]
+
+
+def _concordance(once: DataFrame) -> DataFrame:
+    both = F.when(F.col("has_wgs"), 1).otherwise(0)
+    return once.where("has_nba AND in_wgs").groupBy("snp_list_id").agg((F.sum(both) / F.count(F.lit(1))).alias("wgs_carrier_concordance"))
 
 
 def biallelic(report: DataFrame) -> DataFrame:
@@ -139,10 +168,7 @@ def biallelic(report: DataFrame) -> DataFrame:
 
 def wgs_concordance(carrier_rows: DataFrame, wgs_samples: DataFrame) -> DataFrame:
     """By list row, the share of NBA carriers with WGS data who are WGS carriers."""
-    ids = ["snp_list_id", "sample_id"]
-    nba = carrier_rows.where("data_type = 'NBA'").select(*ids).distinct().join(wgs_samples.select("sample_id").distinct(), "sample_id", "left_semi")
-    wgs = carrier_rows.where("data_type = 'WGS'").select(*ids).distinct().withColumn("__yes", F.lit(1))
-    return nba.join(wgs, ids, "left").groupBy("snp_list_id").agg((F.count("__yes") / F.count(F.lit(1))).alias("wgs_carrier_concordance"))
+    return _concordance(by_list_row(carrier_rows, wgs_samples))
 
 
 def report_sort(report: DataFrame) -> DataFrame:

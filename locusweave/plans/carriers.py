@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 
 from locusweave.operators import alleles, coverage, probes, reports
+from locusweave.sources.shared import stored
 
 
 def corrected_genotypes(genotype: DataFrame, pvar: DataFrame, snp_list: DataFrame) -> DataFrame:
@@ -16,7 +17,7 @@ def corrected_genotypes(genotype: DataFrame, pvar: DataFrame, snp_list: DataFram
 
 @dataclass
 class Screening:
-    """Results of a screening; every part is lazy."""
+    """Results of a screening; reports are lazy, over written genotypes and carriers."""
 
     genotype: DataFrame
     carriers: DataFrame
@@ -26,25 +27,23 @@ class Screening:
     probe_selection: DataFrame | None
 
 
-def screen(genotype: DataFrame, pvar: DataFrame, snp_list: DataFrame, samples: DataFrame, visits: DataFrame, select_probes: bool = True) -> Screening:
-    """The whole screening. With probe selection, NBA rows are kept for the probes that agree best with WGS."""
-    merged = corrected_genotypes(genotype, pvar, snp_list)
-    chosen = None
+def screen(genotype: DataFrame, pvar: DataFrame, snp_list: DataFrame, samples: DataFrame, visits: DataFrame, select_probes: bool = True, merged: DataFrame | None = None) -> Screening:
+    """The whole screening. With probe selection, NBA rows are kept for the probes that agree best with WGS.
+
+    The corrected genotypes are written once, by source, and everything after them reads that table; so are the carriers. ``merged`` is such a table of an earlier run,
+    which skips harmonization and correction.
+    """
+    if merged is None:
+        genotype = genotype if "source" in genotype.columns else alleles.with_source(genotype, samples)
+        merged = stored(corrected_genotypes(genotype, pvar, snp_list), "genotypes", "data_type")
+    chosen, kept = None, merged
     if select_probes:
-        grid = probes.probe_grid(merged.where("data_type = 'NBA'"), merged.where("data_type = 'WGS'"), least_probes=2)
-        chosen = probes.selection_map(probes.consensus(probes.probe_metrics(grid)))
+        chosen = stored(probes.selection_map(probes.consensus(probes.probe_metrics(probes.probe_grid(merged, least_probes=2)))), "probes")
         rest = merged.where("data_type <> 'NBA'")
-        merged = probes.probe_filter(merged.where("data_type = 'NBA'"), chosen).select(*rest.columns).unionByName(rest)
-    rows = reports.carriers(merged, snp_list, samples, visits)
-    wgs = genotype.where("data_type = 'WGS'").select("sample_id").distinct()
-    return Screening(
-        merged,
-        rows,
-        reports.locus_report(rows),
-        reports.variant_report(reports.carriers(merged, snp_list, samples), wgs),
-        coverage.coverage_by_variant(snp_list, {"array": pvar}),
-        chosen,
-    )
+        kept = probes.probe_filter(merged.where("data_type = 'NBA'"), chosen).select(*rest.columns).unionByName(rest)
+    rows = stored(reports.carriers(kept, snp_list, samples, visits), "carriers")
+    wgs = merged.where("data_type = 'WGS'").select("sample_id").distinct()
+    return Screening(kept, rows, reports.locus_report(rows), reports.variant_report(rows, wgs), coverage.coverage_by_variant(snp_list, {"array": pvar}), chosen)
 
 
 def comparison(rows: DataFrame, reference: str, other: str) -> DataFrame:

@@ -10,6 +10,7 @@ from locusweave.operators import alleles, coverage, frequencies, probes, reports
 from locusweave.plans import carriers
 from locusweave.plans.registry import query
 from locusweave.sources.fixtures import Fixtures
+from locusweave.sources.shared import stored
 
 
 def matches(fx: Fixtures) -> DataFrame:
@@ -17,11 +18,12 @@ def matches(fx: Fixtures) -> DataFrame:
 
 
 def dosages(fx: Fixtures) -> DataFrame:
-    return alleles.harmonize_dosage(fx.gt, matches(fx))
+    return alleles.harmonize_dosage(alleles.with_source(fx.gt, fx.sample), matches(fx))
 
 
 def corrected(fx: Fixtures) -> DataFrame:
-    return carriers.corrected_genotypes(fx.gt, fx.pvar, fx.snp_list)
+    """By file, so by source and ancestry."""
+    return carriers.corrected_genotypes(alleles.with_source(fx.gt, fx.sample), fx.pvar, fx.snp_list)
 
 
 def carrier_rows(fx: Fixtures, clinical: bool = False) -> DataFrame:
@@ -93,9 +95,11 @@ def chromosome_rank(fx):
     return fx.pvar.select("variant_id", s.chromosome_rank("chromosome").alias("rank"), "position")
 
 
-@query("unique_positions", "SELECT variant_id, chromosome, position FROM (SELECT *, count(*) OVER (PARTITION BY chromosome, position) AS n FROM fx_pvar WHERE CAST(substr(variant_id, 2) AS BIGINT) % 4 <> 1) t WHERE n = 1")
+@query("unique_positions", "SELECT variant_id, chromosome, position FROM (SELECT *, count(*) OVER (PARTITION BY chromosome, position) AS n FROM (SELECT variant_id, chromosome, position + CASE WHEN CAST(substr(variant_id, 2) AS BIGINT) % 4 = 1 THEN 1 ELSE 0 END AS position FROM fx_pvar) p) t WHERE n = 1")
 def unique_positions(fx):
-    return alleles.unique_positions(fx.pvar.where("CAST(substr(variant_id, 2) AS BIGINT) % 4 <> 1")).select("variant_id", "chromosome", "position")
+    """Of the two probes at each site, half are moved, so that they have a position of their own."""
+    moved = fx.pvar.withColumn("position", F.expr("position + CASE WHEN CAST(substr(variant_id, 2) AS BIGINT) % 4 = 1 THEN 1 ELSE 0 END"))
+    return alleles.unique_positions(moved).select("variant_id", "chromosome", "position")
 
 
 @query("set_intersection_sites", "SELECT DISTINCT chromosome, position FROM fx_pvar INTERSECT SELECT chromosome, position FROM fx_snp_list")
@@ -103,13 +107,8 @@ def set_intersection_sites(fx):
     return fx.pvar.select("chromosome", "position").intersect(fx.snp_list.select("chromosome", "position"))
 
 
-@query("extract_variants", "SELECT variant_id, sample_id, dosage FROM fx_gt WHERE data_type = 'NBA' AND variant_id IN (SELECT variant_id FROM fx_pvar WHERE position % 10 = 0)")
+@query("extract_variants", "SELECT variant_id, sample_id, dosage FROM fx_gt WHERE data_type = 'NBA' AND variant_id IN (SELECT p.variant_id FROM fx_pvar p JOIN fx_snp_list s ON p.chromosome = s.chromosome AND p.position = s.position)")
 def extract_variants(fx):
-    return fx.gt.where("data_type = 'NBA'").join(fx.pvar.where("position % 10 = 0").select("variant_id"), "variant_id", "left_semi").select("variant_id", "sample_id", "dosage")
-
-
-@query("extract_variants_whole", "SELECT variant_id, sample_id, dosage FROM fx_gt WHERE data_type = 'NBA' AND variant_id IN (SELECT p.variant_id FROM fx_pvar p JOIN fx_snp_list s ON p.chromosome = s.chromosome AND p.position = s.position)")
-def extract_variants_whole(fx):
     listed = fx.pvar.join(fx.snp_list, ["chromosome", "position"], "left_semi").select("variant_id")
     return fx.gt.where("data_type = 'NBA'").join(listed, "variant_id", "left_semi").select("variant_id", "sample_id", "dosage")
 
@@ -145,13 +144,8 @@ def harmonization_stats(fx):
     return joined.where("action IS NOT NULL").groupBy("action").agg(F.count(F.lit(1)).alias("n")).withColumn("share", F.col("n") / total)
 
 
-@query("match_info_reference", "SELECT m.variant_id, m.snp_list_id, m.action, r.r_ref FROM cx_match m JOIN (SELECT variant_id, ref AS r_ref FROM fx_pvar WHERE position % 2 = 0) r ON m.variant_id = r.variant_id WHERE m.action IS NOT NULL")
+@query("match_info_reference", "SELECT m.variant_id, m.snp_list_id, m.action, r.ref AS r_ref FROM cx_match m JOIN fx_pvar r ON m.variant_id = r.variant_id WHERE m.action IS NOT NULL")
 def match_info_reference(fx):
-    return matches(fx).join(fx.pvar.where("position % 2 = 0").select("variant_id", F.col("ref").alias("r_ref")), "variant_id").select("variant_id", "snp_list_id", "action", "r_ref")
-
-
-@query("match_info_reference_whole", "SELECT m.variant_id, m.snp_list_id, m.action, r.ref AS r_ref FROM cx_match m JOIN fx_pvar r ON m.variant_id = r.variant_id WHERE m.action IS NOT NULL")
-def match_info_reference_whole(fx):
     return matches(fx).join(fx.pvar.select("variant_id", F.col("ref").alias("r_ref")), "variant_id").select("variant_id", "snp_list_id", "action", "r_ref")
 
 
@@ -165,20 +159,25 @@ def harmonize_dosage(fx):
     return dosages(fx).select("data_type", "variant_id", "snp_list_id", "sample_id", "dosage", "counted_allele", "alt_allele")
 
 
-@query("maf_correction", "SELECT data_type, variant_id, snp_list_id, sample_id, dosage, counted_allele, alt_allele, round(original_alt_af, 9) AS original_alt_af, maf_corrected FROM cx_maf")
+@query("maf_correction", "SELECT data_type, source, variant_id, snp_list_id, sample_id, dosage, counted_allele, alt_allele, round(original_alt_af, 9) AS original_alt_af, maf_corrected FROM cx_maf")
 def maf_correction(fx):
-    return corrected(fx).select("data_type", "variant_id", "snp_list_id", "sample_id", "dosage", "counted_allele", "alt_allele", F.round("original_alt_af", 9).alias("original_alt_af"), "maf_corrected")
+    return corrected(fx).select("data_type", "source", "variant_id", "snp_list_id", "sample_id", "dosage", "counted_allele", "alt_allele", F.round("original_alt_af", 9).alias("original_alt_af"), "maf_corrected")
 
 
-@query("ancestry_merge", """SELECT variant_id, snp_list_id, sample_id, counted_allele, alt_allele, arg_min(dosage, data_type) FILTER (WHERE dosage IS NOT NULL) AS dosage
-FROM cx_maf GROUP BY variant_id, snp_list_id, sample_id, counted_allele, alt_allele""")
+_SIX = "variant_id, snp_list_id, chromosome, position, counted_allele, alt_allele"
+
+
+@query("ancestry_merge", f"""SELECT data_type, {_SIX}, sample_id, arg_min(dosage, source) FILTER (WHERE dosage IS NOT NULL) AS dosage, min(action) AS action
+FROM cx_maf GROUP BY data_type, {_SIX}, sample_id""")
 def ancestry_merge(fx):
-    return alleles.merge_sources(corrected(fx), "data_type", ["variant_id", "snp_list_id", "counted_allele", "alt_allele"])
+    """The ancestries of a data type as one table: rows with equal keys are one, with the first value that isn't null."""
+    return alleles.merge_sources(corrected(fx), "source", ["data_type", *alleles.KEYS], "action")
 
 
-@query("exomes_concat_dedup", "SELECT variant_id, sample_id, data_type, dosage FROM (SELECT *, row_number() OVER (PARTITION BY variant_id, sample_id ORDER BY data_type) AS n FROM fx_gt) t WHERE n = 1")
+@query("exomes_concat_dedup", f"SELECT {_SIX}, sample_id, data_type, dosage FROM (SELECT *, row_number() OVER (PARTITION BY {_SIX}, sample_id ORDER BY data_type) AS n FROM cx_maf) t WHERE n = 1")
 def exomes_concat_dedup(fx):
-    return alleles.first_per_key(fx.gt, ["variant_id", "sample_id"], "data_type").select("variant_id", "sample_id", "data_type", "dosage")
+    keys = [*alleles.KEYS, "sample_id"]
+    return alleles.first_per_key(corrected(fx), keys, "data_type").select(*keys, "data_type", "dosage")
 
 
 @query("union_sources", "SELECT data_type, variant_id, sample_id, dosage, NULL::VARCHAR AS note FROM fx_gt WHERE data_type = 'NBA' UNION ALL SELECT data_type, variant_id, sample_id, dosage, 'seq' FROM fx_gt WHERE data_type = 'WGS'")
@@ -209,9 +208,9 @@ def verify_genotype_string(fx):
     return alleles.verify_strings(alleles.genotype_strings(fx.gt, fx.pvar)).groupBy("data_type").agg(F.count(F.lit(1)).alias("n"), s.count_if(F.col("ok")).alias("n_ok"))
 
 
-@query("validate_carriers", "SELECT g.variant_id, g.sample_id FROM fx_gt g JOIN fx_pvar p ON g.variant_id = p.variant_id WHERE g.data_type = 'NBA' AND g.dosage = 1 AND p.position % 4 = 0")
+@query("validate_carriers", "SELECT g.variant_id, g.sample_id FROM fx_gt g JOIN fx_pvar p ON g.variant_id = p.variant_id WHERE g.data_type = 'NBA' AND g.dosage = 1")
 def validate_carriers(fx):
-    texts = alleles.genotype_strings(fx.gt.where("data_type = 'NBA'"), fx.pvar.where("position % 4 = 0"))
+    texts = alleles.genotype_strings(fx.gt.where("data_type = 'NBA'"), fx.pvar)
     wrong = texts.withColumn("genotype", F.when(F.col("dosage") == 1, "WT/WT").otherwise(F.col("genotype")))
     return alleles.verify_strings(wrong).where("NOT ok").select("variant_id", "sample_id")
 
@@ -444,7 +443,7 @@ c AS (SELECT a.snp_list_id, count(z.sample_id) / count(*) AS wgs_carrier_concord
 """
 
 
-@query("pipeline_variant_report", _REPORT + "SELECT b.sample_id, ancestry, gene, b.snp_list_id, CASE WHEN data_type = 'NBA' THEN variant_id ELSE '' END AS nba_probe_name, zygosity, moi, data_types AS data_type, coalesce(moi LIKE '%AR%' AND (zygosity = 'hom' OR hets >= 2), false) AS potential_biallelic, validated_by_wgs, round(wgs_carrier_concordance, 9) AS wgs_carrier_concordance FROM b LEFT JOIN c ON b.snp_list_id = c.snp_list_id")
+@query("pipeline_variant_report", _REPORT + "SELECT b.sample_id, ancestry, gene, b.snp_list_id, CASE WHEN data_type = 'NBA' THEN variant_id ELSE '' END AS nba_probe_name, zygosity, moi, data_types AS data_type, coalesce(moi LIKE '%AR%' AND (zygosity = 'hom' OR hets >= 2), false) AS potential_biallelic, validated_by_wgs, round(wgs_carrier_concordance, 9) AS wgs_carrier_concordance, hg38 FROM b LEFT JOIN c ON b.snp_list_id = c.snp_list_id")
 def pipeline_variant_report(fx):
     return reports.variant_report(carrier_rows(fx), wgs_samples(fx)).withColumn("wgs_carrier_concordance", F.round("wgs_carrier_concordance", 9))
 
@@ -469,11 +468,25 @@ def report_sort(fx):
     return reports.report_sort(reports.variant_report(carrier_rows(fx), wgs_samples(fx))).select("ancestry", "gene", "sample_id", "snp_list_id")
 
 
-@query("sink_variant_report", _REPORT + "SELECT sample_id AS \"GP2ID\", ancestry AS \"Ancestry\", gene AS \"Gene\", snp_list_id AS \"Variant_Name\", zygosity AS \"Zygosity\", moi AS \"MOI\", data_types AS \"Data_type\" FROM b")
+#: Metadata of the list that the stand-in lacks, for Spark and DuckDB.
+_META = {
+    "aa_change": "concat('p.', ref, CAST(position AS {t}), alt)", "rsid": "concat('rs', CAST(position AS {t}))", "pathogenicity": "CASE position % 3 WHEN 0 THEN 'Pathogenic' WHEN 1 THEN 'Benign' END",
+    "pathogenicity_source": "CASE WHEN position % 2 = 0 THEN 'ClinVar' END", "variant_interpretation": "concat(gene, ' ', moi)",
+}
+_META_SQL = ", ".join(f"{e.format(t='VARCHAR')} AS {c}" for c, e in _META.items())
+
+
+@query("sink_variant_report", _REPORT + f""", x AS (SELECT snp_list_id, {_META_SQL} FROM fx_snp_list)
+SELECT b.sample_id AS "GP2ID", ancestry AS "Ancestry", gene AS "Gene", hg38 AS "Variant_ID", b.snp_list_id AS "Variant_Name", aa_change AS "AA_change", rsid AS "rsID", CASE WHEN data_type = 'NBA' THEN variant_id ELSE '' END AS "NBA_probe_name",
+ zygosity AS "Zygosity", moi AS "MOI", data_types AS "Data_type", pathogenicity AS "Pathogenicity", pathogenicity_source AS "Pathogenicity_source", variant_interpretation AS "Variant_interpretation",
+ coalesce(moi LIKE '%AR%' AND (zygosity = 'hom' OR hets >= 2), false) AS potential_biallelic, validated_by_wgs, round(wgs_carrier_concordance, 9) AS wgs_carrier_concordance
+FROM b LEFT JOIN c ON b.snp_list_id = c.snp_list_id LEFT JOIN x ON b.snp_list_id = x.snp_list_id""")
 def sink_variant_report(fx):
     from locusweave.sources import sinks
 
-    return sinks.variant_report_columns(reports.variant_report(carrier_rows(fx), wgs_samples(fx))).select("GP2ID", "Ancestry", "Gene", "Variant_Name", "Zygosity", "MOI", "Data_type")
+    listed = fx.snp_list.withColumns({c: F.expr(e.format(t="STRING")) for c, e in _META.items()})
+    rows = reports.carriers(corrected(fx), listed, fx.sample)
+    return sinks.variant_report_columns(reports.variant_report(rows, wgs_samples(fx))).withColumn("wgs_carrier_concordance", F.round("wgs_carrier_concordance", 9))
 
 
 @query("first_per_key", "SELECT sample_id, snp_list_id, variant_id FROM (SELECT *, row_number() OVER (PARTITION BY sample_id, snp_list_id ORDER BY data_type, variant_id) AS n FROM cx_car) t WHERE n = 1")
@@ -505,11 +518,6 @@ def variants_by_group(fx):
     return carrier_rows(fx).groupBy("gene").agg(F.countDistinct("variant_id").alias("variants"), F.countDistinct(F.when(F.col("dosage") >= s.HOM, F.col("sample_id"))).alias("hom_carriers"))
 
 
-@query("overview_counts", "SELECT data_type, count(DISTINCT variant_id) AS variants, count(DISTINCT sample_id) AS samples FROM cx_maf GROUP BY data_type")
-def overview_counts(fx):
-    return corrected(fx).groupBy("data_type").agg(F.countDistinct("variant_id").alias("variants"), F.countDistinct("sample_id").alias("samples"))
-
-
 @query("variant_name_map", "SELECT variant_id, arg_min(snp_list_id, CASE data_type WHEN 'WGS' THEN 0 ELSE 1 END) AS name FROM (SELECT DISTINCT variant_id, snp_list_id, data_type FROM cx_dos) t GROUP BY variant_id")
 def variant_name_map(fx):
     rows = dosages(fx).select("variant_id", "snp_list_id", "data_type").distinct()
@@ -565,7 +573,7 @@ def list_minus_list(fx):
     return coverage.list_minus_list(fx.snp_list.where("position % 2 = 0").select(*rows.columns), fx.snp_list.where("position % 3 = 0").select(*rows.columns))
 
 
-_LABELS = "SELECT 'GBA (N' || CAST(k % 600 AS VARCHAR) || ')' AS label, 'chr1:' || CAST(CASE WHEN k % 7 = 0 THEN k % 299 ELSE k % 300 END AS VARCHAR) AS hg38, k AS rank FROM (SELECT p_partkey AS k FROM part WHERE p_partkey <= 1000) t"
+_LABELS = "SELECT 'GBA (N' || CAST(CAST(floor(k / 3) AS BIGINT) AS VARCHAR) || ')' AS label, 'chr1:' || CAST(CASE WHEN k % 7 = 0 THEN k ELSE CAST(floor(k / 6) AS BIGINT) END AS VARCHAR) AS hg38, k AS rank FROM (SELECT p_partkey AS k FROM part) t"
 
 
 @query("variant_list_curation", f"""WITH l AS ({_LABELS}), p AS (SELECT regexp_extract(label, '^(\\S+) \\((.*)\\)$', 2) AS name, hg38, rank FROM l),
@@ -573,7 +581,8 @@ bad AS (SELECT name FROM p GROUP BY name HAVING count(DISTINCT hg38) > 1), k AS
 SELECT hg38, 'GBA1' AS locus, list(name ORDER BY rank)[1] AS name, list(name ORDER BY rank)[2] AS alternative_name FROM k GROUP BY hg38""")
 def variant_list_curation(fx):
     k = F.col("p_partkey")
-    labels = fx.table("part").where("p_partkey <= 1000").select(F.concat(F.lit("GBA (N"), (k % 600).cast("string"), F.lit(")")).alias("label"), F.concat(F.lit("chr1:"), F.when(k % 7 == 0, k % 299).otherwise(k % 300).cast("string")).alias("hg38"), k.alias("rank"))
+    name, place = F.floor(k / 3).cast("string"), F.when(k % 7 == 0, k).otherwise(F.floor(k / 6)).cast("string")
+    labels = fx.table("part").select(F.concat(F.lit("GBA (N"), name, F.lit(")")).alias("label"), F.concat(F.lit("chr1:"), place).alias("hg38"), k.alias("rank"))
     return coverage.curate(labels)
 
 
@@ -604,15 +613,23 @@ ch AS (SELECT di.snp_list_id, di.n_probes, di.variant_id AS d, co.variant_id AS
 """
 
 
-def probe_metrics_of(fx):
-    rows = corrected(fx)
-    return probes.probe_metrics(probes.probe_grid(rows.where("data_type = 'NBA'"), rows.where("data_type = 'WGS'")))
+def probe_metrics_of(fx, rows=None):
+    """Metrics over the corrected genotypes, which are written once."""
+    return probes.probe_metrics(probes.probe_grid(rows or stored(corrected(fx), "genotypes", "data_type")))
+
+
+@query("overview_counts", _GRID + "SELECT data_type, count(DISTINCT variant_id) AS variants, count(DISTINCT sample_id) AS samples, count(DISTINCT variant_id) - CASE WHEN data_type = 'NBA' THEN (SELECT coalesce(sum(n_probes - 1), 0) FROM ch) ELSE 0 END::BIGINT AS unique_variants FROM cx_maf GROUP BY data_type")
+def overview_counts(fx):
+    """By data type; of several probes for one list row only the selected one counts as unique."""
+    rows = stored(corrected(fx), "genotypes", "data_type")
+    extra = probes.selection_map(probes.consensus(probe_metrics_of(fx, rows))).agg(F.coalesce(F.sum("excluded"), F.lit(0))).scalar()
+    n = F.countDistinct("variant_id")
+    return rows.groupBy("data_type").agg(n.alias("variants"), F.countDistinct("sample_id").alias("samples")).withColumn("unique_variants", F.col("variants") - F.when(F.col("data_type") == "NBA", extra).otherwise(0))
 
 
 @query("probe_wgs_join", _GRID + "SELECT snp_list_id, variant_id, count(*) FILTER (WHERE x > 0 OR y > 0) AS carriers FROM gr GROUP BY 1, 2")
 def probe_wgs_join(fx):
-    rows = corrected(fx)
-    grid = probes.probe_grid(rows.where("data_type = 'NBA'"), rows.where("data_type = 'WGS'"))
+    grid = probes.probe_grid(stored(corrected(fx), "genotypes", "data_type"))
     return grid.groupBy("snp_list_id", "variant_id").agg(s.count_if((F.col("nba") > 0) | (F.col("wgs") > 0)).alias("carriers"))
 
 
@@ -644,8 +661,7 @@ def probe_consensus(fx):
 
 @query("probe_disagreement_reason", _GRID + "SELECT snp_list_id, CASE WHEN ds > cs AND dcon < ccon THEN 'sensitivity against accuracy' WHEN dp > cp AND dcon < ccon THEN 'specificity against accuracy' WHEN abs(ds - cs) < 0.05 AND abs(dcon - ccon) < 0.05 THEN 'similar' ELSE 'mixed' END AS reason FROM ch WHERE d <> c")
 def probe_disagreement_reason(fx):
-    m = probe_metrics_of(fx)
-    return probes.disagreement_reason(probes.consensus(m), m).select("snp_list_id", "reason")
+    return probes.disagreement_reason(probes.consensus(probe_metrics_of(fx))).select("snp_list_id", "reason")
 
 
 @query("probe_selection_map", _GRID + "SELECT snp_list_id, d AS selected_probe, n_probes - 1 AS excluded FROM ch")
@@ -664,14 +680,16 @@ _FILTERED = "NOT (data_type = 'NBA' AND snp_list_id IN (SELECT snp_list_id FROM
 
 @query("probe_filter", _GRID + "SELECT snp_list_id, variant_id, sample_id, dosage FROM cx_maf WHERE data_type = 'NBA' AND " + _FILTERED)
 def probe_filter(fx):
-    chosen = probes.selection_map(probes.consensus(probe_metrics_of(fx)))
-    return probes.probe_filter(corrected(fx).where("data_type = 'NBA'"), chosen).select("snp_list_id", "variant_id", "sample_id", "dosage")
+    rows = stored(corrected(fx), "genotypes", "data_type")
+    chosen = probes.selection_map(probes.consensus(probe_metrics_of(fx, rows)))
+    return probes.probe_filter(rows.where("data_type = 'NBA'"), chosen).select("snp_list_id", "variant_id", "sample_id", "dosage")
 
 
 @query("probe_used_flags", _GRID + "SELECT pr.snp_list_id, pr.variant_id, n_probes = 1 OR pr.variant_id IN (SELECT d FROM ch) AS probe_used FROM pr JOIN np ON pr.snp_list_id = np.snp_list_id")
 def probe_used_flags(fx):
-    rows = corrected(fx).where("data_type = 'NBA'").select("snp_list_id", "variant_id").distinct()
-    used = probes.probe_filter(rows, probes.selection_map(probes.consensus(probe_metrics_of(fx)))).withColumn("__u", F.lit(True))
+    whole = stored(corrected(fx), "genotypes", "data_type")
+    rows = whole.where("data_type = 'NBA'").select("snp_list_id", "variant_id").distinct()
+    used = probes.probe_filter(rows, probes.selection_map(probes.consensus(probe_metrics_of(fx, whole)))).withColumn("__u", F.lit(True))
     return rows.join(used, ["snp_list_id", "variant_id"], "left").select("snp_list_id", "variant_id", F.coalesce("__u", F.lit(False)).alias("probe_used"))
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from locusweave.functions import sites as s
 from locusweave.operators import alleles, bookkeeping, cohort, fingerprints, vcf
 from locusweave.plans.registry import query
+from locusweave.sources.shared import stored
 from locusweave.sources import tables
 
 # scans over the stand-ins' text
@@ -160,24 +161,24 @@ def maf_lookup(fx):
 # fingerprints
 
 _PRINTS = """WITH g AS (SELECT * FROM fx_gt WHERE data_type = 'WGS'), ok AS (SELECT variant_id FROM g GROUP BY 1 HAVING bool_and(dosage IS NOT NULL)),
-k AS (SELECT p.* FROM fx_pvar p WHERE CAST(substr(variant_id, 2) AS BIGINT) % 4 <> 1 AND variant_id IN (SELECT variant_id FROM ok)), u AS (SELECT * FROM (SELECT *, count(*) OVER (PARTITION BY chromosome, position) AS n FROM k) t WHERE n = 1),
+k AS (SELECT chromosome, position + CASE WHEN CAST(substr(variant_id, 2) AS BIGINT) % 4 = 1 THEN 1 ELSE 0 END AS position, variant_id, ref, alt FROM fx_pvar WHERE variant_id IN (SELECT variant_id FROM ok)), u AS (SELECT * FROM (SELECT *, count(*) OVER (PARTITION BY chromosome, position) AS n FROM k) t WHERE n = 1),
 h AS (SELECT g.sample_id, count(*) AS n_sites, md5(string_agg(CASE WHEN dosage < 0.5 THEN ref || ref WHEN dosage < 1.5 THEN alt || ref ELSE alt || alt END, '' ORDER BY CAST(chromosome AS INTEGER), position, u.variant_id)) AS hash FROM g JOIN u ON g.variant_id = u.variant_id GROUP BY g.sample_id)
 """
 
 
-def thinned(fx):
+def spread(fx):
     """Sites of which half have a position of their own."""
-    return fx.pvar.where("CAST(substr(variant_id, 2) AS BIGINT) % 4 <> 1")
+    return fx.pvar.withColumn("position", F.expr("position + CASE WHEN CAST(substr(variant_id, 2) AS BIGINT) % 4 = 1 THEN 1 ELSE 0 END"))
 
 
 def prints(fx):
     g = fx.gt.where("data_type = 'WGS'")
-    return fingerprints.fingerprints(g, fingerprints.perfect_sites(g, thinned(fx)))
+    return fingerprints.fingerprints(g, fingerprints.perfect_sites(g, spread(fx)))
 
 
 @query("perfect_callrate_sites", _PRINTS + "SELECT variant_id, chromosome, position FROM u")
 def perfect_callrate_sites(fx):
-    return fingerprints.perfect_sites(fx.gt.where("data_type = 'WGS'"), thinned(fx)).select("variant_id", "chromosome", "position")
+    return fingerprints.perfect_sites(fx.gt.where("data_type = 'WGS'"), spread(fx)).select("variant_id", "chromosome", "position")
 
 
 @query("fingerprint_md5", _PRINTS + "SELECT sample_id, hash, n_sites FROM h")
@@ -185,11 +186,18 @@ def fingerprint_md5(fx):
     return prints(fx)
 
 
-@query("duplicate_groups", _PRINTS.replace("AS n FROM k)", "AS n FROM k WHERE position < 100500)") + "SELECT hash, count(*) AS n, string_agg(sample_id, ',' ORDER BY sample_id) AS sample_ids FROM h GROUP BY hash HAVING count(*) > 1")
+_COPIES = ", cp AS (SELECT sample_id, hash FROM h UNION ALL SELECT sample_id || '-copy', hash FROM h), dg AS (SELECT hash, count(*) AS n, string_agg(sample_id, ',' ORDER BY sample_id) AS sample_ids FROM cp GROUP BY hash HAVING count(*) > 1)"
+
+
+def copies(fx):
+    """Every sample twice."""
+    found = stored(prints(fx), "fingerprints")
+    return found.unionByName(found.withColumn("sample_id", F.concat("sample_id", F.lit("-copy"))))
+
+
+@query("duplicate_groups", _PRINTS + _COPIES + " SELECT hash, n, sample_ids FROM dg")
 def duplicate_groups(fx):
-    g = fx.gt.where("data_type = 'WGS'")
-    few = fingerprints.perfect_sites(g, thinned(fx).where("position < 100500"))
-    return fingerprints.duplicate_groups(fingerprints.fingerprints(g, few))
+    return fingerprints.duplicate_groups(copies(fx))
 
 
 @query("pipeline_fingerprint", _PRINTS + "SELECT hash, count(*) AS n FROM h GROUP BY hash")
@@ -457,38 +465,27 @@ def study_key_join(fx):
     return fx.gt.where("data_type = 'WGS'").join(fx.sample.select("sample_id", "study"), "sample_id", "left").select("variant_id", "sample_id", "study")
 
 
-@query("traw_left_join", "SELECT p.variant_id, g.sample_id, g.dosage FROM fx_pvar p LEFT JOIN (SELECT * FROM fx_gt WHERE data_type = 'NBA') g ON p.variant_id = g.variant_id WHERE p.position % 10 = 0")
+@query("traw_left_join", "SELECT p.variant_id, g.sample_id, g.dosage FROM fx_pvar p LEFT JOIN (SELECT * FROM fx_gt WHERE data_type = 'NBA') g ON p.variant_id = g.variant_id")
 def traw_left_join(fx):
-    return fx.pvar.where("position % 10 = 0").select("variant_id").join(fx.gt.where("data_type = 'NBA'").drop("data_type"), "variant_id", "left")
-
-
-@query("chrom_outer_merge", "SELECT g.sample_id, p.chromosome, count(*) AS calls FROM fx_gt g JOIN fx_pvar p ON g.variant_id = p.variant_id WHERE g.data_type = 'NBA' AND p.chromosome IN ('1', '2', '3') GROUP BY 1, 2")
-def chrom_outer_merge(fx):
-    rows = fx.gt.where("data_type = 'NBA'").join(fx.pvar.select("variant_id", "chromosome"), "variant_id")
-    parts = [rows.where(F.col("chromosome") == c) for c in ("1", "2", "3")]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2]).groupBy("sample_id", "chromosome").agg(F.count(F.lit(1)).alias("calls"))
-
-
-@query("traw_left_join_whole", "SELECT p.variant_id, g.sample_id, g.dosage FROM fx_pvar p LEFT JOIN (SELECT * FROM fx_gt WHERE data_type = 'NBA') g ON p.variant_id = g.variant_id")
-def traw_left_join_whole(fx):
     return fx.pvar.select("variant_id").join(fx.gt.where("data_type = 'NBA'").drop("data_type"), "variant_id", "left")
 
 
-@query("chrom_outer_merge_whole", "SELECT g.sample_id, p.chromosome, count(*) AS calls FROM fx_gt g JOIN fx_pvar p ON g.variant_id = p.variant_id WHERE g.data_type = 'NBA' GROUP BY 1, 2")
-def chrom_outer_merge_whole(fx):
+@query("chrom_outer_merge", "SELECT g.sample_id, p.chromosome, count(*) AS calls FROM fx_gt g JOIN fx_pvar p ON g.variant_id = p.variant_id WHERE g.data_type = 'NBA' GROUP BY 1, 2")
+def chrom_outer_merge(fx):
     rows = fx.gt.where("data_type = 'NBA'").join(fx.pvar.select("variant_id", "chromosome"), "variant_id")
     return rows.groupBy("sample_id", "chromosome").agg(F.count(F.lit(1)).alias("calls"))
 
 
-@query("pipeline_legacy_carriers", """WITH st AS (SELECT k.nba_label, g.variant_id, sum(dosage) / (2 * nullif(count(dosage), 0)) AS f, 2 * count(dosage) AS n FROM fx_gt g JOIN fx_sample k ON g.sample_id = k.sample_id WHERE data_type = 'NBA' GROUP BY 1, 2)
-SELECT p.variant_id, p.chromosome, coalesce(sum(n), 0)::BIGINT AS obs_ct, round(sum(coalesce(f, 0) * n) / nullif(sum(n), 0), 6) AS alt_freqs FROM fx_pvar p LEFT JOIN st ON p.variant_id = st.variant_id GROUP BY 1, 2""")
+@query("pipeline_legacy_carriers", """WITH st AS (SELECT k.nba_label, g.variant_id, sum(dosage) / (2 * nullif(count(dosage), 0)) AS f, 2 * count(dosage) AS n, avg(CASE WHEN dosage IS NULL THEN 1.0 ELSE 0.0 END) AS m FROM fx_gt g JOIN fx_sample k ON g.sample_id = k.sample_id WHERE data_type = 'NBA' GROUP BY k.nba_label, g.variant_id)
+SELECT p.variant_id, p.chromosome, coalesce(sum(n), 0)::BIGINT AS obs_ct, round(sum(coalesce(f, 0) * n) / nullif(sum(n), 0), 6) AS alt_freqs, round(sum(m * n) / nullif(sum(n), 0), 6) AS f_miss FROM fx_pvar p LEFT JOIN st ON p.variant_id = st.variant_id GROUP BY 1, 2""")
 def pipeline_legacy_carriers(fx):
     from locusweave.operators import frequencies
 
     rows = fx.gt.where("data_type = 'NBA'").join(fx.sample.select("sample_id", "nba_label"), "sample_id")
-    stats = frequencies.allele_freq(rows, "nba_label", "variant_id").withColumn("f_miss", F.lit(0.0))
+    keys = ["nba_label", "variant_id"]
+    stats = frequencies.allele_freq(rows, *keys).join(frequencies.missing_rate(rows, *keys), keys)
     combined = frequencies.weighted_combine(stats, "variant_id", null_mode="zero")
-    return fx.pvar.select("variant_id", "chromosome").join(combined, "variant_id", "left").select("variant_id", "chromosome", F.coalesce("obs_ct", F.lit(0)).alias("obs_ct"), F.round("alt_freqs", 6).alias("alt_freqs"))
+    return fx.pvar.select("variant_id", "chromosome").join(combined, "variant_id", "left").select("variant_id", "chromosome", F.coalesce("obs_ct", F.lit(0)).alias("obs_ct"), F.round("alt_freqs", 6).alias("alt_freqs"), F.round("f_miss", 6).alias("f_miss"))
 
 
 @query("pipeline_snp_metrics", _FIELDS + f'SELECT chromosome, count(*) AS n, count(*) FILTER (WHERE {_GT} > 0)::BIGINT AS carriers, round(avg(TRY_CAST(f[2] AS DOUBLE)), 9) AS mean_gs FROM r GROUP BY 1')
@@ -533,12 +530,14 @@ def extraction_outcomes(fx):
     return bookkeeping.outcomes(log)
 
 
-@query("preview_limit")
+@query("preview_limit", "SELECT p[3] AS \"snpID\", replace(p[1], 'chr', '') AS chromosome, CAST(p[2] AS BIGINT) AS position, p[4] AS ref, p[5] AS alt, p[6] AS qual, p[7] AS filter, p[8] AS info FROM (SELECT string_split(value, chr(9)) AS p FROM fx_vcf_line ORDER BY value LIMIT 10) t")
 def preview_limit(fx):
     return vcf.extract_columns(lines(fx).orderBy("value"), "metadata", rows=10)
 
 
-@query("scan_traw_long")
+@query("scan_traw_long", """WITH r AS (SELECT g.variant_id, p.chromosome, p.position, g.sample_id, g.dosage FROM fx_gt g JOIN fx_pvar p ON g.variant_id = p.variant_id WHERE g.data_type = 'NBA' AND g.sample_id IN ('S1', 'S2', 'S4')),
+v AS (SELECT DISTINCT variant_id, chromosome, position FROM r)
+SELECT v.chromosome AS "CHR", v.variant_id AS "SNP", v.position AS "POS", t.sample_id, r.dosage FROM v CROSS JOIN (VALUES ('S1'), ('S2'), ('S4')) t(sample_id) LEFT JOIN r ON r.variant_id = v.variant_id AND r.sample_id = t.sample_id""")
 def scan_traw_long(fx):
     """A genotype matrix of three samples, back to long rows."""
     from locusweave.sources import sinks
@@ -549,7 +548,10 @@ def scan_traw_long(fx):
     return wide.unpivot(["CHR", "SNP", "POS"], samples, "sample_id", "dosage")
 
 
-@query("sink_carrier_wide")
+_WIDE = ", ".join(f"max(CASE WHEN variant_id = 'P{i}' THEN dosage END) AS \"P{i}\"" for i in range(1, 9))
+
+
+@query("sink_carrier_wide", f"SELECT sample_id, {_WIDE} FROM fx_gt WHERE data_type = 'NBA' GROUP BY sample_id")
 def sink_carrier_wide(fx):
     from locusweave.sources import sinks
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from locusweave.operators import alleles, cohort, fingerprints, vcf
 from locusweave.plans.queries_carriers import corrected, matches
-from locusweave.plans.queries_cohort import _LOCI, loci, prints
+from locusweave.plans.queries_cohort import _COPIES, _LOCI, _PRINTS, copies, loci
 from locusweave.plans.registry import query
 from locusweave.sources import shared, sinks, tables
 from locusweave.streaming import incremental
@@ -77,7 +77,7 @@ def swap_reference(fx):
     return alleles.update_alleles(fx.pvar, matches(fx)).select("variant_id", "a1")
 
 
-@query("column_order")
+@query("column_order", "SELECT chromosome AS \"CHR\", variant_id AS \"SNP\", 0 AS \"(C)M\", position AS \"POS\", counted_allele AS \"COUNTED\", alt_allele AS \"ALT\", " + ", ".join(f"max(CASE WHEN sample_id = '{x}' THEN dosage END) AS \"{x}\"" for x in ("S1", "S10", "S2")) + " FROM cx_maf WHERE data_type = 'NBA' GROUP BY chromosome, variant_id, position, counted_allele, alt_allele")
 def column_order(fx):
     return sinks.traw(corrected(fx).where("data_type = 'NBA'"), ["S10", "S1", "S2"])
 
@@ -98,15 +98,8 @@ def sink_parquet(fx):
     return fx.spark.read.parquet(path).where("study = 'BUILDING'").select("sample_id", "study", "sex")
 
 
-@query("sink_metrics", 'SELECT "IID", chromosome, count(*) AS n FROM fx_metrics WHERE "IID" IN (\'S1\', \'S2\', \'S4\') GROUP BY 1, 2')
+@query("sink_metrics", 'SELECT "IID", chromosome, count(*) AS n FROM fx_metrics GROUP BY 1, 2')
 def sink_metrics(fx):
-    path = shared.new_folder(fx.spark, "metrics")
-    sinks.write_metrics(fx.metrics.where("IID IN ('S1', 'S2', 'S4')"), path)
-    return fx.spark.read.schema("snpID string, GT int, IID string, chromosome string").parquet(path).groupBy("IID", "chromosome").agg(F.count(F.lit(1)).alias("n"))
-
-
-@query("sink_metrics_whole", 'SELECT "IID", chromosome, count(*) AS n FROM fx_metrics GROUP BY 1, 2')
-def sink_metrics_whole(fx):
     path = shared.new_folder(fx.spark, "metrics")
     sinks.write_metrics(fx.metrics, path)
     return fx.spark.read.schema("snpID string, GT int, IID string, chromosome string").parquet(path).groupBy("IID", "chromosome").agg(F.count(F.lit(1)).alias("n"))
@@ -142,11 +135,10 @@ def sink_recruitment(fx):
     return fx.spark.read.option("header", True).csv(path).groupBy("locus").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("sink_duplicates_json")
+@query("sink_duplicates_json", _PRINTS + _COPIES + ''' SELECT '{"' || hash || '":["' || replace(sample_ids, ',', '","') || '"]}' AS value FROM dg''')
 def sink_duplicates_json(fx):
     path = shared.new_folder(fx.spark, "duplicates")
-    copies = prints(fx).unionByName(prints(fx).withColumn("sample_id", F.concat("sample_id", F.lit("-copy"))))
-    sinks.write_groups_json(fingerprints.duplicate_groups(copies), path)
+    sinks.write_groups_json(fingerprints.duplicate_groups(copies(fx)), path)
     return fx.spark.read.text(path)
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
@@ -17,3 +17,11 @@ def new_folder(spark: SparkSession, name: str) -> str:
         found = tempfile.mkdtemp(prefix="spark-shared-")
         spark.sparkContext.setCheckpointDir(found)
     return f"{found.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, name: str, *partitions: str) -> DataFrame:
+    """``df`` written as Parquet into the shared folder and read again, so that what is built on it doesn't compute it anew."""
+    path = new_folder(df.sparkSession, name)
+    writer = df.write
+    (writer.partitionBy(*partitions) if partitions else writer).parquet(path)
+    return df.sparkSession.read.parquet(path)

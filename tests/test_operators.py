@@ -118,12 +118,13 @@ def test_variant_report_flags(spark):
 def test_probe_metrics_count_missing_as_reference(spark):
     nba = spark.createDataFrame([("V", "P1", "S1", 1.0), ("V", "P1", "S2", None), ("V", "P2", "S1", 0.0), ("V", "P2", "S3", 1.0), ("V", "P2", "S4", 0.0)], "snp_list_id string, variant_id string, sample_id string, dosage double")
     wgs = spark.createDataFrame([("V", "W", "S1", 1.0), ("V", "W", "S2", 2.0), ("V", "W", "S3", 0.0), ("V", "W", "S9", 1.0)], "snp_list_id string, variant_id string, sample_id string, dosage double")
-    got = {r.variant_id: r for r in probes.probe_metrics(probes.probe_grid(nba, wgs)).collect()}
+    both = nba.withColumn("data_type", F.lit("NBA")).unionByName(wgs.withColumn("data_type", F.lit("WGS")))
+    got = {r.variant_id: r for r in probes.probe_metrics(probes.probe_grid(both)).collect()}
     assert (got["P1"].tp, got["P1"].fp, got["P1"].fn, got["P1"].tn, got["P1"].samples) == (1, 0, 1, 1, 3)
     assert (got["P2"].tp, got["P2"].fp, got["P2"].fn, got["P2"].tn) == (0, 1, 2, 0)
     for r in got.values():
         assert sum(r[f"nba_{i}_wgs_{j}"] for i in range(3) for j in range(3)) == r.samples
-    chosen = probes.consensus(probes.probe_metrics(probes.probe_grid(nba, wgs)))
+    chosen = probes.consensus(probes.probe_metrics(probes.probe_grid(both)))
     assert rows(chosen, "agree", "recommended_probe") == [(True, "P1")]
     kept = probes.probe_filter(nba, probes.selection_map(chosen))
     assert rows(kept.select("variant_id").distinct(), "variant_id") == [("P1",)]
