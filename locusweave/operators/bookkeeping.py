@@ -26,14 +26,20 @@ def progress(key: DataFrame, done: DataFrame, group: str, on: str) -> DataFrame:
 
 
 def missing_outputs(expected: DataFrame, listing: DataFrame, group: str, on: str) -> DataFrame:
-    """Expected outputs that are absent, by group."""
+    """Expected outputs that are absent, by group, with their ids in order (a report of what is to be done again, so a short list)."""
     gone = expected.join(listing.select(on).distinct(), on, "left_anti")
-    return gone.groupBy(group).agg(F.countDistinct(on).alias("n_missing"), F.min(on).alias("first_missing"))
+    return gone.groupBy(group).agg(F.countDistinct(on).alias("n_missing"), F.min(on).alias("first_missing"), F.array_join(F.array_sort(F.collect_set(on)), ",").alias("missing"))
 
 
 def retry_merge(old: DataFrame, new: DataFrame, keys: list[str], value: str = "dosage") -> DataFrame:
-    """Old results with new ones preferred where they aren't null."""
-    return old.select(*keys, F.col(value).alias("__old")).join(new.select(*keys, F.col(value).alias("__new")), keys, "full").select(*keys, F.coalesce("__new", "__old").alias(value))
+    """Old results with new ones preferred where they aren't null; one row per key, whatever the inputs repeat (the largest value counts)."""
+    one = lambda df, name: df.groupBy(*keys).agg(F.max(value).alias(name))
+    return one(old, "__old").join(one(new, "__new"), keys, "full").select(*keys, F.coalesce("__new", "__old").alias(value))
+
+
+def still_failing(old: DataFrame, new: DataFrame, keys: list[str], value: str = "dosage") -> DataFrame:
+    """Keys that have a value in neither result: what the next retry has to do."""
+    return retry_merge(old, new, keys, value).where(F.isnull(value)).select(*keys)
 
 
 def outcomes(log: DataFrame) -> DataFrame:

@@ -513,7 +513,7 @@ def samples_to_process(fx):
     return bookkeeping.progress(fx.sample, fx.gt.where("data_type = 'WGS'"), "study", "sample_id")
 
 
-@query("missing_output_stats", "SELECT study, count(DISTINCT sample_id) AS n_missing, min(sample_id) AS first_missing FROM fx_sample WHERE sample_id NOT IN (SELECT sample_id FROM fx_gt WHERE data_type = 'WGS') GROUP BY 1")
+@query("missing_output_stats", "SELECT study, count(DISTINCT sample_id) AS n_missing, min(sample_id) AS first_missing, string_agg(DISTINCT sample_id, ',' ORDER BY sample_id) AS missing FROM fx_sample WHERE sample_id NOT IN (SELECT sample_id FROM fx_gt WHERE data_type = 'WGS') GROUP BY 1")
 def missing_output_stats(fx):
     return bookkeeping.missing_outputs(fx.sample, fx.gt.where("data_type = 'WGS'"), "study", "sample_id")
 
@@ -523,6 +523,11 @@ def retry_merge(fx):
     return bookkeeping.retry_merge(fx.gt.where("data_type = 'NBA'"), fx.gt.where("data_type = 'WGS'"), ["variant_id", "sample_id"])
 
 
+@query("retry_failures", "SELECT coalesce(a.variant_id, b.variant_id) AS variant_id, coalesce(a.sample_id, b.sample_id) AS sample_id FROM (SELECT * FROM fx_gt WHERE data_type = 'NBA') a FULL JOIN (SELECT * FROM fx_gt WHERE data_type = 'WGS') b ON a.variant_id = b.variant_id AND a.sample_id = b.sample_id WHERE b.dosage IS NULL AND a.dosage IS NULL")
+def retry_failures(fx):
+    return bookkeeping.still_failing(fx.gt.where("data_type = 'NBA'"), fx.gt.where("data_type = 'WGS'"), ["variant_id", "sample_id"])
+
+
 @query("extraction_outcomes", "SELECT data_type, count(*) AS planned, count(*) FILTER (WHERE n > 20) AS successful, count(*) FILTER (WHERE n BETWEEN 11 AND 20) AS empty, count(*) FILTER (WHERE n <= 10) AS failed FROM (SELECT data_type, variant_id, count(dosage) AS n FROM fx_gt GROUP BY 1, 2) t GROUP BY 1")
 def extraction_outcomes(fx):
     n = F.col("n")

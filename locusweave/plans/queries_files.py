@@ -158,4 +158,4 @@ def incremental_extract(fx):
     for kind in ("NBA", "WGS"):
         fx.gt.where(F.col("data_type") == kind).select("variant_id", "sample_id", "dosage").write.mode("append").parquet(inbox)
         incremental.follow(fx.spark, inbox, schema, store, done, ["variant_id", "sample_id"]).awaitTermination()
-    return incremental.latest(fx.spark, store)
+    return incremental.latest(fx.spark, store, ["variant_id", "sample_id"])

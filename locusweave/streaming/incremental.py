@@ -1,42 +1,51 @@
-"""Files that arrive over time: process what is new and merge it into the stored result."""
+"""Files that arrive over time: process what is new and keep the results in a store of versions."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from locusweave.operators.bookkeeping import retry_merge
-
 
 def upsert(store: str, keys: list[str], value: str = "dosage") -> Callable[[DataFrame, int], None]:
-    """A batch function that merges each batch into a Parquet store, its values preferred.
+    """A batch function that adds each batch to a Parquet store as a version of its own, so a batch costs what it holds and not what the store holds.
 
-    The merged table is written beside the store under the batch's number and named in the store's list, so a batch that is run again after a
-    failure writes the same version, and a reader never sees half of one.
+    A version has one row per key. A batch that is run again after a failure writes the same version anew, and readers only see finished ones.
     """
 
-    def merge(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        old = latest(spark, store, before=number)
-        merged = batch.select(*keys, value) if old is None else retry_merge(old, batch, keys, value)
-        merged.write.mode("overwrite").parquet(f"{store}/version={number}")
+    def add(batch: DataFrame, number: int) -> None:
+        batch.groupBy(*keys).agg(F.max(value).alias(value)).write.mode("overwrite").parquet(f"{store}/version={number}")
 
-    return merge
+    return add
 
 
-def latest(spark: SparkSession, store: str, before: int | None = None) -> DataFrame | None:
-    """The newest version of a store, or the newest before a batch; None if there is none."""
+def versions(spark: SparkSession, store: str) -> list[int]:
+    """Numbers of the finished versions."""
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     path = jvm.org.apache.hadoop.fs.Path(store)
     fs = path.getFileSystem(conf)
     if not fs.exists(path):
-        return None
+        return []
     done = [f for f in fs.listStatus(path) if fs.exists(jvm.org.apache.hadoop.fs.Path(f.getPath(), "_SUCCESS"))]
-    numbers = sorted(int(f.getPath().getName().split("=")[1]) for f in done)
-    numbers = [n for n in numbers if before is None or n < before]
-    return spark.read.parquet(f"{store}/version={numbers[-1]}") if numbers else None
+    return sorted(int(f.getPath().getName().split("=")[1]) for f in done)
+
+
+def latest(spark: SparkSession, store: str, keys: list[str], value: str = "dosage") -> DataFrame | None:
+    """The merged store: by key the newest value that isn't null. None if there is no version."""
+    found = versions(spark, store)
+    if not found:
+        return None
+    rows = spark.read.option("basePath", store).parquet(*(f"{store}/version={n}" for n in found))
+    return rows.groupBy(*keys).agg(F.max_by(value, F.when(F.col(value).isNotNull(), F.col("version"))).alias(value))
+
+
+def compact(spark: SparkSession, store: str, new_store: str, keys: list[str], value: str = "dosage") -> None:
+    """A new store whose one version holds what the old one's versions come to; the old one may be removed after that."""
+    found = versions(spark, store)
+    if found:
+        latest(spark, store, keys, value).write.mode("overwrite").parquet(f"{new_store}/version={found[-1]}")
 
 
 def follow(spark: SparkSession, folder: str, schema: str, store: str, checkpoint: str, keys: list[str], process: Callable[[DataFrame], DataFrame] = lambda df: df) -> StreamingQuery:

@@ -219,7 +219,30 @@ def test_incremental_follow(spark, tmp_path):
     incremental.follow(spark, inbox, "k string, dosage double", store, check, ["k"]).awaitTermination()
     make(("b", 2.0), ("a", None), ("c", 0.0)).write.mode("append").parquet(inbox)
     incremental.follow(spark, inbox, "k string, dosage double", store, check, ["k"]).awaitTermination()
-    assert rows(incremental.latest(spark, store), "k", "dosage") == [("a", 1.0), ("b", 2.0), ("c", 0.0)]
+    want = [("a", 1.0), ("b", 2.0), ("c", 0.0)]
+    assert incremental.versions(spark, store) == [0, 1] and rows(incremental.latest(spark, store, ["k"]), "k", "dosage") == want
+    incremental.compact(spark, store, f"{store}-new", ["k"])
+    assert incremental.versions(spark, f"{store}-new") == [1] and rows(incremental.latest(spark, f"{store}-new", ["k"]), "k", "dosage") == want
+    assert incremental.latest(spark, f"{store}-none", ["k"]) is None
+
+
+def test_retries_merge_one_row_per_key(spark):
+    make = lambda *r: spark.createDataFrame(list(r), "k string, dosage double")
+    old, new = make(("a", 1.0), ("b", None), ("c", None), ("c", None)), make(("a", None), ("b", 2.0), ("b", 2.0), ("c", None))
+    assert rows(bookkeeping.retry_merge(old, new, ["k"]), "k", "dosage") == [("a", 1.0), ("b", 2.0), ("c", None)]
+    assert rows(bookkeeping.still_failing(old, new, ["k"]), "k") == [("c",)]
+
+
+def test_correction_is_by_file(spark):
+    """One ancestry of a variant turns, the other doesn't; merged, they are two rows of one data type with their own alleles."""
+    data = [("NBA", "EUR", "P", "V", "1", 5, f"S{i}", 2.0 if i < 3 else 1.0, "A", "G") for i in range(4)] + [("NBA", "EAS", "P", "V", "1", 5, f"T{i}", 0.0 if i else 1.0, "A", "G") for i in range(4)]
+    gt = spark.createDataFrame(data, "data_type string, source string, variant_id string, snp_list_id string, chromosome string, position long, sample_id string, dosage double, counted_allele string, alt_allele string")
+    got = alleles.maf_correction(gt)
+    assert rows(got.select("source", "maf_corrected", "counted_allele").distinct(), "source", "maf_corrected", "counted_allele") == [("EAS", False, "A"), ("EUR", True, "G")]
+    assert {r.maf_corrected for r in alleles.maf_correction(gt, "data_type").collect()} == {False}
+    again = got.unionByName(got.where("source = 'EAS'").withColumns({"source": F.lit("ZZZ"), "dosage": F.lit(None).cast("double")}))
+    merged = alleles.merge_sources(again, "source", ["data_type", *alleles.KEYS], "maf_corrected")
+    assert merged.count() == 8 and merged.where("dosage IS NULL").count() == 0 and rows(merged.groupBy("counted_allele").count(), "counted_allele", "count") == [("A", 4), ("G", 4)]
 
 
 def test_empty_tables_keep_their_columns(spark, snp_list):
