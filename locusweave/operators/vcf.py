@@ -75,14 +75,15 @@ def region_restrict(sites: DataFrame, regions: DataFrame, bin_width: int = 1_000
 
 
 def merge_sites(calls: DataFrame) -> DataFrame:
-    """One row per site with the calls of all samples as ``sample=call`` texts in order; samples without a call there are absent.
+    """One row per site with the calls of all samples as ``sample=call`` texts in order, and how many samples of any input have none there (``./.`` in a wide file).
 
-    ``calls``: chromosome, position, ref, alt, sample_id, call. A wide file has ``./.`` for absent samples; that is the sink's part.
+    ``calls``: chromosome, position, ref, alt, sample_id, call.
     """
     keys = ["chromosome", "position", "ref", "alt"]
     one = calls.groupBy(*keys, "sample_id").agg(F.min("call").alias("call"))
     listed = F.array_sort(F.collect_list(F.concat_ws("=", "sample_id", "call")))
-    return one.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_samples"), F.array_join(listed, ",").alias("calls"))
+    samples = calls.agg(F.countDistinct("sample_id")).scalar()
+    return one.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_samples"), F.array_join(listed, ",").alias("calls")).withColumn("n_absent", samples - F.col("n_samples"))
 
 
 def genomic_sort(sites: DataFrame) -> DataFrame:

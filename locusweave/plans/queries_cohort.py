@@ -118,7 +118,7 @@ def region_restrict(fx):
 
 
 @query("vcf_site_merge", """WITH c AS (SELECT p.chromosome, p.position, p.ref, p.alt, g.sample_id, min(CASE CAST(g.dosage AS INTEGER) WHEN 0 THEN '0/0' WHEN 1 THEN '0/1' WHEN 2 THEN '1/1' END) AS call FROM fx_gt g JOIN fx_pvar p ON g.variant_id = p.variant_id
- WHERE g.dosage IS NOT NULL GROUP BY ALL) SELECT chromosome, position, ref, alt, count(*) AS n_samples, string_agg(sample_id || '=' || call, ',' ORDER BY sample_id || '=' || call) AS calls FROM c GROUP BY ALL""")
+ WHERE g.dosage IS NOT NULL GROUP BY ALL) SELECT chromosome, position, ref, alt, count(*) AS n_samples, (SELECT count(DISTINCT sample_id) FROM c) - count(*) AS n_absent, string_agg(sample_id || '=' || call, ',' ORDER BY sample_id || '=' || call) AS calls FROM c GROUP BY ALL""")
 def vcf_site_merge(fx):
     call = F.when(F.col("dosage") == 0, "0/0").when(F.col("dosage") == 1, "0/1").otherwise("1/1")
     rows = fx.gt.where("dosage IS NOT NULL").join(fx.pvar, "variant_id").select("chromosome", "position", "ref", "alt", "sample_id", call.alias("call"))
@@ -411,21 +411,48 @@ def variant_qc_merge(fx):
     return cohort.variant_qc(fx.qc, ["geno_removed_count", "mis_removed_count", "haplotype_removed_count", "hwe_removed_count"])
 
 
-@query("pipeline_browser", "SELECT 'related' AS part, ancestry AS key, count(DISTINCT \"IID1\") AS value FROM fx_related WHERE \"REL\" = 'first_deg' GROUP BY ancestry UNION ALL SELECT 'label', nba_label, count(*) FROM fx_sample GROUP BY nba_label UNION ALL SELECT 'funnel', step, sum(pruned_count)::BIGINT FROM fx_qc WHERE level = 'sample' AND step <> 'related_prune' GROUP BY step")
-def pipeline_browser(fx):
-    related = cohort.related_counts(fx.related).where("first_degree > 0").select(F.lit("related").alias("part"), F.col("ancestry").alias("key"), F.col("first_degree").alias("value"))
-    label = cohort.shares(fx.sample, "nba_label").select(F.lit("label").alias("part"), F.col("nba_label").alias("key"), F.col("count").alias("value"))
-    funnel = cohort.prune_funnel(fx.qc, 1000).select(F.lit("funnel").alias("part"), F.col("step").alias("key"), F.col("pruned_count").alias("value"))
-    return related.unionByName(label).unionByName(funnel)
+_MODEL = """WITH r AS (SELECT actual AS l, sum(CASE WHEN actual = predicted THEN n ELSE 0 END) / sum(n) AS recall, sum(n) AS t FROM fx_confusion GROUP BY 1), p AS (SELECT predicted AS l, sum(CASE WHEN actual = predicted THEN n ELSE 0 END) / sum(n) AS precision FROM fx_confusion GROUP BY 1),
+a AS (SELECT avg(recall) AS ba, avg(precision) AS p, avg(2 * precision * recall / (precision + recall)) AS f1, sum(t) AS t FROM r JOIN p ON r.l = p.l)
+SELECT round(ba, 6) AS balanced_accuracy, round(1.96 * sqrt(ba * (1 - ba) / t), 6) AS margin, round(p, 6) AS mean_precision, round(f1, 6) AS mean_f1 FROM a"""
 
 
-@query("model_metrics", """WITH r AS (SELECT actual AS l, sum(CASE WHEN actual = predicted THEN n ELSE 0 END) / sum(n) AS recall, sum(n) AS t FROM fx_confusion GROUP BY 1), p AS (SELECT predicted AS l, sum(CASE WHEN actual = predicted THEN n ELSE 0 END) / sum(n) AS precision FROM fx_confusion GROUP BY 1),
-a AS (SELECT avg(recall) AS ba, avg(precision) AS p, avg(2 * precision * recall / (precision + recall)) AS f1, sum(t) AS t FROM r JOIN p ON r.l = p.l)
-SELECT round(ba, 6) AS balanced_accuracy, round(1.96 * sqrt(ba * (1 - ba) / t), 6) AS margin, round(p, 6) AS mean_precision, round(f1, 6) AS mean_f1 FROM a""")
+@query("model_metrics", _MODEL)
 def model_metrics(fx):
     return cohort.model_metrics(fx.confusion)
 
 
+_BROWSER = f"""SELECT 'master' AS part, study AS key, count(*)::DOUBLE AS value FROM fx_sample GROUP BY study
+ UNION ALL SELECT 'related', ancestry, count(DISTINCT "IID1")::DOUBLE FROM fx_related WHERE "REL" = 'first_deg' GROUP BY ancestry
+ UNION ALL SELECT 'funnel', step, sum(pruned_count)::DOUBLE FROM fx_qc WHERE level = 'sample' AND step <> 'related_prune' GROUP BY step
+ UNION ALL SELECT 'variant', ancestry || ':' || metric, sum(pruned_count)::DOUBLE FROM fx_qc WHERE level = 'variant' GROUP BY ancestry, metric
+ UNION ALL SELECT 'confusion', actual || ':' || predicted, round(100 * n / sum(n) OVER (PARTITION BY actual), 1)::DOUBLE FROM fx_confusion
+ UNION ALL SELECT 'model', name, value FROM (UNPIVOT ({_MODEL}) ON balanced_accuracy, margin, mean_precision, mean_f1 INTO NAME name VALUE value) u
+ UNION ALL SELECT 'breakdown', nba_label, round(100 * count(*) / (SELECT count(*) FROM fx_sample WHERE nba_label IS NOT NULL), 6)::DOUBLE FROM fx_sample WHERE nba_label IS NOT NULL GROUP BY nba_label"""
+
+
+@query("pipeline_browser", _BROWSER)
+def pipeline_browser(fx):
+    """The tables of one release - master key, relatedness, prune funnel, variant QC, ancestry model and breakdown - as part, key and value."""
+    metrics = ["geno_removed_count", "mis_removed_count", "haplotype_removed_count", "hwe_removed_count"]
+    n = fx.sample.where("nba_label IS NOT NULL").agg(F.count(F.lit(1))).scalar()
+    variant = cohort.variant_qc(fx.qc, metrics).unpivot(["ancestry"], metrics, "metric", "value")
+    model = cohort.model_metrics(fx.confusion)
+    parts = {
+        "master": cohort.value_counts(fx.sample, "study").select(F.col("study").alias("key"), F.col("count").alias("value")),
+        "related": cohort.related_counts(fx.related).where("first_degree > 0").select(F.col("ancestry").alias("key"), F.col("first_degree").alias("value")),
+        "funnel": cohort.prune_funnel(fx.qc, 1000).select(F.col("step").alias("key"), F.col("pruned_count").alias("value")),
+        "variant": variant.select(F.concat_ws(":", "ancestry", "metric").alias("key"), "value"),
+        "confusion": cohort.confusion_percent(fx.confusion).select(F.concat_ws(":", "actual", "predicted").alias("key"), F.col("pct").alias("value")),
+        "model": model.unpivot([], model.columns, "key", "value"),
+        "breakdown": cohort.value_counts(fx.sample.where("nba_label IS NOT NULL"), "nba_label").select(F.col("nba_label").alias("key"), F.round(100 * F.col("count") / n, 6).alias("value")),
+    }
+    out = None
+    for part, table in parts.items():
+        one = table.select(F.lit(part).alias("part"), "key", F.col("value").cast("double").alias("value"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 @query("confusion_pct", "SELECT actual, predicted, round(100 * n / sum(n) OVER (PARTITION BY actual), 1) AS pct FROM fx_confusion")
 def confusion_pct(fx):
     return cohort.confusion_percent(fx.confusion)
@@ -436,9 +463,17 @@ def study_column_sum(fx):
     return cohort.study_sum(fx.cohort, "n_dna_samples_attempted")
 
 
-@query("scan_cohort_csv", "SELECT sample_id, coalesce(prune_reason, '') AS prune_reason, coalesce(age_of_onset, 0) AS age_of_onset FROM fx_sample")
+@query("scan_cohort_csv", "SELECT sample_id, coalesce(prune_reason, '') AS prune_reason, coalesce(age_of_onset, 0) AS age_of_onset, CASE WHEN age_at_sample_collection IS NULL THEN false ELSE related = 1 END AS related, CAST(coalesce(extended_clinical_data, 0) AS INTEGER) AS extended_clinical_data, CASE WHEN age_of_onset IS NULL THEN DATE '2020-01-31' ELSE DATE '2019-03-04' END AS enrolled FROM fx_sample")
 def scan_cohort_csv(fx):
-    return cohort.typed_cohort(fx.sample.select("sample_id", "prune_reason", "age_of_onset"))
+    """A tracker file with texts, numbers, a boolean and a date, each absent in some rows."""
+    from locusweave.sources import shared, tables
+
+    path = shared.new_folder(fx.spark, "cohort")
+    known = F.col("age_at_sample_collection").isNotNull()
+    rows = fx.sample.select("sample_id", "prune_reason", "age_of_onset", F.when(known, (F.col("related") == 1).cast("string")).alias("related"), "extended_clinical_data", F.when(F.col("age_of_onset").isNotNull(), "2019-03-04").alias("enrolled"))
+    rows.write.option("header", True).csv(path)
+    read = tables.read_cohort_csv(fx.spark, path, "sample_id string, prune_reason string, age_of_onset double, related boolean, extended_clinical_data int, enrolled date")
+    return cohort.typed_cohort(read, F.lit("2020-01-31").cast("date"))
 
 
 @query("admixture_filter", "SELECT ancestry, step, metric FROM fx_qc WHERE ancestry = 'ASIA'")
@@ -488,10 +523,17 @@ def pipeline_legacy_carriers(fx):
     return fx.pvar.select("variant_id", "chromosome").join(combined, "variant_id", "left").select("variant_id", "chromosome", F.coalesce("obs_ct", F.lit(0)).alias("obs_ct"), F.round("alt_freqs", 6).alias("alt_freqs"), F.round("f_miss", 6).alias("f_miss"))
 
 
-@query("pipeline_snp_metrics", _FIELDS + f'SELECT chromosome, count(*) AS n, count(*) FILTER (WHERE {_GT} > 0)::BIGINT AS carriers, round(avg(TRY_CAST(f[2] AS DOUBLE)), 9) AS mean_gs FROM r GROUP BY 1')
+@query("pipeline_snp_metrics", _FIELDS + f'SELECT variant_id AS "snpID", chromosome, position, {_GT} AS "GT", TRY_CAST(f[2] AS DOUBLE) AS "GS", TRY_CAST(f[3] AS DOUBLE) AS "BAF", TRY_CAST(f[4] AS DOUBLE) AS "LRR", ref, alt, filter FROM r')
 def pipeline_snp_metrics(fx):
-    m = vcf.sample_metrics(lines(fx))
-    return m.groupBy("chromosome").agg(F.count(F.lit(1)).alias("n"), s.count_if(F.col("GT") > 0).alias("carriers"), F.round(F.avg("GS"), 9).alias("mean_gs"))
+    """From a sample's VCF text to its metric table and the variant reference, both written by chromosome, then read back together."""
+    from locusweave.sources import shared, sinks
+
+    metrics, reference = (shared.new_folder(fx.spark, n) for n in ("metrics", "reference"))
+    sinks.write_metrics(vcf.sample_metrics(lines(fx)).withColumn("IID", F.lit("S1")), metrics)
+    sinks.write_by_chromosome(vcf.variant_reference(lines(fx)), reference)
+    rows = fx.spark.read.schema("snpID string, position long, GT int, GS double, BAF double, LRR double, IID string, chromosome string").parquet(metrics).drop("IID")
+    known = fx.spark.read.schema("variant_id string, ref string, alt string, filter string, chromosome string").parquet(reference).withColumnRenamed("variant_id", "snpID")
+    return rows.join(known, ["chromosome", "snpID"])
 
 
 # bookkeeping
