@@ -111,14 +111,23 @@ def consensus(metrics: DataFrame) -> DataFrame:
     )
 
 
+#: Why the rankings differ.
+REASONS = {
+    "sensitivity": "Diagnostic prioritized sensitivity, concordance prioritized overall accuracy",
+    "specificity": "Diagnostic prioritized specificity, concordance prioritized overall accuracy",
+    "similar": "Methods chose different probes with similar performance metrics",
+    "mixed": "Complex trade-off between sensitivity, specificity, and concordance",
+}
+
+
 def disagreement_reason(choices: DataFrame) -> DataFrame:
     """Why the rankings differ."""
     ds, cs, dp, cp, dc, cc = (F.col(f"{p}.{m}") for m in ("sensitivity", "specificity", "overall_concordance") for p in "dc")
     reason = (
-        F.when((ds > cs) & (dc < cc), "sensitivity against accuracy")
-        .when((dp > cp) & (dc < cc), "specificity against accuracy")
-        .when((F.abs(ds - cs) < 0.05) & (F.abs(dc - cc) < 0.05), "similar")
-        .otherwise("mixed")
+        F.when((ds > cs) & (dc < cc), REASONS["sensitivity"])
+        .when((dp > cp) & (dc < cc), REASONS["specificity"])
+        .when((F.abs(ds - cs) < 0.05) & (F.abs(dc - cc) < 0.05), REASONS["similar"])
+        .otherwise(REASONS["mixed"])
     )
     return choices.where("NOT agree").select("snp_list_id", "diagnostic_choice", "concordance_choice", reason.alias("reason"))
 

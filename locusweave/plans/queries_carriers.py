@@ -659,7 +659,7 @@ def probe_consensus(fx):
     return probes.consensus(probe_metrics_of(fx)).select("snp_list_id", "agree", "recommended_probe", F.round("confidence", 6).alias("confidence"))
 
 
-@query("probe_disagreement_reason", _GRID + "SELECT snp_list_id, CASE WHEN ds > cs AND dcon < ccon THEN 'sensitivity against accuracy' WHEN dp > cp AND dcon < ccon THEN 'specificity against accuracy' WHEN abs(ds - cs) < 0.05 AND abs(dcon - ccon) < 0.05 THEN 'similar' ELSE 'mixed' END AS reason FROM ch WHERE d <> c")
+@query("probe_disagreement_reason", _GRID + f"SELECT snp_list_id, CASE WHEN ds > cs AND dcon < ccon THEN '{probes.REASONS["sensitivity"]}' WHEN dp > cp AND dcon < ccon THEN '{probes.REASONS["specificity"]}' WHEN abs(ds - cs) < 0.05 AND abs(dcon - ccon) < 0.05 THEN '{probes.REASONS["similar"]}' ELSE '{probes.REASONS["mixed"]}' END AS reason FROM ch WHERE d <> c")
 def probe_disagreement_reason(fx):
     return probes.disagreement_reason(probes.consensus(probe_metrics_of(fx))).select("snp_list_id", "reason")
 
