@@ -283,8 +283,8 @@ def test_whole_queries_take_all_samples_chromosomes_and_variants(spark, sf_dir):
     ids = lambda df, *c: {tuple(r) for r in df.select(*c).distinct().collect()}
     of = lambda name, *c: ids(registry.QUERIES[name](spark, sf_dir), *c)
     pvar, nba = ids(fx.pvar, "variant_id"), fx.gt.where("data_type = 'NBA'")
-    assert of("sink_metrics_whole", "IID", "chromosome") == ids(fx.metrics, "IID", "chromosome")
-    assert {c for (c,) in of("chrom_outer_merge_whole", "chromosome")} == {str(i) for i in range(1, 23)}
-    assert of("traw_left_join_whole", "variant_id") == pvar
-    assert of("extract_variants_whole", "variant_id") == ids(nba, "variant_id") & ids(fx.pvar.join(fx.snp_list, ["chromosome", "position"]), "variant_id")
-    assert of("match_info_reference_whole", "variant_id") == of("harmonize", "variant_id")
+    assert of("sink_metrics", "IID", "chromosome") == ids(fx.metrics, "IID", "chromosome")
+    assert {c for (c,) in of("chrom_outer_merge", "chromosome")} == {str(i) for i in range(1, 23)}
+    assert of("traw_left_join", "variant_id") == pvar
+    assert of("extract_variants", "variant_id") == ids(nba, "variant_id") & ids(fx.pvar.join(fx.snp_list, ["chromosome", "position"]), "variant_id")
+    assert of("match_info_reference", "variant_id") == of("harmonize", "variant_id")
