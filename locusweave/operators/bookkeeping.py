@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from locusweave.functions import sites as s
+from locusweave.sources.shared import stored
 
 
 def pending(key: DataFrame, done: DataFrame, *on: str) -> DataFrame:
@@ -14,9 +15,15 @@ def pending(key: DataFrame, done: DataFrame, *on: str) -> DataFrame:
 
 
 def batches(rows: DataFrame, size: int, group: str, order: str) -> DataFrame:
-    """Batch numbers of at most ``size`` rows within each group, by order."""
-    n = F.row_number().over(Window.partitionBy(group).orderBy(order))
-    return rows.withColumn("batch", F.floor((n - 1) / size).cast("int"))
+    """Batch numbers of at most ``size`` rows within each group, by order.
+
+    Rows are dealt in ranges of group and order and written, then numbered within each range; what the ranges before hold is added. So a group may be of any size.
+    """
+    ranged = stored(rows.repartitionByRange(group, order).withColumn("__part", F.spark_partition_id()), "batches")
+    held = ranged.groupBy(group, "__part").agg(F.count(F.lit(1)).alias("__held"))
+    before = held.withColumn("__before", F.coalesce(F.sum("__held").over(Window.partitionBy(group).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    n = F.row_number().over(Window.partitionBy(group, "__part").orderBy(order)) + F.col("__before")
+    return ranged.join(before.select(group, "__part", "__before"), [group, "__part"]).withColumn("batch", F.floor((n - 1) / size).cast("int")).select(*rows.columns, "batch")
 
 
 def progress(key: DataFrame, done: DataFrame, group: str, on: str) -> DataFrame:

@@ -32,6 +32,21 @@ def coverage_by_variant(snp_list: DataFrame, sources: dict[str, DataFrame]) -> D
     return out
 
 
+def coverage_by_source(snp_list: DataFrame, sites: DataFrame, *by: str) -> DataFrame:
+    """List variants that each source covers, exactly and by position, by gene; ``by`` names what a source is (data type, ancestry).
+
+    One join for any number of sources. ``sites``: the ``by`` columns, chromosome, position, ref, alt.
+    """
+    listed = variant_keys(snp_list).select("gene", "variant_key", "pos_key")
+    chrom = s.prefixed_chromosome("chromosome")
+    keys = sites.select(*by, F.concat_ws(":", chrom, F.col("position").cast("string")).alias("pos_key"), F.concat_ws(":", chrom, F.col("position").cast("string"), "ref", "alt").alias("site"))
+    hits = listed.join(keys, "pos_key").groupBy(*by, "gene", "variant_key").agg(F.bool_or(F.col("site") == F.col("variant_key")).alias("exact"))
+    counted = hits.groupBy(*by, "gene").agg(s.count_if(F.col("exact")).alias("exact"), F.count(F.lit(1)).alias("position"))
+    total = listed.groupBy("gene").agg(F.countDistinct("variant_key").alias("total_variants"))
+    pct = lambda c: F.round(100 * s.ratio(F.col(c), F.col("total_variants")), 6).alias(f"{c}_pct")
+    return counted.join(total, "gene").select(*by, "gene", "total_variants", "exact", pct("exact"), "position", pct("position"))
+
+
 def coverage_by_locus(flags: DataFrame, sources: list[str]) -> DataFrame:
     n = F.countDistinct("variant_key")
     out = [n.alias("total_variants")]

@@ -171,5 +171,18 @@ def wgs_concordance(carrier_rows: DataFrame, wgs_samples: DataFrame) -> DataFram
     return _concordance(by_list_row(carrier_rows, wgs_samples))
 
 
+def carrier_filter(strings: DataFrame, samples: DataFrame, variants: DataFrame, ancestry: str = "All", zygosity: str = "All") -> DataFrame:
+    """Genotypes at all selected variants of the samples that carry any of them, of an ancestry and with a zygosity (``All``, ``Homozygous``, ``Heterozygous``).
+
+    ``strings``: sample_id, variant_id, genotype (text). A sample that carries one variant in the wanted way is shown with its calls at the others too.
+    """
+    label = samples if ancestry == "All" else samples.where(F.col("ancestry") == ancestry)
+    rows = strings.join(variants.select("variant_id").distinct(), "variant_id", "left_semi").join(label.select("sample_id", "ancestry", "study"), "sample_id")
+    allele = F.split("genotype", "/")
+    hom = (F.get(allele, F.lit(0)) == F.get(allele, F.lit(1))) & (F.get(allele, F.lit(0)) != ".")
+    wanted = ~F.col("genotype").isin("WT/WT", "./.") & {"All": F.lit(True), "Homozygous": hom, "Heterozygous": ~hom}[zygosity]
+    return rows.join(rows.where(wanted).select("sample_id").distinct(), "sample_id", "left_semi")
+
+
 def report_sort(report: DataFrame) -> DataFrame:
     return report.orderBy(F.asc_nulls_last("ancestry"), F.asc_nulls_last("gene"), F.asc_nulls_last("sample_id"))

@@ -43,7 +43,14 @@ def screen(genotype: DataFrame, pvar: DataFrame, snp_list: DataFrame, samples: D
         kept = probes.probe_filter(merged.where("data_type = 'NBA'"), chosen).select(*rest.columns).unionByName(rest)
     rows = stored(reports.carriers(kept, snp_list, samples, visits), "carriers")
     wgs = merged.where("data_type = 'WGS'").select("sample_id").distinct()
-    return Screening(kept, rows, reports.locus_report(rows), reports.variant_report(rows, wgs), coverage.coverage_by_variant(snp_list, {"array": pvar}), chosen)
+    return Screening(kept, rows, reports.locus_report(rows), reports.variant_report(rows, wgs), coverage.coverage_by_source(snp_list, covered_sites(merged, pvar), *(c for c in ("data_type", "source") if c in merged.columns)), chosen)
+
+
+def covered_sites(genotype: DataFrame, pvar: DataFrame) -> DataFrame:
+    """Sites at which a data type and ancestry have a call."""
+    by = [c for c in ("data_type", "source") if c in genotype.columns]
+    called = genotype.where("dosage IS NOT NULL").select(*by, "variant_id").distinct()
+    return called.join(pvar.select("variant_id", "chromosome", "position", "ref", "alt"), "variant_id")
 
 
 def comparison(rows: DataFrame, reference: str, other: str) -> DataFrame:

@@ -567,6 +567,27 @@ def pipeline_coverage(fx):
     return coverage.coverage_by_locus(cover(fx), ["array", "seq"]).select("gene", "total_variants", "array_exact", "seq_position")
 
 
+@query("coverage_by_source", """WITH t AS (SELECT DISTINCT g.data_type, coalesce(CASE WHEN g.data_type = 'WGS' THEN k.wgs_label ELSE k.nba_label END, 'Unknown') AS source, p.chromosome, p.position, p.ref, p.alt
+ FROM fx_gt g JOIN fx_pvar p ON g.variant_id = p.variant_id LEFT JOIN fx_sample k ON g.sample_id = k.sample_id WHERE g.dosage IS NOT NULL),
+h AS (SELECT t.data_type, t.source, s.gene, s.hg38, bool_or(t.ref = s.ref AND t.alt = s.alt) AS exact FROM fx_snp_list s JOIN t ON t.chromosome = s.chromosome AND t.position = s.position GROUP BY ALL),
+n AS (SELECT gene, count(DISTINCT hg38) AS total_variants FROM fx_snp_list GROUP BY gene)
+SELECT data_type, source, h.gene, total_variants, count(*) FILTER (WHERE exact) AS exact, round(100 * (count(*) FILTER (WHERE exact) / total_variants), 6) AS exact_pct, count(*) AS position, round(100 * (count(*) / total_variants), 6) AS position_pct
+FROM h JOIN n ON h.gene = n.gene GROUP BY data_type, source, h.gene, total_variants""")
+def coverage_by_source(fx):
+    """Which list variants each data type and ancestry has calls for."""
+    return coverage.coverage_by_source(fx.snp_list, carriers.covered_sites(alleles.with_source(fx.gt, fx.sample), fx.pvar), "data_type", "source")
+
+
+@query("carrier_filter", f"""WITH st AS (SELECT g.sample_id, g.variant_id, {_STRING} AS genotype FROM fx_gt g JOIN fx_pvar p ON g.variant_id = p.variant_id WHERE g.data_type = 'NBA' AND g.variant_id IN (SELECT variant_id FROM cx_match WHERE moi = 'AR')),
+r AS (SELECT st.sample_id, st.variant_id, st.genotype, k.nba_label AS ancestry, k.study FROM st JOIN fx_sample k ON st.sample_id = k.sample_id WHERE k.nba_label = 'ASIA')
+SELECT * FROM r WHERE sample_id IN (SELECT sample_id FROM r WHERE genotype NOT IN ('WT/WT', './.') AND split_part(genotype, '/', 1) = split_part(genotype, '/', 2))""")
+def carrier_filter(fx):
+    """Homozygous carriers of recessive variants in one ancestry, with all their calls at such variants."""
+    strings = alleles.genotype_strings(fx.gt.where("data_type = 'NBA'"), fx.pvar).select("sample_id", "variant_id", "genotype")
+    recessive = fx.pvar.join(fx.snp_list.where("moi = 'AR'"), ["chromosome", "position"], "left_semi")
+    return reports.carrier_filter(strings, fx.sample.withColumn("ancestry", F.col("nba_label")), recessive, "ASIA", "Homozygous")
+
+
 @query("list_minus_list", "SELECT snp_list_id, hg38 FROM fx_snp_list WHERE position % 2 = 0 AND hg38 NOT IN (SELECT hg38 FROM fx_snp_list WHERE position % 3 = 0) UNION ALL SELECT snp_list_id, hg38 FROM fx_snp_list WHERE position % 3 = 0")
 def list_minus_list(fx):
     rows = fx.snp_list.select("snp_list_id", "hg38")

@@ -226,6 +226,12 @@ def test_incremental_follow(spark, tmp_path):
     assert incremental.latest(spark, f"{store}-none", ["k"]) is None
 
 
+def test_batches_are_numbered_over_ranges(spark):
+    data = spark.createDataFrame([("a", i) for i in range(57)] + [("b", i) for i in range(3)], "g string, i int").repartition(5)
+    got = bookkeeping.batches(data, 10, "g", "i").collect()
+    assert len(got) == 60 and all(r.batch == r.i // 10 for r in got)
+
+
 def test_retries_merge_one_row_per_key(spark):
     make = lambda *r: spark.createDataFrame(list(r), "k string, dosage double")
     old, new = make(("a", 1.0), ("b", None), ("c", None), ("c", None)), make(("a", None), ("b", 2.0), ("b", 2.0), ("c", None))
