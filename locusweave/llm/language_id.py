@@ -184,7 +184,7 @@ def train(docs: DataFrame, per_lang_rows: int = 1000, epochs: int = 6, rate: flo
     for e in range(epochs):
         dealt = fit.withColumn("time", F.explode(F.sequence(F.lit(1), F.lit(min(times, STEPS))))) if times > 1 else fit.withColumn("time", F.lit(1))
         dealt = dealt.select("*", F.pmod(F.xxhash64("order"), F.lit(shards)).cast("int").alias("shard"), F.xxhash64("order", "kind", F.lit(e)).alias("turn"))
-        dealt = dealt.repartition(4 * SHARDS, "shard").sortWithinPartitions("shard", "time", "turn", "lang", "kind").select("shard", "lang", "buckets", "shares")
+        dealt = dealt.repartitionById(shards, "shard").sortWithinPartitions("shard", "time", "turn", "lang", "kind").select("shard", "lang", "buckets", "shares")
         now = rate * (1 - e / epochs)
         parts = dealt.mapInArrow(lambda b, m=model, r=now: _epoch(b, m, r), PARTS).collect()  # SHARDS models
         share = np.array([p.n for p in parts], np.float32) / sum(p.n for p in parts)
