@@ -496,7 +496,7 @@ def first_per_key(fx):
 
 @query("report_annotation_join", "SELECT c.sample_id, c.variant_id, c.data_type, s.hg38, s.moi AS list_moi FROM cx_car c LEFT JOIN fx_snp_list s ON c.snp_list_id = s.snp_list_id")
 def report_annotation_join(fx):
-    return carrier_rows(fx).join(fx.snp_list.select("snp_list_id", "hg38", F.col("moi").alias("list_moi")), "snp_list_id", "left").select("sample_id", "variant_id", "data_type", "hg38", "list_moi")
+    return carrier_rows(fx).drop("hg38").join(fx.snp_list.select("snp_list_id", "hg38", F.col("moi").alias("list_moi")), "snp_list_id", "left").select("sample_id", "variant_id", "data_type", "hg38", "list_moi")
 
 
 @query("annotate_output", "SELECT m.variant_id, m.snp_list_id, coalesce(CASE WHEN m.position % 3 = 0 THEN NULL ELSE m.gene END, '.') AS gene FROM cx_match m WHERE action IS NOT NULL")
