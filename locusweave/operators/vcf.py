@@ -74,16 +74,16 @@ def region_restrict(sites: DataFrame, regions: DataFrame, bin_width: int = 1_000
     return sites.join(r, near & F.col("position").between(F.col("start"), F.col("end")), "left_semi")
 
 
-def merge_sites(calls: DataFrame) -> DataFrame:
+def merge_sites(calls: DataFrame, samples: DataFrame) -> DataFrame:
     """One row per site with the calls of all samples as ``sample=call`` texts in order, and how many samples of any input have none there (``./.`` in a wide file).
 
-    ``calls``: chromosome, position, ref, alt, sample_id, call.
+    ``calls``: chromosome, position, ref, alt, sample_id, call. ``samples``: sample_id of all inputs, as their headers list them.
     """
     keys = ["chromosome", "position", "ref", "alt"]
     one = calls.groupBy(*keys, "sample_id").agg(F.min("call").alias("call"))
     listed = F.array_sort(F.collect_list(F.concat_ws("=", "sample_id", "call")))
-    samples = calls.agg(F.countDistinct("sample_id")).scalar()
-    return one.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_samples"), F.array_join(listed, ",").alias("calls")).withColumn("n_absent", samples - F.col("n_samples"))
+    known = samples.agg(F.countDistinct("sample_id")).scalar()
+    return one.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_samples"), F.array_join(listed, ",").alias("calls")).withColumn("n_absent", known - F.col("n_samples"))
 
 
 def genomic_sort(sites: DataFrame) -> DataFrame:

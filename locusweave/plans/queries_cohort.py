@@ -118,11 +118,11 @@ def region_restrict(fx):
 
 
 @query("vcf_site_merge", """WITH c AS (SELECT p.chromosome, p.position, p.ref, p.alt, g.sample_id, min(CASE CAST(g.dosage AS INTEGER) WHEN 0 THEN '0/0' WHEN 1 THEN '0/1' WHEN 2 THEN '1/1' END) AS call FROM fx_gt g JOIN fx_pvar p ON g.variant_id = p.variant_id
- WHERE g.dosage IS NOT NULL GROUP BY ALL) SELECT chromosome, position, ref, alt, count(*) AS n_samples, (SELECT count(DISTINCT sample_id) FROM c) - count(*) AS n_absent, string_agg(sample_id || '=' || call, ',' ORDER BY sample_id || '=' || call) AS calls FROM c GROUP BY ALL""")
+ WHERE g.dosage IS NOT NULL GROUP BY ALL) SELECT chromosome, position, ref, alt, count(*) AS n_samples, (SELECT count(DISTINCT sample_id) FROM fx_sample) - count(*) AS n_absent, string_agg(sample_id || '=' || call, ',' ORDER BY sample_id || '=' || call) AS calls FROM c GROUP BY ALL""")
 def vcf_site_merge(fx):
     call = F.when(F.col("dosage") == 0, "0/0").when(F.col("dosage") == 1, "0/1").otherwise("1/1")
     rows = fx.gt.where("dosage IS NOT NULL").join(fx.pvar, "variant_id").select("chromosome", "position", "ref", "alt", "sample_id", call.alias("call"))
-    return vcf.merge_sites(rows)
+    return vcf.merge_sites(rows, fx.sample)
 
 
 # metrics
