@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, language_id, license_scan, line_dedup, mixing, near_dedup, packing, quality, secret_scan, toxicity
+from . import exact_dedup, language_id, license_scan, line_dedup, mixing, near_dedup, packing, quality, secret_scan, structure_repair, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": toxicity.op1_toxicity,
@@ -19,6 +19,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_cost_packing": packing.op8_cost_packing,
     "op9_exact_dedup": exact_dedup.op9_exact_dedup,
     "op10_language_id": language_id.op10_language_id,
+    "op11_structure_repair": structure_repair.op11_structure_repair,
 }
 
 ORACLES: dict[str, str] = {
