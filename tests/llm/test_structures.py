@@ -6,11 +6,12 @@ import re
 import zlib
 from collections import defaultdict
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from locusweave.llm import sequences, structure_repair
+from locusweave.llm import prefix_trie, sequences, structure_repair
 
 TALK = "conv_id long, turn long, role string, text string"
 SPACE = " \t\n\x0b\x0c\r"
@@ -158,3 +159,78 @@ def test_streamed_hashes(spark):
     for k, _, p in rows:
         want[k].append(p)
     assert got == {(k, hashlib.sha256(", ".join(v).encode()).hexdigest()) for k, v in want.items()}
+
+
+# --- 12
+
+
+def trie_by_hand(rows):
+    """Rows (conv_id, turn, role, text) to the nodes' digests, node by node."""
+    talks = defaultdict(list)
+    for conv, turn, role, text in rows:
+        if conv is not None:
+            talks[conv].append(((turn is not None, turn or 0), role or "", text or ""))
+    plain = {c: [(r, t) for _, r, t in sorted(x)] for c, x in talks.items()}
+    members, ends = defaultdict(set), defaultdict(list)
+    for c in sorted(plain):
+        h = zlib.crc32(str(c).encode()) % 9
+        turns = tuple(plain.get(c - int(np.fmod(c, 5)), [])[:h] + plain[c][h:])
+        for d in range(len(turns) + 1):
+            members[turns[:d]].add(c)
+        ends[turns].append(str(c))
+    out = set()
+    for node, m in members.items():
+        below = [x for x in members if x[: len(node)] == node]
+        kids = [x for x in below if len(x) == len(node) + 1]
+        leaves = sum(not any(len(y) == len(x) + 1 and y[: len(x)] == x for y in below) for x in below)
+        saved = sum((len(members[x]) - 1) * len(x[-1][1].encode()) for x in below if x)
+        out.add((min(m), len(node), min(members[node[:-1]]) if node else None, len(m), len(kids), leaves, saved, hashlib.sha256(",".join(ends[node]).encode()).hexdigest()))
+    return out
+
+
+def test_trie_by_brute_force(spark, talks, sf_dir):
+    rows = [tuple(r[c] for c in ("conv_id", "turn", "role", "text")) for r in talks.collect()]
+    assert {tuple(r) for r in prefix_trie.op12_prefix_trie(spark, sf_dir).collect()} == trie_by_hand(rows)
+
+
+def test_trie_sql(spark, sf_dir):
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW conversations AS SELECT * FROM '{sf_dir}/conversations.parquet'")
+    want = con.sql(prefix_trie.OP12_SQL)
+    got = prefix_trie.op12_prefix_trie(spark, sf_dir)
+    assert got.columns == want.columns
+    assert {tuple(r) for r in got.collect()} == set(want.fetchall())
+
+
+def test_trie_of_odd_and_shared_rows(spark):
+    df = odd_talks(spark)
+    more = [(100 + i, t, "user" if t % 2 == 0 else "assistant", f"t{t if t < 5 + i % 3 else t * 100 + i % 4}") for i in range(25) for t in range(i % 13)]
+    df = df.select("conv_id", "turn", "role", "text").unionByName(spark.createDataFrame(more, TALK))
+    turns, sizes = prefix_trie.rebuilt(prefix_trie.placed_turns(df.withColumn("part", F.lit("clash")), chunk_rows=2))
+    assert {tuple(r) for r in prefix_trie.summarized(*prefix_trie.trie(turns, sizes)).collect()} == trie_by_hand([tuple(r) for r in df.collect()])
+    turns, sizes = prefix_trie.rebuilt(prefix_trie.placed_turns(df.limit(0)))
+    assert prefix_trie.summarized(*prefix_trie.trie(turns, sizes)).count() == 0
+
+
+def test_prefixes_over_chunks(spark):
+    """Hashes of prefixes don't depend on where chunks end."""
+    turns = spark.createDataFrame([(c, p, p * 7 + c // 2, 3, 1) for c in range(4) for p in range(23)], "conv_id long, pos long, a long, b long, size long")
+    assert sorted(map(tuple, prefix_trie.prefixes(turns, 4).collect())) == sorted(map(tuple, prefix_trie.prefixes(turns, 100).collect()))
+
+
+def test_contraction_of_chains_and_stars(spark):
+    rng = random.Random(3)
+    parent = {0: None}
+    for i in range(1, 150):
+        parent[i] = i - 1 if rng.random() < 0.9 else rng.randrange(i)
+    for i in range(150, 250):
+        parent[i] = 0
+    depth = {0: 0}
+    for i in range(1, 250):
+        depth[i] = depth[parent[i]] + 1
+    rows = [(i, p, depth[i], None if p is None else depth[p], i * i % 11) for i, p in parent.items()]
+    got = prefix_trie.subtree_totals(spark.createDataFrame(rows, "id long, parent long, depth long, up_depth long, v long"), ("v",))
+    want = {i: i * i % 11 for i in parent}
+    for i in range(249, 0, -1):
+        want[parent[i]] += want[i]
+    assert sorted(map(tuple, got.collect())) == sorted(want.items())
