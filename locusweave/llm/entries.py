@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, language_id, license_scan, line_dedup, mixing, near_dedup, packing, prefix_trie, quality, secret_scan, structure_repair, toxicity
+from . import exact_dedup, language_id, license_scan, line_dedup, mixing, near_dedup, packing, prefix_trie, quality, secret_scan, structure_repair, suffix_dedup, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": toxicity.op1_toxicity,
@@ -21,6 +21,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_language_id": language_id.op10_language_id,
     "op11_structure_repair": structure_repair.op11_structure_repair,
     "op12_prefix_trie": prefix_trie.op12_prefix_trie,
+    "op13_suffix_dedup": suffix_dedup.op13_suffix_dedup,
 }
 
 ORACLES: dict[str, str] = {
@@ -28,4 +29,5 @@ ORACLES: dict[str, str] = {
     "op6_line_windows": line_dedup.OP6_SQL,
     "op9_exact_dedup": exact_dedup.OP9_SQL,
     "op12_prefix_trie": prefix_trie.OP12_SQL,
+    "op13_suffix_dedup": suffix_dedup.OP13_SQL,
 }

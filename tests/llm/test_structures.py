@@ -8,10 +8,11 @@ from collections import defaultdict
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from locusweave.llm import prefix_trie, sequences, structure_repair
+from locusweave.llm import prefix_trie, sequences, structure_repair, suffix_dedup
 
 TALK = "conv_id long, turn long, role string, text string"
 SPACE = " \t\n\x0b\x0c\r"
@@ -234,3 +235,86 @@ def test_contraction_of_chains_and_stars(spark):
     for i in range(249, 0, -1):
         want[parent[i]] += want[i]
     assert sorted(map(tuple, got.collect())) == sorted(want.items())
+
+
+# --- 13
+
+DOCS = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def strings_by_hand(rows):
+    """Rows (doc_id, text) to digests, string by string."""
+    seen, out = set(), {}
+    for doc_id, text in sorted({(r[0], r[1] or "") for r in rows}, key=lambda r: (r[0] is not None, r[0] or 0)):
+        raw = text.encode()
+        gone = bytearray(len(raw))
+        for i in range(len(raw) - 99):
+            if raw[i : i + 100] in seen:
+                gone[i : i + 100] = b"\1" * 100
+            seen.add(raw[i : i + 100])
+        kept = bytes(b for b, g in zip(raw, gone) if not g)
+        out[doc_id, text] = (len(raw), sum(gone), len(re.findall(b"\1+", bytes(gone))), hashlib.sha256(kept).hexdigest())
+    return sorted(((r[0], *out[r[0], r[1] or ""]) for r in rows), key=repr)
+
+
+def digests(df):
+    return sorted((tuple(r[c] for c in ("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")) for r in df.collect()), key=repr)
+
+
+@pytest.fixture(scope="module")
+def repeating(spark):
+    """Passages shared at all offsets, periodic texts, odd rows, and columns whose names the operator uses."""
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choice("abcdeß") for _ in range(rng.randint(1, 9)))
+    shared = [" ".join(word() for _ in range(n)) for n in (12, 20, 25, 40, 200)]
+    texts = [" ".join(rng.choice([word(), word(), word(), rng.choice(shared)[rng.randint(0, 30) :]]) for _ in range(rng.randint(0, 60))) for _ in range(60)]
+    texts += [None, "", "a", "a" * 99, "a" * 100, "a" * 101, "ab" * 500, "x" * 5000, "abc" * 40 + "y" * 150 + "abc" * 40, shared[4], shared[4], shared[4] * 3, "\0" * 130, "\0" * 131, "end" + "\0" * 120, "日本" * 90]
+    rows = [(i, t, "en", "s", 1) for i, t in enumerate(texts)] + [(None, shared[4], None, None, None), (3, texts[3], None, None, None)]
+    return spark.createDataFrame(rows, DOCS).withColumns({c: F.lit("clash") for c in ("key", "hash", "th", "start", "n", "piece", "ranges", "first", "hot", "of_key", "copies")}).repartition(5)
+
+
+@pytest.mark.parametrize("key_pieces", [10_000, 2])
+def test_strings_by_brute_force(repeating, key_pieces):
+    rows = [(r["doc_id"], r["text"]) for r in repeating.collect()]
+    assert digests(suffix_dedup.dedup_strings(repeating, key_pieces)) == strings_by_hand(rows)
+
+
+def test_strings_of_the_corpus(spark, sf_dir):
+    rows = [tuple(r) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()]
+    assert digests(suffix_dedup.op13_suffix_dedup(spark, sf_dir)) == strings_by_hand(rows)
+
+
+def test_strings_of_an_empty_table(repeating):
+    assert suffix_dedup.dedup_strings(repeating.limit(0)).count() == 0
+
+
+def test_strings_over_segments_and_collections(repeating, monkeypatch):
+    """Long texts are hashed in parts, and keys fill many collections; neither may change a result."""
+    whole = [(r["doc_id"], r["text"]) for r in repeating.collect()]
+    texts = [(t or "").encode() for _, t in whole]
+    batch = pa.RecordBatch.from_arrays([pa.array([d for d, _ in whole], pa.int64()), pa.array(range(len(whole)), pa.int64()), pa.array(texts, pa.binary())], names=["doc_id", "th", "text"])
+    monkeypatch.setattr(suffix_dedup, "SEGMENT", 50)
+    strings = set()
+    for b in suffix_dedup._pieces(iter([batch])):
+        for key, th, start, n in zip(*(b.column(c).to_pylist() for c in ("key", "th", "start", "n"))):
+            strings |= {(th, start + i, key) for i in range(n)}
+    monkeypatch.undo()
+    want = set()
+    for b in suffix_dedup._pieces(iter([batch])):
+        for key, th, start, n in zip(*(b.column(c).to_pylist() for c in ("key", "th", "start", "n"))):
+            want |= {(th, start + i, key) for i in range(n)}
+    assert strings == want and len(want) == sum(max(0, len(t) - 99) for t in texts)
+
+
+def test_transform_against_sorted_suffixes():
+    """Order and common prefixes after all columns, against sorting."""
+    rng = np.random.default_rng(2)
+    lengths = rng.integers(0, 12, 40)
+    words = rng.integers(0, 3, int(lengths.sum()) * 4 + 4).astype(np.uint32)
+    first = np.concatenate(([0], np.cumsum(lengths * 4)))[:-1]
+    got = suffix_dedup.Collection(words, first, lengths)
+    suffix = {int(f + 4 * i): tuple(words[f + 4 * i : f + 4 * n : 4].tolist()) for f, n in zip(first, lengths) for i in range(n)}
+    order = [suffix[s] for s in got.starts().tolist()]
+    assert order == sorted(suffix.values())
+    common = [0] + [next((i for i, (a, b) in enumerate(zip(x, y)) if a != b), min(len(x), len(y))) for x, y in zip(order, order[1:])]
+    assert got.common[got.n :].tolist() == common
