@@ -2,11 +2,11 @@
 
 1. Pieces. Texts are cut where the minimizer (the k-byte string of least hash) of their 100-byte strings changes. Equal strings have equal minimizers, so only pieces of one minimizer can share
    strings: minimizers are the keys by which the collection is dealt to tasks. Pieces whose minimizer stands once in all texts go; equal pieces are combined, and but for the first their bytes go at once.
-2. Collections. A task takes whole keys, some 500,000 bytes at a time. A piece enters as four documents, one for each start modulo four, so that a symbol is a word of four bytes and a string of
+2. Collections. A task takes whole keys, some 130,000 bytes at a time. A piece enters as four documents, one for each start modulo four, so that a symbol is a word of four bytes and a string of
    100 bytes is 25 symbols. Each round inserts one symbol of each document, from the last to the first, into the transform - kept as the sorted pairs of symbol and place of what follows it - and
    updates the common prefixes: that of two neighbours is one more than the least common prefix between the places of what follows them.
 3. Runs of suffixes with common prefixes of 25 symbols or more are equal strings; all but the first by (doc_id, hash of the text, start) are covered.
-4. A key of more than ``key_pieces`` pieces isn't gathered in a task: its strings are taken one by one and joined with the first place of each.
+4. A key of more than ``key_pieces`` different pieces isn't gathered in a task: its strings are taken one by one and joined with the first place of each.
 
 Tables between these steps are files in the shared folder, read in order; a collection of bounded size stays in its task's memory.
 
@@ -31,11 +31,11 @@ LENGTH, SEED, WORD = 100, 32, 4
 #: Strings of a piece at most, as all hold its minimizer.
 PIECE = LENGTH - SEED + 1
 #: Bytes of text whose hashes are held at a time, and bytes of the pieces of a collection.
-SEGMENT, COLLECTION = 1 << 20, 1 << 19
+SEGMENT, COLLECTION = 1 << 20, 1 << 17
 #: Bits that a place takes among hashes held at a time.
 PLACE_BITS = 22
-#: Pieces of a key that a task takes together.
-KEY_PIECES = 10_000
+#: Different pieces of a key that a task takes together: 5 MB of text, for which its arrays take some 300 MB.
+KEY_PIECES = 1 << 15
 ODD = np.uint64(0x9E3779B97F4A7C15)
 INVERSE = np.uint64(pow(int(ODD), -1, 1 << 64))
 
@@ -134,6 +134,9 @@ def _rows_of(parts: list[np.ndarray], row: list[int], base: list[int], ids: pa.A
     return pa.RecordBatch.from_arrays(columns, names=["key", "hash", "doc_id", "th", "start", "n"])
 
 
+LOW = np.uint64(0xFFFFFFFF)
+
+
 class Collection:
     """The transform of a collection of documents, given as places of their symbols in ``words``.
 
@@ -159,20 +162,19 @@ class Collection:
         new, docs = new[order], docs[order]
         gaps = np.searchsorted(self.pairs, new)
         places = gaps + np.arange(len(new))
-        old = len(self.pairs)
-        is_new = np.zeros(old + len(new), bool)
+        size = len(self.pairs) + len(new)
+        is_new = np.zeros(size, bool)
         is_new[places] = True
         kept = np.flatnonzero(~is_new)
-        pairs = np.empty(old + len(new), np.uint64)
+        pairs = np.empty(size, np.uint64)
         pairs[kept], pairs[places] = self.pairs, new
         touched = np.flatnonzero(is_new | np.concatenate(([False], is_new[:-1])))
-        common = np.zeros(self.n + len(pairs), np.uint8)
+        common = np.zeros(self.n + size, np.uint8)
         common[self.n + kept] = self.common[self.n :]
         common[self.n + touched] = self._common(pairs, touched)
         # places of rests, as suffixes have moved
         moved = np.concatenate((np.arange(self.n), self.n + kept))
-        low = np.uint64(0xFFFFFFFF)
-        self.pairs = (pairs & ~low) | moved[(pairs & low).astype(np.int64)].astype(np.uint64)
+        self.pairs = (pairs & ~LOW) | moved[(pairs & LOW).astype(np.int64)].astype(np.uint64)
         self.common = common
         self.at = moved[self.at]
         self.at[docs] = self.n + places
@@ -182,8 +184,7 @@ class Collection:
         before = pairs[np.maximum(at - 1, 0)]
         here = pairs[at]
         same = (at > 0) & (before >> np.uint64(32) == here >> np.uint64(32))
-        low = np.uint64(0xFFFFFFFF)
-        lo, hi = (before[same] & low).astype(np.int64) + 1, (here[same] & low).astype(np.int64)
+        lo, hi = (before[same] & LOW).astype(np.int64) + 1, (here[same] & LOW).astype(np.int64)
         out = np.zeros(len(at), np.uint8)
         if len(lo):
             level = np.frexp((hi - lo + 1).astype(np.float64))[1] - 1
@@ -200,7 +201,7 @@ class Collection:
     def starts(self) -> np.ndarray:
         """Where in ``words`` each suffix starts, in their order: documents are read from front to back."""
         out = np.empty(len(self.pairs), np.int64)
-        rest = (self.pairs & np.uint64(0xFFFFFFFF)).astype(np.int64)
+        rest = (self.pairs & LOW).astype(np.int64)
         docs, at = np.arange(self.n), self.at
         for i in range(int(self.lengths.max(initial=0))):
             more = self.lengths[docs] > i
@@ -294,14 +295,15 @@ def _same(left: str, right: str) -> F.Column:
 def covered_ranges(docs: DataFrame, key_pieces: int = KEY_PIECES) -> DataFrame:
     """doc_id, th, lo, hi (bytes, hi exclusive) of all that is covered; ranges of a document may overlap. ``docs`` has doc_id, th and text (binary)."""
     pieces = docs.where(F.octet_length("text") >= LENGTH).mapInArrow(_pieces, PIECES)
-    often = pieces.groupBy("key").agg(F.count(F.lit(1)).alias("of_key")).where("of_key > 1")
+    often = pieces.groupBy("key").agg(F.count(F.lit(1)).alias("of_key")).where("of_key > 1").select("key")
     shared = common.written(pieces.join(often, "key"), "suffix-pieces")
     place = F.struct("doc_id", "th", "start")
-    firsts = shared.groupBy("key", "hash", "n").agg(F.min(place).alias("first"), F.max("of_key").alias("of_key"), F.count(F.lit(1)).alias("copies"))
+    firsts = shared.groupBy("key", "hash", "n").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("copies"))
     firsts = common.written(firsts, "suffix-firsts")
     later = shared.join(firsts.where("copies > 1").select("key", "hash", "n", "first"), ["key", "hash", "n"]).where(~place.eqNullSafe(F.col("first")))
     later = later.select("doc_id", "th", F.col("start").alias("lo"), (F.col("start") + F.col("n") + (LENGTH - 1)).alias("hi"))
-    wanted = firsts.select("first.*", "key", "n", (F.col("of_key") > key_pieces).alias("hot")).groupBy("doc_id", "th").agg(F.collect_list(F.struct("key", "start", "n", "hot")).alias("pieces"))
+    several = firsts.groupBy("key").agg(F.count(F.lit(1)).alias("different")).where("different > 1").select("key", (F.col("different") > key_pieces).alias("hot"))
+    wanted = firsts.join(several, "key").select("first.*", "key", "n", "hot").groupBy("doc_id", "th").agg(F.collect_list(F.struct("key", "start", "n", "hot")).alias("pieces"))
     texts = docs.alias("d").join(wanted.alias("w"), _same("d", "w")).select("d.*", F.explode("pieces").alias("p")).select("doc_id", "th", "text", "p.*")
     cut = F.substring("text", F.col("start").cast("int") + 1, F.col("n") + (LENGTH - 1))
     texts = common.written(texts.select("key", "doc_id", "th", "start", "n", "hot", cut.alias("piece")), "suffix-collection")
@@ -332,9 +334,10 @@ def op13_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OP13_SQL = """
 WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
-w AS (SELECT doc_id, i, substring(h, CAST(2 * i + 1 AS INT), 200) AS s FROM (SELECT doc_id, h, unnest(generate_series(0, CAST(length(h) / 2 AS BIGINT) - 100)) AS i FROM d) x),
-f AS (SELECT sha256(s) AS k, min((doc_id, i)) AS place, count(*) AS n FROM w GROUP BY 1),
-c AS (SELECT w.doc_id, w.i FROM w JOIN f ON f.k = sha256(w.s) WHERE f.n > 1 AND (w.doc_id, w.i) <> f.place),
+b AS MATERIALIZED (SELECT doc_id, lo, least(512, length(h) / 2 - 99 - lo) AS n, substring(h, CAST(2 * lo + 1 AS INT), 1222) AS h FROM (SELECT doc_id, h, unnest(generate_series(0, CAST(length(h) / 2 AS BIGINT) - 100, 512)) AS lo FROM d) x),
+w AS MATERIALIZED (SELECT doc_id, lo + i AS i, md5_number(substring(h, CAST(2 * i + 1 AS INT), 200)) AS k FROM (SELECT doc_id, lo, h, unnest(generate_series(0, CAST(n AS BIGINT) - 1)) AS i FROM b) x),
+f AS MATERIALIZED (SELECT k, min((doc_id, i)) AS place FROM w GROUP BY k HAVING count(*) > 1),
+c AS MATERIALIZED (SELECT w.doc_id, w.i FROM w JOIN f USING (k) WHERE (w.doc_id, w.i) <> f.place),
 g AS (SELECT doc_id, i, sum(CASE WHEN i <= before + 100 THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM (SELECT doc_id, i, lag(i) OVER (PARTITION BY doc_id ORDER BY i) AS before FROM c) x),
 r AS (SELECT doc_id, min(i) AS lo, max(i) + 100 AS hi FROM g GROUP BY doc_id, run),
 e AS (SELECT doc_id, lo, hi, lead(lo) OVER (PARTITION BY doc_id ORDER BY lo) AS next_lo, row_number() OVER (PARTITION BY doc_id ORDER BY lo) AS nr FROM r),

@@ -273,7 +273,7 @@ def repeating(spark):
     return spark.createDataFrame(rows, DOCS).withColumns({c: F.lit("clash") for c in ("key", "hash", "th", "start", "n", "piece", "ranges", "first", "hot", "of_key", "copies")}).repartition(5)
 
 
-@pytest.mark.parametrize("key_pieces", [10_000, 2])
+@pytest.mark.parametrize("key_pieces", [1 << 15, 2])
 def test_strings_by_brute_force(repeating, key_pieces):
     rows = [(r["doc_id"], r["text"]) for r in repeating.collect()]
     assert digests(suffix_dedup.dedup_strings(repeating, key_pieces)) == strings_by_hand(rows)
