@@ -6,17 +6,23 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from locusweave.functions import sites as s
+from locusweave.sources import matrix
 
 FIXED = ["chromosome", "position", "variant_id", "ref", "alt", "qual", "filter", "info", "format", "sample"]
 
 
-def records(lines: DataFrame) -> DataFrame:
-    """Records of one-sample VCF lines (column value); header lines are left out."""
-    part = F.split("value", "\t")
-    rows = lines.where(~F.col("value").startswith("#") & (F.trim("value") != "")).select(*(F.get(part, F.lit(i)).alias(c) for i, c in enumerate(FIXED)))
+def normalized(rows: DataFrame) -> DataFrame:
+    """Chromosomes without ``chr``, positions as numbers."""
     return rows.withColumns({"chromosome": F.regexp_replace("chromosome", "^chr", ""), "position": F.expr("try_cast(position AS BIGINT)")})
 
 
+def records(lines: DataFrame, *keep: str) -> DataFrame:
+    """Records of one-sample VCF lines (column value), with the columns ``keep`` of the lines; header lines are left out."""
+    part = F.split("value", "\t")
+    rows = lines.where(~F.col("value").startswith("#") & (F.trim("value") != "")).select(*(F.get(part, F.lit(i)).alias(c) for i, c in enumerate(FIXED)), *keep)
+    return normalized(rows)
+
+
 def format_field(key: str) -> Column:
     """Value of a FORMAT key in the sample column, by the record's own FORMAT; '.' and absent keys are null."""
     at = F.array_position(F.split("format", ":"), F.lit(key)).cast("int")
@@ -28,9 +34,9 @@ def info_field(key: str) -> Column:
     return F.try_element_at(F.str_to_map("info", F.lit(";"), F.lit("=")), F.lit(key))
 
 
-def sample_metrics(lines: DataFrame) -> DataFrame:
+def sample_metrics(lines: DataFrame, *keep: str) -> DataFrame:
     """snpID with genotype code and the numbers GS, BAF and LRR."""
-    return records(lines).select(F.col("variant_id").alias("snpID"), "chromosome", "position", s.gt_code(format_field("GT")).alias("GT"), *(format_field(k).try_cast("double").alias(k) for k in ("GS", "BAF", "LRR")))
+    return records(lines, *keep).select(*keep, F.col("variant_id").alias("snpID"), "chromosome", "position", s.gt_code(format_field("GT")).alias("GT"), *(format_field(k).try_cast("double").alias(k) for k in ("GS", "BAF", "LRR")))
 
 
 def variant_reference(lines: DataFrame, info: tuple[str, ...] = ()) -> DataFrame:
@@ -74,16 +80,22 @@ def region_restrict(sites: DataFrame, regions: DataFrame, bin_width: int = 1_000
     return sites.join(r, near & F.col("position").between(F.col("start"), F.col("end")), "left_semi")
 
 
-def merge_sites(calls: DataFrame, samples: DataFrame) -> DataFrame:
-    """One row per site with the calls of all samples as ``sample=call`` texts in order, and how many samples of any input have none there (``./.`` in a wide file).
+#: Keys of a site.
+SITE = ["chromosome", "position", "ref", "alt"]
+#: Columns of a merged file before its samples.
+MERGED = ["#CHROM", "POS", "ID", "REF", "ALT", "QUAL", "FILTER", "INFO", "FORMAT"]
+
+
+def merge_sites(calls: DataFrame, samples: list[str], path: str, block: int = matrix.BLOCK) -> None:
+    """A VCF file set of one record per site with all samples of all inputs, in genomic order; a sample without a call there has ``./.``.
 
-    ``calls``: chromosome, position, ref, alt, sample_id, call. ``samples``: sample_id of all inputs, as their headers list them.
+    ``calls``: chromosome, position, ref, alt, sample_id, call. ``samples``: those of all headers, in order. Files begin with their ``#CHROM`` line; what goes above it is the caller's. Calls are gathered in blocks of samples, so no row holds a site's calls but the line itself.
     """
-    keys = ["chromosome", "position", "ref", "alt"]
-    one = calls.groupBy(*keys, "sample_id").agg(F.min("call").alias("call"))
-    listed = F.array_sort(F.collect_list(F.concat_ws("=", "sample_id", "call")))
-    known = samples.agg(F.countDistinct("sample_id")).scalar()
-    return one.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_samples"), F.array_join(listed, ",").alias("calls")).withColumn("n_absent", known - F.col("n_samples"))
+    dot = F.lit(".")
+    values = (F.col("chromosome"), F.col("position"), dot, F.col("ref"), F.col("alt"), dot, F.lit("PASS"), dot, F.lit("GT"))
+    found = matrix.lines(calls, SITE, "sample_id", "call", samples, "./.", block)
+    order = [s.chromosome_rank("chromosome"), F.col("position"), F.col("ref"), F.col("alt")]
+    matrix.write(found, dict(zip(MERGED, values)), samples, path, order)
 
 
 def genomic_sort(sites: DataFrame) -> DataFrame:

@@ -61,11 +61,6 @@ _FIELDS = """WITH t AS (SELECT string_split(value, chr(9)) AS p FROM fx_vcf_line
 _GT = "CASE f[1] WHEN '0/0' THEN 0 WHEN '0/1' THEN 1 WHEN '1/0' THEN 1 WHEN '1/1' THEN 2 ELSE -9 END"
 
 
-@query("scan_vcf_sample", _FIELDS + f'SELECT variant_id AS "snpID", chromosome, position, {_GT} AS "GT", TRY_CAST(f[2] AS DOUBLE) AS "GS", TRY_CAST(f[3] AS DOUBLE) AS "BAF", TRY_CAST(f[4] AS DOUBLE) AS "LRR" FROM r')
-def scan_vcf_sample(fx):
-    return vcf.sample_metrics(lines(fx))
-
-
 @query("scan_vcf_variants", _FIELDS + "SELECT chromosome, position, variant_id, ref, alt, qual, filter, info FROM r")
 def scan_vcf_variants(fx):
     return vcf.variant_reference(lines(fx))
@@ -117,14 +112,6 @@ def region_restrict(fx):
     return vcf.region_restrict(fx.pvar, vcf.parse_regions(region_lines(fx)), 5000).select("variant_id")
 
 
-@query("vcf_site_merge", """WITH c AS (SELECT p.chromosome, p.position, p.ref, p.alt, g.sample_id, min(CASE CAST(g.dosage AS INTEGER) WHEN 0 THEN '0/0' WHEN 1 THEN '0/1' WHEN 2 THEN '1/1' END) AS call FROM fx_gt g JOIN fx_pvar p ON g.variant_id = p.variant_id
- WHERE g.dosage IS NOT NULL GROUP BY ALL) SELECT chromosome, position, ref, alt, count(*) AS n_samples, (SELECT count(DISTINCT sample_id) FROM fx_sample) - count(*) AS n_absent, string_agg(sample_id || '=' || call, ',' ORDER BY sample_id || '=' || call) AS calls FROM c GROUP BY ALL""")
-def vcf_site_merge(fx):
-    call = F.when(F.col("dosage") == 0, "0/0").when(F.col("dosage") == 1, "0/1").otherwise("1/1")
-    rows = fx.gt.where("dosage IS NOT NULL").join(fx.pvar, "variant_id").select("chromosome", "position", "ref", "alt", "sample_id", call.alias("call"))
-    return vcf.merge_sites(rows, fx.sample)
-
-
 # metrics
 
 
@@ -580,26 +567,3 @@ def extraction_outcomes(fx):
 @query("preview_limit", "SELECT p[3] AS \"snpID\", replace(p[1], 'chr', '') AS chromosome, CAST(p[2] AS BIGINT) AS position, p[4] AS ref, p[5] AS alt, p[6] AS qual, p[7] AS filter, p[8] AS info FROM (SELECT string_split(value, chr(9)) AS p FROM fx_vcf_line ORDER BY value LIMIT 10) t")
 def preview_limit(fx):
     return vcf.extract_columns(lines(fx).orderBy("value"), "metadata", rows=10)
-
-
-@query("scan_traw_long", """WITH r AS (SELECT g.variant_id, p.chromosome, p.position, g.sample_id, g.dosage FROM fx_gt g JOIN fx_pvar p ON g.variant_id = p.variant_id WHERE g.data_type = 'NBA' AND g.sample_id IN ('S1', 'S2', 'S4')),
-v AS (SELECT DISTINCT variant_id, chromosome, position FROM r)
-SELECT v.chromosome AS "CHR", v.variant_id AS "SNP", v.position AS "POS", t.sample_id, r.dosage FROM v CROSS JOIN (VALUES ('S1'), ('S2'), ('S4')) t(sample_id) LEFT JOIN r ON r.variant_id = v.variant_id AND r.sample_id = t.sample_id""")
-def scan_traw_long(fx):
-    """A genotype matrix of three samples, back to long rows."""
-    from locusweave.sources import sinks
-
-    rows = fx.gt.where("data_type = 'NBA'").join(fx.pvar.select("variant_id", "chromosome", "position", F.col("alt").alias("counted_allele"), F.col("ref").alias("alt_allele")), "variant_id")
-    samples = ["S1", "S2", "S4"]
-    wide = sinks.traw(rows.where(F.col("sample_id").isin(samples)), samples)
-    return wide.unpivot(["CHR", "SNP", "POS"], samples, "sample_id", "dosage")
-
-
-_WIDE = ", ".join(f"max(CASE WHEN variant_id = 'P{i}' THEN dosage END) AS \"P{i}\"" for i in range(1, 9))
-
-
-@query("sink_carrier_wide", f"SELECT sample_id, {_WIDE} FROM fx_gt WHERE data_type = 'NBA' GROUP BY sample_id")
-def sink_carrier_wide(fx):
-    from locusweave.sources import sinks
-
-    return sinks.carriers_wide(fx.gt.where("data_type = 'NBA'"), [f"P{i}" for i in range(1, 9)])

@@ -8,7 +8,7 @@ from locusweave.operators import alleles, cohort, fingerprints, vcf
 from locusweave.plans.queries_carriers import corrected, matches
 from locusweave.plans.queries_cohort import _COPIES, _LOCI, _PRINTS, copies, loci
 from locusweave.plans.registry import query
-from locusweave.sources import shared, sinks, tables
+from locusweave.sources import matrix, shared, sinks, tables, vcf_files
 from locusweave.streaming import incremental
 
 #: Codes for the regions of the stand-ins.
@@ -77,11 +77,6 @@ def swap_reference(fx):
     return alleles.update_alleles(fx.pvar, matches(fx)).select("variant_id", "a1")
 
 
-@query("column_order", "SELECT chromosome AS \"CHR\", variant_id AS \"SNP\", 0 AS \"(C)M\", position AS \"POS\", counted_allele AS \"COUNTED\", alt_allele AS \"ALT\", " + ", ".join(f"max(CASE WHEN sample_id = '{x}' THEN dosage END) AS \"{x}\"" for x in ("S1", "S10", "S2")) + " FROM cx_maf WHERE data_type = 'NBA' GROUP BY chromosome, variant_id, position, counted_allele, alt_allele")
-def column_order(fx):
-    return sinks.traw(corrected(fx).where("data_type = 'NBA'"), ["S10", "S1", "S2"])
-
-
 @query("ordered_gather", "SELECT chromosome, position, count(*) AS n FROM fx_pvar GROUP BY chromosome, position")
 def ordered_gather(fx):
     path = shared.new_folder(fx.spark, "gathered")
@@ -112,11 +107,118 @@ def merge_chunks_by_chrom(fx):
     return fx.spark.read.schema("variant_id string, chromosome string").parquet(path).groupBy("chromosome").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("sink_traw", "SELECT g.variant_id, g.sample_id, arg_min(g.dosage, m.snp_list_id) AS dosage FROM cx_maf g JOIN (SELECT DISTINCT variant_id, snp_list_id FROM cx_match WHERE action IS NOT NULL) m ON g.variant_id = m.variant_id WHERE g.data_type = 'NBA' AND g.sample_id IN ('S1', 'S2', 'S4') AND g.dosage IS NOT NULL GROUP BY 1, 2")
+# VCF files
+
+#: Endings of the delivered files by their number: the third holds two samples, the fourth no header.
+ENDINGS = (".vcf", ".vcf.gz", ".vcf", ".vcf", ".snv.vcf.gz")
+_DELIVERED = """WITH t AS (SELECT string_split(value, chr(9)) AS p FROM fx_vcf_line), r AS (SELECT replace(p[1], 'chr', '') AS chromosome, CAST(p[2] AS BIGINT) AS position, p[3] AS variant_id, string_split(p[10], ':') AS f FROM t) """
+
+
+def delivered_lines(fx):
+    """A delivery of five files, one for each region, named after it; the sample's calls differ by file."""
+    path = shared.new_folder(fx.spark, "vcf")
+    for i, region in enumerate(CODES):
+        samples = "one\ttwo" if i == 2 else region
+        head = fx.spark.range(1).select(F.explode(F.array(F.lit("##fileformat=VCFv4.2"), F.lit("#CHROM\tPOS\tID\tREF\tALT\tQUAL\tFILTER\tINFO\tFORMAT\t" + samples))).alias("value"))
+        rows = fx.vcf_line.select(F.concat("value", F.lit("\t0/0" if i == 2 else "")).alias("value"))
+        rows = rows if i == 3 else head.unionByName(rows)
+        shared.write_file(rows, f"{path}/{region.replace(' ', '_')}{ENDINGS[i]}", "gzip" if ENDINGS[i].endswith("gz") else "none")
+    return vcf_files.read_lines(fx.spark, path)
+
+
+@query("scan_vcf_sample", _DELIVERED + """SELECT n AS "IID", variant_id AS "snpID", chromosome, position, CASE f[1] WHEN '0/0' THEN 0 WHEN '0/1' THEN 1 WHEN '1/0' THEN 1 WHEN '1/1' THEN 2 ELSE -9 END AS "GT",
+ TRY_CAST(f[2] AS DOUBLE) AS "GS", TRY_CAST(f[3] AS DOUBLE) AS "BAF", TRY_CAST(f[4] AS DOUBLE) AS "LRR" FROM r CROSS JOIN (VALUES ('AFRICA'), ('AMERICA'), ('MIDDLE_EAST')) t(n)""")
+def scan_vcf_sample(fx):
+    """Metrics of the files of one sample, packed or not."""
+    return vcf_files.sample_metrics(delivered_lines(fx))
+
+
+@query("vcf_file_states", """SELECT t.*, (SELECT count(*) FROM fx_vcf_line) AS n_records FROM (VALUES ('AFRICA', 1, 'ok'), ('AMERICA', 1, 'ok'), ('ASIA', 2, 'not one sample'), ('EUROPE', 0, 'no header'), ('MIDDLE_EAST', 1, 'ok')) t("IID", n_samples, state)""")
+def vcf_file_states(fx):
+    return vcf_files.file_states(delivered_lines(fx)).select("IID", "n_samples", "state", "n_records")
+
+
+_SITE_CALLS = """WITH c AS (SELECT p.chromosome, p.position, p.ref, p.alt, g.sample_id, min(CASE CAST(g.dosage AS INTEGER) WHEN 0 THEN '0/0' WHEN 1 THEN '0/1' WHEN 2 THEN '1/1' END) AS call FROM fx_gt g JOIN fx_pvar p ON g.variant_id = p.variant_id JOIN fx_sample k ON g.sample_id = k.sample_id
+ WHERE g.data_type = 'NBA' GROUP BY ALL), v AS (SELECT DISTINCT chromosome, position, ref, alt FROM c), n AS (SELECT DISTINCT sample_id FROM c) """
+
+
+@query("vcf_site_merge", _SITE_CALLS + """SELECT v.chromosome, v.position, v.ref, v.alt, count(*) AS n_samples, count(*) - count(c.call) AS n_absent, md5(string_agg(coalesce(c.call, './.'), chr(9) ORDER BY n.sample_id)) AS calls
+ FROM v CROSS JOIN n LEFT JOIN c ON c.chromosome = v.chromosome AND c.position = v.position AND c.ref = v.ref AND c.alt = v.alt AND c.sample_id = n.sample_id GROUP BY ALL""")
+def vcf_site_merge(fx):
+    """Multi-sample files, one for each ancestry, merged by site into files of all samples; the sites as they stand there, with a digest of their calls."""
+    call = F.when(F.col("dosage") == 0, "0/0").when(F.col("dosage") == 1, "0/1").when(F.col("dosage") == 2, "1/1")
+    rows = fx.gt.where("data_type = 'NBA'").join(fx.pvar, "variant_id").join(fx.sample.select("sample_id", "nba_label"), "sample_id")
+    rows = shared.stored(rows.select("nba_label", *vcf.SITE, "sample_id", call.alias("call")), "calls")
+    inputs = shared.new_folder(fx.spark, "inputs")
+    for label in CODES:
+        mine = rows.where(F.col("nba_label") == label)
+        vcf.merge_sites(mine, matrix.column_names(mine, "sample_id"), f"{inputs}/{label.replace(' ', '_')}")
+    merged = shared.new_folder(fx.spark, "merged")
+    lines = vcf_files.read_lines(fx.spark, f"{inputs}/*")
+    found = vcf_files.calls(lines).select(*vcf.SITE, "sample_id", F.nullif("sample", F.lit("./.")).alias("call"))
+    vcf.merge_sites(found, matrix.column_names(vcf_files.samples_of(lines), "sample_id"), merged)
+    cells = F.substring("value", F.length(F.substring_index("value", "\t", 9)) + 2, F.length("value"))
+    _, rest = matrix.split_files(fx.spark, merged, "#")
+    listed = F.split("cells", "\t")
+    site = vcf.normalized(rest.select(*(F.get(F.split("value", "\t"), F.lit(i)).alias(c) for c, i in (("chromosome", 0), ("position", 1), ("ref", 3), ("alt", 4))), cells.alias("cells")))
+    return site.select(*vcf.SITE, F.size(listed).cast("bigint").alias("n_samples"), F.size(F.filter(listed, lambda x: x == "./.")).cast("bigint").alias("n_absent"), F.md5("cells").alias("calls"))
+
+
+# matrices: as the columns of a line can't be columns of a result, lines come with a digest of their cells, long rows with all their calls
+
+_CELLS = """WITH g AS (SELECT chromosome, variant_id, position, counted_allele, alt_allele, sample_id, min(dosage) AS dosage FROM cx_maf WHERE data_type = 'NBA' GROUP BY ALL),
+ v AS (SELECT DISTINCT chromosome, variant_id, position, counted_allele, alt_allele FROM g), n AS (SELECT DISTINCT sample_id FROM g) """
+
+
+@query("sink_traw", _CELLS + """SELECT v.chromosome AS "CHR", v.variant_id AS "SNP", CAST(v.position AS VARCHAR) AS "POS", v.counted_allele AS "COUNTED", v.alt_allele AS "ALT", count(*) AS n_cells, count(*) - count(g.dosage) AS n_missing,
+ md5(string_agg(coalesce(CAST(CAST(g.dosage AS DECIMAL(9,1)) AS VARCHAR), 'NA'), chr(9) ORDER BY n.sample_id)) AS cells FROM v CROSS JOIN n LEFT JOIN g ON g.variant_id = v.variant_id AND g.counted_allele = v.counted_allele AND g.alt_allele = v.alt_allele AND g.sample_id = n.sample_id GROUP BY ALL""")
 def sink_traw(fx):
+    """Every line of the written matrix of all samples, with a digest of its cells as they stand in the file."""
+    path = shared.new_folder(fx.spark, "traw")
+    sinks.write_traw(corrected(fx).where("data_type = 'NBA'"), path)
+    _, rest = matrix.split_files(fx.spark, path, "CHR\tSNP\t")
+    front = F.substring_index("value", "\t", 6)
+    cells = F.substring("value", F.length(front) + 2, F.length("value"))
+    rows = rest.select(F.split(front, "\t").alias("m"), cells.alias("cells"))
+    fields = [F.get("m", F.lit(i)).alias(c) for i, c in enumerate(sinks.MATRIX) if c != "(C)M"]
+    n_missing = F.size(F.filter(F.split("cells", "\t"), lambda x: x == "NA"))
+    return rows.select(*fields, F.size(F.split("cells", "\t")).cast("bigint").alias("n_cells"), n_missing.cast("bigint").alias("n_missing"), F.md5("cells").alias("cells"))
+
+
+@query("scan_traw_long", _CELLS + "SELECT chromosome, variant_id, position, sample_id, dosage FROM g WHERE dosage IS NOT NULL")
+def scan_traw_long(fx):
+    """The matrix of all samples back to long rows, by the positions of its header."""
     path = shared.new_folder(fx.spark, "traw")
-    sinks.write_traw(corrected(fx).where("data_type = 'NBA'"), ["S1", "S2", "S4"], path)
-    return tables.read_traw(fx.spark, path).where("dosage IS NOT NULL").select("variant_id", "sample_id", "dosage")
+    sinks.write_traw(corrected(fx).where("data_type = 'NBA'"), path)
+    return tables.read_traw(fx.spark, path).where("dosage IS NOT NULL")
+
+
+@query("column_order", """WITH n AS (SELECT DISTINCT sample_id FROM cx_maf WHERE data_type = 'NBA') SELECT CAST(row_number() OVER (ORDER BY sample_id) + 5 AS INTEGER) AS place, sample_id AS name FROM n
+ UNION ALL SELECT * FROM (VALUES (0, 'CHR'), (1, 'SNP'), (2, '(C)M'), (3, 'POS'), (4, 'COUNTED'), (5, 'ALT')) m(place, name)""")
+def column_order(fx):
+    """The columns of the written matrix by their place; equal in all its files, or a place would come more than once."""
+    path = shared.new_folder(fx.spark, "traw")
+    sinks.write_traw(corrected(fx).where("data_type = 'NBA'"), path)
+    heads, _ = matrix.split_files(fx.spark, path, "CHR\tSNP\t")
+    return heads.select("value").distinct().select(F.posexplode(F.split("value", "\t")).alias("place", "name"))
+
+
+@query("sink_carrier_wide", """WITH g AS (SELECT g.sample_id, g.variant_id, min(dosage) AS dosage, min(CASE WHEN dosage IS NULL THEN './.' WHEN CAST(dosage AS INTEGER) = 2 THEN 'WT/WT' WHEN CAST(dosage AS INTEGER) = 1 THEN 'WT/' || p.alt WHEN CAST(dosage AS INTEGER) = 0 THEN p.alt || '/' || p.alt ELSE ':/:' END) AS genotype
+ FROM fx_gt g JOIN fx_pvar p ON g.variant_id = p.variant_id WHERE data_type = 'NBA' GROUP BY ALL), n AS (SELECT DISTINCT variant_id FROM g), i AS (SELECT DISTINCT sample_id FROM g)
+ SELECT i.sample_id, count(*) AS n_variants, md5(string_agg(coalesce(CAST(CAST(dosage AS DECIMAL(9,1)) AS VARCHAR), 'NA'), chr(9) ORDER BY n.variant_id)) AS numbers, md5(string_agg(coalesce(genotype, './.'), chr(9) ORDER BY n.variant_id)) AS texts
+ FROM i CROSS JOIN n LEFT JOIN g ON g.sample_id = i.sample_id AND g.variant_id = n.variant_id GROUP BY ALL""")
+def sink_carrier_wide(fx):
+    """Numbers and texts of all samples by all variants, from one table of genotypes, read back from both files."""
+    rows = shared.stored(alleles.genotype_strings(fx.gt.where("data_type = 'NBA'"), fx.pvar), "carriers")
+    out = None
+    for kind, value, missing in (("numbers", "dosage", "NA"), ("texts", "genotype", "./.")):
+        path = shared.new_folder(fx.spark, kind)
+        sinks.write_carriers_wide(rows, path, value, missing)
+        _, rest = matrix.split_files(fx.spark, path, "IID\t")
+        cells = F.substring("value", F.instr("value", "\t") + 1, F.length("value"))
+        one = rest.select(F.substring_index("value", "\t", 1).alias("sample_id"), F.size(F.split(cells, "\t")).cast("bigint").alias("n_variants"), F.md5(cells).alias(kind))
+        out = one if out is None else out.join(one, ["sample_id", "n_variants"], "full")
+    return out
 
 
 @query("sink_formats", "SELECT t.format, count(*) AS n FROM fx_snp_list, (VALUES ('csv'), ('json'), ('parquet')) t(format) GROUP BY t.format")

@@ -25,3 +25,16 @@ def stored(df: DataFrame, name: str, *partitions: str) -> DataFrame:
     writer = df.write
     (writer.partitionBy(*partitions) if partitions else writer).parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def write_file(lines: DataFrame, path: str, codec: str = "none") -> None:
+    """A text file of one given name, from lines that belong into one file (column value), in their order."""
+    parts = new_folder(lines.sparkSession, "parts")
+    lines.coalesce(1).write.option("compression", codec).text(parts)
+    jvm = lines.sparkSession.sparkContext._jvm
+    source, target = (jvm.org.apache.hadoop.fs.Path(p) for p in (parts, path))
+    fs = source.getFileSystem(lines.sparkSession.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(target.getParent())
+    part = next(f.getPath() for f in fs.listStatus(source) if f.getPath().getName().startswith("part-"))
+    if not fs.rename(part, target):
+        raise OSError(f"{path} can't be written")
