@@ -33,9 +33,10 @@ def progress(key: DataFrame, done: DataFrame, group: str, on: str) -> DataFrame:
 
 
 def missing_outputs(expected: DataFrame, listing: DataFrame, group: str, on: str) -> DataFrame:
-    """Expected outputs that are absent, by group, with their ids in order (a report of what is to be done again, so a short list)."""
-    gone = expected.join(listing.select(on).distinct(), on, "left_anti")
-    return gone.groupBy(group).agg(F.countDistinct(on).alias("n_missing"), F.min(on).alias("first_missing"), F.array_join(F.array_sort(F.collect_set(on)), ",").alias("missing"))
+    """Expected outputs that are absent, a row each, in no list: group, id, and how many its group misses."""
+    gone = expected.select(group, on).distinct().join(listing.select(on).distinct(), on, "left_anti")
+    n = gone.groupBy(group).agg(F.count(F.lit(1)).alias("n_missing"))
+    return gone.join(n, group).select(group, on, "n_missing")
 
 
 def retry_merge(old: DataFrame, new: DataFrame, keys: list[str], value: str = "dosage") -> DataFrame:
@@ -49,7 +50,7 @@ def still_failing(old: DataFrame, new: DataFrame, keys: list[str], value: str =
     return retry_merge(old, new, keys, value).where(F.isnull(value)).select(*keys)
 
 
-def outcomes(log: DataFrame) -> DataFrame:
-    """Files by data type and state; ``log``: data_type, file, state (ok, empty, failed)."""
+def outcomes(log: DataFrame, *by: str) -> DataFrame:
+    """Files by data type (and ``by``) and state; ``log``: data_type, file, state (ok, empty, failed, absent)."""
     n = lambda state: s.count_if(F.col("state") == state)
-    return log.groupBy("data_type").agg(F.count(F.lit(1)).alias("planned"), n("ok").alias("successful"), n("empty").alias("empty"), n("failed").alias("failed"))
+    return log.groupBy(*by, "data_type").agg(F.count(F.lit(1)).alias("planned"), n("ok").alias("successful"), n("empty").alias("empty"), n("failed").alias("failed"), n("absent").alias("absent"))

@@ -187,9 +187,12 @@ def duplicate_groups(fx):
     return fingerprints.duplicate_groups(copies(fx))
 
 
-@query("pipeline_fingerprint", _PRINTS + "SELECT hash, count(*) AS n FROM h GROUP BY hash")
+@query("pipeline_fingerprint", _PRINTS + _COPIES + " SELECT 'member' AS kind, sample_id, hash, (SELECT n FROM dg WHERE dg.hash = cp.hash) AS n, CAST(NULL AS VARCHAR) AS variant_id FROM cp WHERE hash IN (SELECT hash FROM dg) UNION ALL SELECT 'missing', g.sample_id, NULL, NULL, g.variant_id FROM g WHERE dosage IS NULL AND variant_id IN (SELECT variant_id FROM fx_pvar)")
 def pipeline_fingerprint(fx):
-    return prints(fx).groupBy("hash").agg(F.count(F.lit(1)).alias("n"))
+    """Sites to pairs to hashes to groups, a row a member; and the missing calls at all sites of the list, a row each."""
+    groups = fingerprints.members(copies(fx)).select(F.lit("member").alias("kind"), "sample_id", "hash", "n", F.lit(None).cast("string").alias("variant_id"))
+    gone = fingerprints.missing_alleles(fx.gt.where("data_type = 'WGS'"), fx.pvar)
+    return groups.unionByName(gone.select(F.lit("missing").alias("kind"), "sample_id", F.lit(None).cast("string").alias("hash"), F.lit(None).cast("long").alias("n"), "variant_id"))
 
 
 @query("allele_pair_string", "SELECT g.data_type, g.variant_id, g.sample_id, CASE WHEN dosage IS NULL THEN 'NN' WHEN dosage < 0.5 THEN p.ref || p.ref WHEN dosage < 1.5 THEN p.alt || p.ref ELSE p.alt || p.alt END AS pair FROM fx_gt g JOIN fx_pvar p ON g.variant_id = p.variant_id")
@@ -542,7 +545,7 @@ def samples_to_process(fx):
     return bookkeeping.progress(fx.sample, fx.gt.where("data_type = 'WGS'"), "study", "sample_id")
 
 
-@query("missing_output_stats", "SELECT study, count(DISTINCT sample_id) AS n_missing, min(sample_id) AS first_missing, string_agg(DISTINCT sample_id, ',' ORDER BY sample_id) AS missing FROM fx_sample WHERE sample_id NOT IN (SELECT sample_id FROM fx_gt WHERE data_type = 'WGS') GROUP BY 1")
+@query("missing_output_stats", "SELECT study, sample_id, count(*) OVER (PARTITION BY study) AS n_missing FROM fx_sample WHERE sample_id NOT IN (SELECT sample_id FROM fx_gt WHERE data_type = 'WGS')")
 def missing_output_stats(fx):
     return bookkeeping.missing_outputs(fx.sample, fx.gt.where("data_type = 'WGS'"), "study", "sample_id")
 
@@ -557,13 +560,6 @@ def retry_failures(fx):
     return bookkeeping.still_failing(fx.gt.where("data_type = 'NBA'"), fx.gt.where("data_type = 'WGS'"), ["variant_id", "sample_id"])
 
 
-@query("extraction_outcomes", "SELECT data_type, count(*) AS planned, count(*) FILTER (WHERE n > 20) AS successful, count(*) FILTER (WHERE n BETWEEN 11 AND 20) AS empty, count(*) FILTER (WHERE n <= 10) AS failed FROM (SELECT data_type, variant_id, count(dosage) AS n FROM fx_gt GROUP BY 1, 2) t GROUP BY 1")
-def extraction_outcomes(fx):
-    n = F.col("n")
-    log = fx.gt.groupBy("data_type", F.col("variant_id").alias("file")).agg(F.count("dosage").alias("n")).withColumn("state", F.when(n > 20, "ok").when(n > 10, "empty").otherwise("failed"))
-    return bookkeeping.outcomes(log)
-
-
 @query("preview_limit", "SELECT p[3] AS \"snpID\", replace(p[1], 'chr', '') AS chromosome, CAST(p[2] AS BIGINT) AS position, p[4] AS ref, p[5] AS alt, p[6] AS qual, p[7] AS filter, p[8] AS info FROM (SELECT string_split(value, chr(9)) AS p FROM fx_vcf_line ORDER BY value LIMIT 10) t")
 def preview_limit(fx):
     return vcf.extract_columns(lines(fx).orderBy("value"), "metadata", rows=10)

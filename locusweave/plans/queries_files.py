@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from locusweave.operators import alleles, cohort, fingerprints, vcf
+from locusweave.functions import sites as s
+from locusweave.operators import alleles, bookkeeping, cohort, fingerprints, vcf
 from locusweave.plans.queries_carriers import corrected, matches
 from locusweave.plans.queries_cohort import _COPIES, _LOCI, _PRINTS, copies, loci
 from locusweave.plans.registry import query
-from locusweave.sources import matrix, shared, sinks, tables, vcf_files
+from locusweave.sources import deliveries, gather, matrix, shared, sinks, tables, vcf_files
 from locusweave.streaming import incremental
 
 #: Codes for the regions of the stand-ins.
@@ -77,13 +78,37 @@ def swap_reference(fx):
     return alleles.update_alleles(fx.pvar, matches(fx)).select("variant_id", "a1")
 
 
-@query("ordered_gather", "SELECT chromosome, position, count(*) AS n FROM fx_pvar GROUP BY chromosome, position")
-def ordered_gather(fx):
+#: The region whose shard holds lines of another one.
+BROKEN = 3
+
+
+def gathered(fx):
+    """Shards of the regions of a list of 22 - a chromosome each -, of which one is broken and one past all sites; gathered, with the folder of the files."""
+    regions = fx.spark.range(23).select(F.col("id").cast("int").alias("region"), F.when(F.col("id") == 22, "X").otherwise((F.col("id") + 1).cast("string")).alias("chromosome"), F.lit(0).cast("long").alias("start"), F.lit(10**9).cast("long").alias("end"))
+    sites = fx.pvar.join(regions.select("region", "chromosome"), "chromosome")
+    sites = sites.withColumn("chromosome", F.when((F.col("region") == BROKEN) & (F.col("position") % 3 == 0), "Y").otherwise(F.col("chromosome")))
+    shards = sites.select("region", "chromosome", "position", F.concat_ws("\t", "chromosome", F.col("position").cast("string"), "variant_id").alias("value"))
     path = shared.new_folder(fx.spark, "gathered")
-    vcf.genomic_sort(fx.pvar).select(F.concat_ws("\t", "chromosome", F.col("position").cast("string"), "variant_id").alias("value")).write.text(path)
+    return gather.ordered_gather(shards, regions, path), path
+
+
+_SHARDS = f"SELECT CAST(i AS INTEGER) AS region, count(p.position) AS n_rows, count(*) FILTER (i = {BROKEN} AND p.position % 3 = 0) AS n_bad, CASE WHEN i = {BROKEN} THEN 'failed' WHEN count(p.position) = 0 THEN 'empty' ELSE 'ok' END AS state FROM (SELECT unnest(range(23)) AS i) r LEFT JOIN fx_pvar p ON p.chromosome = CAST(i + 1 AS VARCHAR) AND i < 22 GROUP BY i"
+
+
+@query("ordered_gather", f"WITH s AS ({_SHARDS}) SELECT sum(n_rows) FILTER (state = 'ok')::BIGINT AS n_lines, 0 AS n_breaks, count(*) FILTER (state = 'failed') AS n_failed, count(*) FILTER (state = 'empty') AS n_empty FROM s")
+def ordered_gather(fx):
+    """The gathered files read in the order of their names: all lines of the regions that are in order, and no place where the order breaks."""
+    manifest, path = gathered(fx)
     part = F.split("value", "\t")
-    back = fx.spark.read.text(path).select(F.get(part, F.lit(0)).alias("chromosome"), F.get(part, F.lit(1)).cast("bigint").alias("position"))
-    return back.groupBy("chromosome", "position").agg(F.count(F.lit(1)).alias("n"))
+    key = F.struct(s.chromosome_rank(F.get(part, F.lit(0))).alias("r"), F.get(part, F.lit(1)).cast("long").alias("p"), F.get(part, F.lit(2)).alias("v"))
+    files = gather.order_breaks(fx.spark, path, key).agg(F.sum("n_lines").alias("n_lines"), F.sum("n_breaks").cast("int").alias("n_breaks"))
+    states = manifest.agg(F.count_if(F.col("state") == "failed").alias("n_failed"), F.count_if(F.col("state") == "empty").alias("n_empty"))
+    return files.withColumn("k", F.lit(1)).join(states.withColumn("k", F.lit(1)), "k").drop("k")
+
+
+@query("gather_manifest", _SHARDS)
+def gather_manifest(fx):
+    return gathered(fx)[0]
 
 
 @query("sink_parquet", "SELECT sample_id, study, sex FROM fx_sample WHERE study = 'BUILDING'")
@@ -252,8 +277,8 @@ def sink_plink_keys(fx):
     return fx.spark.read.option("sep", "\t").schema("fid string, iid string, sex string").csv(path)
 
 
-@query("incremental_extract", "SELECT coalesce(a.variant_id, b.variant_id) AS variant_id, coalesce(a.sample_id, b.sample_id) AS sample_id, coalesce(b.dosage, a.dosage) AS dosage FROM (SELECT * FROM fx_gt WHERE data_type = 'NBA') a FULL JOIN (SELECT * FROM fx_gt WHERE data_type = 'WGS') b ON a.variant_id = b.variant_id AND a.sample_id = b.sample_id")
-def incremental_extract(fx):
+@query("incremental_stream", "WITH a AS MATERIALIZED (SELECT variant_id, sample_id, data_type, dosage FROM fx_gt) SELECT variant_id, sample_id, coalesce(max(dosage) FILTER (data_type = 'WGS'), max(dosage) FILTER (data_type = 'NBA')) AS dosage FROM a GROUP BY variant_id, sample_id")
+def incremental_stream(fx):
     """Two deliveries of files, each followed to its end; the second one's calls are preferred."""
     inbox, store, done = (shared.new_folder(fx.spark, n) for n in ("inbox", "store", "done"))
     schema = "variant_id string, sample_id string, dosage double"
@@ -261,3 +286,41 @@ def incremental_extract(fx):
         fx.gt.where(F.col("data_type") == kind).select("variant_id", "sample_id", "dosage").write.mode("append").parquet(inbox)
         incremental.follow(fx.spark, inbox, schema, store, done, ["variant_id", "sample_id"]).awaitTermination()
     return incremental.latest(fx.spark, store, ["variant_id", "sample_id"])
+
+
+CALLS = "data_type string, variant_id string, sample_id string, dosage double"
+#: What is wrong with the first delivery, by file; only the last stays so.
+ABSENT, EMPTY, REPAIRED, UNREADABLE = "file=NBA-5", "file=NBA-7", "file=NBA-9", "file=WGS-3"
+
+
+def extracted(fx):
+    """Files by data type and chromosome, one absent, one empty and two unreadable; after a repair, what failed is read again. Gives the store and the logs of both attempts."""
+    inbox, store = shared.new_folder(fx.spark, "inbox"), shared.new_folder(fx.spark, "store")
+    rows = fx.gt.join(fx.pvar.select("variant_id", "chromosome"), "variant_id").select(*(c.split()[0] for c in CALLS.split(", ")), F.concat_ws("-", "data_type", "chromosome").alias("file"))
+    rows = shared.stored(rows, "calls")
+    planned = rows.select("data_type", F.concat(F.lit("file="), "file").alias("file")).distinct()
+    late = [x.removeprefix("file=") for x in (ABSENT, EMPTY, REPAIRED, UNREADABLE)]
+    rows.where(~F.col("file").isin(late)).repartition("file").write.partitionBy("file").parquet(inbox)
+    rows.limit(0).drop("file").write.parquet(f"{inbox}/{EMPTY}")
+    for name in (REPAIRED, UNREADABLE):
+        fx.spark.range(3).select(F.lit("no table").alias("value")).write.text(f"{inbox}/{name}")
+    first = deliveries.attempt(fx.spark, planned, inbox, CALLS, store, 0)
+    for name in (ABSENT, EMPTY, REPAIRED):
+        rows.where(F.col("file") == name.removeprefix("file=")).drop("file").write.mode("overwrite").parquet(f"{inbox}/{name}")
+    return store, first, deliveries.retry(fx.spark, first, inbox, CALLS, store, 1)
+
+
+@query("incremental_extract", "SELECT g.data_type, g.variant_id, g.sample_id, g.dosage FROM fx_gt g JOIN fx_pvar p ON g.variant_id = p.variant_id WHERE NOT (g.data_type = 'WGS' AND p.chromosome = '3')")
+def incremental_extract(fx):
+    """The store after the retry of what failed: all calls but those of the file that stays unreadable."""
+    return incremental.latest(fx.spark, extracted(fx)[0], ["data_type", "variant_id", "sample_id"])
+
+
+@query("extraction_outcomes", """WITH f AS (SELECT DISTINCT g.data_type, 'file=' || g.data_type || '-' || p.chromosome AS file FROM fx_gt g JOIN fx_pvar p ON g.variant_id = p.variant_id),
+ s AS (SELECT 0 AS attempt, data_type, file, CASE file WHEN 'file=NBA-5' THEN 'absent' WHEN 'file=NBA-7' THEN 'empty' WHEN 'file=NBA-9' THEN 'failed' WHEN 'file=WGS-3' THEN 'failed' ELSE 'ok' END AS state FROM f),
+ a AS (SELECT * FROM s UNION ALL SELECT 1, data_type, file, CASE file WHEN 'file=WGS-3' THEN 'failed' ELSE 'ok' END FROM s WHERE state <> 'ok')
+ SELECT attempt, data_type, count(*) AS planned, count(*) FILTER (state = 'ok') AS successful, count(*) FILTER (state = 'empty') AS empty, count(*) FILTER (state = 'failed') AS failed, count(*) FILTER (state = 'absent') AS absent FROM a GROUP BY ALL""")
+def extraction_outcomes(fx):
+    """From the logs of both attempts."""
+    _, first, second = extracted(fx)
+    return bookkeeping.outcomes(first.unionByName(second), "attempt")

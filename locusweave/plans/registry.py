@@ -43,7 +43,7 @@ def query(name: str, sql: str | None = None) -> Callable[[Callable[[Fixtures], D
     def add(build: Callable[[Fixtures], DataFrame]) -> Callable[[Fixtures], DataFrame]:
         QUERIES[name] = lambda spark, sf_dir: build(Fixtures(spark, sf_dir))
         if sql:
-            ORACLES[name] = with_ctes(sql, STEPS)
+            ORACLES[name] = with_ctes(sql, STEPS, "AS MATERIALIZED")
         return build
 
     return add

@@ -103,10 +103,10 @@ def needed(sql: str, ctes: dict[str, str]) -> list[str]:
     return found
 
 
-def with_ctes(sql: str, more: dict[str, str] | None = None) -> str:
+def with_ctes(sql: str, more: dict[str, str] | None = None, word: str = "AS") -> str:
     """The query with its stand-ins (and what it uses of ``more``) in front; it may begin with CTEs of its own (``WITH``)."""
     known = CTES | (more or {})
-    ctes = ", ".join(f"{name} AS ({known[name].strip()})" for name in needed(sql, known))
+    ctes = ", ".join(f"{name} {word} ({known[name].strip()})" for name in needed(sql, known))
     if not ctes:
         return sql
     own = re.match(r"\s*WITH\s", sql)

@@ -1,13 +1,14 @@
 """Files written and read: wide matrices, VCF files, deliveries that fail, exports with a manifest."""
 
 import gzip
+import hashlib
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
-from locusweave.operators import vcf
-from locusweave.sources import matrix, sinks, tables, vcf_files
+from locusweave.operators import digests, fingerprints, vcf
+from locusweave.sources import deliveries, gather, matrix, sinks, tables, vcf_files
 
 GT = "chromosome string, variant_id string, position bigint, counted_allele string, alt_allele string, sample_id string, dosage double"
 
@@ -127,3 +128,84 @@ def test_merge_of_sites(spark, tmp_path, block):
     rows = [line.split("\t") for line in text_of(tmp_path / "out")]
     assert {tuple(r) for r in rows if r[0] == "#CHROM"} == {(*FIXED.split("\t"), "a", "b", "q", "x", "y", "z")}
     assert [(r[1], *r[9:]) for r in rows if r[0] != "#CHROM"] == [("5", "0/0", "0/1", "./.", "0/1", "1/1", "0/0"), ("6", *["./."] * 6), ("7", "1/1", *["./."] * 5)]
+
+
+# deliveries, gathering, digests
+
+CALLS = "data_type string, k string, v double"
+
+
+def delivery(spark, inbox):
+    rows = lambda n: spark.range(n).selectExpr("'NBA' AS data_type", "concat('k', id) AS k", "CAST(id AS DOUBLE) AS v")
+    rows(3).write.parquet(f"{inbox}/a")
+    rows(0).write.parquet(f"{inbox}/b")
+    spark.range(2).selectExpr("'PAR1 but no table' AS value").write.text(f"{inbox}/c")
+    rows(2).write.parquet(f"{inbox}/unplanned")
+    return spark.createDataFrame([("NBA", x) for x in "abcd"], "data_type string, file string"), rows
+
+
+def test_states_of_a_delivery(spark, tmp_path):
+    planned, _ = delivery(spark, str(tmp_path / "in"))
+    got = {r.file: (r.n_rows, r.state) for r in deliveries.states(spark, planned, str(tmp_path / "in"), CALLS).collect()}
+    assert got == {"a": (3, "ok"), "b": (0, "empty"), "c": (0, "failed"), "d": (0, "absent")}
+
+
+def test_retry_reads_what_failed_only(spark, tmp_path, monkeypatch):
+    inbox, store = str(tmp_path / "in"), str(tmp_path / "store")
+    planned, rows = delivery(spark, inbox)
+    log = deliveries.attempt(spark, planned, inbox, CALLS, store, 0)
+    rows(5).write.parquet(f"{inbox}/d")
+    rows(1).write.mode("overwrite").parquet(f"{inbox}/b")
+    read, tolerant = [], deliveries.tolerant
+    monkeypatch.setattr(deliveries, "tolerant", lambda s, i, c, names=None: (read.append(names), tolerant(s, i, c, names))[1])
+    again = deliveries.retry(spark, log, inbox, CALLS, store, 1)
+    assert [n for n in read if n is not None] == [["b", "d"]]
+    assert {r.file: r.state for r in again.collect()} == {"b": "ok", "c": "failed", "d": "ok"}
+    assert spark.read.parquet(f"{store}/version=0").count() == 3 and spark.read.parquet(f"{store}/version=1").count() == 6
+    third = deliveries.retry(spark, again, inbox, CALLS, store, 2)
+    assert [tuple(r) for r in third.select("file", "state").collect()] == [("c", "failed")]
+
+
+def test_gather_keeps_order_and_reports_failures(spark, tmp_path):
+    shards = [(r, "1" if r < 2 else "2", p, f"{r}-{p}") for r in range(3) for p in range(r * 100 + 50, r * 100, -1)] + [(3, "9", 1, "elsewhere")]
+    df = spark.createDataFrame(shards, "region int, chromosome string, position long, value string").repartition(4)
+    regions = spark.createDataFrame([(0, "1", 0, 99), (1, "1", 100, 199), (2, "2", 200, 299), (3, "3", 0, 99), (4, "4", 0, 9)], "region int, chromosome string, start long, end long")
+    path = tmp_path / "out"
+    manifest = gather.ordered_gather(df, regions, str(path))
+    assert {r.region: (r.n_rows, r.state) for r in manifest.collect()} == {0: (50, "ok"), 1: (50, "ok"), 2: (50, "ok"), 3: (1, "failed"), 4: (0, "empty")}
+    lines = text_of(path)
+    assert lines == [f"{r}-{p}" for r in range(3) for p in range(r * 100 + 1, r * 100 + 51)]
+    key = F.struct(F.split("value", "-")[0].cast("int"), F.split("value", "-")[1].cast("int"))
+    assert gather.order_breaks(spark, str(path), key).agg(F.sum("n_breaks"), F.sum("n_lines")).first()[:] == (0, 150)
+    (tmp_path / "bad").mkdir()
+    (tmp_path / "bad" / "part-0").write_text("0-1\n0-3\n0-2\n")
+    (tmp_path / "bad" / "part-1").write_text("0-1\n")
+    assert gather.order_breaks(spark, str(tmp_path / "bad"), key).agg(F.sum("n_breaks")).first()[0] == 2
+
+
+def test_digest_streams_over_batches(spark):
+    """The digest of a key that spans many batches is that of its pieces joined."""
+    df = spark.range(4000).selectExpr("concat('s', id % 3) AS k", "id", "concat('p', id) AS p").repartition(5)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "100")
+    try:
+        got = {r.k: (r.hash, r.n_sites) for r in digests.ordered_md5(df, "k", [-F.col("id")], "p").collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    for j in range(3):
+        ids = [i for i in range(3999, -1, -1) if i % 3 == j]
+        assert got[f"s{j}"] == (hashlib.md5("".join(f"p{i}" for i in ids).encode()).hexdigest(), len(ids))
+
+
+def test_groups_are_rows(spark):
+    prints = spark.createDataFrame([("a", "x", 1), ("b", "x", 1), ("c", "y", 1)], "sample_id string, hash string, n_sites long")
+    assert sorted(map(tuple, fingerprints.members(prints).collect())) == [("a", "x", 2), ("b", "x", 2)]
+
+
+def test_chromosomes_are_written_by_ranges(spark, tmp_path):
+    df = spark.range(20_000).selectExpr("if(id % 10 = 0, '2', '1') AS chromosome", "id AS position")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        sinks.write_by_chromosome(df, str(tmp_path / "c"))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert len(list((tmp_path / "c" / "chromosome=1").glob("part-*"))) > 1 and spark.read.parquet(str(tmp_path / "c")).count() == 20_000
