@@ -7,43 +7,65 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 
 from locusweave.operators import alleles, coverage, probes, reports
-from locusweave.sources.shared import stored
+from locusweave.plans.stages import StageStore, digest, fingerprint
+from locusweave.sources.shared import new_folder
 
 
 def corrected_genotypes(genotype: DataFrame, pvar: DataFrame, snp_list: DataFrame) -> DataFrame:
     """Harmonized dosages, turned where the allele frequency of a source is over one half."""
-    return alleles.maf_correction(alleles.harmonize_dosage(genotype, alleles.harmonize(pvar, snp_list)))
+    return alleles.corrected(genotype, alleles.harmonize(pvar, snp_list))
 
 
 @dataclass
 class Screening:
-    """Results of a screening; reports are lazy, over written genotypes and carriers."""
+    """Stored results of a screening; a report that was left out is None."""
 
     genotype: DataFrame
     carriers: DataFrame
-    locus_report: DataFrame
-    variant_report: DataFrame
-    coverage: DataFrame
     probe_selection: DataFrame | None
+    locus_report: DataFrame | None
+    variant_report: DataFrame | None
+    coverage: DataFrame | None
+    stages: StageStore
 
 
-def screen(genotype: DataFrame, pvar: DataFrame, snp_list: DataFrame, samples: DataFrame, visits: DataFrame, select_probes: bool = True, merged: DataFrame | None = None) -> Screening:
-    """The whole screening. With probe selection, NBA rows are kept for the probes that agree best with WGS.
+def screen(
+    genotype: DataFrame, pvar: DataFrame, snp_list: DataFrame, samples: DataFrame, visits: DataFrame, folder: str | None = None,
+    merge_ancestries: bool = True, select_probes: bool = True, report: tuple[str, ...] = ("locus", "variant", "coverage"),
+) -> Screening:
+    """The whole screening, stage by stage: correction by file, merge of the ancestries, probe selection (NBA rows are kept for the probes that agree best with WGS), carriers and reports.
 
-    The corrected genotypes are written once, by source, and everything after them reads that table; so are the carriers. ``merged`` is such a table of an earlier run,
-    which skips harmonization and correction.
+    Every stage is a stored table below ``folder`` under a key of its inputs and options. With the folder of an earlier run, stages whose inputs are the same are read, and only what has changed
+    and what stands on it is computed. Merge, probe selection and each report can be left out.
     """
-    if merged is None:
-        genotype = genotype if "source" in genotype.columns else alleles.with_source(genotype, samples)
-        merged = stored(corrected_genotypes(genotype, pvar, snp_list), "genotypes", "data_type")
+    spark = genotype.sparkSession
+    store = StageStore(spark, folder or new_folder(spark, "screening"))
+    genotype = genotype if "source" in genotype.columns else alleles.with_source(genotype, samples)
+    listed, known, seen = (fingerprint(df) for df in (snp_list, samples, visits))
+    at = digest(fingerprint(genotype), fingerprint(pvar), listed)
+    corrected = store.get("corrected", at, lambda: corrected_genotypes(genotype, pvar, snp_list), "data_type")
+    merged, by_file = corrected, at
+    if merge_ancestries:
+        at = digest("merged", at)
+        metadata = [c for c in corrected.columns if c not in (*alleles.KEYS, "data_type", "sample_id", "dosage")]
+        merged = store.get("merged", at, lambda: alleles.merge_sources(corrected, "source", ["data_type", *alleles.KEYS], *metadata), "data_type")
     chosen, kept = None, merged
     if select_probes:
-        chosen = stored(probes.selection_map(probes.consensus(probes.probe_metrics(probes.probe_grid(merged, least_probes=2)))), "probes")
+        at = digest("probes", at)
+        chosen = store.get("probes", at, lambda: probes.selection_map(probes.consensus(probes.probe_metrics(probes.probe_grid(merged, least_probes=2)))))
         rest = merged.where("data_type <> 'NBA'")
         kept = probes.probe_filter(merged.where("data_type = 'NBA'"), chosen).select(*rest.columns).unionByName(rest)
-    rows = stored(reports.carriers(kept, snp_list, samples, visits), "carriers")
+    at = digest("carriers", at, listed, known, seen)
+    rows = store.get("carriers", at, lambda: reports.carriers(kept, snp_list, samples, visits))
     wgs = merged.where("data_type = 'WGS'").select("sample_id").distinct()
-    return Screening(kept, rows, reports.locus_report(rows), reports.variant_report(rows, wgs), coverage.coverage_by_source(snp_list, covered_sites(merged, pvar), *(c for c in ("data_type", "source") if c in merged.columns)), chosen)
+    by = [c for c in ("data_type", "source") if c in corrected.columns]
+    builds = {
+        "locus": (at, lambda: reports.locus_report(rows)),
+        "variant": (at, lambda: reports.variant_report(rows, wgs)),
+        "coverage": (digest(by_file, listed), lambda: coverage.coverage_by_source(snp_list, covered_sites(corrected, pvar), *by)),
+    }
+    found = {name: store.get(f"{name}_report", digest(name, key), build) for name, (key, build) in builds.items() if name in report}
+    return Screening(kept, rows, chosen, *(found.get(name) for name in builds), store)
 
 
 def covered_sites(genotype: DataFrame, pvar: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from locusweave.operators import alleles, coverage, frequencies, probes, reports
 from locusweave.plans import carriers
 from locusweave.plans.registry import query
 from locusweave.sources.fixtures import Fixtures
-from locusweave.sources.shared import stored
+from locusweave.sources.shared import new_folder, stored
 
 
 def matches(fx: Fixtures) -> DataFrame:
@@ -30,6 +30,10 @@ def carrier_rows(fx: Fixtures, clinical: bool = False) -> DataFrame:
     return reports.carriers(corrected(fx), fx.snp_list, fx.sample, fx.visit if clinical else None)
 
 
+def screened(fx: Fixtures, **options) -> carriers.Screening:
+    return carriers.screen(fx.gt, fx.pvar, fx.snp_list, fx.sample, fx.visit, **options)
+
+
 def wgs_samples(fx: Fixtures) -> DataFrame:
     return fx.gt.where("data_type = 'WGS'").select("sample_id").distinct()
 
@@ -392,7 +396,7 @@ def locus_total_metrics(fx):
 
 @query("pipeline_locus", f"SELECT * FROM ({_metrics_sql('gene, ancestry')}) a UNION ALL BY NAME SELECT *, 'TOTAL' AS ancestry FROM ({_metrics_sql('gene')}) b")
 def pipeline_locus(fx):
-    return reports.locus_report(carrier_rows(fx, True))
+    return screened(fx, select_probes=False, report=("locus",)).locus_report
 
 
 @query("pipeline_comparison", f"WITH sh AS (SELECT c.* FROM cx_carv c WHERE data_type = 'NBA' AND sample_id IN (SELECT sample_id FROM cx_carv WHERE data_type = 'WGS')) SELECT * FROM ({_metrics_sql('gene, ancestry', 'sh')}) a UNION ALL BY NAME SELECT *, 'TOTAL' AS ancestry FROM ({_metrics_sql('gene', 'sh')}) b")
@@ -445,7 +449,7 @@ c AS (SELECT a.snp_list_id, count(z.sample_id) / count(*) AS wgs_carrier_concord
 
 @query("pipeline_variant_report", _REPORT + "SELECT b.sample_id, ancestry, gene, b.snp_list_id, CASE WHEN data_type = 'NBA' THEN variant_id ELSE '' END AS nba_probe_name, zygosity, moi, data_types AS data_type, coalesce(moi LIKE '%AR%' AND (zygosity = 'hom' OR hets >= 2), false) AS potential_biallelic, validated_by_wgs, round(wgs_carrier_concordance, 9) AS wgs_carrier_concordance, hg38 FROM b LEFT JOIN c ON b.snp_list_id = c.snp_list_id")
 def pipeline_variant_report(fx):
-    return reports.variant_report(carrier_rows(fx), wgs_samples(fx)).withColumn("wgs_carrier_concordance", F.round("wgs_carrier_concordance", 9))
+    return screened(fx, select_probes=False, report=("variant",)).variant_report.withColumn("wgs_carrier_concordance", F.round("wgs_carrier_concordance", 9))
 
 
 @query("validated_by_wgs", _REPORT + "SELECT sample_id, snp_list_id, validated_by_wgs FROM b")
@@ -726,4 +730,31 @@ def method_agreement(fx):
 
 @query("pipeline_carriers", _GRID + f", sel AS (SELECT c.* FROM cx_carv c WHERE {_FILTERED}) SELECT * FROM ({_metrics_sql('gene, ancestry', 'sel')}) a UNION ALL BY NAME SELECT *, 'TOTAL' AS ancestry FROM ({_metrics_sql('gene', 'sel')}) b")
 def pipeline_carriers(fx):
-    return carriers.screen(fx.gt, fx.pvar, fx.snp_list, fx.sample, fx.visit).locus_report
+    return screened(fx, report=("locus",)).locus_report
+
+
+@query("pipeline_results", _GRID + f", sel AS (SELECT c.* FROM cx_carv c WHERE {_FILTERED})" + """ SELECT 'corrected_genotypes' AS result, count(*) AS n FROM cx_maf UNION ALL SELECT 'carriers', count(*) FROM sel UNION ALL SELECT 'probes', count(*) FROM ch
+ UNION ALL SELECT 'locus_report', (SELECT count(DISTINCT (gene, ancestry)) FROM sel WHERE gene IS NOT NULL AND ancestry IS NOT NULL) + (SELECT count(DISTINCT gene) FROM sel WHERE gene IS NOT NULL)
+ UNION ALL SELECT 'variant_report', count(DISTINCT (sample_id, snp_list_id)) FROM sel""")
+def pipeline_results(fx):
+    """The whole screening with all its results, read back as they are stored."""
+    found = screened(fx)
+    tables = {"corrected_genotypes": found.stages.manifest().where("stage = 'merged'").select("n_rows"), "carriers": found.carriers, "probes": found.probe_selection, "locus_report": found.locus_report, "variant_report": found.variant_report}
+    counts = [(df if name == "corrected_genotypes" else df.agg(F.count(F.lit(1)).alias("n_rows"))).select(F.lit(name).alias("result"), F.col("n_rows").alias("n")) for name, df in tables.items()]
+    out = counts[0]
+    for c in counts[1:]:
+        out = out.unionByName(c)
+    return out
+
+
+@query("pipeline_resume", """SELECT * FROM (VALUES (1, 'corrected', 'computed'), (1, 'merged', 'computed'), (1, 'carriers', 'computed'), (1, 'locus_report', 'computed'), (2, 'corrected', 'read'), (2, 'merged', 'read'), (2, 'probes', 'computed'),
+ (2, 'carriers', 'computed'), (2, 'locus_report', 'computed'), (2, 'variant_report', 'computed'), (2, 'coverage_report', 'computed'), (3, 'corrected', 'read'), (3, 'merged', 'read'), (3, 'probes', 'read'), (3, 'carriers', 'read'), (3, 'locus_report', 'read'),
+ (3, 'variant_report', 'read'), (3, 'coverage_report', 'read')) t(run, stage, action), (SELECT count(*) AS n_carriers FROM cx_car) c""")
+def pipeline_resume(fx):
+    """Three runs in one folder - without probe selection, with it, and again -: what each computed and what it read, beside the carriers of the first."""
+    folder = new_folder(fx.spark, "screening")
+    first = screened(fx, folder=folder, select_probes=False, report=("locus",))
+    runs = [first, screened(fx, folder=folder), screened(fx, folder=folder)]
+    rows = [(i + 1, stage, action) for i, r in enumerate(runs) for stage, action in r.stages.ran]
+    ran = fx.spark.createDataFrame(rows, "run int, stage string, action string").withColumn("k", F.lit(1))
+    return ran.join(first.carriers.agg(F.count(F.lit(1)).alias("n_carriers")).withColumn("k", F.lit(1)), "k").drop("k")
