@@ -49,19 +49,34 @@ def allele_columns(lines: DataFrame) -> DataFrame:
     return records(lines).select("variant_id", pick("ALLELE_A").alias("a1"), pick("ALLELE_B").alias("a2"))
 
 
-def extract_columns(lines: DataFrame, columns: list[str] | str = "all", rows: int | None = None) -> DataFrame:
-    """Chosen columns with the id always first as snpID: ``all``, ``metadata``, ``sample`` or a list of names (fixed, INFO or FORMAT keys). ``rows`` is a preview."""
+def extract_columns(lines: DataFrame, columns: list[str] | str = "all", rows: int | None = None, *keep: str) -> DataFrame:
+    """Chosen columns with the id always first as snpID: ``all``, ``metadata``, ``sample`` or a list of names (fixed, INFO or FORMAT keys, a1 and a2). ``rows`` is a preview.
+
+    ``keep`` (such as the sample's IID, which goes with its columns) are columns of the lines themselves.
+    """
     known = {"metadata": FIXED[:8], "sample": ["GT", "GS", "BAF", "LRR"], "all": [*FIXED[:8], "GT", "GS", "BAF", "LRR"]}
     names = known[columns] if isinstance(columns, str) else columns
-    out = [F.col("variant_id").alias("snpID")]
+    alleles = {"a1": "ALLELE_A", "a2": "ALLELE_B"}
+    out = [F.col("variant_id").alias("snpID"), *keep]
     for c in names:
         if c == "variant_id":
             continue
-        out.append(F.col(c) if c in FIXED else F.coalesce(format_field(c), info_field(c)).alias(c))
-    found = records(lines).select(*out)
+        if c in alleles:
+            out.append(F.when(info_field(alleles[c]) == "1", F.col("alt")).otherwise(F.col("ref")).alias(c))
+        else:
+            out.append(F.col(c) if c in FIXED else F.coalesce(format_field(c), info_field(c)).alias(c))
+    found = records(lines, *keep).select(*out)
     return found.limit(rows) if rows else found
 
 
+def write_columns(found: DataFrame, path: str, form: str = "csv", partition_by_chromosome: bool = False) -> None:
+    """Extracted columns as csv or parquet, by chromosome if they hold it and it is asked for; a task then writes a range of chromosome and id."""
+    by = partition_by_chromosome and "chromosome" in found.columns
+    writer = (found.repartitionByRange("chromosome", "snpID") if by else found).write.mode("overwrite")
+    writer = writer.partitionBy("chromosome") if by else writer
+    writer.option("header", True).csv(path) if form == "csv" else writer.format(form).save(path)
+
+
 def parse_regions(lines: DataFrame) -> DataFrame:
     """chromosome, start, end of ``chr:start-end`` lines; comments and blank lines are left out."""
     form = r"^\s*(?:chr)?([^:\s#]+):(\d+)-(\d+)\s*$"

@@ -40,13 +40,6 @@ def wgs_samples(fx: Fixtures) -> DataFrame:
 
 # sites and keys
 
-@query("scan_snp_list", "SELECT snp_list_id, replace(upper(trim(split_part(hg38, ':', 1))), 'CHR', '') AS chromosome, TRY_CAST(split_part(hg38, ':', 2) AS BIGINT) AS position, split_part(hg38, ':', 3) AS ref, split_part(hg38, ':', 4) AS alt FROM fx_snp_list")
-def scan_snp_list(fx):
-    from locusweave.sources import tables
-
-    return tables.split_coordinates(fx.snp_list.select("snp_list_id", "hg38")).select("snp_list_id", "chromosome", "position", "ref", "alt")
-
-
 @query("normalize_site", "SELECT variant_id, chromosome, position, ref, alt FROM fx_pvar WHERE position % 7 <> 0")
 def normalize_site(fx):
     messy = fx.pvar.select("variant_id", F.concat(F.lit(" chr"), "chromosome", F.lit(" ")).alias("chromosome"), F.when(F.col("position") % 7 == 0, "n/a").otherwise(F.col("position").cast("string")).alias("position"), F.lower("ref").alias("ref"), F.concat(F.lit(" "), "alt").alias("alt"))

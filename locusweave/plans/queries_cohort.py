@@ -26,26 +26,6 @@ def scan_psam_map(fx):
     return tables.mapped_samples(raw, fx.sample.select(F.col("study").alias("FID"), F.col("sample_id").alias("IID")))
 
 
-@query("scan_master_key", "SELECT sample_id, study, age_at_sample_collection, CAST(NULL AS VARCHAR) AS absent FROM fx_sample")
-def scan_master_key(fx):
-    from pyspark.sql.types import DoubleType, StringType, StructField, StructType
-
-    schema = StructType([StructField("sample_id", StringType()), StructField("study", StringType()), StructField("age_at_sample_collection", DoubleType()), StructField("absent", StringType())])
-    return tables.conform(fx.sample.withColumn("age_at_sample_collection", F.col("age_at_sample_collection").cast("string")), schema, ("sample_id",))
-
-
-@query("scan_visits_baseline", "SELECT sample_id, moca_total_score, hoehn_and_yahr_stage, dat_sbr_caudate_mean FROM fx_visit WHERE visit_month = 0")
-def scan_visits_baseline(fx):
-    from locusweave.operators import reports
-
-    return reports.baseline(fx.visit).select("sample_id", "moca_total_score", "hoehn_and_yahr_stage", "dat_sbr_caudate_mean")
-
-
-@query("scan_carrier_parquet", 'SELECT "IID", "snpID", count(*) AS n FROM fx_metrics GROUP BY 1, 2 HAVING count(*) > 1')
-def scan_carrier_parquet(fx):
-    return tables.checked_unique(fx.metrics, "IID", "snpID")
-
-
 @query("scan_parquet_pruned", "SELECT l_orderkey, l_quantity FROM lineitem WHERE l_partkey <= 50 AND l_discount > 0.05")
 def scan_parquet_pruned(fx):
     return tables.read_pruned(fx.spark, f"{fx.sf_dir}/lineitem.parquet", (F.col("l_partkey") <= 50) & (F.col("l_discount") > 0.05), ["l_orderkey", "l_quantity"])
@@ -66,11 +46,6 @@ def scan_vcf_variants(fx):
     return vcf.variant_reference(lines(fx))
 
 
-@query("vcf_extract_columns", _FIELDS + 'SELECT variant_id AS "snpID", f[1] AS "GT", regexp_extract(info, \'GC=([^;]+)\', 1) AS "GC" FROM r')
-def vcf_extract_columns(fx):
-    return vcf.extract_columns(lines(fx), ["GT", "GC"])
-
-
 @query("vcf_gt_code", _FIELDS + f"SELECT {_GT} AS code, count(*) AS n FROM r GROUP BY 1")
 def vcf_gt_code(fx):
     return vcf.sample_metrics(lines(fx)).groupBy(F.col("GT").alias("code")).agg(F.count(F.lit(1)).alias("n"))
@@ -115,12 +90,6 @@ def region_restrict(fx):
 # metrics
 
 
-@query("samples_variant_ref_join", 'SELECT m."IID", m."snpID", m."GT", p.ref, p.alt FROM fx_metrics m LEFT JOIN fx_pvar p ON m."snpID" = p.variant_id AND m.chromosome = p.chromosome')
-def samples_variant_ref_join(fx):
-    ref = fx.pvar.select(F.col("variant_id").alias("snpID"), "chromosome", "ref", "alt")
-    return fx.metrics.join(ref, ["snpID", "chromosome"], "left").select("IID", "snpID", "GT", "ref", "alt")
-
-
 @query("metrics_gt_distribution", 'SELECT "GT", count(*) AS n, count(DISTINCT "IID") AS samples FROM fx_metrics GROUP BY "GT"')
 def metrics_gt_distribution(fx):
     return fx.metrics.groupBy("GT").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("IID").alias("samples"))
@@ -306,11 +275,6 @@ def recruitment_stats(fx):
     return cohort.recruitment_stats(recruitment_rows(fx), "locus", "ancestry")
 
 
-@query("pipeline_recruitment", _RSTATS)
-def pipeline_recruitment(fx):
-    return cohort.recruitment_stats(recruitment_rows(fx), "locus", "ancestry")
-
-
 @query("recruitment_summary", f"WITH {_LOCI}, z AS (SELECT coalesce(study, 'Unknown') AS study, count(*) AS n FROM fx_sample GROUP BY 1) SELECT (SELECT count(DISTINCT locus) FROM lc) AS loci, (SELECT count(DISTINCT sample_id) FROM lc) AS carriers, (SELECT count(*) FROM lc) AS locus_carriers, (SELECT count(*) FROM z) AS cohorts, (SELECT study FROM z ORDER BY n DESC, study DESC LIMIT 1) AS largest_cohort, (SELECT max(n) FROM z) AS largest_size")
 def recruitment_summary(fx):
     return cohort.recruitment_summary(loci(fx), fx.sample)
@@ -495,12 +459,6 @@ def traw_left_join(fx):
     return fx.pvar.select("variant_id").join(fx.gt.where("data_type = 'NBA'").drop("data_type"), "variant_id", "left")
 
 
-@query("chrom_outer_merge", "SELECT g.sample_id, p.chromosome, count(*) AS calls FROM fx_gt g JOIN fx_pvar p ON g.variant_id = p.variant_id WHERE g.data_type = 'NBA' GROUP BY 1, 2")
-def chrom_outer_merge(fx):
-    rows = fx.gt.where("data_type = 'NBA'").join(fx.pvar.select("variant_id", "chromosome"), "variant_id")
-    return rows.groupBy("sample_id", "chromosome").agg(F.count(F.lit(1)).alias("calls"))
-
-
 @query("pipeline_legacy_carriers", """WITH st AS (SELECT k.nba_label, g.variant_id, sum(dosage) / (2 * nullif(count(dosage), 0)) AS f, 2 * count(dosage) AS n, avg(CASE WHEN dosage IS NULL THEN 1.0 ELSE 0.0 END) AS m FROM fx_gt g JOIN fx_sample k ON g.sample_id = k.sample_id WHERE data_type = 'NBA' GROUP BY k.nba_label, g.variant_id)
 SELECT p.variant_id, p.chromosome, coalesce(sum(n), 0)::BIGINT AS obs_ct, round(sum(coalesce(f, 0) * n) / nullif(sum(n), 0), 6) AS alt_freqs, round(sum(m * n) / nullif(sum(n), 0), 6) AS f_miss FROM fx_pvar p LEFT JOIN st ON p.variant_id = st.variant_id GROUP BY 1, 2""")
 def pipeline_legacy_carriers(fx):
@@ -513,19 +471,6 @@ def pipeline_legacy_carriers(fx):
     return fx.pvar.select("variant_id", "chromosome").join(combined, "variant_id", "left").select("variant_id", "chromosome", F.coalesce("obs_ct", F.lit(0)).alias("obs_ct"), F.round("alt_freqs", 6).alias("alt_freqs"), F.round("f_miss", 6).alias("f_miss"))
 
 
-@query("pipeline_snp_metrics", _FIELDS + f'SELECT variant_id AS "snpID", chromosome, position, {_GT} AS "GT", TRY_CAST(f[2] AS DOUBLE) AS "GS", TRY_CAST(f[3] AS DOUBLE) AS "BAF", TRY_CAST(f[4] AS DOUBLE) AS "LRR", ref, alt, filter FROM r')
-def pipeline_snp_metrics(fx):
-    """From a sample's VCF text to its metric table and the variant reference, both written by chromosome, then read back together."""
-    from locusweave.sources import shared, sinks
-
-    metrics, reference = (shared.new_folder(fx.spark, n) for n in ("metrics", "reference"))
-    sinks.write_metrics(vcf.sample_metrics(lines(fx)).withColumn("IID", F.lit("S1")), metrics)
-    sinks.write_by_chromosome(vcf.variant_reference(lines(fx)), reference)
-    rows = fx.spark.read.schema("snpID string, position long, GT int, GS double, BAF double, LRR double, IID string, chromosome string").parquet(metrics).drop("IID")
-    known = fx.spark.read.schema("variant_id string, ref string, alt string, filter string, chromosome string").parquet(reference).withColumnRenamed("variant_id", "snpID")
-    return rows.join(known, ["chromosome", "snpID"])
-
-
 # bookkeeping
 
 

@@ -25,31 +25,6 @@ def scan_pvar(fx):
     return alleles.normalize_sites(tables.read_pvar(fx.spark, path)).select("chromosome", "position", "variant_id", "ref", "alt")
 
 
-def qc_report(fx):
-    """A report with two tables in the two layouts, and a value that is no table."""
-    path = shared.new_folder(fx.spark, "qc")
-    as_rows = F.collect_list(F.struct("ancestry", "step", "level", "metric", "pruned_count")).alias("QC")
-    labels = fx.spark.createDataFrame([(str(i), v) for i, v in enumerate(CODES.values())], "row string, label string")
-    columns = labels.agg(F.map_from_entries(F.collect_list(F.struct("row", "label"))).alias("m"))
-    one = fx.qc.agg(as_rows).withColumn("k", F.lit(1)).join(columns.withColumn("k", F.lit(1)), "k")
-    one.select(F.to_json(F.struct("QC", F.struct(F.col("m").alias("label")).alias("ancestry_labels"), F.lit("v1").alias("note"))).alias("value")).coalesce(1).write.text(path)
-    return tables.read_qc_json(fx.spark, path)
-
-
-@query("scan_qc_json", "SELECT ancestry, step, level, metric, pruned_count FROM fx_qc")
-def scan_qc_json(fx):
-    return qc_report(fx)["QC"].select("ancestry", "step", "level", "metric", "pruned_count")
-
-
-@query("json_to_tables", "SELECT 'QC' AS name, count(*) AS n FROM fx_qc UNION ALL SELECT 'ancestry_labels', 5")
-def json_to_tables(fx):
-    parts = [df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("name"), "n") for name, df in sorted(qc_report(fx).items())]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
-
-
 def genotype_folder(fx):
     path = shared.new_folder(fx.spark, "genotypes")
     rows = fx.gt.join(fx.pvar.select("variant_id", "chromosome"), "variant_id")
@@ -125,16 +100,6 @@ def sink_metrics(fx):
     return fx.spark.read.schema("snpID string, GT int, IID string, chromosome string").parquet(path).groupBy("IID", "chromosome").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("merge_chunks_by_chrom", "SELECT chromosome, count(*) AS n FROM fx_pvar GROUP BY 1")
-def merge_chunks_by_chrom(fx):
-    path = shared.new_folder(fx.spark, "chromosomes")
-    sinks.write_by_chromosome(fx.pvar, path)
-    return fx.spark.read.schema("variant_id string, chromosome string").parquet(path).groupBy("chromosome").agg(F.count(F.lit(1)).alias("n"))
-
-
-# VCF files
-
-#: Endings of the delivered files by their number: the third holds two samples, the fourth no header.
 ENDINGS = (".vcf", ".vcf.gz", ".vcf", ".vcf", ".snv.vcf.gz")
 _DELIVERED = """WITH t AS (SELECT string_split(value, chr(9)) AS p FROM fx_vcf_line), r AS (SELECT replace(p[1], 'chr', '') AS chromosome, CAST(p[2] AS BIGINT) AS position, p[3] AS variant_id, string_split(p[10], ':') AS f FROM t) """
 
@@ -246,37 +211,6 @@ def sink_carrier_wide(fx):
     return out
 
 
-@query("sink_formats", "SELECT t.format, count(*) AS n FROM fx_snp_list, (VALUES ('csv'), ('json'), ('parquet')) t(format) GROUP BY t.format")
-def sink_formats(fx):
-    out = None
-    for name, path in sinks.write_formats(fx.snp_list, shared.new_folder(fx.spark, "formats"), "list", ["csv", "parquet", "json"]).items():
-        one = fx.spark.read.format(name).option("header", True).load(path).agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("format"), "n")
-        out = one if out is None else out.unionByName(one)
-    return out
-
-
-@query("sink_recruitment", f"WITH {_LOCI} SELECT locus, count(*) AS n FROM lc GROUP BY locus")
-def sink_recruitment(fx):
-    path = shared.new_folder(fx.spark, "recruitment")
-    sinks.write_by_locus(loci(fx), path)
-    return fx.spark.read.option("header", True).csv(path).groupBy("locus").agg(F.count(F.lit(1)).alias("n"))
-
-
-@query("sink_duplicates_json", _PRINTS + _COPIES + ''' SELECT '{"' || hash || '":["' || replace(sample_ids, ',', '","') || '"]}' AS value FROM dg''')
-def sink_duplicates_json(fx):
-    path = shared.new_folder(fx.spark, "duplicates")
-    sinks.write_groups_json(fingerprints.duplicate_groups(copies(fx)), path)
-    return fx.spark.read.text(path)
-
-
-@query("sink_plink_keys", "SELECT study AS fid, sample_id AS iid, CASE sex WHEN 'Male' THEN '1' ELSE '2' END AS sex FROM fx_sample")
-def sink_plink_keys(fx):
-    path = shared.new_folder(fx.spark, "keys")
-    codes = {v: k for k, v in cohort.SEX.items()}
-    sinks.write_keys(fx.sample.select("study", "sample_id", cohort.code_map("sex", codes)), path)
-    return fx.spark.read.option("sep", "\t").schema("fid string, iid string, sex string").csv(path)
-
-
 @query("incremental_stream", "WITH a AS MATERIALIZED (SELECT variant_id, sample_id, data_type, dosage FROM fx_gt) SELECT variant_id, sample_id, coalesce(max(dosage) FILTER (data_type = 'WGS'), max(dosage) FILTER (data_type = 'NBA')) AS dosage FROM a GROUP BY variant_id, sample_id")
 def incremental_stream(fx):
     """Two deliveries of files, each followed to its end; the second one's calls are preferred."""
