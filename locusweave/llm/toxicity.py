@@ -267,11 +267,11 @@ def word_features(texts: list[bytes]) -> tuple[np.ndarray, list[np.ndarray]]:
 class Model:
     features: np.ndarray  # hashes, sorted
     bounds: np.ndarray  # their evidence
-    weights: np.ndarray  # bias, strongest, second strongest, number of different strong words (log)
+    weights: np.ndarray  # bias, strongest word, second strongest, sum of all other words (log); none but the bias is negative
     seen: np.ndarray | None = None
 
     def evidence(self, texts: list[bytes]) -> np.ndarray:
-        """For each text its strongest and second strongest word and log(1 + different words with evidence)."""
+        """For each text its strongest and second strongest word and log(1 + the evidence of its other different words): none is less with a word more."""
         out = np.zeros((len(texts), 3))
         text_of, hashes = word_features(texts)
         if not len(text_of) or not len(self.features):
@@ -288,11 +288,7 @@ class Model:
         rows = sorted(set(zip(text_of[at].tolist(), hashes[0][at].tolist(), best[at].tolist())), key=lambda r: -r[2])
         for text, _, e in rows:
             row = out[text]
-            row[2] += 1
-            if row[0] == 0:
-                row[0] = e
-            elif row[1] == 0:
-                row[1] = e
+            row[0 if row[0] == 0 else 1 if row[1] == 0 else 2] += e
         out[:, 2] = np.log1p(out[:, 2])
         return out
 
@@ -365,17 +361,32 @@ def _evidenced(batches: Iterator[pa.RecordBatch], halves: tuple[Model, Model]) -
             yield pa.RecordBatch.from_arrays([part.column("toxic"), *(pa.array(rows[:, i]) for i in range(3))], names=["toxic", "a", "b", "c"])
 
 
-def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> np.ndarray:
-    """Newton steps for a logistic regression with a bias in front."""
+def logistic(x: np.ndarray, y: np.ndarray, counts: np.ndarray | None = None, ridge: float = 1e-2) -> np.ndarray:
+    """Projected Newton steps for a logistic regression with a bias in front, whose other weights aren't negative: more evidence never lowers a score. ``counts``: how often each row counts."""
+    n = np.ones(len(x)) if counts is None else counts
     x = np.column_stack([np.ones(len(x)), x])
+    least = np.array([-np.inf] + [0.0] * (x.shape[1] - 1))
     w = np.zeros(x.shape[1])
-    for _ in range(25):
+    loss = lambda w: n @ np.logaddexp(0, x @ w) - (n * y) @ (x @ w) + ridge * (w @ w) / 2
+    for _ in range(100):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        gradient = x.T @ (p - y) + ridge * w
-        w -= np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + ridge * np.eye(len(w)), gradient)
+        gradient = x.T @ (n * (p - y)) + ridge * w
+        free = (w > least) | (gradient < 0)  # a weight at its bound stays there while the loss would fall beyond it
+        if np.abs(gradient[free]).max(initial=0) < 1e-6:
+            break
+        hessian = (x * (n * p * (1 - p))[:, None]).T @ x + ridge * np.eye(len(w))
+        step = np.zeros(len(w))
+        step[free] = np.linalg.solve(hessian[np.ix_(free, free)], gradient[free])
+        now, size = loss(w), 1.0
+        while size > 1e-6 and loss(np.maximum(w - size * step, least)) > now:
+            size /= 2
+        w = np.maximum(w - size * step, least)
     return w
 
 
+#: How much a toxic document's strongest word alone counts beside the document, in fitting the logistic.
+ALONE = 0.25
+
 #: Clean and toxic documents of the first half of the sample, then of the second.
 COUNTS = ("clean0", "toxic0", "clean1", "toxic1")
 
@@ -414,7 +425,10 @@ def fit(docs: DataFrame, labels: DataFrame, lm: LanguageModel, max_labelled: int
     halves = lexicon(features, c0, t0, size[0], size[1]), lexicon(features, c1, t1, size[2], size[3])
     model = lexicon(features, c0 + c1, t0 + t1, size[0] + size[2], size[1] + size[3])
     found = sample.mapInArrow(lambda b: _evidenced(b, halves), "toxic int, a double, b double, c double").toPandas()
-    model.weights = logistic(found[["a", "b", "c"]].to_numpy(), found["toxic"].to_numpy(np.float64))
+    x, y = found[["a", "b", "c"]].to_numpy(), found["toxic"].to_numpy(np.float64)
+    # labelled texts hold several such words as a rule; each toxic one also counts, in part, with its strongest word alone
+    alone = x[(y == 1) & (x[:, 0] > 0)] * [1, 0, 0]
+    model.weights = logistic(np.concatenate([x, alone]), np.concatenate([y, np.ones(len(alone))]), np.repeat([1, ALONE], [len(x), len(alone)]))
     return model
 
 

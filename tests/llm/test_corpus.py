@@ -208,8 +208,8 @@ def test_scores_by_brute_force(corpus, marks, fitted):
             e = max(bound.get(int(h[0]), 0) for h in hashes)
             if e:
                 best[w] = e
-        top = sorted(best.values(), reverse=True)[:2] + [0, 0]
-        z = model.weights @ [1, top[0], top[1], np.log1p(len(best))]
+        top = sorted(best.values(), reverse=True) + [0, 0]
+        z = model.weights @ [1, top[0], top[1], np.log1p(sum(top[2:]))]
         assert score == pytest.approx(1 / (1 + np.exp(-z)), abs=1e-9)
 
 
