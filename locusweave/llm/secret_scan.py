@@ -2,7 +2,8 @@
 
 Strong patterns (assignments, access keys, long hex) are reported by themselves. Weak candidates - long tokens of mixed
 characters - are reported only where a complementary part co-occurs: an interval join links them to access identifiers
-and endpoints that lie anywhere in the same scope and don't overlap them; a given ``reach`` also bounds the distance in code points. A scope is
+and endpoints that lie anywhere in the same scope and don't overlap them. A plain web link (no user, no port, no service in its host) is such a part only for a candidate that is an assigned value, as links stand beside
+commit hashes and ids everywhere. A given ``reach`` also bounds the distance in code points. A scope is
 a block of lines without a blank line between. Parts are found by bisection of their sorted starts and ends, so a text with many parts costs n log n.
 Texts are scanned one by one inside Arrow batches; no part leaves its row, so nothing is shuffled.
 
@@ -32,8 +33,16 @@ HEX = re.compile(r"[0-9a-f]{32,}")
 #: In the order in which spans of one start are listed.
 KINDS = ("assign", "access", "hex", "linked")
 
-IDENTIFIER = re.compile(r"""\b(?:user(?:name)?|login|account|client_?id|access_?key(?:_?id)?)["']?\x20*[:=]\x20*["']?([A-Za-z0-9@._-]{3,})""", re.ASCII | re.IGNORECASE)
+#: Names may have others in front (``DB_USER``).
+IDENTIFIER = re.compile(r"""(?<![A-Za-z0-9])(?:user(?:name)?|login|account|client_?id|access_?key(?:_?id)?)["']?\x20*[:=]\x20*["']?([A-Za-z0-9@._-]{3,})""", re.ASCII | re.IGNORECASE)
 ENDPOINT = re.compile(r"\b[a-z][a-z0-9+.-]{1,15}://[^\s\"'<>]{4,}", re.ASCII)
+HOST = re.compile(r"""(?<![A-Za-z0-9])(?:host(?:name)?|server|endpoint|url)["']?\x20*[:=]\x20*["']?([A-Za-z0-9][A-Za-z0-9-]*(?:\.[A-Za-z0-9-]+)+(?::[0-9]+)?)""", re.ASCII | re.IGNORECASE)
+#: Parts of host names that tell a service from a page.
+SERVICES = "admin|api|auth|cache|data|db|git|gateway|kafka|ldap|login|mail|mongo|mq|mysql|postgres|queue|redis|registry|s3|smtp|sql|sso|storage|vault|vpn"
+#: A link that tells no more than a page in the web: no user, no port, no service.
+PLAIN_LINK = re.compile(rf"https?://(?![^/\s]*@)(?![^/\s]*:[0-9])(?!(?:[a-z0-9-]+\.)*(?:{SERVICES})[0-9-]*\.)", re.ASCII | re.IGNORECASE)
+#: What stands before a value that is assigned.
+ASSIGNED = re.compile(r"""[A-Za-z0-9_]["']?\x20*[:=]\x20*["']?\Z""", re.ASCII)
 #: A value may stand straight after "=".
 WEAK = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}={0,2}(?![A-Za-z0-9+/_=-])")
 BLANK_LINE = re.compile(r"\n[ \t\r]*\n")
@@ -68,15 +77,16 @@ def linked_parts(text: str, base: list[tuple[int, int, int]], reach: int | None
 
     (start, end, part): the part is the nearest one, the earlier of two as near, as (kind, start, end) with the place of its kind in ``PARTS``.
     """
-    ends_at = [m.span() for m in ENDPOINT.finditer(text)] if "://" in text else []
-    parts = [(0, start, end) for start, kind, end in base if kind == 1] + [(1, *span) for span in ends_at]
-    parts += [(2, *m.span()) for m in IDENTIFIER.finditer(text)] if "=" in text or ":" in text else []
-    if not parts:
+    links = [m.span() for m in ENDPOINT.finditer(text)] if "://" in text else []
+    plain = [span for span in links if PLAIN_LINK.match(text, span[0])]
+    parts = [(0, start, end) for start, kind, end in base if kind == 1] + [(1, *span) for span in links if span not in set(plain)]
+    if "=" in text or ":" in text:
+        parts += [(1, *m.span()) for m in HOST.finditer(text)] + [(2, *m.span()) for m in IDENTIFIER.finditer(text)]
+    if not parts and not plain:
         return []
-    by_start, by_end = sorted(parts, key=lambda p: (p[1], p)), sorted(parts, key=lambda p: (p[2], p))
-    starts, ends = [p[1] for p in by_start], [p[2] for p in by_end]
+    known, more = _Parts(parts), _Parts(parts + [(1, *span) for span in plain])
     walls = [m.start() for m in BLANK_LINE.finditer(text)]
-    taken = sorted([(s, e) for s, _, e in base] + ends_at)
+    taken = sorted([(s, e) for s, _, e in base] + links)
     taken_starts = [t[0] for t in taken]
     taken_ends, furthest = [], -1
     for t in taken:
@@ -93,15 +103,27 @@ def linked_parts(text: str, base: list[tuple[int, int, int]], reach: int | None
         hi = walls[k] if k < len(walls) else len(text)
         if reach is not None:
             lo, hi = max(start - reach, lo), min(end + reach, hi)
-        # joined if a part ends after lo and not after the candidate's start, or starts before hi and not before its end
-        i, j = bisect_right(ends, start), bisect_left(starts, end)
-        near = [(start - ends[i - 1], by_end[i - 1])] if i and ends[i - 1] > lo else []
-        near += [(starts[j] - end, by_start[j])] if j < len(starts) and starts[j] < hi else []
-        if near:
-            found.append((start, end, min(near, key=lambda n: n[0])[1]))
+        nearest = (more if ASSIGNED.search(text, max(0, start - 40), start) else known).nearest(start, end, lo, hi)
+        if nearest:
+            found.append((start, end, nearest))
     return found
 
 
+class _Parts:
+    """Complementary parts by their starts and by their ends."""
+
+    def __init__(self, parts: list[tuple[int, int, int]]) -> None:
+        self.by_start, self.by_end = sorted(parts, key=lambda p: (p[1], p)), sorted(parts, key=lambda p: (p[2], p))
+        self.starts, self.ends = [p[1] for p in self.by_start], [p[2] for p in self.by_end]
+
+    def nearest(self, start: int, end: int, lo: int, hi: int) -> tuple[int, int, int] | None:
+        """The part nearest to the candidate that ends after ``lo`` and not after its start, or starts before ``hi`` and not before its end."""
+        i, j = bisect_right(self.ends, start), bisect_left(self.starts, end)
+        near = [(start - self.ends[i - 1], self.by_end[i - 1])] if i and self.ends[i - 1] > lo else []
+        near += [(self.starts[j] - end, self.by_start[j])] if j < len(self.starts) and self.starts[j] < hi else []
+        return min(near, key=lambda n: n[0])[1] if near else None
+
+
 def linked_spans(text: str, base: list[tuple[int, int, int]], reach: int | None = None) -> list[tuple[int, int, int]]:
     """(start, rank of kind, end) of the linked candidates."""
     return [(start, 3, end) for start, end, _ in linked_parts(text, base, reach)]

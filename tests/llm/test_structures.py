@@ -12,7 +12,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from locusweave.llm import prefix_trie, sequences, structure_repair, suffix_dedup
+from locusweave.llm import prefix_trie, secret_scan, sequences, structure_repair, suffix_dedup, toxicity
 
 TALK = "conv_id long, turn long, role string, text string"
 SPACE = " \t\n\x0b\x0c\r"
@@ -318,3 +318,77 @@ def test_transform_against_sorted_suffixes():
     assert order == sorted(suffix.values())
     common = [0] + [next((i for i, (a, b) in enumerate(zip(x, y)) if a != b), min(len(x), len(y))) for x, y in zip(order, order[1:])]
     assert got.common[got.n :].tolist() == common
+
+
+# scores that evidence never lowers, and credentials by their parts
+
+
+def test_weights_are_never_negative_and_fit():
+    """On data where a count would get a negative weight, the loss is least among weights that aren't negative."""
+    rng = np.random.default_rng(4)
+    x = np.abs(rng.normal(size=(400, 3)))
+    y = (rng.random(400) < 1 / (1 + np.exp(-(x @ [2, 1, -2] - 0.5)))).astype(float)
+    w = toxicity.logistic(x, y)
+    assert (w[1:] >= 0).all() and w[3] == 0 and w[1] > 0.5
+    full = np.column_stack([np.ones(400), x])
+    loss = lambda v: np.logaddexp(0, full @ v).sum() - y @ (full @ v) + 0.005 * v @ v
+    for i in range(4):
+        for d in (-0.01, 0.01):
+            v = w.copy()
+            v[i] += d
+            assert (i and v[i] < 0) or loss(v) >= loss(w) - 1e-6
+    twice = toxicity.logistic(np.concatenate([x, x]), np.concatenate([y, y]))
+    assert np.allclose(twice, toxicity.logistic(x, y, np.full(400, 2.0)), atol=1e-4)
+
+
+def test_a_toxic_word_more_never_lowers_a_score():
+    words = [f"word{i}" for i in range(30)]
+    features = np.array(sorted(int(toxicity.word_features([w.encode()])[1][0][0]) for w in words), np.uint64)
+    rng = np.random.default_rng(5)
+    model = toxicity.Model(features, rng.uniform(0.5, 6, 30), np.array([-4.0, 0.9, 0.5, 0.3]))
+    for _ in range(50):
+        order = rng.permutation(words)
+        scores = [model.scores([" ".join(order[:k]).encode()])[0] for k in range(31)]
+        assert all(a <= b + 1e-12 for a, b in zip(scores, scores[1:]))
+
+
+def test_one_strong_word_is_enough():
+    """Documents hold several toxic words as a rule; a single one as strong as theirs is flagged all the same."""
+    rng = np.random.default_rng(6)
+    toxic = np.sort(rng.uniform(3, 5, (200, 2)))[:, ::-1]
+    x = np.concatenate([np.column_stack([toxic, np.full(200, 1.0)]), np.column_stack([np.where(rng.random(2000) < 0.02, 1.0, 0), np.zeros((2000, 2))])])
+    y = np.repeat([1.0, 0.0], [200, 2000])
+    alone = x[:200] * [1, 0, 0]
+    w = toxicity.logistic(np.concatenate([x, alone]), np.concatenate([y, np.ones(200)]), np.repeat([1, toxicity.ALONE], [2200, 200]))
+    assert 1 / (1 + np.exp(-(w @ [1, 4.0, 0, 0]))) > 0.9
+
+
+def planted(rng):
+    """(text, secret or None): credentials in several parts, and texts as close to them as can be without being any."""
+    alphabet = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
+    value = lambda n=24: "".join(rng.choice(alphabet) for _ in range(n - 2)) + "7q"
+    name, host = rng.choice(["admin", "svc-batch", "loader@example.org"]), rng.choice(["db.internal.example", "10.1.2.3:5432", "queue.example.net"])
+    v, other = value(), value()
+    positive = [
+        f"DB_USER={name}\nDB_KEY={v}\n", f"OAUTH_CLIENT_ID={value(12)}\nOAUTH_KEY={v}", f"user: {name}\npass: '{v}'", f"host={host}\nkey={v}\n", f'{{"server": "{host}", "auth": "{v}"}}', f"postgres://{name}@{host}/x {v}",
+        f"AWS_ACCESS_KEY_ID=AKIA{'ABCDEFGH' * 2}\n{v}", f"url = {host}\n" + "# note\n" * 30 + f"credential {v}", f"see https://wiki.example.org/setup\nAUTH={v}", f"login = {name}\n{v}", f"app.account={name}\napp.value={v}", f"https://{name}:x@{host}/a\n{v}",
+    ]
+    negative = [
+        f"commit {v} fixes https://example.org/issues/12", f"see https://example.org/a/b for build {v}", f"user: {name}\n\nbuild {v}", f"host={host}\n\n\nchecksum {v}", f"the id {v} has no owner", f"user: {name} logged in from the long corridor", f"key={v}",
+        "host=db.internal.example\nmessage=thisisaverylongwordwithoutanydigit", f"superuserless {v}", "login = " + name + "\n" + "1" * 24, f"ghost = story {other}", f"https://example.org/{v}",
+    ]
+    return [(t, v) for t in positive] + [(t, None) for t in negative]
+
+
+def test_credentials_by_their_parts():
+    """Precision and recall over hundreds of planted texts; the README gives the figures."""
+    rng, hits, missed, false = random.Random(8), 0, 0, 0
+    for _ in range(40):
+        for text, secret in planted(rng):
+            base = secret_scan.base_spans(text)
+            found = {text[s:e] for s, _, e in secret_scan.linked_spans(text, base)} | {text[s:e] for s, _, e in base if secret and secret in text[s:e] and (secret := text[s:e])}
+            hits += secret is not None and bool(found & {secret})
+            missed += secret is not None and not found & {secret}
+            false += len(found - {secret})
+    print("hits", hits, "missed", missed, "false", false)
+    assert hits / (hits + missed) >= 0.98 and hits / (hits + false) >= 0.98
