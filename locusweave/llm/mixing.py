@@ -254,7 +254,10 @@ def mix(docs: DataFrame, labelled: DataFrame, **options: object) -> DataFrame:
 
 
 def resampled(docs: DataFrame, labelled: DataFrame, **options: object) -> DataFrame:
-    """Each row as often as its rate says, with all columns. Rates are computed beside the text, so nothing is joined."""
+    """Each row as often as its rate says, with all columns. Rates are computed beside the text, so nothing is joined.
+
+    Rows are dealt by a hash of id, text and number of the copy, so that copies don't stand together in what is made of the rows.
+    """
     model = train(docs, labelled)
     rates = fit_rates(posterior_table(docs, model), model.domains, **options)
 
@@ -270,7 +273,8 @@ def resampled(docs: DataFrame, labelled: DataFrame, **options: object) -> DataFr
     n = F.pandas_udf(copies, "long")(common.whole_text(), _uniform())
     # no filter on the number: Spark would run the UDF once more for it
     counted = docs.select(F.struct("*").alias("row"), n.alias("n"))
-    return counted.select("row", F.explode(F.array_repeat(F.lit(1), F.col("n").cast("int")))).select("row.*")
+    dealt = counted.select("row", F.posexplode(F.array_repeat(F.lit(1), F.col("n").cast("int"))).alias("copy", "one"))
+    return dealt.repartition(F.xxhash64("row.doc_id", F.xxhash64("row.text"), "copy")).select("row.*")
 
 
 def labelled_domains(docs: DataFrame, labels: DataFrame) -> DataFrame:

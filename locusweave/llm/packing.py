@@ -28,8 +28,8 @@ from pyspark.sql import functions as F
 
 from . import common
 
-OUT = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
-KINDS = (pa.int64(),) * 7
+OUT = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, row long"
+KINDS = (pa.int64(),) * 8
 
 
 def encoder(tokenizer_file: str | None = None, ranks_file: str | None = None) -> Callable[[str], list[int]]:
@@ -94,19 +94,19 @@ def _pack(batches: Iterator[pa.RecordBatch], size: int, group_tokens: int, linea
     encode = encoder(*files)
     task = TaskContext.get()
     first = (task.partitionId() if task else 0) << 32
-    docs: list[tuple[int | None, np.ndarray]] = []
-    held = 0
+    docs: list[tuple[int | None, np.ndarray, int]] = []
+    held, seen = 0, first
 
     def flush() -> Iterator[pa.RecordBatch]:
         nonlocal first
-        pieces = assign([len(ids) for _, ids in docs], size, linear, quadratic)
+        pieces = assign([len(ids) for _, ids, _ in docs], size, linear, quadratic)
         filled: dict[int, int] = {}
         rows = []
         for doc, start, n, sequence in pieces:
-            doc_id, ids = docs[doc]
+            doc_id, ids, row = docs[doc]
             offset = filled.get(sequence, 0)
             filled[sequence] = offset + n
-            rows.append((doc_id, start, n, zlib.crc32(ids[start : start + n].tobytes()), len(ids), first + sequence, offset))
+            rows.append((doc_id, start, n, zlib.crc32(ids[start : start + n].tobytes()), len(ids), first + sequence, offset, row))
         first += len(filled)
         docs.clear()
         yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], kind) for i, kind in enumerate(KINDS)], names=[c.split()[0] for c in OUT.split(", ")])
@@ -115,7 +115,8 @@ def _pack(batches: Iterator[pa.RecordBatch], size: int, group_tokens: int, linea
         for part in common.slices(batch):
             for doc_id, text in zip(part.column("doc_id").to_pylist(), part.column("text").to_pylist()):
                 ids = np.array([*encode(text), 0], "<u4")
-                docs.append((doc_id, ids))
+                docs.append((doc_id, ids, seen))
+                seen += 1
                 held += len(ids)
                 if held >= group_tokens:
                     yield from flush()
@@ -125,7 +126,7 @@ def _pack(batches: Iterator[pa.RecordBatch], size: int, group_tokens: int, linea
 
 
 def pack(docs: DataFrame, size: int = 1024, group_tokens: int = 1 << 20, linear: float = 1.0, quadratic: float = 1 / 2048, tokenizer_file: str | None = None, ranks_file: str | None = None) -> DataFrame:
-    """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset."""
+    """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, row (a number of the input row, which tells copies of a document apart)."""
     base = common.small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), common.whole_text().alias("text"))
     return base.mapInArrow(lambda b: _pack(b, size, group_tokens, linear, quadratic, (tokenizer_file, ranks_file)), OUT)
 

@@ -4,7 +4,7 @@ import hashlib
 import random
 import re
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import duckdb
 import numpy as np
@@ -12,7 +12,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from locusweave.llm import prefix_trie, secret_scan, sequences, structure_repair, suffix_dedup, toxicity
+from locusweave.llm import common, mixing, packing, prefix_trie, secret_scan, sequences, structure_repair, suffix_dedup, toxicity
 
 TALK = "conv_id long, turn long, role string, text string"
 SPACE = " \t\n\x0b\x0c\r"
@@ -392,3 +392,28 @@ def test_credentials_by_their_parts():
             false += len(found - {secret})
     print("hits", hits, "missed", missed, "false", false)
     assert hits / (hits + missed) >= 0.98 and hits / (hits + false) >= 0.98
+
+
+# copies
+
+
+def test_copies_are_dealt_and_told_apart(spark, sf_dir, monkeypatch):
+    """Copies of a document come to many partitions, and each copy is packed whole, under a row number of its own."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        mixed = common.written(mixing.resampled(docs, mixing.labelled_domains(docs, labels), pinned=("poor",), min_rate=3.0).withColumn("part", F.spark_partition_id()), "copies")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    several = mixed.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("part").alias("parts")).where("n > 2").collect()
+    assert len(several) > 100 and sum(r.parts > 1 for r in several) > 0.8 * len(several)
+    pieces = packing.pack(mixed.drop("part")).collect()
+    rows = defaultdict(list)
+    for r in pieces:
+        rows[r.doc_id, r.row].append((r.start, r.length, r.doc_tokens))
+    assert Counter(d for d, _ in rows) == {r.doc_id: r["count"] for r in mixed.groupBy("doc_id").count().collect()}
+    for parts in rows.values():
+        parts.sort()
+        ends = [s + n for s, n, _ in parts]
+        assert [s for s, _, _ in parts] == [0, *ends[:-1]] and ends[-1] == parts[0][2]
