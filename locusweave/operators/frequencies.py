@@ -27,6 +27,12 @@ def missing_rate(genotype: DataFrame, *keys: str) -> DataFrame:
     return genotype.groupBy(*keys).agg(F.avg(F.isnull("dosage").cast("double")).alias("f_miss"))
 
 
+def variant_stats(genotype: DataFrame, *keys: str) -> DataFrame:
+    """Frequency, observations and missing rate in one aggregate."""
+    n = F.count("dosage")
+    return genotype.groupBy(*keys).agg((F.sum("dosage") / (2 * F.nullif(n, F.lit(0)))).alias("alt_freqs"), (2 * n).alias("obs_ct"), F.avg(F.isnull("dosage").cast("double")).alias("f_miss"))
+
+
 def geno_filter(genotype: DataFrame, most: float, key: str = "variant_id") -> DataFrame:
     """Rows of variants (or samples) whose missing rate is at most ``most``."""
     ok = missing_rate(genotype, key).where(F.col("f_miss") <= most).select(key)

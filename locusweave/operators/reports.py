@@ -138,14 +138,18 @@ def by_list_row(carrier_rows: DataFrame, wgs_samples: DataFrame) -> DataFrame:
 def variant_report(carrier_rows: DataFrame, wgs_samples: DataFrame) -> DataFrame:
     """One row per sample and list row, NBA before WGS, with zygosity, biallelic flag, WGS validation and concordance, and what metadata the rows have.
 
-    ``wgs_samples`` holds the sample_id of everyone with WGS data, carrier or not.
+    ``wgs_samples`` holds the sample_id of everyone with WGS data, carrier or not. The report reads its rows three times; ``report_of`` takes them stored.
     """
-    once = by_list_row(carrier_rows, wgs_samples)
+    return report_of(by_list_row(carrier_rows, wgs_samples))
+
+
+def report_of(once: DataFrame) -> DataFrame:
+    """The report from ``by_list_row``'s rows."""
     applies = F.col("in_wgs").isNotNull() & (F.col("data_types") != "WGS")
     report = once.withColumn("zygosity", s.zygosity("dosage")).withColumn("validated_by_wgs", F.when(applies, F.col("has_wgs") & F.col("has_nba")))
     report = biallelic(report).join(_concordance(once), "snp_list_id", "left")
     probe = F.when(F.col("data_type") == "NBA", F.col("variant_id")).otherwise("")
-    more = [c for c in METADATA if c in carrier_rows.columns]
+    more = [c for c in METADATA if c in once.columns]
     return report.select("sample_id", "ancestry", "gene", "snp_list_id", probe.alias("nba_probe_name"), "zygosity", "moi", F.col("data_types").alias("data_type"), "potential_biallelic", "validated_by_wgs", "wgs_carrier_concordance", *more)
 
 
@@ -162,8 +166,10 @@ def biallelic(report: DataFrame) -> DataFrame:
     """Recessive and homozygous, or one of two or more heterozygous recessive rows of a sample in a gene."""
     recessive = F.coalesce(F.col("moi").contains("AR"), F.lit(False))
     het = recessive & (F.col("zygosity") == "het")
-    n = F.sum(het.cast("int")).over(Window.partitionBy("sample_id", "gene"))
-    return report.withColumn("potential_biallelic", (recessive & (F.col("zygosity") == "hom")) | (het & F.col("gene").isNotNull() & (n >= 2)))
+    # an aggregate of the few recessive heterozygous rows, joined back
+    twice = report.where(het & F.col("gene").isNotNull()).groupBy(F.col("sample_id").alias("__s"), F.col("gene").alias("__g")).agg(F.count(F.lit(1)).alias("__n")).where("__n >= 2")
+    found = report.join(twice, (F.col("sample_id") == F.col("__s")) & (F.col("gene") == F.col("__g")), "left")
+    return found.withColumn("potential_biallelic", (recessive & (F.col("zygosity") == "hom")) | (het & F.col("__n").isNotNull())).drop("__s", "__g", "__n")
 
 
 def wgs_concordance(carrier_rows: DataFrame, wgs_samples: DataFrame) -> DataFrame:

@@ -337,7 +337,7 @@ SELECT variant_id, sum(obs_ct)::BIGINT AS obs_ct, round(sum(coalesce(alt_freqs,
 def weighted_freq_combine(fx):
     rows = fx.gt.where("data_type = 'NBA'").join(fx.sample.select("sample_id", "nba_label"), "sample_id")
     keys = ["nba_label", "variant_id"]
-    stats = frequencies.allele_freq(rows, *keys).join(frequencies.missing_rate(rows, *keys), keys)
+    stats = frequencies.variant_stats(rows, *keys)
     return frequencies.weighted_combine(stats, "variant_id").select("variant_id", "obs_ct", F.round("alt_freqs", 6).alias("alt_freqs"), F.round("f_miss", 6).alias("f_miss"))
 
 
@@ -741,7 +741,7 @@ def pipeline_results(fx):
 
 
 @query("pipeline_resume", """SELECT * FROM (VALUES (1, 'corrected', 'computed'), (1, 'merged', 'computed'), (1, 'carriers', 'computed'), (1, 'locus_report', 'computed'), (2, 'corrected', 'read'), (2, 'merged', 'read'), (2, 'probes', 'computed'),
- (2, 'carriers', 'computed'), (2, 'locus_report', 'computed'), (2, 'variant_report', 'computed'), (2, 'coverage_report', 'computed'), (3, 'corrected', 'read'), (3, 'merged', 'read'), (3, 'probes', 'read'), (3, 'carriers', 'read'), (3, 'locus_report', 'read'),
+ (2, 'carriers', 'computed'), (2, 'list_rows', 'computed'), (2, 'locus_report', 'computed'), (2, 'variant_report', 'computed'), (2, 'coverage_report', 'computed'), (3, 'corrected', 'read'), (3, 'merged', 'read'), (3, 'probes', 'read'), (3, 'carriers', 'read'), (3, 'list_rows', 'read'), (3, 'locus_report', 'read'),
  (3, 'variant_report', 'read'), (3, 'coverage_report', 'read')) t(run, stage, action), (SELECT count(*) AS n_carriers FROM cx_car) c""")
 def pipeline_resume(fx):
     """Three runs in one folder - without probe selection, with it, and again -: what each computed and what it read, beside the carriers of the first."""

@@ -466,7 +466,7 @@ def pipeline_legacy_carriers(fx):
 
     rows = fx.gt.where("data_type = 'NBA'").join(fx.sample.select("sample_id", "nba_label"), "sample_id")
     keys = ["nba_label", "variant_id"]
-    stats = frequencies.allele_freq(rows, *keys).join(frequencies.missing_rate(rows, *keys), keys)
+    stats = frequencies.variant_stats(rows, *keys)
     combined = frequencies.weighted_combine(stats, "variant_id", null_mode="zero")
     return fx.pvar.select("variant_id", "chromosome").join(combined, "variant_id", "left").select("variant_id", "chromosome", F.coalesce("obs_ct", F.lit(0)).alias("obs_ct"), F.round("alt_freqs", 6).alias("alt_freqs"), F.round("f_miss", 6).alias("f_miss"))
 

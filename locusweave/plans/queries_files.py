@@ -145,8 +145,9 @@ def vcf_site_merge(fx):
         vcf.merge_sites(mine, matrix.column_names(mine, "sample_id"), f"{inputs}/{label.replace(' ', '_')}")
     merged = shared.new_folder(fx.spark, "merged")
     lines = vcf_files.read_lines(fx.spark, f"{inputs}/*")
-    found = vcf_files.calls(lines).select(*vcf.SITE, "sample_id", F.nullif("sample", F.lit("./.")).alias("call"))
-    vcf.merge_sites(found, matrix.column_names(vcf_files.samples_of(lines), "sample_id"), merged)
+    found = vcf_files.calls(lines, "./.").select(*vcf.SITE, "sample_id", F.col("sample").alias("call"))
+    nothing = F.lit(None).cast("string")
+    vcf.merge_sites(found.unionByName(vcf.records(lines).select(*vcf.SITE, nothing.alias("sample_id"), nothing.alias("call"))), matrix.column_names(vcf_files.samples_of(lines), "sample_id"), merged)
     cells = F.substring("value", F.length(F.substring_index("value", "\t", 9)) + 2, F.length("value"))
     _, rest = matrix.split_files(fx.spark, merged, "#")
     listed = F.split("cells", "\t")
@@ -180,7 +181,7 @@ def scan_traw_long(fx):
     """The matrix of all samples back to long rows, by the positions of its header."""
     path = shared.new_folder(fx.spark, "traw")
     sinks.write_traw(corrected(fx).where("data_type = 'NBA'"), path)
-    return tables.read_traw(fx.spark, path).where("dosage IS NOT NULL")
+    return tables.read_traw(fx.spark, path, missing=False)
 
 
 @query("column_order", """WITH n AS (SELECT DISTINCT sample_id FROM cx_maf WHERE data_type = 'NBA') SELECT CAST(row_number() OVER (ORDER BY sample_id) + 5 AS INTEGER) AS place, sample_id AS name FROM n

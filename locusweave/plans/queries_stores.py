@@ -280,7 +280,7 @@ def sink_formats(fx):
     export = exports.Export(fx.spark, shared.new_folder(fx.spark, "formats"))
     sinks.write_formats(export, rows, "genotypes", ["csv", "parquet", "json", "traw"])
     export.manifest()
-    matrix = tables.read_traw(fx.spark, f"{export.folder}/genotypes_traw").where("dosage IS NOT NULL").agg(F.count(F.lit(1)).alias("n")).select(F.lit("traw").alias("format"), "n")
+    matrix = tables.read_traw(fx.spark, f"{export.folder}/genotypes_traw", missing=False).agg(F.count(F.lit(1)).alias("n")).select(F.lit("traw").alias("format"), "n")
     return export.read_back().where("n_rows = n_read").select("format", F.col("n_read").alias("n")).unionByName(matrix)
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from locusweave.sources.shared import stored
+from locusweave.streaming.incremental import write_version
 
 MAGIC = b"PAR1"
 
@@ -53,7 +54,7 @@ def attempt(spark: SparkSession, planned: DataFrame, inbox: str, schema: str, st
     log = stored(states(spark, planned, inbox, schema).withColumn("attempt", F.lit(number)), "log")
     names = [r[0] for r in log.where("state = 'ok'").select("file").collect()]
     if names:
-        tolerant(spark, inbox, schema, sorted(names)).drop("file").write.mode("overwrite").parquet(f"{store}/version={number}")
+        write_version(tolerant(spark, inbox, schema, sorted(names)).drop("file"), store, number)
     return log
 
 

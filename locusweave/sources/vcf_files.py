@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from locusweave.operators import vcf
+from locusweave.sources import matrix
 
 HEADER = "#CHROM\t"
 #: Columns of a record before its samples.
@@ -47,15 +48,16 @@ def sample_metrics(lines: DataFrame) -> DataFrame:
     return vcf.sample_metrics(one_sample_lines(lines), "IID")
 
 
-def calls(lines: DataFrame) -> DataFrame:
+def calls(lines: DataFrame, skip: str | None = None) -> DataFrame:
     """chromosome, position, variant_id, ref, alt, format, sample_id, sample (its field) and file of each call: sample columns by their position against the header of their file.
 
-    Fields beyond the header have no sample and are left out, as are files without a header.
+    Fields beyond the header have no sample and are left out, as are files without a header, and fields that are ``skip`` before they become rows.
     """
     samples = header_rows(lines).dropDuplicates(["file"]).select(F.col("file").alias("__of"), F.posexplode("samples").alias("__at", "sample_id"))
     parts = F.split("value", "\t")
-    fields = lines.where(~F.startswith("value", F.lit("#")) & (F.trim("value") != "")).select("file", *(F.get(parts, F.lit(i)).alias(c) for i, c in enumerate(vcf.FIXED[:N_FIXED])), F.slice(parts, N_FIXED + 1, 2**31 - 1 - N_FIXED).alias("__fields"))
-    rows = fields.select("*", F.posexplode("__fields").alias("__pos", "sample")).join(samples, (F.col("file") == F.col("__of")) & (F.col("__pos") == F.col("__at")))
+    cells = F.explode(matrix.placed(parts, N_FIXED, skip)).alias("__cell")
+    rows = lines.where(~F.startswith("value", F.lit("#")) & (F.trim("value") != "")).select("file", *(F.get(parts, F.lit(i)).alias(c) for i, c in enumerate(vcf.FIXED[:N_FIXED])), cells)
+    rows = rows.select("*", (F.col("__cell.at") - N_FIXED).alias("__pos"), F.col("__cell.value").alias("sample")).join(samples, (F.col("file") == F.col("__of")) & (F.col("__pos") == F.col("__at")))
     return vcf.normalized(rows).select("chromosome", "position", "variant_id", "ref", "alt", "format", "sample_id", "sample", "file")
 
 

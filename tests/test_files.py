@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from locusweave.operators import digests, fingerprints, vcf
 from locusweave.sources import deliveries, gather, matrix, sinks, tables, vcf_files
+from locusweave.streaming import incremental
 
 GT = "chromosome string, variant_id string, position bigint, counted_allele string, alt_allele string, sample_id string, dosage double"
 
@@ -209,3 +210,15 @@ def test_chromosomes_are_written_by_ranges(spark, tmp_path):
     finally:
         spark.conf.unset("spark.sql.adaptive.enabled")
     assert len(list((tmp_path / "c" / "chromosome=1").glob("part-*"))) > 1 and spark.read.parquet(str(tmp_path / "c")).count() == 20_000
+
+
+def test_store_is_compacted_by_its_versions(spark, tmp_path):
+    store = str(tmp_path / "store")
+    for n in range(4):
+        incremental.write_version(spark.range(n + 1).selectExpr("id", f"CAST({n} AS DOUBLE) AS dosage"), store, n)
+    assert incremental.versions(spark, store) == [0, 1, 2, 3] and incremental.settled(spark, store, f"{store}-new", ["id"], 4) == store
+    assert incremental.settled(spark, store, f"{store}-new", ["id"], 3) == f"{store}-new" and incremental.versions(spark, f"{store}-new") == [3]
+    same = [sorted(map(tuple, incremental.latest(spark, s, ["id"]).collect())) for s in (store, f"{store}-new")]
+    assert same[0] == same[1] == [(i, 3.0) for i in range(4)]
+    spark.range(1).write.parquet(f"{store}/version=9")  # a version that broke off
+    assert incremental.versions(spark, store) == [0, 1, 2, 3]
