@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from locusweave.functions import sites as s
 from locusweave.operators import alleles, bookkeeping, cohort, coverage, fingerprints, frequencies, probes, reports, vcf
-from locusweave.sources import sinks, tables, vcf_files
+from locusweave.sources import json_tables, sinks, tables, vcf_files
 from locusweave.streaming import incremental
 
 
@@ -196,8 +196,8 @@ def test_readers_and_writers_round_trip(spark, tmp_path):
     with pytest.raises(Exception, match="already exists|ALREADY_EXISTS"):
         sinks.write_metrics(m, str(tmp_path / "metrics"))
     (tmp_path / "qc.json").write_text('{"counts": {"label": {"0": "EUR", "1": "AJ"}, "n": {"0": 5, "1": 6}}, "rows": [{"a": 1}, {"a": 2}], "note": "x"}')
-    qc = tables.read_qc_json(spark, str(tmp_path / "qc.json"))
-    assert set(qc) == {"counts", "rows"} and rows(qc["counts"], "label", "n") == [("AJ", "6"), ("EUR", "5")] and qc["rows"].count() == 2
+    qc = json_tables.cells(json_tables.documents(spark, str(tmp_path / "qc.json")))
+    assert rows(qc, "name", "row", "column", "value") == [("counts", "0", "label", "EUR"), ("counts", "0", "n", "5"), ("counts", "1", "label", "AJ"), ("counts", "1", "n", "6"), ("rows", "0", "a", "1"), ("rows", "1", "a", "2")]
     vcf_dir = tmp_path / "v"
     vcf_dir.mkdir()
     (vcf_dir / "S7.snv.vcf").write_text("#h\n")
@@ -272,7 +272,7 @@ def test_deliveries_are_written_by_many_tasks(spark, sf_dir, monkeypatch):
     key = "spark.sql.adaptive.coalescePartitions.enabled"
     spark.conf.set(key, "false")
     try:
-        got = registry.QUERIES["incremental_extract"](spark, sf_dir)
+        got = registry.QUERIES["incremental_stream"](spark, sf_dir)
     finally:
         spark.conf.unset(key)
     calls = registry.Fixtures(spark, sf_dir).gt.select("variant_id", "sample_id").distinct().count()
@@ -288,7 +288,8 @@ def test_whole_queries_take_all_samples_chromosomes_and_variants(spark, sf_dir):
     of = lambda name, *c: ids(registry.QUERIES[name](spark, sf_dir), *c)
     pvar, nba = ids(fx.pvar, "variant_id"), fx.gt.where("data_type = 'NBA'")
     assert of("sink_metrics", "IID", "chromosome") == ids(fx.metrics, "IID", "chromosome")
-    assert {c for (c,) in of("chrom_outer_merge", "chromosome")} == {str(i) for i in range(1, 23)}
+    merged = registry.QUERIES["chrom_outer_merge"](spark, sf_dir)
+    assert merged.columns == ["sample_id", *(f"chromosome_{i}" for i in range(1, 23))] and ids(merged, "sample_id") == ids(nba, "sample_id")
     assert of("traw_left_join", "variant_id") == pvar
     assert of("extract_variants", "variant_id") == ids(nba, "variant_id") & ids(fx.pvar.join(fx.snp_list, ["chromosome", "position"]), "variant_id")
     assert of("match_info_reference", "variant_id") == of("harmonize", "variant_id")
