@@ -28,6 +28,7 @@ ORACLES: dict[str, str] = {
     "op2_license_scan": license_scan.OP2_SQL,
     "op6_line_windows": line_dedup.OP6_SQL,
     "op9_exact_dedup": exact_dedup.OP9_SQL,
+    "op11_structure_repair": structure_repair.OP11_SQL,
     "op12_prefix_trie": prefix_trie.OP12_SQL,
     "op13_suffix_dedup": suffix_dedup.OP13_SQL,
 }

@@ -322,3 +322,29 @@ def op11_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     every = conversations.select(F.col("conv_id").cast("long").alias("conv_id")).distinct().join(found, F.col("conv_id").eqNullSafe(F.col("of")), "left").drop("of")
     nothing: dict[str, Column] = {c: F.lit(0).cast("long") for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")} | {"audit": F.lit(""), "repaired_sha256": F.sha2(F.lit(""), 256)}
     return every.select("conv_id", *(F.coalesce(F.col(c), v).alias(c) for c, v in nothing.items()))
+
+
+OP11_SQL = r"""
+WITH RECURSIVE k AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS key FROM conversations),
+b AS (SELECT *, flatten(list_transform(generate_series(1, length(key)), lambda i: [CAST(ascii(substring(key, CAST(i AS INT), 1)) AS BIGINT), 0, 0, 0, 0, 0, 0, 0])) AS bits FROM k),
+h AS (SELECT *, xor(list_reduce(list_concat([4294967295], bits), lambda c, x: xor(xor(c, x) >> 1, (xor(c, x) & 1) * 3988292384)), 4294967295) % 20 AS hit FROM b),
+d AS (SELECT conv_id, turn, CASE hit WHEN 4 THEN 'user' ELSE role END AS role, CASE hit WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text, copy FROM h, (VALUES (0), (1)) c(copy) WHERE hit <> 0 AND (copy = 0 OR hit = 3)),
+p AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS pos, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS seen FROM d),
+f AS MATERIALIZED (SELECT conv_id, turn, role, text, pos, substring(role, 1, 1) AS i, CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank' WHEN seen > 1 THEN 'duplicate'
+  WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*\z') THEN 'truncated' ELSE '' END AS fault FROM p),
+adds(q, q2, role) AS (VALUES (0, 2, 'user'), (1, 2, 'user'), (2, 3, 'assistant'), (3, 2, 'user')),
+keeps(q, i, q2) AS (VALUES (0, 's', 1), (0, 'u', 2), (1, 'u', 2), (2, 'a', 3), (3, 'u', 2)),
+ins(q, q2, cost, letters, lines) AS (SELECT q, q, 0, '', CAST([] AS VARCHAR[]) FROM adds UNION ALL SELECT q, q2, 2, 'I', [role || ':'] FROM adds UNION ALL SELECT q, 3, 4, 'II', ['user:', 'assistant:'] FROM adds WHERE q < 2),
+r AS (SELECT conv_id, CAST(0 AS BIGINT) AS pos, ins.q2 AS q, {'cost': ins.cost, 'audit': ins.letters, 'lines': ins.lines} AS b FROM (SELECT DISTINCT conv_id FROM f) c, ins WHERE ins.q = 0
+ UNION ALL SELECT conv_id, pos, q, min(b) FROM (
+  SELECT r.conv_id, f.pos, n.q2 AS q, {'cost': r.b.cost + n.cost + CASE l WHEN 'D' THEN 3 WHEN 'R' THEN 2 ELSE 0 END + CASE WHEN l <> 'D' AND fault = 'truncated' THEN 1 ELSE 0 END, 'audit': r.b.audit || l || n.letters,
+   'lines': list_concat(list_concat(r.b.lines, CASE l WHEN 'D' THEN CAST([] AS VARCHAR[]) WHEN 'K' THEN [f.role || ':' || text] ELSE [adds.role || ':' || text] END), n.lines)} AS b
+  FROM r JOIN f ON f.conv_id IS NOT DISTINCT FROM r.conv_id AND f.pos = r.pos + 1 JOIN adds ON adds.q = r.q LEFT JOIN keeps ON keeps.q = r.q AND keeps.i = f.i CROSS JOIN (VALUES ('D'), ('K'), ('R')) o(l)
+  JOIN ins n ON n.q = CASE l WHEN 'D' THEN r.q WHEN 'K' THEN keeps.q2 ELSE adds.q2 END WHERE l = 'D' OR (fault NOT IN ('blank', 'duplicate') AND (l = 'R' OR keeps.q2 IS NOT NULL))) x GROUP BY conv_id, pos, q),
+n AS (SELECT conv_id, count(*) AS rows, max(turn) - min(turn) + 1 - count(DISTINCT turn) AS gaps, count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated FROM f GROUP BY conv_id),
+g AS (SELECT conv_id, count(*) FILTER (before IS NOT NULL AND before || i NOT IN ('su', 'ua', 'au')) AS illegal FROM (SELECT conv_id, i, lag(i) OVER (PARTITION BY conv_id ORDER BY pos) AS before FROM f) x GROUP BY conv_id),
+w AS (SELECT r.conv_id, min(r.b) AS b FROM r JOIN n ON n.conv_id IS NOT DISTINCT FROM r.conv_id AND n.rows = r.pos WHERE r.q IN (0, 3) GROUP BY r.conv_id)
+SELECT c.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, CAST(coalesce(w.b.cost, 0) AS BIGINT) AS cost,
+ coalesce(w.b.audit, '') AS audit, sha256(coalesce(array_to_string(w.b.lines, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN n ON n.conv_id IS NOT DISTINCT FROM c.conv_id LEFT JOIN g ON g.conv_id IS NOT DISTINCT FROM c.conv_id LEFT JOIN w ON w.conv_id IS NOT DISTINCT FROM c.conv_id
+"""

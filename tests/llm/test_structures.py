@@ -194,11 +194,12 @@ def test_trie_by_brute_force(spark, talks, sf_dir):
     assert {tuple(r) for r in prefix_trie.op12_prefix_trie(spark, sf_dir).collect()} == trie_by_hand(rows)
 
 
-def test_trie_sql(spark, sf_dir):
+@pytest.mark.parametrize("table, query, sql", [("conversations", structure_repair.op11_structure_repair, structure_repair.OP11_SQL), ("conversations", prefix_trie.op12_prefix_trie, prefix_trie.OP12_SQL), ("documents", suffix_dedup.op13_suffix_dedup, suffix_dedup.OP13_SQL)])
+def test_sql(spark, sf_dir, table, query, sql):
     con = duckdb.connect()
-    con.sql(f"CREATE VIEW conversations AS SELECT * FROM '{sf_dir}/conversations.parquet'")
-    want = con.sql(prefix_trie.OP12_SQL)
-    got = prefix_trie.op12_prefix_trie(spark, sf_dir)
+    con.sql(f"CREATE VIEW {table} AS SELECT * FROM '{sf_dir}/{table}.parquet'")
+    want = con.sql(sql)
+    got = query(spark, sf_dir)
     assert got.columns == want.columns
     assert {tuple(r) for r in got.collect()} == set(want.fetchall())
 
