@@ -2,10 +2,10 @@
 
 1. Pieces. Texts are cut where the minimizer (the k-byte string of least hash) of their 100-byte strings changes. Equal strings have equal minimizers, so only pieces of one minimizer can share
    strings: minimizers are the keys by which the collection is dealt to tasks. Pieces whose minimizer stands once in all texts go; equal pieces are combined, and but for the first their bytes go at once.
-2. Collections. A task takes whole keys, some 130,000 bytes at a time. A piece enters as four documents, one for each start modulo four, so that a symbol is a word of four bytes and a string of
-   100 bytes is 25 symbols. Each round inserts one symbol of each document, from the last to the first, into the transform - kept as the sorted pairs of symbol and place of what follows it - and
+2. Collections. A task takes whole keys, some 130,000 bytes at a time. A piece enters as five documents, one for each start modulo five, so that a symbol is a word of five bytes and a string of
+   100 bytes is 20 symbols. Each round inserts one symbol of each document, from the last to the first, into the transform - kept as the sorted pairs of symbol and place of what follows it - and
    updates the common prefixes: that of two neighbours is one more than the least common prefix between the places of what follows them.
-3. Runs of suffixes with common prefixes of 25 symbols or more are equal strings; all but the first by (doc_id, hash of the text, start) are covered.
+3. Runs of suffixes with common prefixes of 20 symbols or more are equal strings; all but the first by (doc_id, hash of the text, start) are covered.
 4. A key of more than ``key_pieces`` different pieces isn't gathered in a task: its strings are taken one by one and joined with the first place of each.
 
 Tables between these steps are files in the shared folder, read in order; a collection of bounded size stays in its task's memory.
@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +28,7 @@ from pyspark.sql import functions as F
 from . import common
 
 #: Bytes of a string that may not stand twice; bytes of a minimizer; bytes of a symbol.
-LENGTH, SEED, WORD = 100, 32, 4
+LENGTH, SEED, WORD = 100, 32, 5
 #: Strings of a piece at most, as all hold its minimizer.
 PIECE = LENGTH - SEED + 1
 #: Bytes of text whose hashes are held at a time, and bytes of the pieces of a collection.
@@ -58,9 +59,11 @@ def _least(x: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(x[: len(x) - (width - step)], x[width - step :]) if step < width else x
 
 
-def _powers(x: np.uint64, n: int) -> np.ndarray:
-    out = np.full(n, x)
-    out[:1] = 1
+@cache
+def _powers(x: np.uint64) -> np.ndarray:
+    """Powers of ``x`` for all places among texts that are hashed together."""
+    out = np.full(1 << PLACE_BITS, x)
+    out[0] = 1
     return np.cumprod(out)
 
 
@@ -73,8 +76,8 @@ def _seeds(values: np.ndarray) -> np.ndarray:
     return _mixed(h)
 
 
-def _cut(text: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Pieces of texts that stand one after another, each ending at one of ``ends``: minimizer, hash, first place, number of strings.
+def _cut(text: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Pieces of texts that stand one after another, each ending at one of ``ends``: minimizer, first place, number of strings; and the numbers of all bytes.
 
     Of equal minimizers in a string the first counts. All strings of a piece hold one minimizer at one place, so no string stands twice in a piece.
     """
@@ -90,23 +93,26 @@ def _cut(text: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, ...]:
     new = inside.copy()
     new[1:] &= (least[1:] != least[:-1]) | ~inside[:-1]
     starts = np.flatnonzero(new)
-    if not len(starts):
-        return (np.zeros(0, np.uint64),) * 2 + (starts,) * 2
-    strings = np.add.reduceat(inside.astype(np.int64), starts)
-    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(values * _powers(ODD, len(text)))))
-    hashes = _mixed((sums[starts + strings + LENGTH - 1] - sums[starts]) * _powers(INVERSE, len(text))[starts])
-    return seeds[(least[starts] & low).astype(np.int64)], hashes, starts, strings
+    strings = np.add.reduceat(inside.astype(np.int64), starts) if len(starts) else starts
+    return seeds[(least[starts] & low).astype(np.int64)], starts, strings, values
+
+
+def _hashes(values: np.ndarray, starts: np.ndarray, strings: np.ndarray) -> np.ndarray:
+    """A hash of the bytes of each piece, from sums over all bytes before its ends."""
+    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(values * _powers(ODD)[: len(values)])))
+    return _mixed((sums[starts + strings + LENGTH - 1] - sums[starts]) * _powers(INVERSE)[starts])
 
 
 PIECES = "key long, hash long, doc_id long, th long, start long, n int"
 
 
-def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray], list[int], list[int]]]:
+    """Parts of texts of some SEGMENT bytes in all, with the row and the first byte of each; a long text comes in parts that overlap."""
     for batch in batches:
-        ids, ths, texts = (batch.column(c) for c in ("doc_id", "th", "text"))
+        texts = batch.column("text")
+        parts: list[np.ndarray] = []
         row: list[int] = []
         base: list[int] = []
-        parts: list[np.ndarray] = []
         held = 0
         for i in range(len(batch)):
             buffer = texts[i].as_buffer()
@@ -118,29 +124,40 @@ def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 base.append(lo)
                 held += len(part)
                 if held >= SEGMENT:
-                    yield _rows_of(parts, row, base, ids, ths)
-                    row, base, parts, held = [], [], [], 0
+                    yield batch, parts, row, base
+                    parts, row, base, held = [], [], [], 0
         if parts:
-            yield _rows_of(parts, row, base, ids, ths)
+            yield batch, parts, row, base
+
 
+def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Minimizers with the number of their pieces, as partial counts."""
+    for _, parts, _, _ in _segments(batches):
+        keys, n = np.unique(_cut(np.concatenate(parts), np.cumsum([len(p) for p in parts]))[0], return_counts=True)
+        yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(n.astype(np.int64))], names=["key", "n"])
 
-def _rows_of(parts: list[np.ndarray], row: list[int], base: list[int], ids: pa.Array, ths: pa.Array) -> pa.RecordBatch:
-    ends = np.cumsum([len(p) for p in parts])
-    keys, hashes, starts, strings = _cut(np.concatenate(parts), ends)
-    of = np.searchsorted(ends, starts, side="right")
-    at = pa.array(np.array(row)[of])
-    place = starts - np.concatenate(([0], ends))[of] + np.array(base)[of]
-    columns = [pa.array(keys.view(np.int64)), pa.array(hashes.view(np.int64)), ids.take(at), ths.take(at), pa.array(place, pa.int64()), pa.array(strings.astype(np.int32))]
-    return pa.RecordBatch.from_arrays(columns, names=["key", "hash", "doc_id", "th", "start", "n"])
+
+def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch, parts, row, base in _segments(batches):
+        ends = np.cumsum([len(p) for p in parts])
+        keys, starts, strings, values = _cut(np.concatenate(parts), ends)
+        hashes = _hashes(values, starts, strings)
+        of = np.searchsorted(ends, starts, side="right")
+        at = pa.array(np.array(row)[of])
+        place = starts - np.concatenate(([0], ends))[of] + np.array(base)[of]
+        columns = [pa.array(keys.view(np.int64)), pa.array(hashes.view(np.int64)), batch.column("doc_id").take(at), batch.column("th").take(at), pa.array(place, pa.int64()), pa.array(strings.astype(np.int32))]
+        yield pa.RecordBatch.from_arrays(columns, names=["key", "hash", "doc_id", "th", "start", "n"])
 
 
-LOW = np.uint64(0xFFFFFFFF)
+#: A symbol takes 40 bits of a pair, a place 24.
+PLACE = np.uint64(24)
+LOW = np.uint64((1 << 24) - 1)
 
 
 class Collection:
     """The transform of a collection of documents, given as places of their symbols in ``words``.
 
-    ``pairs`` holds, in the order of suffixes, the first symbol of each (upper half) and the place of the rest of it (lower half); ``common`` the common prefix of each with the one before
+    ``pairs`` holds, in the order of suffixes, the first symbol of each and the place of the rest of it (lower bits); ``common`` the common prefix of each with the one before
     it, in symbols, up to 255. The empty suffixes of the documents stand first.
     """
 
@@ -157,7 +174,7 @@ class Collection:
         """One symbol of each document, the ``column``-th from its end."""
         docs = np.flatnonzero(self.lengths >= column)
         symbols = self.words[self.first[docs] + WORD * (self.lengths[docs] - column)]
-        new = (symbols.astype(np.uint64) << np.uint64(32)) | self.at[docs].astype(np.uint64)
+        new = (symbols.astype(np.uint64) << PLACE) | self.at[docs].astype(np.uint64)
         order = np.argsort(new)
         new, docs = new[order], docs[order]
         gaps = np.searchsorted(self.pairs, new)
@@ -183,7 +200,7 @@ class Collection:
         """Common prefixes of the suffixes ``at`` with those before them, from the common prefixes between the places of their rests."""
         before = pairs[np.maximum(at - 1, 0)]
         here = pairs[at]
-        same = (at > 0) & (before >> np.uint64(32) == here >> np.uint64(32))
+        same = (at > 0) & (before >> PLACE == here >> PLACE)
         lo, hi = (before[same] & LOW).astype(np.int64) + 1, (here[same] & LOW).astype(np.int64)
         out = np.zeros(len(at), np.uint8)
         if len(lo):
@@ -215,8 +232,10 @@ def _repeats(texts: list[bytes], places: np.ndarray) -> tuple[np.ndarray, np.nda
     """Covered ranges of the pieces: number of the piece, first and last byte but one. ``places``: a number for each piece's first string by which all are ordered; the next ones count up."""
     sizes = np.array([len(t) for t in texts])
     first = np.concatenate(([0], np.cumsum(sizes + WORD)))[:-1]
-    data = np.frombuffer((b"\0" * WORD).join(texts) + b"\0" * (2 * WORD), np.uint8).astype(np.uint32)
-    words = (data[:-3] << 24) | (data[1:-2] << 16) | (data[2:-1] << 8) | data[3:]
+    data = np.frombuffer((b"\0" * WORD).join(texts) + b"\0" * (2 * WORD), np.uint8).astype(np.uint64)
+    words = data[: 1 - WORD]
+    for i in range(1, WORD):
+        words = (words << np.uint64(8)) | data[i : len(data) - WORD + 1 + i]
     shift = np.tile(np.arange(WORD), len(texts))
     of = np.repeat(np.arange(len(texts)), WORD)
     collection = Collection(words, first[of] + shift, -(-(sizes[of] - shift) // WORD))
@@ -294,8 +313,9 @@ def _same(left: str, right: str) -> F.Column:
 
 def covered_ranges(docs: DataFrame, key_pieces: int = KEY_PIECES) -> DataFrame:
     """doc_id, th, lo, hi (bytes, hi exclusive) of all that is covered; ranges of a document may overlap. ``docs`` has doc_id, th and text (binary)."""
-    pieces = docs.where(F.octet_length("text") >= LENGTH).mapInArrow(_pieces, PIECES)
-    often = pieces.groupBy("key").agg(F.count(F.lit(1)).alias("of_key")).where("of_key > 1").select("key")
+    long = docs.where(F.octet_length("text") >= LENGTH)
+    pieces = long.mapInArrow(_pieces, PIECES)
+    often = long.select("text").mapInArrow(_keys, "key long, n long").groupBy("key").agg(F.sum("n").alias("of_key")).where("of_key > 1").select("key")
     shared = common.written(pieces.join(often, "key"), "suffix-pieces")
     place = F.struct("doc_id", "th", "start")
     firsts = shared.groupBy("key", "hash", "n").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("copies"))

@@ -311,10 +311,11 @@ def test_transform_against_sorted_suffixes():
     """Order and common prefixes after all columns, against sorting."""
     rng = np.random.default_rng(2)
     lengths = rng.integers(0, 12, 40)
-    words = rng.integers(0, 3, int(lengths.sum()) * 4 + 4).astype(np.uint32)
-    first = np.concatenate(([0], np.cumsum(lengths * 4)))[:-1]
+    step = suffix_dedup.WORD
+    words = rng.integers(0, 3, (int(lengths.sum()) + 1) * step).astype(np.uint64)
+    first = np.concatenate(([0], np.cumsum(lengths * step)))[:-1]
     got = suffix_dedup.Collection(words, first, lengths)
-    suffix = {int(f + 4 * i): tuple(words[f + 4 * i : f + 4 * n : 4].tolist()) for f, n in zip(first, lengths) for i in range(n)}
+    suffix = {int(f + step * i): tuple(words[f + step * i : f + step * n : step].tolist()) for f, n in zip(first, lengths) for i in range(n)}
     order = [suffix[s] for s in got.starts().tolist()]
     assert order == sorted(suffix.values())
     common = [0] + [next((i for i, (a, b) in enumerate(zip(x, y)) if a != b), min(len(x), len(y))) for x, y in zip(order, order[1:])]
