@@ -5,9 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from locusweave.functions import sites as s
-from locusweave.operators import alleles, bookkeeping, cohort, fingerprints, vcf
+from locusweave.operators import alleles, bookkeeping, vcf
 from locusweave.plans.queries_carriers import corrected, matches
-from locusweave.plans.queries_cohort import _COPIES, _LOCI, _PRINTS, copies, loci
 from locusweave.plans.registry import query
 from locusweave.sources import deliveries, gather, matrix, shared, sinks, tables, vcf_files
 from locusweave.streaming import incremental

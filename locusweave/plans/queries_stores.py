@@ -7,8 +7,8 @@ from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from locusweave.operators import alleles, cohort, constraints, fingerprints, vcf
 from locusweave.plans.queries_carriers import corrected
-from locusweave.plans.queries_cohort import _COPIES, _FIRST_VISIT, _LOCI, _PRINTS, _RSTATS, copies, loci, recruitment_rows
-from locusweave.plans.queries_files import CODES, delivered_lines
+from locusweave.plans.queries_cohort import _COPIES, _LOCI, _PRINTS, _RSTATS, copies, recruitment_rows
+from locusweave.plans.queries_files import delivered_lines
 from locusweave.plans.registry import query
 from locusweave.sources import bucketed, exports, json_tables, shared, sinks, tables, vcf_files
 
