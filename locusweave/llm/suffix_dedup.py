@@ -317,6 +317,7 @@ def covered_ranges(docs: DataFrame, key_pieces: int = KEY_PIECES) -> DataFrame:
     pieces = long.mapInArrow(_pieces, PIECES)
     often = long.select("text").mapInArrow(_keys, "key long, n long").groupBy("key").agg(F.sum("n").alias("of_key")).where("of_key > 1").select("key")
     shared = common.written(pieces.join(often, "key"), "suffix-pieces")
+    common.release(docs.sparkSession)
     place = F.struct("doc_id", "th", "start")
     firsts = shared.groupBy("key", "hash", "n").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("copies"))
     firsts = common.written(firsts, "suffix-firsts")
@@ -327,6 +328,7 @@ def covered_ranges(docs: DataFrame, key_pieces: int = KEY_PIECES) -> DataFrame:
     texts = docs.alias("d").join(wanted.alias("w"), _same("d", "w")).select("d.*", F.explode("pieces").alias("p")).select("doc_id", "th", "text", "p.*")
     cut = F.substring("text", F.col("start").cast("int") + 1, F.col("n") + (LENGTH - 1))
     texts = common.written(texts.select("key", "doc_id", "th", "start", "n", "hot", cut.alias("piece")), "suffix-collection")
+    common.release(docs.sparkSession)
     dealt = common.small_batches(texts.where("NOT hot")).select("key", "doc_id", "th", "start", "piece").repartition("key").sortWithinPartitions("key")
     found = dealt.mapInArrow(_collections, RANGES).unionByName(later)
     if not texts.where("hot").head(1):
