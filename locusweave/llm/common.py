@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-import gc
 import tempfile
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -40,10 +40,16 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
-def release(spark: SparkSession) -> None:
-    """Let Spark remove the shuffle files of finished jobs now: it does when the driver collects the garbage that refers to them, which may be long after the disk is needed."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+@contextmanager
+def cleaned(spark: SparkSession) -> Iterator[None]:
+    """Within, Spark removes a job's shuffle files when the job ends. Else they stay until the driver happens to collect its garbage."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
 
 
 def cut(df: DataFrame) -> DataFrame:

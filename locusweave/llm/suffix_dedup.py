@@ -316,19 +316,20 @@ def covered_ranges(docs: DataFrame, key_pieces: int = KEY_PIECES) -> DataFrame:
     long = docs.where(F.octet_length("text") >= LENGTH)
     pieces = long.mapInArrow(_pieces, PIECES)
     often = long.select("text").mapInArrow(_keys, "key long, n long").groupBy("key").agg(F.sum("n").alias("of_key")).where("of_key > 1").select("key")
-    shared = common.written(pieces.join(often, "key"), "suffix-pieces")
-    common.release(docs.sparkSession)
+    with common.cleaned(docs.sparkSession):
+        shared = common.written(pieces.join(often, "key"), "suffix-pieces")
     place = F.struct("doc_id", "th", "start")
     firsts = shared.groupBy("key", "hash", "n").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("copies"))
-    firsts = common.written(firsts, "suffix-firsts")
+    with common.cleaned(docs.sparkSession):
+        firsts = common.written(firsts, "suffix-firsts")
     later = shared.join(firsts.where("copies > 1").select("key", "hash", "n", "first"), ["key", "hash", "n"]).where(~place.eqNullSafe(F.col("first")))
     later = later.select("doc_id", "th", F.col("start").alias("lo"), (F.col("start") + F.col("n") + (LENGTH - 1)).alias("hi"))
     several = firsts.groupBy("key").agg(F.count(F.lit(1)).alias("different")).where("different > 1").select("key", (F.col("different") > key_pieces).alias("hot"))
     wanted = firsts.join(several, "key").select("first.*", "key", "n", "hot").groupBy("doc_id", "th").agg(F.collect_list(F.struct("key", "start", "n", "hot")).alias("pieces"))
     texts = docs.alias("d").join(wanted.alias("w"), _same("d", "w")).select("d.*", F.explode("pieces").alias("p")).select("doc_id", "th", "text", "p.*")
     cut = F.substring("text", F.col("start").cast("int") + 1, F.col("n") + (LENGTH - 1))
-    texts = common.written(texts.select("key", "doc_id", "th", "start", "n", "hot", cut.alias("piece")), "suffix-collection")
-    common.release(docs.sparkSession)
+    with common.cleaned(docs.sparkSession):
+        texts = common.written(texts.select("key", "doc_id", "th", "start", "n", "hot", cut.alias("piece")), "suffix-collection")
     dealt = common.small_batches(texts.where("NOT hot")).select("key", "doc_id", "th", "start", "piece").repartition("key").sortWithinPartitions("key")
     found = dealt.mapInArrow(_collections, RANGES).unionByName(later)
     if not texts.where("hot").head(1):
