@@ -222,3 +222,21 @@ def test_store_is_compacted_by_its_versions(spark, tmp_path):
     assert same[0] == same[1] == [(i, 3.0) for i in range(4)]
     spark.range(1).write.parquet(f"{store}/version=9")  # a version that broke off
     assert incremental.versions(spark, store) == [0, 1, 2, 3]
+
+
+# matrices that are packed
+
+
+def test_matrix_texts_are_made_after_the_order_and_packed(spark, tmp_path):
+    """Of a sparse matrix neither the shuffles nor the files hold its size: 300 lines of 20,000 columns are 18 MB of text."""
+    rows = spark.range(300).selectExpr("'1' AS chromosome", "concat('P', id) AS variant_id", "id AS position", "'A' AS counted_allele", "'G' AS alt_allele", "concat('S', id) AS sample_id", "1.0D AS dosage")
+    names = sinks.write_traw(rows, str(tmp_path / "m"), [f"S{i}" for i in range(20_000)], codec="gzip")
+    files = list((tmp_path / "m").glob("part-*.gz"))
+    assert files and sum(f.stat().st_size for f in files) < 1_000_000
+    lines = [line.split("\t") for f in sorted(files) for line in gzip.open(f, "rt").read().split("\n")[:-1]]
+    body = [x for x in lines if x[0] != "CHR"]
+    assert len(body) == 300 and all(len(x) == 20_006 for x in lines) and all(x[6 + names.index(f"S{x[1][1:]}")] == "1.0" and x[6:].count("NA") == 19_999 for x in body)
+    assert tables.read_traw(spark, str(tmp_path / "m"), missing=False).count() == 300
+    calls = spark.range(5).selectExpr("'1' AS chromosome", "id AS position", "'A' AS ref", "'G' AS alt", "concat('S', id) AS sample_id", "'0/1' AS call")
+    vcf.merge_sites(calls, [f"S{i}" for i in range(5)], str(tmp_path / "v"), codec="gzip")
+    assert vcf_files.calls(vcf_files.read_lines(spark, str(tmp_path / "v")), "./.").count() == 5
