@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from locusweave.functions import sites as s
 from locusweave.operators import alleles, bookkeeping, cohort, coverage, fingerprints, frequencies, probes, reports, vcf
 from locusweave.sources import json_tables, sinks, tables, vcf_files
+from locusweave.sources.fixtures import Fixtures
 from locusweave.streaming import incremental
 
 
@@ -293,3 +294,41 @@ def test_whole_queries_take_all_samples_chromosomes_and_variants(spark, sf_dir):
     assert of("traw_left_join", "variant_id") == pvar
     assert of("extract_variants", "variant_id") == ids(nba, "variant_id") & ids(fx.pvar.join(fx.snp_list, ["chromosome", "position"]), "variant_id")
     assert of("match_info_reference", "variant_id") == of("harmonize", "variant_id")
+
+
+def exchanges(df):
+    """Shuffles of a plan whose joins may not broadcast."""
+    import re
+
+    return len(re.findall(r"Exchange (?:hash|range)partitioning", df._jdf.queryExecution().executedPlan().toString()))
+
+
+def test_genotype_stand_in_is_its_sql(spark, sf_dir):
+    """Both data types from one join and aggregate give what the text of fx_gt does, dealt by sample."""
+    fx = Fixtures(spark, sf_dir)
+    got, want = fx.gt, fx.sql("SELECT * FROM fx_gt")
+    assert got.schema.simpleString() == want.schema.simpleString()
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
+    assert exchanges(got) < exchanges(want)
+
+
+def test_calls_are_dealt_few_times(spark, sf_dir):
+    """Line items, orders, calls by sample (with the labels) and by variant; the stored genotypes by sample and by list row."""
+    fx = Fixtures(spark, sf_dir)
+    before = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        plan = spark.createDataFrame([], "variant_id string, snp_list_id string, chromosome string, position long, action string, list_ref string, list_alt string, ref string, alt string")
+        sourced = alleles.with_source(fx.gt, spark.createDataFrame([], "sample_id string, nba_label string, wgs_label string"))
+        # items, orders, calls by sample, labels; then calls by variant and the plan, twice
+        assert exchanges(sourced) == 4 and exchanges(alleles.corrected(sourced, plan)) <= 7
+        genotype = spark.createDataFrame([], "data_type string, snp_list_id string, variant_id string, sample_id string, dosage double")
+        ranked = probes.consensus(probes.probe_metrics(probes.probe_grid(genotype)))
+        # probes and their list rows; the shared samples, calls by sample and by list row, and what counts the shared samples
+        assert exchanges(ranked) <= 6
+        rows = spark.createDataFrame([], "data_type string, variant_id string, snp_list_id string, sample_id string, gene string, ancestry string, extended_clinical_data int, hoehn_and_yahr_stage double, moca_total_score double, dat_sbr_caudate_mean double, age_at_sample_collection double, age_of_onset double")
+        assert exchanges(reports.locus_report(rows.repartition("sample_id"))) == 2
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
