@@ -3,9 +3,10 @@
 import pytest
 from pyspark.sql import functions as F
 
-from locusweave.operators import alleles
+from locusweave.operators import alleles, probes, reports
 from locusweave.plans import carriers
-from locusweave.sources.fixtures import Fixtures
+from locusweave.sources import bucketed
+from locusweave.sources.fixtures import TABLES, Fixtures
 
 
 @pytest.fixture(scope="module")
@@ -76,3 +77,49 @@ def test_genotypes_meet_the_plan_once(spark):
     plan = spark.createDataFrame([], "variant_id string, snp_list_id string, chromosome string, position long, action string, list_ref string, list_alt string, ref string, alt string")
     text = alleles.corrected(gt, plan)._jdf.queryExecution().analyzed().toString()
     assert text.count("Join ") == 2
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_stages_stay_dealt(spark, inputs, tmp_path):
+    """What is built on a stage by the key of its buckets needs no exchange; a session that doesn't know the tables reads their files."""
+    got = run(spark, inputs, tmp_path / "run", select_probes=False, report=("locus", "variant"))
+    assert "Exchange" not in plan_of(got.genotype.groupBy("variant_id", "sample_id").count()) and "Exchange" not in plan_of(got.carriers.groupBy("sample_id", "gene").count())
+    want, n = sorted(map(repr, got.variant_report.collect())), got.genotype.count()
+    for path in got.stages.known.values():
+        spark.sql(f"DROP TABLE IF EXISTS {bucketed.table_of(path)}")
+    again = run(spark, inputs, tmp_path / "run", select_probes=False, report=("locus", "variant"))
+    assert set(actions(again).values()) == {"read"} and "Exchange" in plan_of(again.genotype.groupBy("variant_id", "sample_id").count())
+    assert sorted(map(repr, again.variant_report.collect())) == want and again.genotype.count() == n > 1000
+
+
+def test_calls_are_labelled_genotypes(spark, sf_dir, tmp_path):
+    """Labels that come by the orders are those that come by the samples, also of samples that are listed twice or not at all."""
+    for name in TABLES:
+        df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+        if name == "customer":
+            df = df.where("c_custkey % 7 <> 0").unionByName(df.where("c_custkey % 6 = 0")).unionByName(df.where("c_custkey % 11 = 0").withColumn("c_nationkey", F.col("c_nationkey") * 0))
+        df.write.parquet(f"{tmp_path}/{name}.parquet")
+    fx = Fixtures(spark, str(tmp_path))
+    got, want = fx.calls, alleles.with_source(fx.gt, fx.sample)
+    assert got.columns == want.columns and sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
+    assert plan_of(fx.calls.groupBy("variant_id").count()).count("Exchange hashpartitioning(variant_id") == 0
+
+
+def test_list_by_variant_is_list_by_row(spark):
+    rows = spark.createDataFrame([("P1", "V1", "S1", "NBA", 1.0), ("P1", "V2", "S1", "NBA", 2.0), ("P2", "V1", "S2", "WGS", 1.0), ("P3", "V9", "S2", "WGS", 1.0), ("P2", "V1", "S3", "WGS", 0.0)], "variant_id string, snp_list_id string, sample_id string, data_type string, dosage double")
+    listed = spark.createDataFrame([("V1", "G1", "AR", "h1"), ("V1", "G2", "AD", "h1"), ("V2", "G3", None, None)], "snp_list_id string, gene string, moi string, hg38 string")
+    samples = spark.createDataFrame([("S1", "AFR", None), ("S2", "EUR", "EUR")], "sample_id string, nba_label string, wgs_label string")
+    matches = rows.select("variant_id", "snp_list_id")
+    got, want = reports.carriers(rows, listed, samples, None, matches), reports.carriers(rows, listed, samples)
+    assert sorted(map(repr, got.select(*want.columns).collect())) == sorted(map(repr, want.collect())) and want.count() == 6
+
+
+def test_filter_keeps_other_types(spark):
+    rows = spark.createDataFrame([("NBA", "P1", "V1"), ("NBA", "P2", "V1"), ("NBA", "P3", "V2"), ("WGS", "P2", "V1"), ("WGS", "P4", "V1"), ("NBA", "P2", "V3")], "data_type string, variant_id string, snp_list_id string")
+    selected = spark.createDataFrame([("V1", "P1")], "snp_list_id string, selected_probe string")
+    got = sorted(tuple(r) for r in probes.probe_filter(rows, selected, "NBA").collect())
+    assert got == [("NBA", "P1", "V1"), ("NBA", "P2", "V3"), ("NBA", "P3", "V2"), ("WGS", "P2", "V1"), ("WGS", "P4", "V1")]
+    assert sorted(tuple(r) for r in probes.probe_filter(rows.where("data_type = 'NBA'"), selected).collect()) == got[:3]
