@@ -240,3 +240,34 @@ def test_matrix_texts_are_made_after_the_order_and_packed(spark, tmp_path):
     calls = spark.range(5).selectExpr("'1' AS chromosome", "id AS position", "'A' AS ref", "'G' AS alt", "concat('S', id) AS sample_id", "'0/1' AS call")
     vcf.merge_sites(calls, [f"S{i}" for i in range(5)], str(tmp_path / "v"), codec="gzip")
     assert vcf_files.calls(vcf_files.read_lines(spark, str(tmp_path / "v")), "./.").count() == 5
+
+
+def test_cells_of_lines_by_their_place(spark, monkeypatch):
+    """Fields by place, lines with fewer fields than others, empty fields at a line's end, and slices of one line each."""
+    monkeypatch.setattr(matrix, "SLICE", 1)
+    lines = spark.createDataFrame([("a", "x\ty\tNA\t1\tNA"), ("a", "p\tq\t2\t\t"), ("b", "alone"), ("b", "r\ts\tNA")], "file string, value string").coalesce(1)
+    all_cells = {(r.file, r.first, r.second, r.at, r.cell) for r in matrix.cells_of(lines, ["first", "second"]).collect()}
+    assert all_cells == {("a", "x", "y", 2, "NA"), ("a", "x", "y", 3, "1"), ("a", "x", "y", 4, "NA"), ("a", "p", "q", 2, "2"), ("a", "p", "q", 3, ""), ("a", "p", "q", 4, ""), ("b", "r", "s", 2, "NA")}
+    assert {(r.first, r.at, r.cell) for r in matrix.cells_of(lines, ["first"], "NA").collect()} == {("x", 1, "y"), ("x", 3, "1"), ("p", 1, "q"), ("p", 2, "2"), ("p", 3, ""), ("p", 4, ""), ("r", 1, "s")}
+    assert [r.second for r in matrix.cells_of(spark.createDataFrame([("one",)], "value string"), ["first", "second"]).collect()] == []
+
+
+def test_cells_are_counted_in_their_text(spark):
+    texts = spark.createDataFrame([("NA\tNA\t1\tNA",), ("NAN\tNA",), ("",), ("NA",), ("\t",)], "cells string")
+    found = texts.select(matrix.n_cells(F.col("cells")).alias("n"), matrix.n_equal(F.col("cells"), "NA").alias("m")).collect()
+    assert [(r.n, r.m) for r in found] == [(4, 3), (2, 1), (1, 0), (1, 1), (2, 0)]
+
+
+def test_sparse_matrix_is_written_by_many_tasks_and_read_without_shuffling_its_lines(spark, tmp_path):
+    """A matrix whose gathered cells are small has many cells all the same: as many files as shuffles have partitions, and lines that stay where they are read."""
+    rows = spark.range(400).select(F.format_string("v%03d", "id").alias("v"), F.format_string("s%03d", F.col("id") % 50).alias("s"), F.lit("1").alias("x"))
+    matrix.write(rows, ["v"], "s", "x", [f"s{i:03d}" for i in range(50)], {"V": F.col("v")}, str(tmp_path / "m"), [F.col("v")], codec="gzip")
+    assert len(list((tmp_path / "m").glob("part-*"))) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        back = matrix.read(spark, str(tmp_path / "m"), "V\t", ["v"], "s", "x", "NA")
+        assert {(r.v, r.s, r.x) for r in back.collect()} == {(r.v, r.s, r.x) for r in rows.collect()}
+        plan = back._jdf.queryExecution().optimizedPlan().toString()
+        assert "MapInArrow" in plan and "strategy=broadcast" in plan
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
