@@ -271,3 +271,33 @@ def test_sparse_matrix_is_written_by_many_tasks_and_read_without_shuffling_its_l
         assert "MapInArrow" in plan and "strategy=broadcast" in plan
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_digests_of_lines(spark):
+    """Number of cells and of missing ones beside each other, and the digest of their text; fields before them that are empty or absent."""
+    texts = {"a": "NA\tNA\t1\tNA", "b": "NAN\tNA", "c": "", "d": "NA", "e": "\t", "f": "ä\tNA"}
+    lines = spark.createDataFrame([(f"{k}\t\t{v}",) for k, v in texts.items()] + [("alone",), ("",)], "value string")
+    got = {r.x: (r.y, r.n_cells, r.n_missing, r.md5) for r in matrix.digests(lines, ["x", "y"], "NA").collect()}
+    md5 = lambda v: hashlib.md5(v.encode()).hexdigest()
+    want = {k: ("", v.count("\t") + 1, v.split("\t").count("NA"), md5(v)) for k, v in texts.items()}
+    assert got == want | {"alone": (None, 1, 0, md5("")), "": (None, 1, 0, md5(""))}
+
+
+@pytest.mark.parametrize("block", [3, 1000])
+def test_lines_of_a_wide_matrix(spark, tmp_path, block):
+    """Runs of missing cells at both ends and between, the least of several values, a line without values, columns that aren't named; the texts of lines and files agree, and no expression makes a text by cell."""
+    names = [f"s{i:04d}" for i in range(2500)]
+    cells = [("v1", "s0000", "2"), ("v1", "s0999", "1"), ("v1", "s1000", "7"), ("v1", "s1000", "3"), ("v2", "s2499", "ö"), ("v3", "s0004", None), ("v3", "other", "1")]
+    rows = spark.createDataFrame(cells, "v string, s string, x string")
+    want = {}
+    for v, s, x in cells:
+        line = want.setdefault(v, ["NA"] * len(names))
+        if x is not None and s in names:
+            i = names.index(s)
+            line[i] = x if line[i] == "NA" else min(x, line[i])
+    assert {r.v: r.cells.split("\t") for r in matrix.lines(rows, ["v"], "s", "x", names, block=block).collect()} == want
+    assert "MapInArrow" in matrix.lines(rows, ["v"], "s", "x", names)._jdf.queryExecution().optimizedPlan().toString()
+    matrix.write(rows, ["v"], "s", "x", names, {"V": F.col("v")}, str(tmp_path / "m"), [F.col("v")], block=block)
+    files = [f.read_text().split("\n")[:-1] for f in sorted((tmp_path / "m").glob("part-*")) if f.stat().st_size]
+    assert all(f[0].split("\t") == ["V", *names] for f in files)
+    assert [(x.split("\t")[0], x.split("\t")[1:]) for f in files for x in f[1:]] == sorted(want.items())
