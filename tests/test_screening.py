@@ -123,3 +123,37 @@ def test_filter_keeps_other_types(spark):
     got = sorted(tuple(r) for r in probes.probe_filter(rows, selected, "NBA").collect())
     assert got == [("NBA", "P1", "V1"), ("NBA", "P2", "V3"), ("NBA", "P3", "V2"), ("WGS", "P2", "V1"), ("WGS", "P4", "V1")]
     assert sorted(tuple(r) for r in probes.probe_filter(rows.where("data_type = 'NBA'"), selected).collect()) == got[:3]
+
+
+def test_calls_of_odd_items(spark, sf_dir, tmp_path):
+    """Both dosages of an item travel as one number: negative and absent quantities, absent discounts and the seventh line give what the SQL does."""
+    for name in TABLES:
+        df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+        if name == "lineitem":
+            k = F.col("l_orderkey") % 7
+            df = df.withColumns({"l_quantity": F.when(k == 0, -F.col("l_quantity")).when(k != 1, F.col("l_quantity")), "l_discount": F.when(k != 2, F.col("l_discount"))})
+        df.write.parquet(f"{tmp_path}/{name}.parquet")
+    fx = Fixtures(spark, str(tmp_path))
+    want = fx.sql("SELECT * FROM fx_gt")
+    got = sorted(map(repr, fx.gt.select(*want.columns).collect()))
+    assert got == sorted(map(repr, want.collect())) and sorted(map(repr, fx.calls.select(*want.columns).collect())) == got
+    assert fx.gt.where("dosage < 0").count() > 0 and fx.gt.where("dosage IS NULL").count() > 0
+    assert "both" in fx.calls._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_report_leaves_behind_what_is_not_reported(spark):
+    """Rows that are dealt by list row carry no texts that can be made there, and the report is the same."""
+    rows = spark.createDataFrame(
+        [("S1", "V1", "NBA", "P1", 1.0, "AFR", "G1", "AR", "NBA, WGS", True, True, True), ("S1", "V2", "WGS", "P2", 1.0, "AFR", "G1", "AR", "WGS", True, False, True), ("S2", "V1", "NBA", "P3", 2.0, None, "G1", "AD", "NBA", False, True, True), ("S3", "V3", "NBA", "P4", None, "EUR", None, None, "NBA", False, True, None)],
+        "sample_id string, snp_list_id string, data_type string, variant_id string, dosage double, ancestry string, gene string, moi string, data_types string, has_wgs boolean, has_nba boolean, in_wgs boolean",
+    )
+    listed = spark.createDataFrame([("V1", "h1"), ("V2", "h2"), ("V2", "h2")], "snp_list_id string, hg38 string")
+    report = reports.report_of(rows, listed)
+    got = {(r.sample_id, r.snp_list_id): tuple(r)[4:] for r in report.collect()}
+    assert got == {
+        ("S1", "V1"): ("P1", "het", "AR", "NBA, WGS", True, True, 0.5, "h1"), ("S1", "V2"): ("", "het", "AR", "WGS", True, None, None, "h2"),
+        ("S2", "V1"): ("P3", "hom", "AD", "NBA", False, False, 0.5, "h1"), ("S3", "V3"): ("P4", "", None, "NBA", False, None, None, None),
+    }
+    plan = report._jdf.queryExecution().optimizedPlan().toString()
+    left = plan[plan.index("Join LeftOuter, (snp_list_id") :].split("\n")[1:3]
+    assert not any("variant_id" in line.split("AS nba_probe_name")[-1] for line in left)
