@@ -301,3 +301,18 @@ def test_lines_of_a_wide_matrix(spark, tmp_path, block):
     files = [f.read_text().split("\n")[:-1] for f in sorted((tmp_path / "m").glob("part-*")) if f.stat().st_size]
     assert all(f[0].split("\t") == ["V", *names] for f in files)
     assert [(x.split("\t")[0], x.split("\t")[1:]) for f in files for x in f[1:]] == sorted(want.items())
+
+
+def test_column_order_needs_no_lines(spark, sf_dir, monkeypatch):
+    """The header alone is written, and it is that of the whole matrix."""
+    from locusweave.plans import queries_files
+    from locusweave.sources import shared
+    from locusweave.sources.fixtures import Fixtures
+
+    folders, new_folder = [], shared.new_folder
+    monkeypatch.setattr(shared, "new_folder", lambda s, name: (folders.append(new_folder(s, name)), folders[-1])[1])
+    order = [r.name for r in queries_files.column_order(Fixtures(spark, sf_dir)).orderBy("place").collect()]
+    assert [r.value.split("\t") for r in spark.read.text(folders[-1]).collect()] == [order]
+    sinks.write_traw(queries_files.corrected(Fixtures(spark, sf_dir)).where("data_type = 'NBA'"), f"{folders[-1]}-whole", codec="gzip")
+    heads, _ = matrix.split_files(spark, f"{folders[-1]}-whole", "CHR\tSNP\t")
+    assert {tuple(r.value.split("\t")) for r in heads.collect()} == {tuple(order)}
