@@ -316,3 +316,34 @@ def test_column_order_needs_no_lines(spark, sf_dir, monkeypatch):
     sinks.write_traw(queries_files.corrected(Fixtures(spark, sf_dir)).where("data_type = 'NBA'"), f"{folders[-1]}-whole", codec="gzip")
     heads, _ = matrix.split_files(spark, f"{folders[-1]}-whole", "CHR\tSNP\t")
     assert {tuple(r.value.split("\t")) for r in heads.collect()} == {tuple(order)}
+
+
+# matrices that are nearly empty
+
+
+def sparse(n, cells, missing="NA"):
+    """The texts of a line's ``n`` cells, of which ``cells`` has those that aren't missing."""
+    found = [missing] * n
+    for at, x in cells.items():
+        found[at] = x
+    return found
+
+
+#: Runs that just are and just aren't as long as those that are copied or read at once, next to each other and at both ends; cells that begin or end like missing ones; no cell at all.
+SPARSE = [
+    {}, {0: "1"}, {19_999: "2"}, {127: "1", 128: "2", 257: "NAN", 386: "XNA"}, {1023: "1", 2048: "2", 3073: ""}, {i: str(i) for i in range(9000)}, {129 * 64: "1", 129 * 64 * 2 + 1: "ö", 9998: "NAN"}, {1024 * k: "7" for k in range(9)},
+]
+
+
+def test_runs_are_copied_and_counted(spark, tmp_path):
+    """Written lines and their digests hold every cell, and no Python makes or counts them."""
+    names = [f"s{i:05d}" for i in range(20_000)]
+    rows = [(f"v{i}", names[at], x) for i, cells in enumerate(SPARSE) for at, x in cells.items()] + [("v0", names[3], None)]
+    matrix.write(spark.createDataFrame(rows, "v string, s string, x string"), ["v"], "s", "x", names, {"V": F.col("v")}, str(tmp_path / "m"), [F.col("v")], codec="gzip")
+    _, rest = matrix.split_files(spark, str(tmp_path / "m"), "V\t")
+    found = matrix.digests(rest, ["v"], "NA")
+    got = {r.v: (r.n_cells, r.n_missing, r.md5) for r in found.collect()}
+    assert got == {f"v{i}": (20_000, 20_000 - len(cells), hashlib.md5("\t".join(sparse(20_000, cells)).encode()).hexdigest()) for i, cells in enumerate(SPARSE)}
+    assert "MapInArrow" not in found._jdf.queryExecution().optimizedPlan().toString()
+    files = [gzip.open(f, "rt").read().split("\n")[:-1] for f in sorted((tmp_path / "m").glob("part-*"))]
+    assert all(f[0].split("\t") == ["V", *names] for f in files if f) and sum(len(f) - 1 for f in files if f) == len(SPARSE)
