@@ -347,3 +347,29 @@ def test_runs_are_copied_and_counted(spark, tmp_path):
     assert "MapInArrow" not in found._jdf.queryExecution().optimizedPlan().toString()
     files = [gzip.open(f, "rt").read().split("\n")[:-1] for f in sorted((tmp_path / "m").glob("part-*"))]
     assert all(f[0].split("\t") == ["V", *names] for f in files if f) and sum(len(f) - 1 for f in files if f) == len(SPARSE)
+
+
+def test_long_runs_of_missing_cells_are_read_as_runs(spark):
+    """Each cell by its place, whatever the runs before it; a line whose fields in front of its cells are missing, too."""
+    wide = [(f"f{i}", "\t".join([f"v{i}", "NA" if i % 2 else "x", *sparse(20_000, cells)])) for i, cells in enumerate(SPARSE)]
+    lines = spark.createDataFrame(wide, "file string, value string").coalesce(1)
+    got = {(r.file, r.v, r.w, r.at - 2, r.cell) for r in matrix.cells_of(lines, ["v", "w"], "NA").collect()}
+    assert got == {(f"f{i}", f"v{i}", "NA" if i % 2 else "x", at, x) for i, cells in enumerate(SPARSE) for at, x in cells.items()}
+    short = spark.createDataFrame([("v\t" + "\t".join(sparse(600_000, {300_000: "1"})),)], "value string").select(F.length(matrix._squeezed(F.col("value"), "NA", 1)))
+    assert short.first()[0] < 5_000
+
+
+def test_packed_matrix_is_read_once(spark, tmp_path):
+    """Packed files by one pass, without joins and with names from the header of each file; also of a file without one, and of several files in a task. Plain files beside them."""
+    files = {"a": (["s1", "s2", "s3"], [["1", "NA", "2"], ["NA", "NA", "NA"]]), "b": (["s3", "s1"], [["5", "6", "beyond"], ["7"]]), "c": (None, [["8", "9"]]), "d": (["s9"], [["NA"], ["4"]])}
+    want = set()
+    for name, (header, rows) in files.items():
+        text = "".join("\t".join(x) + "\n" for x in ([["V", *header]] if header else []) + [[f"{name}{i}", *cells] for i, cells in enumerate(rows)])
+        (gzip.open(tmp_path / f"{name}.gz", "wt") if name != "d" else open(tmp_path / f"{name}.txt", "w")).write(text)
+        want |= {(f"{name}{i}", s, x) for i, cells in enumerate(rows) for s, x in zip(header or [], cells) if x != "NA"}
+    assert {(r.v, r.s, r.x) for r in matrix.read(spark, str(tmp_path), "V\t", ["v"], "s", "x", "NA").collect()} == want
+    lines = spark.read.text(str(tmp_path / "*.gz")).select("value", F.col("_metadata.file_path").alias("file")).coalesce(1)
+    once = matrix.named_cells(lines, "V\t", ["v"], "s", "x", "NA")
+    assert {(r.v, r.s, r.x) for r in once.collect()} == {x for x in want if x[0][0] != "d"}
+    plan = once._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and "Aggregate" not in plan
