@@ -373,3 +373,22 @@ def test_packed_matrix_is_read_once(spark, tmp_path):
     assert {(r.v, r.s, r.x) for r in once.collect()} == {x for x in want if x[0][0] != "d"}
     plan = once._jdf.queryExecution().optimizedPlan().toString()
     assert "Join" not in plan and "Aggregate" not in plan
+
+
+def test_contents_of_vcf_files_in_one_pass(spark, tmp_path):
+    """Calls, records and samples of packed files, read once, are those of the same files unpacked."""
+    vcf_folder(tmp_path)
+    with gzip.open(tmp_path / "wide.vcf.gz", "wt") as f:
+        f.write("\n".join(["##x", "\t".join([FIXED, *(f"w{i}" for i in range(2000))]), "", "  ", *("\t".join(["chr2", str(p), "P", "A", "G", ".", ".", ".", "GT", *sparse(2000, {p: "0/1"}, "./.")]) for p in (5, 1999)), "\t".join(["chr3", "x", "P", "A"])]) + "\n")
+    (tmp_path / "plain").mkdir()
+    (tmp_path / "packed").mkdir()
+    for f in list(tmp_path.glob("*.vcf*")):
+        text = (gzip.open(f, "rt") if f.name.endswith("gz") else open(f)).read()
+        (tmp_path / "plain" / f.name.removesuffix(".gz")).write_text(text)
+        gzip.open(tmp_path / "packed" / (f.name.removesuffix(".gz") + ".gz"), "wt").write(text)
+    got = [sorted(map(str, vcf_files.contents(vcf_files.read_lines(spark, str(tmp_path / k)), "./.").distinct().collect())) for k in ("plain", "packed")]
+    assert got[0] == got[1]
+    found = vcf_files.contents(vcf_files.read_lines(spark, str(tmp_path / "packed")), "./.")
+    assert sorted((r.position, r.sample_id) for r in found.where("chromosome = '2' AND sample IS NOT NULL").collect()) == [(5, "w5"), (1999, "w1999")]
+    assert [r[:] for r in found.where("chromosome = '3'").collect()] == [("3", None, "A", None, None, None)]
+    assert sorted({r[0] for r in found.where("chromosome IS NULL").select("sample_id").collect()} - {f"w{i}" for i in range(2000)}) == ["a", "b", "q", "x", "y", "z"]
